@@ -7,13 +7,14 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.keys import author_key, series_word_key
 from shelfmark.functions.nulls import col
 from shelfmark.functions.titles import normalize_title
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two texts."""
     return pd.Series(

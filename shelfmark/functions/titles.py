@@ -111,16 +111,21 @@ def _unicode(pattern: str) -> str:
     return "(?iU)" + pattern
 
 
-def series_pattern(title: Column | str, first_book: Column | str = F.lit("")) -> Column:
+def _title_text(title: Column | str, first_book: Column | str | None) -> Column:
+    second = F.lit("") if first_book is None else F.coalesce(col(first_book), F.lit(""))
+    return F.concat_ws(" ", F.coalesce(col(title), F.lit("")), second)
+
+
+def series_pattern(title: Column | str, first_book: Column | str | None = None) -> Column:
     """``title_pattern: <n>`` for the first series pattern (1 to 11) found in title and first book, else NULL."""
-    text = F.concat_ws(" ", F.coalesce(col(title), F.lit("")), F.coalesce(col(first_book), F.lit("")))
+    text = _title_text(title, first_book)
     hits = [text.rlike(_unicode(p)) for p in SERIES_TITLE_PATTERNS]
     return _first_case(hits, [F.lit(f"title_pattern: {i}") for i in range(1, len(hits) + 1)])
 
 
-def is_box_set(title: Column | str, first_book: Column | str = F.lit("")) -> Column:
+def is_box_set(title: Column | str, first_book: Column | str | None = None) -> Column:
     """True when title or first book reads like a box set."""
-    text = F.concat_ws(" ", F.coalesce(col(title), F.lit("")), F.coalesce(col(first_book), F.lit("")))
+    text = _title_text(title, first_book)
     return reduce(lambda a, b: a | b, [text.rlike(_unicode(p)) for p in BOX_SET_PATTERNS])
 
 

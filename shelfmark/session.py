@@ -30,6 +30,7 @@ def local_session(cores: str = "8", app: str = "shelfmark") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.driver.memory", "12g")
     )
