@@ -48,7 +48,7 @@ def valid_email(c: Column | str, bad_domains: list[str] = vocab.BAD_EMAIL_DOMAIN
 def emails_in(c: Column | str) -> Column:
     """ARRAY of the distinct valid addresses in a text, in order of first appearance."""
     found = F.regexp_extract_all(col(c), F.lit(vocab.EMAIL_PATTERN), 0)
-    return F.array_distinct(F.filter(found, valid_email))
+    return F.array_distinct(F.filter(found, lambda e: valid_email(e)))
 
 
 def looks_fabricated(c: Column | str) -> Column:
@@ -75,7 +75,7 @@ def is_personal(email: Column | str, author: Column | str) -> Column:
 
 def pick_email(emails: Column | str, author: Column | str) -> Column:
     """First valid address with a part of the author's name in it, else the first valid one."""
-    valid = F.filter(col(emails), valid_email)
+    valid = F.filter(col(emails), lambda e: valid_email(e))
     parts = _name_parts(author)
     named = F.filter(valid, lambda e: F.exists(parts, lambda p: F.translate(local_part(e), "._", "").contains(p)))
     return F.coalesce(F.try_element_at(named, F.lit(1)), F.try_element_at(valid, F.lit(1)))
@@ -100,7 +100,7 @@ def score_email(email: Column, site: Column, known: Column, linked: Column) -> C
 def best_scored_email(emails: Column | str, site: Column, known: Column, linked: Column) -> Column:
     """Valid address with the most points, first in the alphabet on a tie."""
     scored = F.transform(
-        F.filter(col(emails), valid_email),
+        F.filter(col(emails), lambda e: valid_email(e)),
         lambda e: F.struct((-score_email(e, site, known, linked)).alias("neg"), clean_email(e).alias("email")),
     )
     return F.array_min(scored)["email"]
@@ -192,9 +192,12 @@ def split_social_blob(c: Column | str) -> Column:
         "bookbub": "(?i)bookbub\\.com",
         "tiktok": "(?i)tiktok\\.com",
     }
-    return F.struct(
-        *[F.try_element_at(F.filter(links, lambda x, p=p: x.rlike(p)), F.lit(1)).alias(n) for n, p in hosts.items()]
-    )
+
+
+    def first_on(pattern: str) -> Column:
+        return F.try_element_at(F.filter(links, lambda x: x.rlike(pattern)), F.lit(1))
+
+    return F.struct(*[first_on(p).alias(n) for n, p in hosts.items()])
 
 
 def has_contact_signal(*columns: Column | str) -> Column:

@@ -6,11 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.functions.nulls import col, present, to_number, to_whole, trim_space
-
-
-def _sql_type(schema: T.DataType | str) -> str:
-    return schema if isinstance(schema, str) else schema.simpleString()
+from shelfmark.functions.nulls import col, let, present, to_number, to_whole, trim_space
 
 
 def bare_json(c: Column | str) -> Column:
@@ -25,8 +21,11 @@ def lenient_rows(c: Column | str, row: T.StructType) -> Column:
     Tried in order: the whole text, its outermost array, each flat object on its own. A single object is
     one row.
     """
+    return let(bare_json(c), lambda text: _lenient_rows(text, row))
+
+
+def _lenient_rows(text: Column, row: T.StructType) -> Column:
     schema = T.ArrayType(row)
-    text = bare_json(c)
     options = {"mode": "PERMISSIVE"}
 
     def rows(part: Column) -> Column:
@@ -87,7 +86,10 @@ AUTHOR_PAYLOAD = T.StructType(
 
 def author_payload(c: Column | str, author: Column | str) -> Column:
     """One author payload from any of three shapes: an object, a list of objects, a list of series."""
-    text = bare_json(c)
+    return let(bare_json(c), lambda text: _author_payload(text, author))
+
+
+def _author_payload(text: Column, author: Column | str) -> Column:
     objects = F.from_json(text, T.ArrayType(AUTHOR_PAYLOAD), {"mode": "PERMISSIVE"})
     series = F.from_json(text, T.ArrayType(SERIES_ITEM), {"mode": "PERMISSIVE"})
     is_series = F.exists(series, lambda s: s["series_name"].isNotNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,6 +17,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def trim_space(c: Column | str) -> Column:
     """Strip Unicode white space on both ends (SQL ``trim`` strips only the space character)."""
     return F.regexp_replace(col(c), "^[\\s\\p{Z}]+|[\\s\\p{Z}]+$", "")
@@ -81,8 +87,7 @@ def to_number(c: Column | str, mode: str = "strict") -> Column:
 
 def to_whole(c: Column | str, mode: str = "strict") -> Column:
     """Lenient whole number: the fraction is cut off."""
-    value = to_number(c, mode)
-    return F.when(value.isNotNull(), F.when(value < 0, F.ceil(value)).otherwise(F.floor(value))).cast("long")
+    return to_number(c, mode).try_cast("long")
 
 
 def clean_book_number(c: Column | str) -> Column:

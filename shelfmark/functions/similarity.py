@@ -16,14 +16,19 @@ from shelfmark.functions.titles import normalize_title
 
 @F.pandas_udf(T.DoubleType())
 def matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio of two texts."""
-    return pd.Series(
-        [
-            SequenceMatcher(None, a, b).ratio() if isinstance(a, str) and isinstance(b, str) else 0.0
-            for a, b in zip(left, right)
-        ],
-        dtype="float64",
-    )
+    """Ratcliff-Obershelp ratio of two texts, 0 for NULL; equal pairs of a batch are computed once."""
+    known: dict[tuple, float] = {}
+    out = []
+    for pair in zip(left, right):
+        if pair not in known:
+            a, b = pair
+            known[pair] = SequenceMatcher(None, a, b).ratio() if isinstance(a, str) and isinstance(b, str) else 0.0
+        out.append(known[pair])
+    return pd.Series(out, dtype="float64")
+
+
+# Spark copies a deterministic expression into every place that names it; this one is worth computing once
+matching_ratio = matching_ratio.asNondeterministic()
 
 
 def edit_ratio(left: Column | str, right: Column | str) -> Column:
@@ -38,7 +43,8 @@ def similarity(left: Column | str, right: Column | str) -> Column:
     """Mean of the matching-blocks ratio and the edit ratio."""
     a, b = F.lower(col(left)), F.lower(col(right))
     known = (F.length(a) > 0) & (F.length(b) > 0)
-    return F.when(known, (matching_ratio(a, b) + edit_ratio(a, b)) / 2).otherwise(0.0)
+    ratio = matching_ratio(F.when(a != b, a), F.when(a != b, b))
+    return F.when(known & (a == b), 1.0).when(known, (ratio + edit_ratio(a, b)) / 2).otherwise(0.0)
 
 
 def title_similarity(left: Column | str, right: Column | str) -> Column:
@@ -47,14 +53,12 @@ def title_similarity(left: Column | str, right: Column | str) -> Column:
 
 
 def key_similarity(a: Column, b: Column) -> Column:
-    """``title_similarity`` of keys that are already normalised."""
-    ratio = matching_ratio(a, b)
-    return (
-        F.when((F.length(a) == 0) | (F.length(b) == 0) | a.isNull() | b.isNull(), 0.0)
-        .when(a == b, 1.0)
-        .when(a.contains(b) | b.contains(a), 0.9)
-        .otherwise(ratio)
-    )
+    """``title_similarity`` of columns that hold normalised keys."""
+    empty = (F.length(a) == 0) | (F.length(b) == 0) | a.isNull() | b.isNull()
+    # pairs decided by the JVM are handed to Python as NULL
+    open_pair = ~empty & ~a.contains(b) & ~b.contains(a)
+    ratio = matching_ratio(F.when(open_pair, a), F.when(open_pair, b))
+    return F.when(empty, 0.0).when(a == b, 1.0).when(a.contains(b) | b.contains(a), 0.9).otherwise(ratio)
 
 
 def same_title(left: Column | str, right: Column | str, threshold: float = 0.85) -> Column:

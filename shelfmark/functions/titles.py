@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.config.vocab import BOX_SET_PATTERNS, LIST_SKIP_WORDS, SERIES_TITLE_PATTERNS
 from shelfmark.functions.keys import fold_accents, lower_free
-from shelfmark.functions.nulls import col, collapse_space, trim_space
+from shelfmark.functions.nulls import col, collapse_space, let, trim_space
 
 # Series patterns in order: (pattern, has series group, number group) -----------------
 SERIES_PATTERNS = [
@@ -44,7 +44,10 @@ def map_characters(c: Column | str) -> Column:
 
 def series_info(c: Column | str) -> Column:
     """STRUCT(series_name, book_number, cleaned) by the first series pattern that matches."""
-    text = col(c)
+    return let(col(c), _series_info)
+
+
+def _series_info(text: Column) -> Column:
     hits = [text.rlike("(?i)" + pattern) for pattern, _, _ in SERIES_PATTERNS]
     series, number, cleaned = [], [], []
     for pattern, has_series, group in SERIES_PATTERNS:
@@ -74,18 +77,27 @@ def subtitle(c: Column | str) -> Column:
 
 def normalize_title(c: Column | str, spaced_dash: bool = False) -> Column:
     """STRUCT(original, strict, standard, fuzzy, core_title, series_name, book_number)."""
-    original = lower_free(c)
-    strict = fold_accents(original)
-    info = series_info(map_characters(strict))
-    standard = collapse_space(F.regexp_replace(info["cleaned"], "[<>{}\\[\\]\\\\|]", ""))
-    return F.struct(
-        original.alias("original"),
-        trim_space(strict).alias("strict"),
-        standard.alias("standard"),
-        F.regexp_replace(F.lower(standard), "[^a-z0-9]", "").alias("fuzzy"),
-        main_title(info["cleaned"], spaced_dash).alias("core_title"),
-        info["series_name"].alias("series_name"),
-        info["book_number"].alias("book_number"),
+
+    def forms(original: Column, strict: Column, info: Column) -> Column:
+        return let(
+            collapse_space(F.regexp_replace(info["cleaned"], "[<>{}\\[\\]\\\\|]", "")),
+            lambda standard: F.struct(
+                original.alias("original"),
+                trim_space(strict).alias("strict"),
+                standard.alias("standard"),
+                F.regexp_replace(F.lower(standard), "[^a-z0-9]", "").alias("fuzzy"),
+                main_title(info["cleaned"], spaced_dash).alias("core_title"),
+                info["series_name"].alias("series_name"),
+                info["book_number"].alias("book_number"),
+            ),
+        )
+
+    return let(
+        lower_free(c),
+        lambda original: let(
+            fold_accents(original),
+            lambda strict: let(series_info(map_characters(strict)), lambda info: forms(original, strict, info)),
+        ),
     )
 
 
@@ -136,7 +148,10 @@ def list_item(c: Column | str) -> Column:
     Entries in one line: the text before the rating is split at the last lower-to-upper boundary beyond
     the tenth character, or after a closing parenthesis.
     """
-    text = trim_space(c)
+    return let(trim_space(c), _list_item)
+
+
+def _list_item(text: Column) -> Column:
     lines = F.filter(F.transform(F.split(text, "\n"), trim_space), lambda x: F.length(x) > 0)
 
     def plain(line: Column) -> Column:

@@ -18,13 +18,14 @@ from shelfmark.operators.groups import Keys, key_columns, top_per_key
 def keyed_left_join(left: DataFrame, right: DataFrame, left_keys: Keys, right_keys: Keys, columns: Sequence[str], order: Sequence[Column], suffix: str = "_2") -> DataFrame:
     """Left join to the first right row per key; a column name both sides have gets the suffix."""
     a, names = key_columns(left, left_keys)
-    b, right_names = key_columns(right, right_keys)
+    right_names = [f"__r{i}" for i in range(len(right_keys))]
+    b = right.withColumns({n: col(k) for n, k in zip(right_names, right_keys)})
     one = top_per_key(b, right_names, order).select(
-        *[F.col(n).alias(f"{n}r") for n in right_names],
+        *right_names,
         *[F.col(f"`{c}`").alias(c + suffix if c in left.columns else c) for c in columns],
     )
-    condition = [F.col(n) == F.col(f"{n}r") for n in names]
-    return a.join(one, condition, "left").drop(*names, *[f"{n}r" for n in right_names])
+    condition = [F.col(n) == F.col(r) for n, r in zip(names, right_names)]
+    return a.join(one, condition, "left").drop(*names, *right_names)
 
 
 def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: Column, value: str, name: str, default) -> DataFrame:

@@ -18,13 +18,15 @@ from shelfmark.functions.titles import normalize_title
 from shelfmark.operators.containment import touching_pairs
 from shelfmark.operators.editjoin import edit_candidates
 from shelfmark.operators.groups import top_per_key
+from shelfmark.session import cut_lineage
 
 STRATEGIES = ("exact", "fuzzy_title", "core_title", "series")
 
 
 def match_keys(df: DataFrame, row_id: str, title: str, author: str, series: str | None = None, number: str | None = None) -> DataFrame:
     """(id, standard, core, author, author_fuzzy, series, number): every key the strategies compare, once per row."""
-    n = normalize_title(title)
+    df = df.withColumn("__n", normalize_title(title))
+    n = F.col("__n")
     given_series = F.lower(present(series)) if series else F.lit(None).cast("string")
     given_number = to_number(F.col(number).cast("string")) if number else F.lit(None).cast("double")
     return df.select(
@@ -121,7 +123,10 @@ def cascade_match(
 
     Both sides come from ``match_keys``; ids order the target. The first strategy in the list that finds a
     match is used; it takes the most similar target row, the lowest id on a tie (``series``: the lowest id).
+    Runs the two key tables (an action) and checkpoints them.
     """
+    # the key tables are read by every strategy, so they are written once
+    search, target = cut_lineage(search), cut_lineage(target)
     found = []
     open_rows = search
     if "exact" in strategies:
@@ -260,8 +265,8 @@ def local_series_match(rows: DataFrame, books: DataFrame, row_id: str, author: s
     near = edit_candidates(spelled, "w", offered, "w2", 0.44, ["a"]).union(touching_pairs(spelled, "w", offered, "w2", ["a"])).distinct()
     scored = near.withColumn("sim", key_similarity(F.col("left_text"), F.col("right_text"))).filter("sim >= 0.78")
     close = (
-        spelled.join(scored, (spelled["a"] == scored["a"]) & (F.col("w") == F.col("left_text")))
-        .join(known, (spelled["a"] == F.col("ba")) & (F.col("right_text") == F.col("bs")))
+        spelled.join(scored.withColumnRenamed("left_text", "w"), ["a", "w"])
+        .join(known, (F.col("a") == F.col("ba")) & (F.col("right_text") == F.col("bs")))
         .select("rid", F.lit(4).alias("step"), (-F.col("sim")).alias("neg"), F.col("o").cast("long").alias("o"), F.col("bs").alias("match"), F.lit("local-fuzzy").alias("reason"))
     )
     best = first.union(same).union(is_book).union(close).groupBy("rid").agg(F.min(F.struct("step", "neg", "o", "match", "reason")).alias("b"))
@@ -334,14 +339,14 @@ def choose_search_result(requests: DataFrame, results: DataFrame, request_id: st
     q = requests.select(
         request_id, series_word_key("author").alias("qa"), series_word_key("title").alias("qt"), series_word_key("series").alias("qs")
     )
-    joined = results.join(q, request_id)
-    author = series_word_key("author")
+    keyed = results.withColumns({"ka": series_word_key("author"), "kt": series_word_key("title_base"), "ks": series_word_key("title")})
+    joined = keyed.join(q, request_id)
     points = (
-        F.when(author == F.col("qa"), 5.0).otherwise(2.0 * key_similarity(author, F.col("qa")))
-        + 3.0 * key_similarity(series_word_key("title_base"), F.col("qt"))
-        + 1.5 * key_similarity(series_word_key("title"), F.col("qs"))
+        F.when(F.col("ka") == F.col("qa"), 5.0).otherwise(2.0 * key_similarity(F.col("ka"), F.col("qa")))
+        + 3.0 * key_similarity(F.col("kt"), F.col("qt"))
+        + 1.5 * key_similarity(F.col("ks"), F.col("qs"))
     )
-    scored = joined.withColumn("points", points).filter(F.col("points") >= least).drop("qa", "qt", "qs")
+    scored = joined.withColumn("points", points).filter(F.col("points") >= least).drop("qa", "qt", "qs", "ka", "kt", "ks")
     return top_per_key(scored, [request_id], [F.col("points").desc(), F.col("result_order")])
 
 

@@ -49,7 +49,7 @@ def nested_summary(books: Column) -> Column:
     )
 
 
-def wide_ratings(pairs: Sequence[tuple[Column, Column]]) -> Column:
+def wide_ratings(pairs: Sequence[tuple[Column, Column]], digits: int = 3) -> Column:
     """STRUCT(total_count, avg_rating, trend, kind) of repeated (rating, count) columns.
 
     Weighted by the counts where one is known, else a plain mean; trend is last minus first rating.
@@ -63,8 +63,8 @@ def wide_ratings(pairs: Sequence[tuple[Column, Column]]) -> Column:
     trend = F.when(n >= 2, F.try_element_at(kept, F.lit(-1))["r"] - F.try_element_at(kept, F.lit(1))["r"]).otherwise(F.lit(0.0))
     return F.struct(
         F.when((n > 0) & (total > 0), total.cast("long")).alias("total_count"),
-        F.when(n > 0, F.round(F.when(total > 0, points / total).otherwise(plain / n), 3)).alias("avg_rating"),
-        F.when(n > 0, F.round(trend, 3)).alias("trend"),
+        F.when(n > 0, F.round(F.when(total > 0, points / total).otherwise(plain / n), digits)).alias("avg_rating"),
+        F.when(n > 0, F.round(trend, digits)).alias("trend"),
         F.when(n == 0, F.lit("no_ratings")).when(total > 0, F.lit("weighted")).otherwise(F.lit("unweighted")).alias("kind"),
     )
 
