@@ -45,6 +45,34 @@ def contained_pairs(needles: DataFrame, needle: str, texts: DataFrame, text: str
     return rarest.join(text_grams, [*group, "gram"]).filter(F.col("text").contains(F.col("needle"))).drop("gram")
 
 
+def small_list_pairs(listed: DataFrame, list_text: str, rows: DataFrame, text: str, row_columns: Sequence[str], contained_min: int, container_min: int | None) -> DataFrame:
+    """(list_text, text, row_columns) where a row text lies in a list text, or a list text in a row text.
+
+    For a short list against a large table. A row text looks up its first characters among the n-grams of the
+    list, and its own n-grams among the first characters of the list texts; the large side is neither grouped
+    nor shuffled while the list is small enough for Spark to broadcast. Row texts count from
+    ``contained_min`` characters on, list texts as the contained ones from ``container_min`` on (None: never).
+    """
+    size = max(contained_min, 1)
+    widths = range(size, max(size, GRAM) + 1)
+    key = F.col("__l")
+    entries = listed.select(F.col(list_text).alias("__l")).filter(F.length("__l") > 0).distinct()
+    inside = F.flatten(F.array(*[_grams(key, F.lit(w)) for w in widths]))
+    table = entries.select("__l", F.explode(inside).alias("gram"), F.lit("in").alias("way"))
+    value = F.col(text)
+    start = F.substr(value, F.lit(1), F.least(F.length(value), F.lit(widths[-1])))
+    probes = F.array(F.struct(start.alias("gram"), F.lit("in").alias("way")))
+    if container_min is not None:
+        head = F.substr(key, F.lit(1), F.lit(container_min))
+        table = table.union(entries.filter(F.length("__l") >= container_min).select("__l", head.alias("gram"), F.lit("out").alias("way")))
+        around = F.transform(_grams(value, F.lit(container_min)), lambda g: F.struct(g.alias("gram"), F.lit("out").alias("way")))
+        probes = F.concat(probes, around)
+    probed = rows.filter(F.length(value) >= size).select(*row_columns, value.alias("__t"), F.explode(probes).alias("p"))
+    joined = probed.select(*row_columns, "__t", "p.gram", "p.way").join(table, ["gram", "way"])
+    hit = F.when(F.col("way") == "in", F.col("__l").contains(F.col("__t"))).otherwise(F.col("__t").contains(F.col("__l")))
+    return joined.filter(hit).select(F.col("__l").alias("list_text"), F.col("__t").alias("text"), *row_columns)
+
+
 def touching_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text: str, group: Sequence[str] = (), left_min: int = 1, right_min: int = 1) -> DataFrame:
     """Distinct (group, left_text, right_text) where one text contains the other.
 

@@ -11,7 +11,7 @@ from shelfmark.config import models
 from shelfmark.functions.keys import lower_trim, punctuation_free_key, rank_list_key, spaced_key
 from shelfmark.functions.ladders import rank_bucket
 from shelfmark.functions.nulls import col
-from shelfmark.operators.containment import contained_pairs, touching_pairs
+from shelfmark.operators.containment import small_list_pairs, touching_pairs
 from shelfmark.operators.groups import Keys, key_columns, top_per_key
 
 
@@ -84,7 +84,8 @@ def rank_list_tags(series: DataFrame, listed: DataFrame, series_id: str, titles:
     ``listed``: list_id, list_name, rank, title (and further search terms), author. Per list row the
     strategies run in order and the first that finds something is used: equal title key; containment either
     way with the first series title in order (our titles over 5 characters, list titles over 8); equal author
-    (over 5 characters). Tags of one series are distinct and sorted.
+    (over 5 characters). Tags of one series are distinct and sorted. The series table is read four times, so
+    it should be a written or checkpointed one.
     """
     spelled = F.explode(
         F.array(*[F.struct(F.lit(i).alias("i"), F.trim(punctuation_free_key(t)).alias("key")) for i, t in enumerate(titles)])
@@ -101,14 +102,9 @@ def rank_list_tags(series: DataFrame, listed: DataFrame, series_id: str, titles:
 
     exact = entries.join(ours, F.col("list_key") == F.col("our_key")).select("list_id", "i", "sid")
     rest = entries.join(exact.select("list_id", "i").distinct(), ["list_id", "i"], "left_anti").filter(F.length("list_key") > 8)
-    our_keys = ours.filter(F.length("our_key") > 5).groupBy("our_key").agg(F.min("pos").alias("pos"))
-    touching = touching_pairs(rest, "list_key", our_keys, "our_key", (), 9, 6)
-    first_hit = (
-        rest.join(touching.withColumnRenamed("left_text", "list_key"), "list_key")
-        .join(our_keys.withColumnRenamed("our_key", "right_text"), "right_text")
-        .groupBy("list_id", "i")
-        .agg(F.min_by("right_text", "pos").alias("our_key"))
-    )
+    touching = small_list_pairs(rest, "list_key", ours, "our_key", ["pos"], 6, 9)
+    first_key = touching.groupBy(F.col("list_text").alias("list_key")).agg(F.min(F.struct("pos", "text")).alias("best"))
+    first_hit = rest.join(first_key, "list_key").select("list_id", "i", F.col("best.text").alias("our_key"))
     partial = first_hit.join(ours, "our_key").select("list_id", "i", "sid")
     by_title = exact.union(partial).select("list_id", "sid").distinct()
 
@@ -132,7 +128,7 @@ def list_flags(books: DataFrame, listed: DataFrame, book_id: str, title: str) ->
     """(book_id, flags): sorted ``# Top N list`` flags of the lists whose titles contain the book title."""
     a = books.select(F.col(book_id), lower_trim(title).alias("key")).filter("key <> ''")
     b = listed.withColumn("list_key", F.lower("title"))
-    pairs = contained_pairs(a, "key", b, "list_key").withColumnsRenamed({"needle": "key", "text": "list_key"})
+    pairs = small_list_pairs(b, "list_key", a.select("key").distinct(), "key", [], 1, None).withColumnsRenamed({"text": "key", "list_text": "list_key"})
     flag = F.concat(rank_bucket("rank", "# ", "# Top 100"), F.lit(" "), F.col("list_name"))
     flags = (
         pairs.join(b, "list_key")

@@ -59,7 +59,7 @@ def not_negative(field: str) -> Check:
 
 def in_range(field: str, low: float, high: float) -> Check:
     value = to_number(F.col(field))
-    return Check("ERROR", field, f"outside {low:g} to {high:g}", (value < low) | (value > high), F.col(field).cast("string"))
+    return Check("ERROR", field, f"outside {low:g} to {high:g}", (value < low) | (value > high), value)
 
 
 def matches(field: str, pattern: str) -> Check:
@@ -77,7 +77,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     for i, c in enumerate(checks):
         offending = F.when(c.bad, c.value)
         aggregates += [
-            F.count(F.when(c.bad, F.lit(1))).alias(f"c{i}"), F.min(offending).alias(f"l{i}"), F.max(offending).alias(f"h{i}")
+            F.count(F.when(c.bad, F.lit(1))).alias(f"c{i}"), F.min(offending).cast("string").alias(f"l{i}"), F.max(offending).cast("string").alias(f"h{i}")
         ]
     counts = df.agg(*aggregates)
     rows = F.explode(

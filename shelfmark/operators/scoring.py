@@ -21,38 +21,55 @@ def _zero(c: Column | str) -> Column:
     return F.when(value.isNull() | F.isnan(value), F.lit(0.0)).otherwise(value)
 
 
-def ladder_score(length, first_rating, first_count, lowest_rating, highest_rating, era, books, *validation) -> Column:
-    """STRUCT of the additive 0-100 model: score, rank, its eight parts, rating difference, effective lowest.
+def _staged(df: DataFrame, *stages: dict[str, Column]) -> DataFrame:
+    """Columns added stage by stage; working names start with two underscores and are dropped at the end.
+
+    Spark keeps a stage of its own for a column that later stages name more than once, so a score is computed
+    once and not copied into every rank test.
+    """
+    kept = list(df.columns)
+    for stage in stages:
+        df = df.withColumns(stage)
+        kept += [name for name in stage if not name.startswith("__") and name not in kept]
+    return df.select(*[F.col(f"`{c}`") for c in kept])
+
+
+def ladder_score(df: DataFrame, length, first_rating, first_count, lowest_rating, highest_rating, era, books, *validation) -> DataFrame:
+    """Adds the additive 0-100 model: score, rank, its eight parts, rating_difference, effective_lowest.
 
     A missing lowest rating is estimated as 0.8 x first rating, and the estimate also counts for stability.
     """
-    values = {"hours": _zero(length), "first_rating": _zero(first_rating), "first_count": _zero(first_count), "books": _zero(books)}
-    lowest = F.when(_zero(lowest_rating) <= 0, values["first_rating"] * 0.8).otherwise(_zero(lowest_rating))
-    values["lowest_rating"] = lowest
-    parts = {name: ladder(values[name], *models.LADDER_SCORE[name]) for name in models.LADDER_SCORE}
-    highest = _zero(highest_rating)
-    both = (highest > 0) & (lowest > 0)
-    difference = F.when(both, F.abs(highest - lowest))
-    stability = F.when(~both, 5)
+    inputs = {
+        "__hours": _zero(length), "__first_rating": _zero(first_rating), "__first_count": _zero(first_count),
+        "__books": _zero(books), "__low": _zero(lowest_rating), "__highest": _zero(highest_rating),
+        "__era": lower_trim(era),
+        "__text": F.lower(F.concat_ws(" ", *[F.coalesce(col(v), F.lit("")) for v in validation])) if validation else F.lit(""),
+    }
+    lowest = F.when(F.col("__low") <= 0, F.col("__first_rating") * 0.8).otherwise(F.col("__low"))
+    both = (F.col("__highest") > 0) & (F.col("effective_lowest") > 0)
+    difference = F.when(both, F.abs(F.col("__highest") - F.col("effective_lowest")))
+    sources = {"hours": "__hours", "first_rating": "__first_rating", "first_count": "__first_count", "lowest_rating": "effective_lowest", "books": "__books"}
+    parts = {name: ladder(F.col(sources[name]), *models.LADDER_SCORE[name]) for name in models.LADDER_SCORE}
+    stability = F.when(F.col("rating_difference").isNull(), 5)
     for bound, points in models.STABILITY_STEPS:
-        stability = stability.when(difference < bound, points)
+        stability = stability.when(F.col("rating_difference") < bound, points)
     parts["stability"] = stability.otherwise(2)
-    era_text = lower_trim(era)
     era_points = None
     for words, points in models.ERA_WORDS:
-        hit = reduce(lambda a, b: a | b, [era_text.contains(w) for w in words])
+        hit = reduce(lambda a, b: a | b, [F.col("__era").contains(w) for w in words])
         era_points = F.when(hit, points) if era_points is None else era_points.when(hit, points)
     parts["era"] = era_points.otherwise(models.ERA_DEFAULT)
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(col(v), F.lit("")) for v in validation])) if validation else F.lit("")
-    bonus = reduce(lambda a, b: a + b, [F.when(text.rlike(p), n).otherwise(0) for p, n in models.LIST_BONUS])
+    bonus = reduce(lambda a, b: a + b, [F.when(F.col("__text").rlike(p), n).otherwise(0) for p, n in models.LIST_BONUS])
     parts["bonus"] = F.least(bonus, F.lit(models.LIST_BONUS_CAP))
-    total = F.least(F.greatest(reduce(lambda a, b: a + b, parts.values()), F.lit(0)), F.lit(100))
-    return F.struct(
-        total.alias("score"),
-        ladder(total, *models.LADDER_RANKS).alias("rank"),
-        *[p.alias(f"{name}_points") for name, p in parts.items()],
-        difference.alias("rating_difference"),
-        lowest.alias("effective_lowest"),
+    total = reduce(lambda a, b: a + b, [F.col(f"{name}_points") for name in parts])
+    return _staged(
+        df,
+        inputs,
+        {"effective_lowest": lowest},
+        {"rating_difference": difference},
+        {f"{name}_points": p for name, p in parts.items()},
+        {"score": F.least(F.greatest(total, F.lit(0)), F.lit(100))},
+        {"rank": ladder("score", *models.LADDER_RANKS)},
     )
 
 
@@ -91,8 +108,8 @@ def peak_points(rank: Column | str) -> Column:
     return F.when(r == 1, 15.0).when(r <= 10, 10.0).when(r <= 100, 5.0).otherwise(0.0)
 
 
-def weighted_score(books, first_rating, avg_rating, first_count, last_count, last_day=None, as_of=None, best_rank=None, independent=None) -> Column:
-    """STRUCT(score, rank, recency, rationale) of the weighted percentage model.
+def weighted_score(df: DataFrame, books, first_rating, avg_rating, first_count, last_count, last_day=None, as_of=None, best_rank=None, independent=None) -> DataFrame:
+    """Adds score, rank, recency and rationale of the weighted percentage model.
 
     A part below 0.1 counts as 80 (missing data). Readers kept are raised by recency; a list rank adds up to
     15; an independent publisher multiplies by 1.2.
@@ -102,28 +119,34 @@ def weighted_score(books, first_rating, avg_rating, first_count, last_count, las
         return F.when(score < 0.1, models.DOUBT_SCORE).otherwise(score)
 
     w = models.WEIGHTED
-    first, count = _zero(first_rating), _zero(first_count)
     recency = recency_factor(last_day, as_of) if last_day is not None else F.struct(F.lit(1.0).alias("factor"), F.lit("Mature").alias("label"))
-    kept = F.when(count > 0, _zero(last_count) / count).otherwise(0.0)
-    kept = F.least(kept * recency["factor"], F.lit(1.0))
-    q1, qavg = doubt(_capped_percent(first, 5.0)), doubt(_capped_percent(_zero(avg_rating), 5.0))
-    keep, appeal = doubt(_capped_percent(kept, 0.5)), doubt(_capped_percent(count, 10000.0))
-    volume = volume_points(books)
-    peak = peak_points(best_rank) if best_rank is not None else F.lit(0.0)
-    base = q1 * w["quality_first"] + qavg * w["quality_avg"] + keep * w["retention"] + appeal * w["appeal"] + volume * w["volume"] + peak
-    score = F.when(independent, base * models.INDEPENDENT_FACTOR).otherwise(base) if independent is not None else base
-    score = F.round(score, 6)
-    text = F.format_string(
-        "Score: %d [%s] (Vol:%d Q1:%d QAvg:%d R:%d A:%d Peak:+%d)",
-        score.cast("int"), recency["label"], volume.cast("int"), q1.cast("int"), qavg.cast("int"), keep.cast("int"), appeal.cast("int"), peak.cast("int"),
+    kept = F.when(F.col("__count") > 0, _zero(last_count) / F.col("__count")).otherwise(0.0)
+    base = (
+        F.col("__q1") * w["quality_first"] + F.col("__qavg") * w["quality_avg"] + F.col("__kept") * w["retention"]
+        + F.col("__appeal") * w["appeal"] + F.col("__volume") * w["volume"] + F.col("__peak")
     )
-    return F.struct(
-        score.alias("score"), ladder(score, *models.WEIGHTED_RANKS).alias("rank"), recency["label"].alias("recency"), text.alias("rationale")
+    score = F.when(independent, base * models.INDEPENDENT_FACTOR).otherwise(base) if independent is not None else base
+    whole = [F.col(c).cast("int") for c in ("__volume", "__q1", "__qavg", "__kept", "__appeal", "__peak")]
+    text = F.format_string("Score: %d [%s] (Vol:%d Q1:%d QAvg:%d R:%d A:%d Peak:+%d)", F.col("score").cast("int"), F.col("recency"), *whole)
+    return _staged(
+        df,
+        {"__count": _zero(first_count), "__factor": recency["factor"], "recency": recency["label"]},
+        {"__keep": _capped_percent(F.least(kept * F.col("__factor"), F.lit(1.0)), 0.5)},
+        {
+            "__q1": doubt(_capped_percent(_zero(first_rating), 5.0)),
+            "__qavg": doubt(_capped_percent(_zero(avg_rating), 5.0)),
+            "__kept": doubt(F.col("__keep")),
+            "__appeal": doubt(_capped_percent(F.col("__count"), 10000.0)),
+            "__volume": volume_points(books),
+            "__peak": peak_points(best_rank) if best_rank is not None else F.lit(0.0),
+        },
+        {"score": F.round(score, 6)},
+        {"rank": ladder("score", *models.WEIGHTED_RANKS), "rationale": text},
     )
 
 
-def penalty_score(books, first_rating, first_count, last_count) -> Column:
-    """STRUCT(score, rank) of the weighted model that ranks series below 3 books last."""
+def penalty_score(df: DataFrame, books, first_rating, first_count, last_count) -> DataFrame:
+    """Adds score and rank of the weighted model that ranks series below 3 books last."""
     w = models.PENALTY_WEIGHTS
     rating, first, last = _zero(first_rating), _zero(first_count), _zero(last_count)
     missing = F.lit(models.DOUBT_SCORE)
@@ -131,11 +154,9 @@ def penalty_score(books, first_rating, first_count, last_count) -> Column:
     quality = F.when(rating > 0, rating / 5.0 * 100).otherwise(missing)
     kept = F.when((first > 0) & (last > 0), F.least(last / first * 100, F.lit(100.0))).otherwise(missing)
     appeal = F.when(first > 0, F.least(first / 1000 * 10, F.lit(100.0))).otherwise(missing)
-    total = F.round(w["volume"] * volume + w["quality"] * quality + w["retention"] * kept + w["appeal"] * appeal, 6)
-    return F.struct(
-        F.round(total, 1).alias("score"),
-        F.when(col(books) < 3, F.lit("P5")).otherwise(ladder(total, *models.PENALTY_RANKS)).alias("rank"),
-    )
+    total = w["volume"] * volume + w["quality"] * quality + w["retention"] * kept + w["appeal"] * appeal
+    rank = F.when(col(books) < 3, F.lit("P5")).otherwise(ladder("__total", *models.PENALTY_RANKS))
+    return _staged(df, {"__total": F.round(total, 6)}, {"score": F.round("__total", 1), "rank": rank})
 
 
 def crawl_flags(length, first_rating, first_count, lowest_rating, highest_rating) -> Column:
@@ -178,14 +199,17 @@ def bucket_rank(score, kind, publisher, author) -> Column:
     )
 
 
-def expansion_score(length, first_rating, first_count, lowest_rating, pub_year) -> Column:
-    """STRUCT(score, rank): five ladders, a missing input adds nothing; NULL when all are missing."""
+def expansion_score(df: DataFrame, length, first_rating, first_count, lowest_rating, pub_year) -> DataFrame:
+    """Adds score and rank: five ladders, a missing input adds nothing; NULL when all are missing."""
     inputs = {"hours": length, "first_rating": first_rating, "first_count": first_count, "lowest_rating": lowest_rating, "pub_year": pub_year}
-    points = [
-        F.when(_zero(c) != 0, ladder(_zero(c), *models.EXPANSION[name])).otherwise(0) for name, c in inputs.items()
-    ]
-    score = F.nullif(reduce(lambda a, b: a + b, points), F.lit(0))
-    return F.struct(score.alias("score"), F.when(score.isNotNull(), ladder(score, *models.EXPANSION_RANKS)).alias("rank"))
+    points = [F.when(_zero(c) != 0, ladder(_zero(c), *models.EXPANSION[name])).otherwise(0) for name, c in inputs.items()]
+    score = F.nullif(F.col("__points"), F.lit(0))
+    return _staged(
+        df,
+        {"__points": reduce(lambda a, b: a + b, points)},
+        {"score": score},
+        {"rank": F.when(F.col("score").isNotNull(), ladder("score", *models.EXPANSION_RANKS))},
+    )
 
 
 def sanity_issues(kind, books, source_books, pages, series, first_book, last_book, email=None) -> Column:

@@ -13,7 +13,7 @@ from shelfmark.operators.filters import ban_reason, split
 from shelfmark.operators.overlay import apply_by_row
 from shelfmark.operators.ranking import label_order
 from shelfmark.operators.rollup import BookColumns, series_rollup
-from shelfmark.operators.scoring import weighted_score, with_fields
+from shelfmark.operators.scoring import weighted_score
 
 
 def series_report(books: DataFrame, as_of: str, results: DataFrame | None = None, names: BookColumns = BookColumns()) -> DataFrame:
@@ -35,9 +35,8 @@ def series_report(books: DataFrame, as_of: str, results: DataFrame | None = None
             "independent": publisher_class("publisher", "Indie").isin("Self-Pub", "Indie"),
         }
     )
-    return with_fields(
-        out,
-        weighted_score("books", "first_rating", "avg_rating", "first_count", "last_count", "last_day", F.lit(as_of).cast("date"), None, F.col("independent")),
+    return weighted_score(
+        out, "books", "first_rating", "avg_rating", "first_count", "last_count", "last_day", F.lit(as_of).cast("date"), None, F.col("independent")
     )
 
 

@@ -54,7 +54,7 @@ def genre_series(
         }
     )
     out = with_fields(out, crawl_flags("hours", "first_rating", "first_count", "lowest_rating", "highest_rating"))
-    out = with_fields(out, penalty_score("books", "first_rating", "first_count", "last_count"))
+    out = penalty_score(out, "books", "first_rating", "first_count", "last_count")
     if listed is None:
         return out
     flags = list_flags(books, listed, names.row_id, names.title)

@@ -9,6 +9,7 @@ from shelfmark.functions.text import rationale
 from shelfmark.operators.dedupe import dedup_first
 from shelfmark.operators.joins import rank_list_tags
 from shelfmark.operators.scoring import ladder_flags, ladder_score, with_fields
+from shelfmark.session import cut_lineage
 
 PARTS = [f"{p}_points" for p in ("hours", "first_rating", "first_count", "lowest_rating", "books", "stability", "era", "bonus")]
 
@@ -21,13 +22,13 @@ def score_master(series: DataFrame, listed: DataFrame | None = None) -> DataFram
     """
     rows = dedup_first(series, "series_name", "author", [F.col("row_id")])
     if listed is not None:
+        rows = cut_lineage(rows)  # the matching reads the series table several times
         tags = rank_list_tags(rows, listed, "row_id", ["series_name", "first_title"], "author", F.col("row_id"))
         rows = rows.join(tags.withColumnsRenamed({"tag": "list_tag"}), "row_id", "left")
     else:
         rows = rows.withColumns({"list_tag": F.lit(None).cast("string"), "best_rank": F.lit(None).cast("int")})
-    scored = with_fields(
-        rows,
-        ladder_score("hours", "first_rating", "first_count", "lowest_rating", "highest_rating", "era", "books", "validation", "list_tag"),
+    scored = ladder_score(
+        rows, "hours", "first_rating", "first_count", "lowest_rating", "highest_rating", "era", "books", "validation", "list_tag"
     )
     flagged = with_fields(scored, ladder_flags("hours", "first_rating", "first_count", "rating_difference", "effective_lowest"))
     line = rationale("rank", "first_rating", "first_count", "books", "era", "validation")

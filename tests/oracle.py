@@ -63,6 +63,12 @@ def compare(name, build, sql, spark, folder, con):
     want_columns, want = rows_of([d[0] for d in result.description], result.fetchall())
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
+    types = dict(df.dtypes)
+    found = {d[0]: str(d[1]).upper() for d in result.description}
+    names = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+    odd = [f"{c}: {types[c]} / {found[c]}" for c in got_columns if names.get(types[c]) != found[c]]
+    if odd:
+        print(f"   types of {name}: {odd}")
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
     text = lambda r: tuple(repr(v) for v in r)
