@@ -40,13 +40,21 @@ def match_keys(df: DataFrame, row_id: str, title: str, author: str, series: str
     )
 
 
-def similar_texts(left: DataFrame, left_text: str, right: DataFrame, right_text: str, threshold: float, block: Sequence[str] = ()) -> DataFrame:
+def widest_share(threshold: float) -> float:
+    """Largest edit-distance share of a pair whose similarity reaches the threshold.
+
+    A pair with share d has an edit ratio of 1 - d and a matching-blocks ratio of at most 1 - d / 2 (common
+    blocks form a common subsequence), so its similarity, the mean of both, is at most 1 - 0.75 d.
+    """
+    return round((1 - threshold) / 0.75, 6)
+
+
+def similar_texts(left: DataFrame, left_text: str, right: DataFrame, right_text: str, threshold: float, block: Sequence[str] = (), share: float | None = None) -> DataFrame:
     """Distinct (block, left_text, right_text, sim) with similarity from the threshold on.
 
-    The similarity is a mean of two ratios up to 1, so a pair at the threshold is at most
-    ``2 * (1 - threshold)`` of its length apart: the candidates are complete.
+    Complete with the default share; a smaller share gives the pairs that are at most so far apart.
     """
-    pairs = edit_candidates(left, left_text, right, right_text, round(2 * (1 - threshold), 6), block)
+    pairs = edit_candidates(left, left_text, right, right_text, share or widest_share(threshold), block)
     return pairs.withColumn("sim", similarity("left_text", "right_text")).filter(F.col("sim") >= threshold)
 
 
@@ -70,18 +78,37 @@ def _title_stage(s: DataFrame, t: DataFrame, links: DataFrame, column: str, thre
         .groupBy(F.col("author_fuzzy").alias("block"), F.col(column).alias("t_title"))
         .agg(F.min("id").alias("match_id"))
     )
-    pairs = similar_texts(wanted, "s_title", offered, "t_title", threshold, ["block"])
-    best = (
-        wanted.join(pairs.withColumnsRenamed({"left_text": "s_title", "right_text": "t_title"}), ["block", "s_title"])
-        .join(offered, ["block", "t_title"])
-        .groupBy("s_author", "s_title")
-        .agg(F.min(F.struct((-F.col("sim")).alias("neg"), "match_id")).alias("b"))
-    )
+    best = _most_similar(wanted, offered, threshold)
     return s.join(best, (F.col("author_fuzzy") == F.col("s_author")) & (F.col(column) == F.col("s_title"))).select(
         "id", F.col("b.match_id").alias("match_id"), (-F.col("b.neg")).alias("confidence"), F.lit(strategy).alias("strategy")
     )
 
 
+def _most_similar(wanted: DataFrame, offered: DataFrame, threshold: float) -> DataFrame:
+    """(s_author, s_title, b): most similar offered title, lowest match_id on a tie.
+
+    Searched in two rings of growing edit distance. A title is settled once its best match beats everything
+    outside the ring (at most 1 - 0.75 x ring), so a block of many near-equal titles, such as numbered ones, is
+    settled by its nearest neighbours and never compared as a whole.
+    """
+    widest = widest_share(threshold)
+    found = []
+    for part in (0.3, 1.0):
+        share = round(widest * part, 6)
+        pairs = similar_texts(wanted, "s_title", offered, "t_title", threshold, ["block"], share)
+        best = cut_lineage(
+            wanted.join(pairs.withColumnsRenamed({"left_text": "s_title", "right_text": "t_title"}), ["block", "s_title"])
+            .join(offered, ["block", "t_title"])
+            .groupBy("s_author", "s_title")
+            .agg(F.min(F.struct((-F.col("sim")).alias("neg"), "match_id")).alias("b"))
+        )
+        if part < 1.0:
+            best = best.filter(-F.col("b.neg") >= 1 - 0.75 * share)
+            wanted = wanted.join(best.select("s_author", "s_title"), ["s_author", "s_title"], "left_anti")
+        found.append(best)
+    return found[0].union(found[1])
+
+
 def _series_stage(s: DataFrame, t: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
     wanted = (
         s.filter(F.col("series").isNotNull() & F.col("number").isNotNull())
@@ -123,7 +150,7 @@ def cascade_match(
 
     Both sides come from ``match_keys``; ids order the target. The first strategy in the list that finds a
     match is used; it takes the most similar target row, the lowest id on a tie (``series``: the lowest id).
-    Runs the two key tables (an action) and checkpoints them.
+    Runs jobs: the two key tables, the author links and the title searches are checkpointed.
     """
     # the key tables are read by every strategy, so they are written once
     search, target = cut_lineage(search), cut_lineage(target)
@@ -141,7 +168,7 @@ def cascade_match(
         if strategies[0] == "exact":
             open_rows = search.join(exact.select("id"), "id", "left_anti")
     if set(strategies) - {"exact"}:
-        links = _author_links(open_rows, target, author_threshold)
+        links = cut_lineage(_author_links(open_rows, target, author_threshold))
         if "fuzzy_title" in strategies:
             found.append(_title_stage(open_rows, target, links, "standard", title_threshold, "fuzzy_title"))
         if "core_title" in strategies:

@@ -10,7 +10,7 @@ from shelfmark.functions import nulls as N
 from shelfmark.functions.text import is_self_published
 from shelfmark.operators import groups, overlay, schema
 from shelfmark.queries.registry import Tables, query
-from shelfmark.queries.views import BOOKS, books, sql_trim, with_position
+from shelfmark.queries.views import BOOKS, RANK_LIST, books, rank_list, sql_trim, with_position
 from shelfmark.sources.readers import contact_rows, existing_keys
 
 _RAW = """raw AS (SELECT event_id, event_type, CASE WHEN value < 2 THEN ' N/A ' WHEN value < 4 THEN 'nan' WHEN value < 6 THEN '0.0'
@@ -243,11 +243,8 @@ def union_sources(t: Tables) -> DataFrame:
 
 @query(
     "guessed_rank_list",
-    f"""SELECT regexp_replace(lower(p_name), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS title_key, CAST(row_number() OVER (PARTITION BY p_type ORDER BY p_retailprice DESC, p_partkey) AS INTEGER) AS list_rank FROM part""",
+    f"""WITH {RANK_LIST} SELECT regexp_replace(title, '[^a-z]', '', 'g') AS title_key, rank AS list_rank FROM rank_list""",
 )
 def guessed_rank_list(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("p_type").orderBy(F.col("p_retailprice").desc(), "p_partkey"))
-    listed = t.part.select(F.col("p_type").alias("kind"), F.col("p_name").alias("Book Title"), F.concat(F.lit("# "), rank.cast("string")).alias("Rank"))
+    listed = rank_list(t).select("list_id", F.initcap("title").alias("Book Title"), F.concat(F.lit("# "), F.col("rank").cast("string")).alias("Rank"))
     return schema.ranked_titles(listed)
