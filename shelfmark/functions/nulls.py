@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.config.vocab import MISSING_SPELLINGS, NULL_PLACEHOLDERS
 
+# every character Unicode counts as white space or separator
+WHITE_SPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 NUMBER = "^[\\s\\p{Z}]*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?[\\s\\p{Z}]*$"
 
 
@@ -24,7 +26,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def trim_space(c: Column | str) -> Column:
     """Strip Unicode white space on both ends (SQL ``trim`` strips only the space character)."""
-    return F.regexp_replace(col(c), "^[\\s\\p{Z}]+|[\\s\\p{Z}]+$", "")
+    return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
 def collapse_space(c: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import vocab
 from shelfmark.functions.keys import lower_trim, product_key, product_title_key, word_key
-from shelfmark.functions.nulls import col, collapse_space, is_missing, present, trim_space
+from shelfmark.functions.nulls import col, collapse_space, is_missing, let, present, trim_space
 
 
 def quote(term: str) -> str:
@@ -18,8 +18,8 @@ def quote(term: str) -> str:
 
 
 def has_word(c: Column, term: str) -> Column:
-    """Term on Unicode word boundaries."""
-    return c.rlike(f"(?U)\\b{quote(term)}\\b")
+    """Term on Unicode word boundaries; texts without the term skip the regex."""
+    return c.contains(term) & c.rlike(f"(?U)\\b{quote(term)}\\b")
 
 
 def has_term(c: Column, term: str, word_length: int = 0) -> Column:
@@ -63,7 +63,10 @@ def short_synopsis(c: Column | str, sentences: int = 2, limit: int = 300) -> Col
 
 def trope_scores(c: Column | str, tropes: dict[str, list[str]] = vocab.TROPES) -> Column:
     """ARRAY<STRUCT(score, neg_pos, name)>: number of keywords found per trope."""
-    text = F.lower(F.coalesce(col(c), F.lit("")))
+    return let(F.lower(F.coalesce(col(c), F.lit(""))), lambda text: _trope_scores(text, tropes))
+
+
+def _trope_scores(text: Column, tropes: dict[str, list[str]]) -> Column:
     return F.array(
         *[
             F.struct(
@@ -78,8 +81,7 @@ def trope_scores(c: Column | str, tropes: dict[str, list[str]] = vocab.TROPES) -
 
 def main_trope(c: Column | str, tropes: dict[str, list[str]] = vocab.TROPES) -> Column:
     """Trope with the most keywords, first in list order on a tie, NULL without any."""
-    best = F.array_max(trope_scores(c, tropes))
-    return F.when(best["score"] > 0, best["name"])
+    return let(F.array_max(trope_scores(c, tropes)), lambda best: F.when(best["score"] > 0, best["name"]))
 
 
 def sport_tag(title: Column | str, author: Column | str, default: str = "Sports Romance") -> Column:

@@ -47,7 +47,7 @@ def related_titles(books: DataFrame, author: str, title: str, row_id: str, least
 
     A row is a seed exactly when no earlier seed shares two words with it. So in each round the rows that are
     first in all their word pairs become seeds and take their neighbours out of the game, until no row is
-    left. Runs one action per round; lineage is cut with a reliable checkpoint.
+    left. Runs one action per round; each round is written to the shared folder.
     """
     significant = F.array_except(
         F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(title), F.lit("(?U)\\b[a-z]{4,}\\b"), 0))),

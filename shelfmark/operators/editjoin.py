@@ -3,7 +3,9 @@
 If two texts are at most d edits apart and one is cut into d + 1 segments, at least one segment occurs in
 the other text near its own position. So the right texts are cut into segments, the left texts emit the
 substrings that could equal a segment, and the two sides meet in an ordinary equi-join. The allowed distance
-is a share of the longer text; segments are cut for the largest distance a partner may have.
+is a share of the longer text; segments are cut for the largest distance a partner may have. For a pair with at
+most e edits only its first e + 1 segments are looked up: one of them, the i-th, follows exactly i - 1 edits,
+which bounds its shift from the left by i - 1 and from the right by e + 1 - i.
 """
 
 from __future__ import annotations
@@ -57,16 +59,16 @@ def edit_candidates(left: DataFrame, left_text: str, right: DataFrame, right_tex
     probes = (
         a.withColumn("size", F.explode(F.sequence(F.ceil(length * (1.0 - share) - 1e-9).cast("int"), F.floor(length / (1.0 - share) + 1e-9).cast("int"))))
         .withColumn("count", _limit(size, share) + 1)
-        .withColumn("i", F.explode(F.sequence(F.lit(1), count)))
+        .withColumn("edits", F.floor(F.greatest(length, size) * share + 1e-9).cast("int"))
+        .withColumn("i", F.explode(F.sequence(F.lit(1), F.least(count, F.col("edits") + 1))))
         .withColumn("start", _segment_start(size, count, i))
         .withColumn("width", _segment_size(size, count, i))
-        .withColumn("low", F.greatest(F.lit(1), F.col("start") - (i - 1), F.col("start") + shift - (count - i)))
-        .withColumn("high", F.least(length - F.col("width") + 1, F.col("start") + (i - 1), F.col("start") + shift + (count - i)))
+        .withColumn("low", F.greatest(F.lit(1), F.col("start") - (i - 1), F.col("start") + shift - (F.col("edits") + 1 - i)))
+        .withColumn("high", F.least(length - F.col("width") + 1, F.col("start") + (i - 1), F.col("start") + shift + (F.col("edits") + 1 - i)))
         .filter("low <= high")
         .withColumn("at", F.explode(F.sequence(F.col("low"), F.col("high"))))
         .withColumn("part", F.substr("left_text", F.col("at"), F.col("width")))
         .select(*block, "left_text", "size", "i", "part")
-        .distinct()
     )
     longest = F.greatest(F.length("left_text"), F.length("right_text"))
     within = F.levenshtein("left_text", "right_text") <= longest * share + 1e-9

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import vocab
 from shelfmark.functions.keys import lower_trim, spaced_key
-from shelfmark.functions.nulls import best_count, col, is_missing, present
+from shelfmark.functions.nulls import all_missing, any_missing, best_count, col, is_missing, let, present
 from shelfmark.functions.text import any_pattern, any_term, first_term, has_word, joined_text, terms_found
 from shelfmark.operators.groups import top_per_key
 
@@ -51,29 +51,38 @@ def keyword_reason(
 
     Terms of up to ``word_length`` characters must be whole words.
     """
-    text = joined_text(*columns)
-    found = terms_found(text, context, word_length)
-    many = F.when(F.size(found) >= least_context, F.concat(F.lit("fantasy-context: "), F.array_join(found, ", ")))
-    return F.coalesce(
-        first_term(text, non_fiction, "non-romance: "),
-        F.when(
-            ~any_term(text, allow),
-            F.coalesce(first_term(text, deny, "fantasy: ", word_length), many),
-        ),
-    )
+
+    def listed(found: Column) -> Column:
+        return F.when(F.size(found) >= least_context, F.concat(F.lit("fantasy-context: "), F.array_join(found, ", ")))
+
+    def reason(text: Column) -> Column:
+        hard = first_term(text, deny, "fantasy: ", word_length)
+        many = let(terms_found(text, context, word_length), listed)
+        return F.coalesce(
+            first_term(text, non_fiction, "non-romance: "), F.when(~any_term(text, allow), F.coalesce(hard, many))
+        )
+
+    return let(joined_text(*columns), reason)
 
 
 def simple_keyword_reason(*columns: Column | str, deny: list[str], allow: Sequence[str] = (), prefix: str = "excluded: ") -> Column:
     """First denied term anywhere in the text unless an exception occurs."""
-    text = joined_text(*columns)
-    reason = first_term(text, deny, prefix)
-    return F.when(~any_term(text, list(allow)), reason) if allow else reason
+
+    def reason(text: Column) -> Column:
+        hit = first_term(text, deny, prefix)
+        return F.when(~any_term(text, list(allow)), hit) if allow else hit
+
+    return let(joined_text(*columns), reason)
 
 
 def topic_reason(*columns: Column | str, long_text: int = 150) -> Column:
     """Keeps fiction on the topic; long texts also need a drama word or a general fiction word."""
     # every filled field is appended with a leading space; the length test counts those spaces
     text = F.lower(F.concat_ws("", *[F.concat(F.lit(" "), F.nullif(col(c).cast("string"), F.lit(""))) for c in columns]))
+    return let(text, lambda t: _topic_reason(t, long_text))
+
+
+def _topic_reason(text: Column, long_text: int) -> Column:
     dry = (F.length(text) > long_text) & ~any_term(text, vocab.DRAMA_WORDS) & ~any_term(text, vocab.DRAMA_FALLBACK)
     non_fiction = reduce(lambda a, b: a | b, [has_word(text, w) for w in vocab.TOPIC_NON_FICTION])
     return (
@@ -198,6 +207,29 @@ def not_failed(status: Column | str) -> Column:
     return F.coalesce(col(status) != "FAILED_LOOKUP", F.lit(True))
 
 
+def wrong_link(link: Column | str, host_part: str, search_marks: Sequence[str] = ("/s?", "/search")) -> Column:
+    """Missing link, link to another host, or link to a search page."""
+    text = F.lower(F.coalesce(col(link), F.lit("")))
+    return ~text.contains(host_part) | any_term(text, list(search_marks))
+
+
+def needs_work(any_of: Sequence[str] = (), all_of: Sequence[str] = (), zero: Sequence[str] = (), links: dict[str, str] | None = None, long_text: dict[str, int] | None = None) -> Column:
+    """True for rows a repair step must look at; every rule given is one way to qualify.
+
+    ``any_of``: one of the columns is missing; ``all_of``: all of them are; ``zero``: a number is missing or 0;
+    ``links``: column to host, the link is missing or wrong; ``long_text``: column to most characters.
+    """
+    rules = []
+    if any_of:
+        rules.append(any_missing(list(any_of)))
+    if all_of:
+        rules.append(all_missing(list(all_of)))
+    rules += [F.coalesce(F.col(c) == 0, F.lit(True)) for c in zero]
+    rules += [wrong_link(c, host_part) for c, host_part in (links or {}).items()]
+    rules += [F.coalesce(F.length(c) > n, F.lit(False)) for c, n in (long_text or {}).items()]
+    return reduce(lambda a, b: a | b, rules)
+
+
 def verdict_filter(df: DataFrame, verdicts: DataFrame, keys: Sequence[str], keep: Column) -> DataFrame:
     """Rows whose verdict says keep; rows without a verdict stay. ``keep`` reads verdict columns."""
     judged = verdicts.withColumn("__keep", F.coalesce(keep, F.lit(True))).groupBy(*keys).agg(F.min("__keep").alias("__keep"))

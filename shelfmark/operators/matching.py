@@ -150,7 +150,7 @@ def cascade_match(
 
     Both sides come from ``match_keys``; ids order the target. The first strategy in the list that finds a
     match is used; it takes the most similar target row, the lowest id on a tie (``series``: the lowest id).
-    Runs jobs: the two key tables, the author links and the title searches are checkpointed.
+    Runs jobs: the two key tables, the author links and the title searches are written once.
     """
     # the key tables are read by every strategy, so they are written once
     search, target = cut_lineage(search), cut_lineage(target)

@@ -81,22 +81,22 @@ def series_rollup(
         F.sum(n.count).cast("long").alias("rating_count_sum"),
         (F.sum(F.when(rated, F.col(n.rating) * F.col(n.count))) / F.nullif(F.sum(F.when(rated, F.col(n.count))), F.lit(0))).alias("weighted_rating"),
         F.min(F.year(n.day)).alias("first_year"),
-        F.min_by(member, position).alias("__first"),
-        F.max_by(member, last_position).alias("__last"),
-        F.min_by(member, F.when(rated, highest)).alias("__highest"),
-        F.min_by(member, F.when(rated, lowest)).alias("__lowest"),
-        F.min_by(n.publisher, F.when(~is_missing(n.publisher), position)).alias("publisher"),
+        F.min(F.struct(position.alias("o"), member.alias("m"))).alias("__first"),
+        F.max(F.struct(last_position.alias("o"), member.alias("m"))).alias("__last"),
+        F.min(F.when(rated, F.struct(highest.alias("o"), member.alias("m")))).alias("__highest"),
+        F.min(F.when(rated, F.struct(lowest.alias("o"), member.alias("m")))).alias("__lowest"),
+        F.min(F.when(~is_missing(n.publisher), F.struct(position.alias("o"), F.col(n.publisher).alias("m")))).alias("__publisher"),
         *extra,
     )
     kept = [c for c in grouped.columns if not c.startswith("__")]
-    flat = []
+    flat = [F.col("__publisher.m").alias("publisher")]
     for label in ("first", "last", "highest", "lowest"):
         flat += [
-            F.col(f"__{label}.title").alias(f"{label}_title"),
-            F.col(f"__{label}.rating").alias(f"{label}_rating"),
-            F.col(f"__{label}.count").alias(f"{label}_count"),
+            F.col(f"__{label}.m.title").alias(f"{label}_title"),
+            F.col(f"__{label}.m.rating").alias(f"{label}_rating"),
+            F.col(f"__{label}.m.count").alias(f"{label}_count"),
         ]
-    return grouped.select(*kept, *flat, F.col("__first.day").alias("first_day"), F.col("__last.day").alias("last_day"))
+    return grouped.select(*kept, *flat, F.col("__first.m.day").alias("first_day"), F.col("__last.m.day").alias("last_day"))
 
 
 def rated_or_first(df: DataFrame) -> DataFrame:

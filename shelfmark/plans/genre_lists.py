@@ -16,6 +16,7 @@ from shelfmark.operators.overlay import apply_by_row
 from shelfmark.operators.rollup import BookColumns, series_key, series_rollup
 from shelfmark.operators.schema import union_by_name
 from shelfmark.operators.scoring import crawl_flags, penalty_score, with_fields
+from shelfmark.session import cut_lineage
 
 
 def genre_series(
@@ -38,6 +39,8 @@ def genre_series(
     if results is not None:
         books = apply_by_row(books, results, names.row_id, {names.rating: "fill_zero", names.count: "fill_zero"})
     books = books.withColumn("series_key", series_key("series_name", "author", names.title, "standalone"))
+    if listed is not None:
+        books = cut_lineage(books)  # read by the roll-up and by the list matching
     rolled = series_rollup(
         books,
         ["subgenre", "series_key"],

@@ -241,6 +241,16 @@ def gap_selectors(t: Tables) -> DataFrame:
     return books(t).select("series_id", "book_id", "book_number", any_missing(gaps).alias("any_gap"), all_missing(gaps).alias("all_gap"))
 
 
+@query(
+    "needs_work",
+    """SELECT page_id, NOT contains(lower(url), 'example.com') OR contains(lower(url), '/fr/') OR length(html) > 4000 OR page_id % 10 = 0 AS todo FROM pages""",
+)
+def needs_work(t: Tables) -> DataFrame:
+    link = F.when(F.col("url").contains("/fr/"), F.concat(F.col("url"), F.lit("/s?k=1"))).otherwise(F.col("url"))
+    rows = t.pages.select("page_id", "html", link.alias("link"), F.pmod("page_id", F.lit(10)).alias("rating"))
+    return rows.select("page_id", FL.needs_work(zero=["rating"], links={"link": "example.com"}, long_text={"html": 4000}).alias("todo"))
+
+
 @query(
     "verdict_filter",
     """SELECT d.doc_id, d.lang FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL OR (l.toxic = 0 AND l.quality = 1)""",

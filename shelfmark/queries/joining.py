@@ -273,7 +273,7 @@ def _merged(t: Tables) -> tuple[DataFrame, DataFrame]:
 @query(
     "merge_counts",
     f"""WITH {_MERGE} SELECT (SELECT count(*) FROM j WHERE match_id IS NOT NULL) AS matched, (SELECT count(*) FROM j WHERE match_id IS NULL) AS added,
- (SELECT CAST(sum((tg.pages = 0 AND f.pages IS NOT NULL)::INT + (tg.trope IS NULL AND f.trope IS NOT NULL)::INT) AS BIGINT) FROM tg JOIN f ON match_id = p_partkey) AS updated""",
+ (SELECT CAST(coalesce(sum((tg.pages = 0 AND f.pages IS NOT NULL)::INT + (tg.trope IS NULL AND f.trope IS NOT NULL)::INT), 0) AS BIGINT) FROM tg JOIN f ON match_id = p_partkey) AS updated""",
 )
 def merge_counts(t: Tables) -> DataFrame:
     return _merged(t)[1]

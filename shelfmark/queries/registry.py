@@ -7,18 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.session import configure
+from shelfmark.sources.readers import read_table
 
 
 class Tables:
     """The Parquet tables of one directory as attributes."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = configure(spark), folder.rstrip("/")
+        self.spark, self.folder, self._read = configure(spark), folder.rstrip("/"), {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -10,12 +10,14 @@ from shelfmark.config import models
 from shelfmark.functions import ladders as L
 from shelfmark.functions.text import publisher_class, rationale
 from shelfmark.operators import quality as Q
+from shelfmark.operators import ranking
 from shelfmark.operators import rollup as R
 from shelfmark.operators import scoring as SC
 from shelfmark.plans import book_report, genre_lists, outreach, series_master
+from shelfmark.queries.joining import _band_sql
 from shelfmark.queries.registry import Tables, query
 from shelfmark.queries.rollups import _FIRST, _HIGH, _LAST, _LAST_DATE, _LOW, _PUB
-from shelfmark.queries.views import BOOKS, RANK_LIST, books, rank_list, sql_ladder, sql_quote
+from shelfmark.queries.views import BOOKS, RANK_LIST, books, rank_list, sql_ladder
 
 _ROLLED = f"""{_FIRST}, {_LAST}, {_HIGH}, {_LOW}, {_PUB},
 g AS (SELECT series_id, count(*) AS books, CAST(sum(pages) AS BIGINT) AS total_pages, avg(rating) AS avg_rating, CAST(min(year(pub_date)) AS INTEGER) AS first_year FROM books GROUP BY 1),
@@ -376,14 +378,36 @@ def flagship(t: Tables) -> DataFrame:
     return scored.select("row_id", "subgenre", "score", "rank", "list_tag", "best_rank", "length_flag", "stability_flag", "rationale")
 
 
-@query("series_report")
+_POSITION = "series_id, book_number, book_id"
+
+
+@query(
+    "series_report",
+    f"""WITH {BOOKS}, d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series_id, title ORDER BY (rating IS NOT NULL)::INT + (pages IS NOT NULL)::INT DESC, {_POSITION}) AS rn FROM books) WHERE rn = 1),
+books2 AS (SELECT * EXCLUDE rn FROM d), {_FIRST.replace('FROM books WHERE', 'FROM books2 WHERE')}, {_LAST_DATE.replace('FROM books WHERE', 'FROM books2 WHERE')}, {_PUB.replace('FROM books)', 'FROM books2)')},
+g AS (SELECT series_id, count(*) AS books, avg(rating) AS avg_rating, CAST(sum(coalesce(nullif(pages, 0), 300)) AS BIGINT) AS total_pages FROM books2 GROUP BY 1),
+x AS (SELECT *, publisher <> 'Penguin Random House' AS independent, {_FACTOR} AS factor FROM g JOIN first USING (series_id) JOIN last USING (series_id) JOIN pub USING (series_id)), w AS (SELECT *, {_WEIGHTED_SQL} AS score FROM x)
+SELECT 'series ' || series_id AS series_key, books, round(total_pages * 300.0::DOUBLE / 10000, 1) AS hours, {sql_ladder('books', models.SERIES_TYPES['report'][0], 'Standalone')} AS type, score, {sql_ladder('score', *models.WEIGHTED_RANKS)} AS rank FROM w""",
+)
 def series_report(t: Tables) -> DataFrame:
     b = books(t).withColumns({"subgenre": F.lit("Drama"), "book_id": F.struct("series_id", "book_number", "book_id")})
     report = book_report.series_report(b, "2022-06-01")
-    return book_report.sorted_report(report).select("series_key", "books", "hours", "type", F.round("score", 4).alias("score"), "rank", "rationale")
+    return book_report.sorted_report(report).select("series_key", "books", "hours", "type", "score", "rank")
 
 
-@query("genre_series")
+@query(
+    "genre_series",
+    f"""WITH {BOOKS}, {RANK_LIST}, o AS (SELECT books.*, 'Writer ' || author_id AS author, o_orderpriority AS subgenre, CASE WHEN publisher = 'Penguin Random House' THEN 0 ELSE 1 END AS source FROM books JOIN orders ON o_orderkey = series_id),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title, author ORDER BY source, {_POSITION}) AS rn FROM o) WHERE rn = 1),
+v AS (SELECT DISTINCT title, author FROM o WHERE rating_count > 24000), k AS (SELECT d.*, CASE WHEN pages IS NULL THEN lower(d.title) || '|||' || lower(d.author) || '|||standalone' ELSE lower(series_name) || '|||' || lower(d.author) END AS series_key FROM d WHERE (title, author) NOT IN (SELECT (title, author) FROM v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY subgenre, series_key ORDER BY book_number, {_POSITION}) AS a, row_number() OVER (PARTITION BY subgenre, series_key ORDER BY book_number DESC, series_id DESC, book_id DESC) AS z FROM k),
+g AS (SELECT subgenre, series_key, count(*) AS books, sum(pages) AS p, max(rating) FILTER (a = 1) AS first_rating, max(rating_count) FILTER (a = 1) AS first_count, max(rating_count) FILTER (z = 1) AS last_count, max(publisher) FILTER (a = 1) AS publisher FROM r GROUP BY 1, 2),
+n AS (SELECT DISTINCT title FROM k), fl AS (SELECT DISTINCT n.title, '# ' || CASE WHEN rank <= 10 THEN 'Top 10' WHEN rank <= 50 THEN 'Top 50' ELSE 'Top 100' END || ' ' || list_name AS flag FROM n JOIN rank_list ON contains('Book ' || list_id || ' special', n.title)),
+f AS (SELECT title, string_agg(flag, ' | ' ORDER BY flag) AS flags FROM fl GROUP BY 1), e AS (SELECT subgenre, series_key, string_agg(DISTINCT flags, ' | ' ORDER BY flags) AS list_flags FROM k JOIN f USING (title) GROUP BY 1, 2),
+x AS (SELECT *, round(0.30::DOUBLE * least(books / 8.0::DOUBLE * 100, 100.0::DOUBLE) + 0.25::DOUBLE * CASE WHEN first_rating > 0 THEN first_rating / 5.0::DOUBLE * 100 ELSE 80.0::DOUBLE END + 0.25::DOUBLE * least(last_count / first_count * 100, 100.0::DOUBLE) + 0.20::DOUBLE * least(first_count / 1000.0::DOUBLE * 10, 100.0::DOUBLE), 6) AS total, round(p * 0.03::DOUBLE, 2) AS h FROM g)
+SELECT x.subgenre, x.series_key, books, CASE WHEN x.series_key LIKE '%|||standalone' THEN 'Standalone' ELSE {sql_ladder('books', *models.SERIES_TYPES['crawl'])} END AS type, CASE WHEN books < 3 THEN 'P5' ELSE {sql_ladder('total', *models.PENALTY_RANKS)} END AS rank,
+ CASE publisher WHEN 'Independently Published' THEN 'Self-Pub' WHEN 'Penguin Random House' THEN 'Big Pub' ELSE 'Indie' END AS publisher_kind, list_flags, {_upper('h', *models.UPPER_FLAGS['hours'])} AS length_flag FROM x LEFT JOIN e ON x.subgenre = e.subgenre AND x.series_key = e.series_key""",
+)
 def genre_series(t: Tables) -> DataFrame:
     b = books(t).withColumns(
         {
@@ -401,7 +425,17 @@ def genre_series(t: Tables) -> DataFrame:
     return out.select("subgenre", "series_key", "books", "type", "rank", "publisher_kind", "list_flags", "length_flag")
 
 
-@query("outreach_master")
+@query(
+    "outreach_master",
+    f"""WITH {BOOKS}, {RANK_LIST}, {_ROLLED}, x AS (SELECT series_id AS row_id, total_pages, CASE WHEN books > 5 THEN total_pages / 30.0::DOUBLE END AS stated, round(total_pages * 250.0::DOUBLE / 9600, 2) AS calc, first_count AS r, last_count, o_custkey FROM s JOIN orders ON o_orderkey = series_id),
+h AS (SELECT *, CASE WHEN stated > 0 THEN stated ELSE calc END AS h, coalesce(stated > 0 AND abs(calc - stated) / stated > 0.10, false) AS differs FROM x),
+b AS (SELECT h.*, {{band}} AS b, c_acctbal > 5000 AS reachable FROM h JOIN customer ON c_custkey = o_custkey WHERE h >= 40), l AS (SELECT rank, arg_min(list_name, list_id) AS list_name FROM rank_list GROUP BY 1)
+SELECT row_id, round(h, 6) AS hours, differs, b.tier AS tier, b.fee AS fee, b.share AS share, CASE WHEN r > 10000 AND last_count < r * 0.01 THEN 'DATA_SCALE_MISMATCH' WHEN round(last_count / r, 4) >= 0.5 THEN 'STRONG' WHEN round(last_count / r, 4) >= 0.3 THEN 'MODERATE' ELSE 'WEAK' END AS retention_quality,
+ coalesce(list_name || ' #' || rank, 'Not Available') AS list_entry, CASE WHEN r >= 20000 THEN 'Tier 1' WHEN r >= 5000 THEN 'Tier 2' ELSE 'Tier 3' END AS rating_category,
+ CASE WHEN reachable AND r >= 2000 THEN 'READY' WHEN reachable THEN 'READY (low ratings)' ELSE 'NEED CONTACT' END AS status,
+ CASE WHEN reachable THEN 'Dear Customer, we offer ' || CASE WHEN b.fee = 'No MG' THEN 'Revenue Share Only' ELSE regexp_extract(b.fee, '(\\$[0-9,]+)$', 1) END || ' and ' || regexp_extract(b.share, '^([0-9]+%)', 1) || ' for Series ' || row_id || '.' END AS letter
+FROM b LEFT JOIN l ON rank = o_custkey""".replace("{band}", _band_sql(" - ")),
+)
 def outreach_master(t: Tables) -> DataFrame:
     s = rolled(t)
     owner = t.orders.select(F.col("o_orderkey").alias("series_id"), F.col("o_custkey"))
@@ -413,6 +447,13 @@ def outreach_master(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("contact_order"), F.concat(F.lit("customer writer"), F.col("c_custkey")).alias("author"),
         F.when(F.col("c_acctbal") > 5000, F.concat(F.lit("w"), F.col("c_custkey"), F.lit("@mail.example.net"))).alias("email"), F.lit(None).cast("string").alias("agent_email"),
     )
+    listed = rank_list(t).withColumn("author", F.concat(F.lit("Ann Writer"), F.col("rank")))
     template = "Dear {salutation}, we offer {fee} and {share} for {series}."
-    kept, _ = outreach.outreach_master(rows, contacts, rank_list(t).withColumn("author", F.col("title")), template)
-    return kept.select("row_id", "hours", "differs", "tier", "fee", "share", "retention_quality", "list_entry", "rating_category", "status", "letter")
+    kept, _ = outreach.outreach_master(rows, contacts, listed, template)
+    return kept.select("row_id", F.round("hours", 6).alias("hours"), "differs", "tier", "fee", "share", "retention_quality", "list_entry", "rating_category", "status", "letter")
+
+
+@query("view_sort", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def view_sort(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_orderkey", F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1)).alias("band"), "o_orderpriority", "o_totalprice")
+    return ranking.view_sort(rows, "band", "o_totalprice", F.col("o_orderkey")).drop("band")

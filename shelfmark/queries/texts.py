@@ -16,6 +16,7 @@ from shelfmark.functions import text as TX
 from shelfmark.functions import titles as TT
 from shelfmark.functions import urls as U
 from shelfmark.operators import clusters
+from shelfmark.operators.evidence import author_candidates, evidence_status
 from shelfmark.operators.scoring import verification_state
 from shelfmark.queries.registry import Tables, query
 from shelfmark.queries.views import TITLED, sql_any, sql_quote, titled_parts
@@ -464,16 +465,20 @@ def slug_matches(t: Tables) -> DataFrame:
 
 @query(
     "evidence_on_pages",
-    """WITH p AS (SELECT page_id, lower(html) AS h FROM pages), c AS (SELECT page_id, contains(h, 'charset') OR contains(h, 'zzz') AS hit FROM p)
-SELECT d.doc_id, CASE WHEN c.page_id IS NULL THEN 'FAIL' WHEN contains(p.h, lower(split_part(d.text, ' ', 1))) THEN 'PASS' ELSE 'PARTIAL' END AS status FROM documents d LEFT JOIN c ON c.page_id = d.doc_id LEFT JOIN p ON p.page_id = d.doc_id""",
+    """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'charset' WHEN o_orderstatus = 'O' THEN 'No Such Name' ELSE '' END AS series, CASE WHEN o_orderpriority LIKE '1%' THEN 'track(' ELSE 'nobody at all' END AS author, o_orderkey % 400 AS p1, o_custkey % 300 AS p2 FROM orders),
+l AS (SELECT o_orderkey, series, author, p1 AS p FROM c UNION ALL SELECT o_orderkey, series, author, p2 FROM c),
+j AS (SELECT l.*, html IS NOT NULL AS f, coalesce((series <> '' AND contains(lower(html), lower(series))) OR contains(lower(html), lower(author)), false) AS m FROM l LEFT JOIN pages ON page_id = p)
+SELECT o_orderkey, count(*) FILTER (m) AS matched, count(*) FILTER (f) AS fetched, CASE WHEN bool_or(m) THEN 'PASS' WHEN bool_or(f) THEN 'PARTIAL' ELSE 'FAIL' END AS status FROM j GROUP BY 1""",
 )
 def evidence_on_pages(t: Tables) -> DataFrame:
-    claims = t.documents.select("doc_id", F.lower(F.substring_index("text", " ", 1)).alias("name"))
-    stored = t.pages.select(F.col("page_id").alias("doc_id"), F.lower("html").alias("page"))
-    joined = claims.join(stored, "doc_id", "left")
-    found = F.col("page").contains(F.col("name"))
-    status = F.when(F.col("page").isNull(), F.lit("FAIL")).when(found, F.lit("PASS")).otherwise(F.lit("PARTIAL"))
-    return joined.select("doc_id", status.alias("status"))
+    stored = t.pages.select(F.concat(F.lit("https://p.example.com/"), F.col("page_id")).alias("url"), "html")
+    links = F.array(
+        F.concat(F.lit("https://p.example.com/"), F.pmod("o_orderkey", F.lit(400))), F.concat(F.lit("https://p.example.com/"), F.pmod("o_custkey", F.lit(300)))
+    )
+    series = F.when(F.col("o_orderstatus") == "F", F.lit("charset")).when(F.col("o_orderstatus") == "O", F.lit("No Such Name")).otherwise(F.lit(""))
+    author = F.when(F.col("o_orderpriority").startswith("1"), F.lit("Track(")).otherwise(F.lit("nobody at all"))
+    claims = t.orders.select("o_orderkey", series.alias("series"), author.alias("author"), F.explode(links).alias("url"))
+    return evidence_status(claims, stored, "o_orderkey", ["series", "author"])
 
 
 @query(
@@ -481,23 +486,16 @@ def evidence_on_pages(t: Tables) -> DataFrame:
     """WITH u AS (SELECT c_mktsegment AS a, 'm' || (c_custkey % 5) || '@mail.example.net' AS email, CASE WHEN c_nationkey < 3 THEN 'https://site' || c_nationkey || '.example.net' ELSE 'https://twitter.com/x' END AS site, CASE WHEN c_nationkey > 20 THEN 'Ann Agent' ELSE 'the' END AS agent FROM customer
  UNION ALL SELECT 'BUILDING', 'noreply@x.example.net', '', 'Bob Agent' FROM supplier),
 s AS (SELECT DISTINCT a, 'email' AS kind, email AS value FROM u WHERE email NOT LIKE 'noreply%' UNION SELECT DISTINCT a, 'site', site FROM u WHERE site LIKE '%example%' UNION SELECT DISTINCT a, 'agent', agent FROM u WHERE agent LIKE '% %')
-SELECT a AS author, kind, value FROM s""",
+SELECT lower(a) AS author_key, kind, value FROM s""",
 )
-def author_candidates(t: Tables) -> DataFrame:
+def contact_candidates(t: Tables) -> DataFrame:
     first = t.customer.select(
         F.col("c_mktsegment").alias("author"), F.concat(F.lit("m"), F.pmod("c_custkey", F.lit(5)), F.lit("@mail.example.net")).alias("email"),
         F.when(F.col("c_nationkey") < 3, F.concat(F.lit("https://site"), "c_nationkey", F.lit(".example.net"))).otherwise(F.lit("https://twitter.com/x")).alias("site"),
         F.when(F.col("c_nationkey") > 20, F.lit("Ann Agent")).otherwise(F.lit("the")).alias("agent"),
     )
     second = t.supplier.select(F.lit("BUILDING").alias("author"), F.lit("noreply@x.example.net").alias("email"), F.lit("").alias("site"), F.lit("Bob Agent").alias("agent"))
-    entries = F.array_compact(
-        F.array(
-            F.when(C.valid_email("email"), F.struct(F.lit("email").alias("kind"), F.col("email").alias("value"))),
-            F.when(U.is_own_site("site"), F.struct(F.lit("site").alias("kind"), F.col("site").alias("value"))),
-            F.when(TX.plausible_agent("agent"), F.struct(F.lit("agent").alias("kind"), F.col("agent").alias("value"))),
-        )
-    )
-    return first.union(second).select("author", F.explode(entries).alias("e")).select("author", "e.*").distinct()
+    return author_candidates([first, second])
 
 
 @query(
