@@ -111,13 +111,13 @@ def member_lists(t: Tables) -> DataFrame:
     return parts.select("series_id", "part", "parts", F.array_join("values", ", ").alias("titles"))
 
 
-_RANKED = """ranked AS (SELECT b.*, s.rank AS sports_rank, h.rank AS hockey_rank FROM books b LEFT JOIN (SELECT list_id, rank FROM rank_list WHERE list_name IN ('PROMO', 'SMALL')) s ON s.list_id = b.book_id // 1000000
- LEFT JOIN (SELECT list_id, min(rank) AS rank FROM rank_list WHERE list_name IN ('SMALL', 'LARGE') GROUP BY 1) h ON h.list_id = b.book_id // 1000000)"""
+_RANKED = """ranked AS (SELECT b.*, s.rank AS sports_rank, h.rank AS hockey_rank FROM books b LEFT JOIN (SELECT list_id, rank FROM rank_list WHERE list_name IN ('PROMO', 'SMALL')) s ON s.list_id = b.book_id // 100000000
+ LEFT JOIN (SELECT list_id, min(rank) AS rank FROM rank_list WHERE list_name IN ('SMALL', 'LARGE') GROUP BY 1) h ON h.list_id = b.book_id // 100000000)"""
 
 
 def _ranked(t: Tables) -> DataFrame:
     listed = rank_list(t)
-    part = F.floor(F.col("book_id") / 1000000)
+    part = F.floor(F.col("book_id") / 100000000)
     sports = listed.filter(F.col("list_name").isin("PROMO", "SMALL")).select(F.col("list_id").alias("s_id"), F.col("rank").alias("sports_rank"))
     hockey = listed.filter(F.col("list_name").isin("SMALL", "LARGE")).select(F.col("list_id").alias("h_id"), F.col("rank").alias("hockey_rank"))
     return books(t).withColumn("part", part).join(sports, F.col("part") == F.col("s_id"), "left").join(hockey, F.col("part") == F.col("h_id"), "left")
@@ -126,7 +126,7 @@ def _ranked(t: Tables) -> DataFrame:
 @query(
     "featured_list",
     f"""WITH {BOOKS}, {RANK_LIST}, {_RANKED}, l AS (SELECT series_id, title || ' (' || concat_ws(', ', 'Sports #' || sports_rank, 'Hockey #' || hockey_rank) || ')' AS text, least(sports_rank, hockey_rank) AS best, book_number, book_id FROM ranked WHERE sports_rank IS NOT NULL OR hockey_rank IS NOT NULL),
-d AS (SELECT series_id, text, count(*) AS n, min(best) AS best, arg_min(book_id, book_number * 1e12 + book_id) AS bid, min(book_number) AS bn FROM l GROUP BY 1, 2)
+d AS (SELECT series_id, text, count(*) AS n, min(best) AS best, arg_min(book_id, book_number * 1e14::DECIMAL(38,0) + book_id) AS bid, min(book_number) AS bn FROM l GROUP BY 1, 2)
 SELECT series_id, string_agg(text, ' | ' ORDER BY bn, bid) AS featured_text, CAST(sum(n) AS BIGINT) AS featured, min(best) AS best_rank,
  CASE WHEN min(best) <= 10 THEN 'Top 10' WHEN min(best) <= 50 THEN 'Top 50' ELSE 'Top 100' END AS bucket FROM d GROUP BY 1""",
 )
@@ -139,7 +139,7 @@ def featured_list(t: Tables) -> DataFrame:
     "category_ranks",
     f"""WITH {BOOKS}, {RANK_LIST}, {_RANKED}, b AS (SELECT series_id, title, book_number, book_id, least(sports_rank, hockey_rank) AS r,
  CASE WHEN hockey_rank IS NULL OR sports_rank <= hockey_rank THEN 'Sports Fiction' ELSE 'Hockey Romance' END AS c FROM ranked),
-x AS (SELECT series_id, title || ': #' || r || ' in ' || c AS text, min(book_number) AS bn, arg_min(book_id, book_number * 1e12 + book_id) AS bid FROM b WHERE r IS NOT NULL GROUP BY 1, 2),
+x AS (SELECT series_id, title || ': #' || r || ' in ' || c AS text, min(book_number) AS bn, arg_min(book_id, book_number * 1e14::DECIMAL(38,0) + book_id) AS bid FROM b WHERE r IS NOT NULL GROUP BY 1, 2),
 j AS (SELECT series_id, string_agg(text, ' | ' ORDER BY bn, bid) AS v FROM x GROUP BY 1)
 SELECT s.series_id, coalesce(v, 'No Top 100 Rank') AS validation FROM (SELECT DISTINCT series_id FROM books) s LEFT JOIN j USING (series_id)""",
 )
@@ -276,7 +276,7 @@ def consolidated_variants(t: Tables) -> DataFrame:
 
 @query(
     "series_summary",
-    f"""WITH {BOOKS}, b AS (SELECT *, 'Tome ' || (book_id // 1000000 // 100) || CASE WHEN publisher = 'Oak Press' AND rating IS NULL THEN ' Omnibus' ELSE '' END AS t2,
+    f"""WITH {BOOKS}, b AS (SELECT *, 'Tome ' || (book_id // 100000000 // 100) || CASE WHEN publisher = 'Oak Press' AND rating IS NULL THEN ' Omnibus' ELSE '' END AS t2,
  CASE WHEN pages IS NOT NULL THEN 3 ELSE 0 END + 2 + 2 + CASE publisher WHEN 'Oak Press' THEN 1 ELSE 0 END AS points, CASE WHEN book_number > 3 THEN CAST(book_number AS INTEGER) END AS declared FROM books),
 u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY author_id, lower(t2) ORDER BY points DESC, series_id, book_number, book_id) AS rn FROM b) WHERE rn = 1),
 f AS (SELECT *, contains(t2, 'Omnibus') AS coll FROM u), h AS (SELECT author_id, bool_or(NOT coll) AS has_main FROM f GROUP BY 1),
@@ -288,7 +288,7 @@ SELECT g.author_id, observed, declared, greatest(observed, coalesce(declared, 0)
  CASE WHEN greatest(observed, coalesce(declared, 0)) = observed AND kp = observed THEN CAST(ps AS BIGINT) END AS total_pages FROM g""",
 )
 def series_summary(t: Tables) -> DataFrame:
-    name = F.concat(F.lit("Tome "), F.floor(F.col("book_id") / 1000000 / 100).cast("string"))
+    name = F.concat(F.lit("Tome "), F.floor(F.col("book_id") / 100000000 / 100).cast("string"))
     omnibus = (F.col("publisher") == "Oak Press") & F.col("rating").isNull()
     rows = books(t).select(
         "author_id", "series_id", "book_id", "pub_date", "pages", "publisher", "rating_count", "book_number",

@@ -61,7 +61,7 @@ def books(t: Tables) -> DataFrame:
         F.col("l_suppkey").alias("author_id"),
         F.concat(F.lit("Book "), F.col("l_partkey")).alias("title"),
         F.col("l_linenumber").cast("double").alias("book_number"),
-        (F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("book_id"),
+        ((F.col("l_partkey") * 1000000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("long")).alias("book_id"),
         F.when(F.col("l_tax") != 0, F.round(3.0 + 20 * F.col("l_discount"), 2)).alias("rating"),
         (F.col("l_quantity") * F.col("l_quantity") * 10).cast("long").alias("rating_count"),
         F.when(F.col("l_returnflag") != "R", (F.col("l_quantity") * 12).cast("int")).alias("pages"),
@@ -74,7 +74,7 @@ def books(t: Tables) -> DataFrame:
 
 
 BOOKS = """books AS (SELECT l_orderkey AS series_id, 'Series ' || l_orderkey AS series_name, l_suppkey AS author_id,
- 'Book ' || l_partkey AS title, CAST(l_linenumber AS DOUBLE) AS book_number, l_partkey * 1000000 + l_suppkey AS book_id,
+ 'Book ' || l_partkey AS title, CAST(l_linenumber AS DOUBLE) AS book_number, (l_partkey * 1000000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS book_id,
  CASE WHEN l_tax <> 0 THEN round(3.0::DOUBLE + 20 * l_discount, 2) END AS rating,
  CAST(l_quantity * l_quantity * 10 AS BIGINT) AS rating_count,
  CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity * 12 AS INTEGER) END AS pages,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import contacts, ladders
 from shelfmark.operators import dedupe, groups, ranking, rollup
-from shelfmark.session import cut_lineage
+from shelfmark.session import cut_lineage, shared_folder
 
 
 @pytest.fixture
@@ -51,14 +51,12 @@ def test_streaks_of_a_hot_group_are_chunked(skewed):
     assert out.filter("k = 'hot' AND NOT skipped").count() == 50
 
 
-def test_cut_lineage_uses_the_named_folder(spark, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        df = cut_lineage(spark.range(5))
-        assert df.count() == 5 and any(tmp_path.rglob("*.parquet"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir") if old is None else spark.conf.set("spark.checkpoint.dir", old)
+def test_cut_lineage_writes_to_the_shared_folder(spark):
+    df = cut_lineage(spark.range(5).withColumn("s", F.lit("x")))
+    assert df.count() == 5
+    assert shared_folder(spark).split(":")[-1] in df.inputFiles()[0]
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or shared_folder(spark) == named.rstrip("/")
 
 
 def test_row_ledger_counts_without_a_pass(spark):
