@@ -47,7 +47,8 @@ def valid_email(c: Column | str, bad_domains: list[str] = vocab.BAD_EMAIL_DOMAIN
 
 def emails_in(c: Column | str) -> Column:
     """ARRAY of the distinct valid addresses in a text, in order of first appearance."""
-    found = F.regexp_extract_all(col(c), F.lit(vocab.EMAIL_PATTERN), 0)
+    marked = F.when(col(c).contains("@"), col(c)).otherwise(F.lit(""))
+    found = F.regexp_extract_all(marked, F.lit(vocab.EMAIL_PATTERN), 0)
     return F.array_distinct(F.filter(found, lambda e: valid_email(e)))
 
 

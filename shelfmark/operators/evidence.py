@@ -39,7 +39,8 @@ def evidence_status(claims: DataFrame, pages: DataFrame, claim_id: str, names: S
     ``claims``: claim_id, the name columns and one row per link. PASS when a linked page holds one of the
     names, PARTIAL when pages are stored but none does, FAIL without a stored page.
     """
-    texts = pages.groupBy(F.col(url).alias("__u")).agg(F.lower(F.max("html")).alias("__html"))
+    linked = pages.join(claims.select(url).distinct(), url, "left_semi")
+    texts = linked.groupBy(F.col(url).alias("__u")).agg(F.lower(F.max("html")).alias("__html"))
     joined = claims.join(texts, F.col(url) == F.col("__u"), "left")
     hit = F.lit(False)
     for name in names:

@@ -305,7 +305,16 @@ def verified_states(t: Tables) -> DataFrame:
     return rows.join(related, "p_partkey", "left").select("p_partkey", state.alias("s")).select("p_partkey", "s.*")
 
 
-@query("title_similarity")
+# a name inside a title is one matching block, so the ratio is 2 * name / (title + name)
+_CONTAINED_RATIO = "2.0::DOUBLE * length(p_name) / (length(title) + length(p_name))"
+_CONTAINED_EDIT = "(1.0::DOUBLE - levenshtein(lower(title), lower(p_name)) / length(title))"
+
+
+@query(
+    "title_similarity",
+    f"""WITH {TITLED} SELECT p_partkey, round(({_CONTAINED_RATIO} + {_CONTAINED_EDIT}) / 2, 6) AS mixed, CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 1.0::DOUBLE ELSE 0.9::DOUBLE END AS contained,
+ round({_CONTAINED_EDIT}, 6) AS edit, p_type IN ('PROMO', 'SMALL', 'LARGE', 'MEDIUM') AS same FROM titled""",
+)
 def title_similarity(t: Tables) -> DataFrame:
     rows = titled_parts(t)
     return rows.select(
@@ -456,7 +465,10 @@ def url_parts(t: Tables) -> DataFrame:
     )
 
 
-@query("slug_matches")
+@query(
+    "slug_matches",
+    "SELECT p_partkey, p_type <> 'PROMO' AS matches, CAST(p_partkey AS VARCHAR) AS catalogue_id, true AS own_site FROM part",
+)
 def slug_matches(t: Tables) -> DataFrame:
     url = F.concat(F.lit("https://catalogue.example.com/book/show/"), F.col("p_partkey"), F.lit("-"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
     guide = F.when(F.col("p_type") == "PROMO", F.concat(F.lit("https://catalogue.example.com/book/show/7-summary-of-"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))).otherwise(url)

@@ -27,18 +27,17 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return reader.csv(path)
 
 
-def read_table(spark: SparkSession, path: str, least_bytes: int = 1 << 20) -> DataFrame:
-    """Parquet table, dealt out evenly when it is too small to keep every core busy.
+def read_table(spark: SparkSession, path: str, least_bytes: int = 1 << 20, most_bytes: int = 256 << 20) -> DataFrame:
+    """Parquet table; a small one is dealt out evenly over the cores.
 
     A file with one row group is read by one task, and all work up to the first shuffle stays in that task. A
-    table below one full split per core is therefore repartitioned by round robin; larger tables come in
-    enough splits and are left as they are.
+    table of a few megabytes is cheap to move and is therefore repartitioned by round robin; larger tables
+    come in enough splits and are left as they are.
     """
     df = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if least_bytes < size < cores * split else df
+    return df.repartition(cores) if least_bytes < size < most_bytes else df
 
 
 def exists(spark: SparkSession, path: str) -> bool:
