@@ -5,7 +5,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,12 +61,17 @@ def key_similarity(a: Column, b: Column) -> Column:
     return F.when(empty, 0.0).when(a == b, 1.0).when(a.contains(b) | b.contains(a), 0.9).otherwise(ratio)
 
 
-def same_title(left: Column | str, right: Column | str, threshold: float = 0.85) -> Column:
-    """Equal fuzzy keys, or similar standard or core titles."""
-    a, b = normalize_title(left), normalize_title(right)
+def same_title(df: DataFrame, left: Column | str, right: Column | str, name: str = "same", threshold: float = 0.85) -> DataFrame:
+    """Adds whether two titles have equal fuzzy keys, or similar standard or core titles.
+
+    The normal forms become columns first: Python is handed plain columns, each computed once.
+    """
+    forms = df.withColumns({"__a": normalize_title(left), "__b": normalize_title(right)})
+    a, b = F.col("__a"), F.col("__b")
     equal = (F.length(a["fuzzy"]) > 0) & (a["fuzzy"] == b["fuzzy"])
     close = similarity(a["standard"], b["standard"]) >= threshold
-    return equal | close | (similarity(a["core_title"], b["core_title"]) >= threshold)
+    core = similarity(a["core_title"], b["core_title"]) >= threshold
+    return forms.withColumn(name, equal | close | core).drop("__a", "__b")
 
 
 def same_author(left: Column | str, right: Column | str, threshold: float = 0.90) -> Column:

@@ -287,7 +287,9 @@ def local_series_match(rows: DataFrame, books: DataFrame, row_id: str, author: s
     same = hit(r.join(known, (F.col("a") == F.col("ba")) & (F.col("s") == F.col("bs"))), F.col("bs"), 2, "local-series")
     is_book = hit(r.join(by_book, (F.col("a") == F.col("ba")) & (F.col("s") == F.col("bt"))), F.col("bs"), 3, "local-series-is-book")
 
-    spelled = r.select("rid", "a", F.explode(F.array("s", "f")).alias("w")).filter("w <> ''")
+    settled = first.union(same).union(is_book)
+    unsettled = r.join(settled.select("rid").distinct(), "rid", "left_anti")
+    spelled = unsettled.select("rid", "a", F.explode(F.array("s", "f")).alias("w")).filter("w <> ''")
     offered = known.select(F.col("ba").alias("a"), F.col("bs").alias("w2")).filter("w2 <> ''")
     near = edit_candidates(spelled, "w", offered, "w2", 0.44, ["a"]).union(touching_pairs(spelled, "w", offered, "w2", ["a"])).distinct()
     scored = near.withColumn("sim", key_similarity(F.col("left_text"), F.col("right_text"))).filter("sim >= 0.78")
@@ -296,7 +298,7 @@ def local_series_match(rows: DataFrame, books: DataFrame, row_id: str, author: s
         .join(known, (F.col("a") == F.col("ba")) & (F.col("right_text") == F.col("bs")))
         .select("rid", F.lit(4).alias("step"), (-F.col("sim")).alias("neg"), F.col("o").cast("long").alias("o"), F.col("bs").alias("match"), F.lit("local-fuzzy").alias("reason"))
     )
-    best = first.union(same).union(is_book).union(close).groupBy("rid").agg(F.min(F.struct("step", "neg", "o", "match", "reason")).alias("b"))
+    best = settled.union(close).groupBy("rid").agg(F.min(F.struct("step", "neg", "o", "match", "reason")).alias("b"))
     return r.select("rid").join(best, "rid", "left").select(
         F.col("rid").alias(row_id), F.col("b.match").alias("match_series"), F.col("b.reason").alias("reason")
     )
@@ -331,10 +333,11 @@ def author_correction(rows: DataFrame, books: DataFrame, row_id: str, author: st
     series_rows = titled.groupBy("ba", "bs").agg(
         F.min(F.struct("book_order", "name")).alias("n"), F.array_sort(F.collect_list(F.struct("book_order", "bt"))).alias("ts")
     )
-    names = asked.select(F.col("s").alias("w")).distinct()
+    left_over = asked.join(first, ["a", "s", "f"], "left_anti")
+    names = left_over.select(F.col("s").alias("w")).distinct()
     offered = b.select(F.col("bs").alias("w2")).distinct()
     near = edit_candidates(names, "w", offered, "w2", 0.45).union(touching_pairs(names, "w", offered, "w2")).distinct()
-    candidates = asked.join(near, F.col("s") == F.col("left_text")).join(series_rows, F.col("right_text") == F.col("bs"))
+    candidates = left_over.join(near, F.col("s") == F.col("left_text")).join(series_rows, F.col("right_text") == F.col("bs"))
 
     def title_at(i: int) -> Column:
         return F.coalesce(F.try_element_at("ts", F.lit(i))["bt"], F.lit(""))

@@ -316,13 +316,13 @@ _CONTAINED_EDIT = "(1.0::DOUBLE - levenshtein(lower(title), lower(p_name)) / len
  round({_CONTAINED_EDIT}, 6) AS edit, p_type IN ('PROMO', 'SMALL', 'LARGE', 'MEDIUM') AS same FROM titled""",
 )
 def title_similarity(t: Tables) -> DataFrame:
-    rows = titled_parts(t)
+    rows = S.same_title(titled_parts(t), "title", "p_name")
     return rows.select(
         "p_partkey",
+        "same",
         F.round(S.similarity("title", "p_name"), 6).alias("mixed"),
         F.round(S.title_similarity("title", "p_name"), 6).alias("contained"),
         F.round(S.edit_ratio("title", "p_name"), 6).alias("edit"),
-        S.same_title("title", "p_name").alias("same"),
     )
 
 

@@ -100,7 +100,7 @@ def main(folder: str, names: list[str]) -> int:
                 problem = compare(name, build, oracles[name], spark, folder, con)
                 state = "ok" if problem is None else "DIFF " + problem[:700]
             else:
-                state = f"rows only: {build(spark, folder).count()}"
+                state = f"rows only: {len(build(spark, folder).collect())}"
         except Exception as error:
             state = "ERROR " + str(error)[:700]
         bad += state.startswith(("DIFF", "ERROR"))

@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(spark, name):
-    assert QUERIES[name](spark, FOLDER).count() > 0
+    assert len(QUERIES[name](spark, FOLDER).collect()) > 0
 
 
 def test_entry_is_the_flagship(spark):
