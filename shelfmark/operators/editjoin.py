@@ -73,3 +73,22 @@ def edit_candidates(left: DataFrame, left_text: str, right: DataFrame, right_tex
     longest = F.greatest(F.length("left_text"), F.length("right_text"))
     within = F.levenshtein("left_text", "right_text") <= longest * share + 1e-9
     return probes.join(segments, [*block, "size", "i", "part"]).filter(within).select(*block, "left_text", "right_text").distinct()
+
+
+def one_edit_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text: str, block: Sequence[str] = ()) -> DataFrame:
+    """Distinct (block, left_text, right_text) at most one edit apart.
+
+    Such texts agree once a character is deleted on one or both sides, so they meet on the text without one
+    character. Unlike a segment, this key is never shared by a long common start alone.
+    """
+    block = list(block)
+
+    def variants(frame: DataFrame, text: str, name: str) -> DataFrame:
+        value = F.col(name)
+        places = F.sequence(F.lit(1), F.length(value))
+        shorter = F.transform(places, lambda i: F.concat(F.substr(value, F.lit(1), i - 1), F.substr(value, i + 1)))
+        rows = frame.select(*block, F.col(text).alias(name)).filter(F.length(name) > 0).distinct()
+        return rows.select(*block, name, F.explode(F.array_distinct(F.concat(F.array(value), shorter))).alias("variant"))
+
+    joined = variants(left, left_text, "left_text").join(variants(right, right_text, "right_text"), [*block, "variant"])
+    return joined.filter(F.levenshtein("left_text", "right_text") <= 1).select(*block, "left_text", "right_text").distinct()

@@ -16,7 +16,7 @@ from shelfmark.functions.nulls import col, present, to_number
 from shelfmark.functions.similarity import key_similarity, similarity
 from shelfmark.functions.titles import normalize_title
 from shelfmark.operators.containment import touching_pairs
-from shelfmark.operators.editjoin import edit_candidates
+from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 from shelfmark.operators.groups import top_per_key
 from shelfmark.session import cut_lineage
 
@@ -87,26 +87,26 @@ def _title_stage(s: DataFrame, t: DataFrame, links: DataFrame, column: str, thre
 def _most_similar(wanted: DataFrame, offered: DataFrame, threshold: float) -> DataFrame:
     """(s_author, s_title, b): most similar offered title, lowest match_id on a tie.
 
-    Searched in two rings of growing edit distance. A title is settled once its best match beats everything
-    outside the ring (at most 1 - 0.75 x ring), so a block of many near-equal titles, such as numbered ones, is
-    settled by its nearest neighbours and never compared as a whole.
+    Searched in two rings: titles one edit apart, then the whole range. A title is settled in the first ring
+    once its best match beats everything two edits apart (at most 1 - 1.5 / (length + 2)), so a block of many
+    near-equal titles, such as numbered ones, is settled by its nearest neighbours and never compared as a
+    whole.
     """
-    widest = widest_share(threshold)
-    found = []
-    for part in (0.3, 1.0):
-        share = round(widest * part, 6)
-        pairs = similar_texts(wanted, "s_title", offered, "t_title", threshold, ["block"], share)
-        best = cut_lineage(
-            wanted.join(pairs.withColumnsRenamed({"left_text": "s_title", "right_text": "t_title"}), ["block", "s_title"])
+
+    def best_of(open_titles: DataFrame, pairs: DataFrame) -> DataFrame:
+        named = pairs.withColumnsRenamed({"left_text": "s_title", "right_text": "t_title"})
+        return cut_lineage(
+            open_titles.join(named, ["block", "s_title"])
             .join(offered, ["block", "t_title"])
             .groupBy("s_author", "s_title")
             .agg(F.min(F.struct((-F.col("sim")).alias("neg"), "match_id")).alias("b"))
         )
-        if part < 1.0:
-            best = best.filter(-F.col("b.neg") >= 1 - 0.75 * share)
-            wanted = wanted.join(best.select("s_author", "s_title"), ["s_author", "s_title"], "left_anti")
-        found.append(best)
-    return found[0].union(found[1])
+
+    near = one_edit_pairs(wanted, "s_title", offered, "t_title", ["block"])
+    near = near.withColumn("sim", similarity("left_text", "right_text")).filter(F.col("sim") >= threshold)
+    settled = best_of(wanted, near).filter(-F.col("b.neg") > 1 - 1.5 / (F.length("s_title") + 2))
+    rest = wanted.join(settled.select("s_author", "s_title"), ["s_author", "s_title"], "left_anti")
+    return settled.union(best_of(rest, similar_texts(rest, "s_title", offered, "t_title", threshold, ["block"])))
 
 
 def _series_stage(s: DataFrame, t: DataFrame, links: DataFrame, threshold: float) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.keys import lower_trim
 from shelfmark.operators import clusters, dedupe, filters, groups, matching, nested, overlay, ranking, rollup, schema, scoring
 from shelfmark.operators.containment import contained_pairs, small_list_pairs
-from shelfmark.operators.editjoin import edit_candidates
+from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 
 
 def levenshtein(a, b):
@@ -98,6 +98,18 @@ def test_edit_candidates_complete(spark, left, right, share):
     got = {tuple(r) for r in edit_candidates(a, "t", b, "t", share).collect()}
     want = {(x, y) for x in left for y in right if levenshtein(x, y) <= max(len(x), len(y)) * share + 1e-9}
     assert got == want
+    near = {tuple(r) for r in one_edit_pairs(a, "t", b, "t").collect()}
+    assert near == {(x, y) for x in left for y in right if levenshtein(x, y) <= 1}
+
+
+def test_hot_author_with_numbered_titles(spark):
+    base = spark.range(6000).select(
+        "id", F.concat(F.lit("Iron Saga Volume "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("title"), F.lit("Hot Author").alias("author")
+    )
+    search = base.filter("id % 2 = 0").select("id", F.concat("title", F.lit("x")).alias("title"), "author")
+    keys = [matching.match_keys(f, "id", "title", "author") for f in (search, base)]
+    got = matching.cascade_match(*keys, strategies=["exact", "fuzzy_title"])
+    assert got.filter("match_id = id AND strategy = 'fuzzy_title'").count() == 3000
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
