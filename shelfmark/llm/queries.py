@@ -130,3 +130,38 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from shelfmark.llm.jaccard import Similarity, similar_groups
 
     return similar_groups(table(spark, folder, "documents"), Similarity(words=3, num=90, den=100)).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.toxicity import score_toxicity
+
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = score_toxicity(documents, labels.filter(~held_out("doc_id", 5, 0)))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.language import identify_languages
+
+    documents = table(spark, folder, "documents")
+    found = identify_languages(documents, documents.filter(~held_out("doc_id", 4, 2)))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_secrets")
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.secrets import BASE, find_secrets
+
+    found = find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*BASE))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of(kind) for kind in BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
