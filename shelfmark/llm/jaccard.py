@@ -30,6 +30,10 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 SEEN = 500_000
 
 
+# Groups up to this size are compared in all pairs, larger ones with a pivot, level by level.
+PAIRED = 64
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Grams of ``words`` words; a link needs ``den`` * intersection >= ``num`` * union."""
@@ -256,49 +260,71 @@ def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
     return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, a array<long>, b array<long>")
 
 
-def _stars(groups: DataFrame) -> DataFrame:
-    """(line, pivot, member): in each group that can hold a pair, all members with the one that most groups hold."""
-    size = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("is_a").alias("has_a"), F.max("is_b").alias("has_b"))
-    live = groups.join(size.filter("n > 1 AND has_a AND has_b").select("key", "n"), "key")
-    weight = live.groupBy("member").agg(F.sum("n").alias("w"))
-    first = live.select("key", "member").join(weight, "member").groupBy("key").agg(F.max(F.struct("w", (-F.col("member")).alias("m"))).alias("top"))
-    stars = live.join(first.select("key", (-F.col("top.m")).alias("pivot")), "key").filter("member <> pivot")
+def _live(groups: DataFrame) -> DataFrame:
+    """Members of the groups that can hold a pair, with the group's size; groups of the same members are taken once."""
+    size = groups.groupBy("key").agg(
+        F.first("line").alias("line"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("member")).alias("mark"),
+        F.min("member").alias("low"),
+        F.max("member").alias("high"),
+        F.max("is_a").alias("has_a"),
+        F.max("is_b").alias("has_b"),
+    )
+    once = size.filter("n > 1 AND has_a AND has_b").groupBy("line", "n", "mark", "low", "high").agg(F.min("key").alias("key"))
+    return groups.drop("line").join(once.select("key", "line", "n"), "key")
+
+
+def _pairs(live: DataFrame) -> DataFrame:
+    """(pivot, member): all pairs of the small groups."""
+    small = live.filter(F.col("n") <= PAIRED).select("key", "member", "is_a", "is_b")
+    other = small.select("key", F.col("member").alias("pivot"), F.col("is_a").alias("pivot_a"), F.col("is_b").alias("pivot_b"))
+    both = small.join(other, "key").filter("pivot < member AND ((is_a AND pivot_b) OR (is_b AND pivot_a))")
+    return both.select("pivot", "member").distinct()
+
+
+def _stars(live: DataFrame) -> DataFrame:
+    """(line, pivot, member): in each large group all members with the one that most such groups hold."""
+    large = live.filter(F.col("n") > PAIRED)
+    weight = large.groupBy("member").agg(F.sum("n").alias("w"))
+    first = large.select("key", "member").join(weight, "member").groupBy("key").agg(F.max(F.struct("w", (-F.col("member")).alias("m"))).alias("top"))
+    stars = large.join(first.select("key", (-F.col("top.m")).alias("pivot")), "key").filter("member <> pivot")
     return stars.select(F.xxhash64("line", "pivot").alias("line"), "pivot", "member").distinct()
 
 
+def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
+    """Groups of the next level: members of a star that share one of the grams that index their differences."""
+    # lines with one member besides the pivot have no other pair
+    lines = stars.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
+    further = stars.join(lines, "line").join(done, ["pivot", "member"])
+    sides = [further.select("line", "member", "linked", F.lit(tag).alias("tag"), F.explode(tag).alias("gram")) for tag in ("a", "b")]
+    return sides[0].union(sides[1]).select(
+        F.xxhash64("line", "tag", "gram").alias("key"),
+        "line",
+        "member",
+        (F.col("linked") | (F.col("tag") == "b")).alias("is_a"),
+        (~F.col("linked")).alias("is_b"),
+    )
+
+
 def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
     index = _index(rows, kind)
     twice = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     members = index.join(twice, "key").join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
     whole = F.lit(True)
-    groups = written(members.select("key", F.lit(0).cast("long").alias("line"), "member", whole.alias("is_a"), whole.alias("is_b")))
+    groups = members.select("key", F.lit(0).cast("long").alias("line"), "member", whole.alias("is_a"), whole.alias("is_b"))
     sets, found = None, []
-    while True:
-        stars = written(_stars(groups))
-        if stars.isEmpty():
-            break
+    while groups is not None:
+        live = written(_live(groups))
+        stars = written(_stars(live))
+        pairs = written(_pairs(live).union(stars.select("pivot", "member")).distinct())
         if sets is None:
-            sets = _grams(rows, stars.select("member").union(stars.select("pivot")), kind)
-        done = written(_verified(stars.select("pivot", "member").distinct(), sets, kind))
+            sets = _grams(rows, live.select("member"), kind)
+        done = written(_verified(pairs, sets, kind))
         found.append(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
-        # lines with one member besides the pivot have no other pair
-        lines = stars.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
-        further = stars.join(lines, "line").join(done, ["pivot", "member"])
-        side = [
-            further.select("line", "member", "linked", F.lit(tag).alias("tag"), F.explode(tag).alias("gram")) for tag in ("a", "b")
-        ]
-        rows_of = side[0].union(side[1])
-        groups = written(
-            rows_of.select(
-                F.xxhash64("line", "tag", "gram").alias("key"),
-                "line",
-                "member",
-                (F.col("linked") | (F.col("tag") == "b")).alias("is_a"),
-                (~F.col("linked")).alias("is_b"),
-            )
-        )
-    every = found[0] if found else rows.sparkSession.createDataFrame([], "a long, b long")
+        groups = None if stars.isEmpty() else written(_next(stars, done))
+    every = found[0]
     for part in found[1:]:
         every = every.union(part)
     return every

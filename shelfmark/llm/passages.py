@@ -9,7 +9,7 @@ around a repeated anchor are then extended to their whole width and compared.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.places import Places, ranges_for, repeated_places
 from shelfmark.llm.tables import slices, written
-from shelfmark.llm.words import Words, split_words, window_hashes
+from shelfmark.llm.words import U, Words, split_words, window_hashes
 
 WIDTH = 35
 # Positions whose differences give every number modulo the period (fixed values: a perfect difference set).
@@ -44,31 +45,29 @@ def text_of(words: Words) -> np.ndarray:
     return np.repeat(np.arange(len(words.first) - 1), words.counts())
 
 
-def _anchors(rows: DataFrame, width: int) -> DataFrame:
-    """(doc, at, hash): anchors of every text, at cover positions."""
+def _anchors(width: int) -> Callable[[pa.RecordBatch], Iterator[Places]]:
+    """Anchors of a batch of texts, at cover positions."""
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
     size = anchor_width(width)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in slices(batch):
-                words = split_words(texts)
-                long = np.repeat(words.counts() >= width, words.counts())
-                text = text_of(words)
-                at = in_text(words, size)
-                place = at - words.first[text[at]]
-                keep = cover[place % PERIOD] & long[at]
-                at, place = at[keep], place[keep]
-                docs = part.column("doc").take(pa.array(text[at]))
-                hashes = window_hashes(words.hashes, size, 1)[at] if len(at) else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([docs, pa.array(place.astype(np.int32)), pa.array(hashes.view(np.int64))], ["doc", "at", "hash"])
+    def of(batch: pa.RecordBatch) -> Iterator[Places]:
+        for part, texts in slices(batch):
+            words = split_words(texts)
+            long = np.repeat(words.counts() >= width, words.counts())
+            text = text_of(words)
+            at = in_text(words, size)
+            place = at - words.first[text[at]]
+            keep = cover[place % PERIOD] & long[at]
+            at, place = at[keep], place[keep]
+            hashes = window_hashes(words.hashes, size, 1)[at] if len(at) else np.zeros(0, U)
+            yield hashes, np.zeros(len(at), U), part.column("doc").to_numpy(zero_copy_only=False)[text[at]], place
 
-    return rows.select("doc", "text").mapInArrow(run, "doc long, at int, hash long")
+    return of
 
 
 def _packed(rows: DataFrame) -> DataFrame:
-    """(doc, body, plain): compressed text, and the digest of its words with their number."""
+    """(doc, body): compressed texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -84,57 +83,49 @@ def _opened(bodies: pa.Array) -> pa.Array:
     return pa.array([unpress.decompress(x) for x in bodies.to_pylist()], pa.binary()).cast(pa.string())
 
 
-def _windows(candidates: DataFrame, width: int) -> DataFrame:
-    """(doc, at, h1, h2): every window of a text that holds one of its repeated anchors."""
+def _windows(width: int) -> Callable[[pa.RecordBatch], Iterator[Places]]:
+    """Windows of a batch of candidates (doc, anchors, body) that hold one of the text's repeated anchors."""
     reach = width - anchor_width(width)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("anchors"), _opened(batch.column("body"))], ["doc", "anchors", "text"])
-            for part, texts in slices(whole):
-                words = split_words(texts)
-                begins = np.zeros(len(words.hashes) + 1, np.int64)
-                for k, anchors in enumerate(part.column("anchors").to_pylist()):
-                    first = words.first[k]
-                    for at in anchors:
-                        begins[first + max(0, at - reach)] += 1
-                        begins[first + at + 1] -= 1
-                wanted = np.cumsum(begins)[:-1] > 0
-                at = in_text(words, width)
-                at = at[wanted[at]]
-                text = text_of(words)[at]
-                docs = part.column("doc").take(pa.array(text))
-                columns = [window_hashes(words.hashes, width, seed)[at].view(np.int64) if len(at) else np.zeros(0, np.int64) for seed in (2, 3)]
-                yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array((at - words.first[text]).astype(np.int32)), *map(pa.array, columns)], ["doc", "at", "h1", "h2"]
-                )
-
-    return candidates.mapInArrow(run, "doc long, at int, h1 long, h2 long")
-
-
-def repeated_windows(rows: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """((doc, starts array<int>) of the windows that occur more than once, (doc, body) compressed texts of candidates).
-
-    Anchors and windows are counted before the shuffle as far as a task sees them twice, and joined back to their
-    places; the adaptive skew join splits the places of a hot passage.
+    def of(batch: pa.RecordBatch) -> Iterator[Places]:
+        whole = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("anchors"), _opened(batch.column("body"))], ["doc", "anchors", "text"])
+        for part, texts in slices(whole):
+            words = split_words(texts)
+            begins = np.zeros(len(words.hashes) + 1, np.int64)
+            for first, lists in zip(words.first, part.column("anchors").to_pylist()):
+                for anchors in lists:
+                    at = np.array(anchors)
+                    np.add.at(begins, first + np.maximum(0, at - reach), 1)
+                    np.add.at(begins, first + at + 1, -1)
+            at = in_text(words, width)
+            at = at[(np.cumsum(begins)[:-1] > 0)[at]]
+            text = text_of(words)[at]
+            if len(at):
+                h1, h2 = (window_hashes(words.hashes, width, seed)[at] for seed in (2, 3))
+                yield h1, h2 >> U(32), part.column("doc").to_numpy(zero_copy_only=False)[text], at - words.first[text]
+
+    return of
+
+
+def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(doc, starts array<array<int>>, body): where windows that occur more than once begin, with the compressed text.
+
+    Windows are compared by 96 bits of their hashes. Documents without such a window are left out, or have no starts.
     """
-    anchors = _anchors(rows, width)
-    repeated = anchors.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    places = anchors.join(repeated, "hash").groupBy("doc").agg(F.sort_array(F.collect_list("at")).alias("anchors"))
-    candidates = written(places.join(_packed(rows), "doc").select("doc", "anchors", "body"))
-    windows = _windows(candidates, width)
-    twice = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
-    starts = windows.join(twice, ["h1", "h2"]).groupBy("doc").agg(F.collect_list("at").alias("starts"))
-    return starts, candidates.select("doc", "body")
+    ranges = ranges_for(rows)
+    anchors = repeated_places(rows, _anchors(width), ranges).groupBy("doc").agg(F.collect_list("at").alias("anchors"))
+    candidates = written(anchors.join(_packed(rows), "doc").select("doc", "anchors", "body"))
+    starts = repeated_places(candidates, _windows(width), ranges, second=True).groupBy("doc").agg(F.collect_list("at").alias("starts"))
+    return written(starts.join(candidates.select("doc", "body"), "doc"))
 
 
-def _kept(texts: pa.Array, starts: list[list[int] | None], width: int) -> Iterator[tuple[int, int, bytes]]:
+def _kept(texts: pa.Array, starts: list[list[list[int]] | None], width: int) -> Iterator[tuple[int, int, bytes]]:
     """For each text: its words, how many are removed, the others joined by one space."""
     words = split_words(texts)
     gone = np.zeros(len(words.hashes) + 1, np.int64)
     for k, own in enumerate(starts):
         if own:
-            at = np.unique(np.array(own)) + words.first[k]
+            at = np.concatenate([np.array(x) for x in own]) + words.first[k]
             np.add.at(gone, at, 1)
             np.add.at(gone, at + width, -1)
     keep = np.cumsum(gone)[:-1] == 0
@@ -155,8 +146,7 @@ def remove_repeated(documents: DataFrame, width: int = WIDTH, id: str = "doc_id"
     finished in the first scan; only the others are shuffled, compressed.
     """
     rows = documents.select(documents[id].cast("long").alias("doc"), documents[text].cast("string").alias("text"))
-    starts, candidates = repeated_windows(rows, width)
-    found = written(starts.join(candidates, "doc"))
+    found = repeated_windows(rows, width)
 
     def finish(whole: pa.RecordBatch, own: list) -> Iterator[pa.RecordBatch]:
         at = 0
