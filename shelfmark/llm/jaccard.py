@@ -12,7 +12,7 @@ level.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -23,13 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import connected_components
-from shelfmark.llm.tables import slices, written
+from shelfmark.llm.places import Places, ranges_for, repeated_keys
+from shelfmark.llm.tables import free_name, row_keys, slices, written
 from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
-# Fingerprints that a task remembers in order to index copies once; beyond it copies are indexed again, to the same effect.
-SEEN = 500_000
-
-
 # Groups up to this size are compared in all pairs, larger ones with a pivot, level by level.
 PAIRED = 64
 
@@ -139,7 +136,7 @@ def grams_of(words: Words, size: int) -> Iterator[np.ndarray]:
             yield window_hashes(words.hashes[a:b], b - a) if b > a else np.zeros(0, U)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], kind: Similarity) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches: Iterable[pa.RecordBatch], kind: Similarity) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     with np.errstate(over="ignore"):
         for batch in batches:
             for part, texts in slices(batch):
@@ -166,27 +163,25 @@ def set_classes(rows: DataFrame, kind: Similarity) -> DataFrame:
     return written(every.join(first, ["n", "f1", "f2"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
 
 
-def _index(rows: DataFrame, kind: Similarity) -> DataFrame:
-    """(key, doc): index keys; copies that one task sees are indexed once."""
+def _index(kind: Similarity) -> Callable[[pa.RecordBatch], Iterator[Places]]:
+    """Index keys of a batch of texts; copies within the batch are indexed once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for part, sets in _sets(batches, kind):
+    def of(batch: pa.RecordBatch) -> Iterator[Places]:
+        seen = set()
+        for part, sets in _sets([batch], kind):
             docs, keys = [], []
             for doc, grams in zip(part.column("doc").to_pylist(), sets):
                 mark = _fingerprints(grams)
-                if mark in seen or not len(grams):
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(mark)
-                own = list(keys_of(grams, kind))
-                keys += own
-                docs.append(np.full(sum(map(len, own)), doc, np.int64))
+                if mark not in seen and len(grams) and doc is not None:
+                    seen.add(mark)
+                    own = list(keys_of(grams, kind))
+                    keys += own
+                    docs.append(np.full(sum(map(len, own)), doc, np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], ["key", "doc"])
+                keys = np.concatenate(keys)
+                yield keys, np.zeros(len(keys), U), np.concatenate(docs), np.zeros(len(keys), np.int32)
 
-    return rows.mapInArrow(run, "key long, doc long")
+    return of
 
 
 def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
@@ -309,9 +304,8 @@ def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
 
 def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
-    index = _index(rows, kind)
-    twice = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = index.join(twice, "key").join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
+    index = repeated_keys(rows, _index(kind), ranges_for(rows))
+    members = index.join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
     whole = F.lit(True)
     groups = members.select("key", F.lit(0).cast("long").alias("line"), "member", whole.alias("is_a"), whole.alias("is_b"))
     sets, found = None, []
@@ -335,8 +329,9 @@ def similar_groups(documents: DataFrame, kind: Similarity = Similarity(), id: st
 
     ``class_id`` is the smallest id with the same set of grams, ``component_id`` the smallest id that links reach. Words are runs
     without white space, with A-Z lower-cased if ``kind.lower``. A text with fewer words than a gram is one gram; null and
-    empty texts have no grams and are linked with nothing. Grams are compared by 64-bit hashes. Ids must be unique
-    integers; rows with the same text are copies of one class. An empty table gives no rows.
+    empty texts have no grams and are linked with nothing. Grams are compared by 64-bit hashes. Ids are integers that tell
+    the documents apart; a repeated row gets the same answer as the first one, and a row with a null id joins the class of
+    its copies but carries no links. An empty table gives no rows.
     """
     rows = documents.select(documents[id].cast("long").alias("doc"), documents[text].cast("string").alias("text"))
     classes = set_classes(rows, kind)
@@ -344,3 +339,15 @@ def similar_groups(documents: DataFrame, kind: Similarity = Similarity(), id: st
     return classes.join(parts, "rep", "left").select(
         F.col("doc").alias(id), F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
+
+
+def one_of_each_group(documents: DataFrame, kind: Similarity = Similarity(), id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each group that links connect (the one with the smallest id); other columns as they are.
+
+    Every row counts as a document, whatever its id, so of repeated rows one stays. Texts without words are kept.
+    """
+    key = free_name(documents, "row")
+    keyed = row_keys(documents, id, key)
+    found = similar_groups(keyed.select(keyed[key].alias("doc"), keyed[text].alias("text")), kind, "doc", "text")
+    first = found.filter("component_id = doc").select(F.col("doc").alias(key))
+    return keyed.join(first, key, "left_semi").select(*documents.columns)

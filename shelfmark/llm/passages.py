@@ -12,13 +12,14 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.places import Places, ranges_for, repeated_places
-from shelfmark.llm.tables import slices, written
+from shelfmark.llm.tables import free_name, row_keys, slices, written
 from shelfmark.llm.words import U, Words, split_words, window_hashes
 
 WIDTH = 35
@@ -107,16 +108,16 @@ def _windows(width: int) -> Callable[[pa.RecordBatch], Iterator[Places]]:
     return of
 
 
-def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc, starts array<array<int>>, body): where windows that occur more than once begin, with the compressed text.
+def repeated_windows(rows: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """((doc, starts array<array<int>>): where windows that occur more than once begin; (doc, body): texts of the candidates).
 
-    Windows are compared by 96 bits of their hashes. Documents without such a window are left out, or have no starts.
+    Windows are compared by 96 bits of their hashes. Documents without such a window are left out.
     """
     ranges = ranges_for(rows)
     anchors = repeated_places(rows, _anchors(width), ranges).groupBy("doc").agg(F.collect_list("at").alias("anchors"))
     candidates = written(anchors.join(_packed(rows), "doc").select("doc", "anchors", "body"))
     starts = repeated_places(candidates, _windows(width), ranges, second=True).groupBy("doc").agg(F.collect_list("at").alias("starts"))
-    return written(starts.join(candidates.select("doc", "body"), "doc"))
+    return starts, candidates.select("doc", "body")
 
 
 def _kept(texts: pa.Array, starts: list[list[list[int]] | None], width: int) -> Iterator[tuple[int, int, bytes]]:
@@ -142,11 +143,13 @@ def remove_repeated(documents: DataFrame, width: int = WIDTH, id: str = "doc_id"
     A window is ``width`` consecutive words (runs without white space) of one document; it is repeated when the same words
     begin anywhere else, also in the same document. ``kept`` is the remaining words joined by one space, or with ``digest``
     their SHA-256 (``kept_sha256``). Null texts have no words; an empty table gives no rows; each row is a document of its
-    own, so repeated rows remove each other, and ids must be unique integers. Texts without a repeated anchor are
+    own, whatever its id (also null), so repeated rows remove each other's words. Texts without a repeated anchor are
     finished in the first scan; only the others are shuffled, compressed.
     """
-    rows = documents.select(documents[id].cast("long").alias("doc"), documents[text].cast("string").alias("text"))
-    found = repeated_windows(rows, width)
+    keyed = row_keys(documents.select(documents[id].alias("own"), documents[text].cast("string").alias("text")), "own", "doc")
+    rows = keyed.select("doc", "text")
+    starts, candidates = repeated_windows(rows, width)
+    found = written(starts.join(candidates, "doc"))
 
     def finish(whole: pa.RecordBatch, own: list) -> Iterator[pa.RecordBatch]:
         at = 0
@@ -174,4 +177,30 @@ def remove_repeated(documents: DataFrame, width: int = WIDTH, id: str = "doc_id"
         as_is = rows.mapInArrow(leave, columns).join(found.select("doc"), "doc", "left_anti")
     else:
         as_is = rows.join(found.select("doc"), "doc", "left_anti").mapInArrow(leave, columns)
-    return shorter.union(as_is).select(F.col("doc").alias(id), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"))
+    every = shorter.union(as_is).join(keyed.select("doc", "own"), "doc")
+    return every.select(F.col("own").alias(id), "n_words", "n_removed", F.col("kept").alias("kept_sha256" if digest else "kept"))
+
+
+def cut_repeated(documents: DataFrame, width: int = WIDTH, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents without the words that repeated windows cover, as in ``remove_repeated``; other columns as they are.
+
+    A text that loses words becomes the others joined by one space (empty if none is left); the rest stays unchanged, null
+    texts too. No row is dropped.
+    """
+    key, places = free_name(documents, "row"), free_name(documents, "starts")
+    keyed = row_keys(documents, id, key)
+    starts, _ = repeated_windows(keyed.select(keyed[key].alias("doc"), keyed[text].cast("string").alias("text")), width)
+    found = written(starts).select(F.col("doc").alias(key), F.col("starts").alias(places))
+
+    @F.pandas_udf("string")
+    def shorter(bodies: pd.Series, starts: pd.Series) -> pd.Series:
+        out, at = [], 0
+        batch = pa.RecordBatch.from_arrays([pa.array(bodies, pa.string(), from_pandas=True)], ["text"])
+        lists = [None if x is None else [y.tolist() for y in x] for x in starts]
+        for _, texts in slices(batch):
+            out += [kept.decode() for _, _, kept in _kept(texts, lists[at : at + len(texts)], width)]
+            at += len(texts)
+        return pd.Series(out, dtype=object)
+
+    cut = F.when(F.col(places).isNull(), F.col(text)).otherwise(shorter(text, places))
+    return keyed.join(found, key, "left").withColumn(text, cut).select(*documents.columns)

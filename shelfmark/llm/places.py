@@ -87,54 +87,54 @@ def _repeats(new: np.ndarray) -> np.ndarray:
     return ~alone
 
 
-def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int, second: bool = False) -> DataFrame:
-    """(doc long, at array<int>): places, as ``places`` finds them in batches of ``rows``, whose hash occurs more than once.
+def _by_document(places: Places) -> list[pa.Array]:
+    """doc, at: a list of positions for each document."""
+    _, _, doc, at = places
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
+    return [pa.array(doc[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(at.astype(np.int32)))]
 
-    ``second`` compares 32 bits of the second hash besides the first one; without it 48 bits of the first are compared.
-    A document comes in several rows.
-    """
-    low = U(0) if second else U(16)
 
-    def settled(doc: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Array]]:
-        order = np.lexsort((at, doc))
-        doc, at = doc[order], at[order]
-        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(at.astype(np.int32)))
-        return doc[first], lists
+def _by_hash(places: Places) -> list[pa.Array]:
+    """key, doc."""
+    return [pa.array(places[0].view(np.int64)), pa.array(places[2])]
+
+
+def _chosen(places: Places, which: np.ndarray) -> Places:
+    return tuple(x[which] for x in places)
+
+
+def _repeated(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int, second: bool, output: Callable, columns: str) -> DataFrame:
+    low = U(0) if second else U(16)
+    names = [x.split()[0] for x in columns.split(", ")]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packing, open_places, n = Packing(second), [], 0
+        packing, waiting, n = Packing(second), [], 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            (h1, h2, doc, at), new = _ordered(open_places)
+            every, new = _ordered(waiting)
             twice = _repeats(new)
-            docs, lists = settled(doc[twice], at[twice])
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.binary()), pa.array(docs, pa.int64()), lists], ["range", "block", "doc", "at"]
-            )
-            at = np.where(twice, -1, at)[new]  # a hash that is settled here needs no answer
-            h1, h2, doc = h1[new], h2[new], doc[new]
+            out = output(_chosen(every, twice))
+            size = len(out[0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), *out], ["range", "block", *names])
+            h1, h2, doc, at = every
+            # a hash that is settled here needs no answer
+            h1, h2, doc, at = _chosen((h1, h2, doc, np.where(twice, np.int32(-1), at)), new)
             number = ((h1 >> U(32)) * U(ranges)) >> U(32)
             cuts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
             blocks = [packing.pack(h1[a:b], h2[a:b], doc[a:b], at[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(h1)))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(number[cuts].astype(np.int64)),
-                    pa.array(blocks, pa.binary()),
-                    pa.nulls(len(cuts), pa.int64()),
-                    pa.nulls(len(cuts), pa.list_(pa.int32())),
-                ],
-                ["range", "block", "doc", "at"],
-            )
+            empty = [pa.nulls(len(cuts), x.type) for x in out]
+            yield pa.RecordBatch.from_arrays([pa.array(number[cuts].astype(np.int64)), pa.array(blocks, pa.binary()), *empty], ["range", "block", *names])
 
         for batch in batches:
             for h1, h2, doc, at in places(batch):
                 if len(h1):
-                    open_places.append(((h1 >> low) << low, h2.astype("<u4"), doc.astype("<i8"), at.astype("<i4")))
+                    waiting.append(((h1 >> low) << low, h2.astype("<u4"), doc.astype("<i8"), at.astype("<i4")))
                     n += len(h1)
                 if n >= GATHERED:
                     yield from close()
-                    open_places, n = [], 0
+                    waiting, n = [], 0
         if n:
             yield from close()
 
@@ -142,10 +142,8 @@ def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator
         packing = Packing(second)
 
         def answer(blocks: list[bytes]) -> pa.RecordBatch:
-            (_, _, doc, at), new = _ordered([packing.unpack(x) for x in blocks])
-            asked = _repeats(new) & (at >= 0)
-            docs, lists = settled(doc[asked], at[asked])
-            return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), lists], ["doc", "at"])
+            every, new = _ordered([packing.unpack(x) for x in blocks])
+            return pa.RecordBatch.from_arrays(output(_chosen(every, _repeats(new) & (every[3] >= 0))), names)
 
         now, blocks = None, []
         for batch in batches:
@@ -158,7 +156,20 @@ def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator
         if blocks:
             yield answer(blocks)
 
-    gathered = written(rows.mapInArrow(gather, "range long, block binary, doc long, at array<int>"))
+    gathered = written(rows.mapInArrow(gather, f"range long, block binary, {columns}"))
     blocks = gathered.filter("range IS NOT NULL").select("range", "block").repartition("range").sortWithinPartitions("range")
-    answered = blocks.mapInArrow(meet, "doc long, at array<int>")
-    return gathered.filter("doc IS NOT NULL").select("doc", "at").union(answered)
+    return gathered.filter("range IS NULL").select(*names).union(blocks.mapInArrow(meet, columns))
+
+
+def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int, second: bool = False) -> DataFrame:
+    """(doc long, at array<int>): places, as ``places`` finds them in batches of ``rows``, whose hash occurs more than once.
+
+    ``second`` compares 32 bits of the second hash besides the first one; without it 48 bits of the first are compared.
+    A document comes in several rows.
+    """
+    return _repeated(rows, places, ranges, second, _by_document, "doc long, at array<int>")
+
+
+def repeated_keys(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int) -> DataFrame:
+    """(key long, doc long): keys (48 bits of them) that occur more than once, with the documents that hold them."""
+    return _repeated(rows, places, ranges, False, _by_hash, "key long, doc long")

@@ -165,3 +165,35 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
     counts = [of(kind) for kind in BASE]
     return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+_OP4 = r"""WITH RECURSIVE v AS (
+  SELECT vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN list_transform(embedding, lambda x: x::DOUBLE) END AS e
+  FROM embeddings
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) >= 0.9 * sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))
+),
+reach (a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a AS vec_id, min(b) AS b FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id <= coalesce(b, vec_id) AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN low USING (vec_id)"""
+
+
+@query("op4_embedding_dedup", _OP4)
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"), 0.9)
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.neighbours import nearest_neighbours
+
+    rows = table(spark, folder, "embeddings")
+    return nearest_neighbours(rows, rows.filter(F.col("vec_id") % 20 == 0), 20)

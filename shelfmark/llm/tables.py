@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.session import configure, cut_lineage
 
@@ -61,3 +62,24 @@ def slices(batch: pa.RecordBatch, column: str = "text", most_bytes: int = CHUNK_
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most_bytes, side="right")) - 1)
         yield batch.slice(at, end - at), texts.slice(at, end - at)
         at = end
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_keys(rows: DataFrame, id: str, key: str) -> DataFrame:
+    """The rows with a new column ``key`` that is an integer, unique and never null.
+
+    It is the id where ids are so already. Otherwise rows are numbered, and written once, so that every later scan finds the
+    same numbers.
+    """
+    ids = rows.select(rows[id].cast("long").alias("id"))
+    odd = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR id IS NULL")
+    if odd.isEmpty():
+        return rows.withColumn(key, rows[id].cast("long"))
+    return written(rows.withColumn(key, F.monotonically_increasing_id()))

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
@@ -284,3 +285,16 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
 
     columns = "score double, predicted int, neighbours array<struct<id:long,cosine:double,label:int>>, evidence array<string>"
     return rows.mapInArrow(run, f"id {kind}, {columns}").withColumnRenamed("id", id)
+
+
+def reject_toxic(documents: DataFrame, labels: DataFrame, threshold: float = 0.5, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
+    """The documents whose score is below the threshold; all columns as they are, null and empty texts scored as empty."""
+    shared = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, id, text, label))
+
+    @F.pandas_udf("double")
+    def score(bodies: pd.Series) -> pd.Series:
+        batch = pa.RecordBatch.from_arrays([pa.array(bodies, pa.string(), from_pandas=True)], ["text"])
+        parts = [shared.value.score(texts)[0] for _, texts in slices(batch)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return documents.filter(score(documents[text].cast("string")) < threshold)
