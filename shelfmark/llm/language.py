@@ -72,7 +72,7 @@ def spelled(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Parser:
-    """The automata of all languages as one table: for a state and a symbol the next state and whether a phrase ended."""
+    """The automata of all languages as one table: for a state and a symbol the next state and whether a phrase begins."""
 
     def __init__(self, samples: dict[str, np.ndarray]):
         self.languages = sorted(samples)
@@ -87,12 +87,13 @@ class Parser:
             table = np.full((len(arcs), width), -1, np.int64)
             for state, out in enumerate(arcs):
                 table[state, list(out)] = list(out.values())
+            # a phrase begins where none is open (at the root) and where the open one cannot go on; a symbol that the
+            # sample doesn't hold is a phrase of its own, after which none is open
             begin = table[0].copy()
-            ended = table < 0
-            table = np.where(ended, np.maximum(begin, 0), table)  # a new phrase begins with this symbol
-            table = (table + base) * width * 2 + ended
-            # a symbol that the sample doesn't hold is a phrase of its own
-            table[:, self.other] = base * width * 2 + 1
+            begins = table < 0
+            begins[0] = True
+            table = np.where(table < 0, np.maximum(begin, 0), table)
+            table = (table + base) * width * 2 + begins
             table[:, self.fill] = (np.arange(len(arcs)) + base) * width * 2
             tables.append(table)
             self.roots.append(base * width)
@@ -116,14 +117,13 @@ class Parser:
             order = np.argsort(-length, kind="stable")
             begin, length, owner = begin[order], length[order], owner[order]
             state = np.repeat(np.array(self.roots, self.table.dtype)[:, None], len(owner), axis=1)
-            ended = np.zeros(state.shape, np.int32)
+            begun = np.zeros(state.shape, np.int32)
             for k in range(int(length[0])):
                 n = int(np.searchsorted(-length, -k, side="left"))  # blocks longer than k
                 step = self.table[state[:, :n] + code[begin[:n] + k].astype(self.table.dtype)]
-                ended[:, :n] += step & 1
+                begun[:, :n] += step & 1
                 state[:, :n] = step >> 1
-            ended += 1  # the phrase that is open at the end of a block
-            for row, own in zip(phrases, ended):
+            for row, own in zip(phrases, begun):
                 row[:] = np.bincount(owner, own, len(counts))
         return (phrases * self.bits[:, None] / np.maximum(counts, 1)).T, counts
 

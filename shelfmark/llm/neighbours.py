@@ -50,7 +50,7 @@ def beam_search(vectors: np.ndarray, edges: np.ndarray, start: int, queries: np.
         nodes = np.where(chosen, np.take_along_axis(now, rank, axis=1), -1)
         marks = opened[active]
         np.put_along_axis(marks, rank, True, axis=1)
-        way = np.full((n, OPENED), -1, np.int64)
+        way = np.full((n, rank.shape[1]), -1, np.int64)
         way[active] = nodes
         ways.append(way)
         near = np.where(nodes[:, :, None] >= 0, edges[nodes], -1).reshape(len(active), -1)

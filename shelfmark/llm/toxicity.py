@@ -135,7 +135,7 @@ class BlockIndex:
         full = vectors.any(axis=1)
         # examples with the same strongest term stand together, so that blocks differ in what they hold
         order = np.flatnonzero(full)
-        order = order[np.lexsort((ids[order], vectors[order].argmax(axis=1)))]
+        order = order[np.lexsort((ids[order], vectors[order].argmax(axis=1)))] if len(order) else order
         self.ids, self.labels = ids[order], labels[order]
         self.blocks = [slice(a, min(a + BLOCK, len(order))) for a in range(0, len(order), BLOCK)]
         self.weights = vectors[order].T.copy()
