@@ -20,7 +20,7 @@ from shelfmark.llm.tables import written
 from shelfmark.llm.words import U
 
 # Places that a task gathers before it packs them, and bytes of text for each range of hashes.
-GATHERED = 2_000_000
+GATHERED = 400_000
 RANGE_BYTES = 4 << 20
 
 # A batch of places: first and second hash, document, position.

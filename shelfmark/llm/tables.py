@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from shelfmark.session import configure, cut_lineage
 
 # Rows handed to a Python worker at once. Texts are long, so a batch is kept small; operators slice it further by bytes.
-BATCH_ROWS = 512
+BATCH_ROWS = 128
 # Bytes of text that a vectorised step works on at once. One longer text is still taken whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def prepare(spark: SparkSession) -> SparkSession:
