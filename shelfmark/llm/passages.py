@@ -93,11 +93,10 @@ def _windows(width: int) -> Callable[[pa.RecordBatch], Iterator[Places]]:
         for part, texts in slices(whole):
             words = split_words(texts)
             begins = np.zeros(len(words.hashes) + 1, np.int64)
-            for first, lists in zip(words.first, part.column("anchors").to_pylist()):
-                for anchors in lists:
-                    at = np.array(anchors)
-                    np.add.at(begins, first + np.maximum(0, at - reach), 1)
-                    np.add.at(begins, first + at + 1, -1)
+            for first, anchors in zip(words.first, part.column("anchors").to_pylist()):
+                at = np.array(anchors)
+                np.add.at(begins, first + np.maximum(0, at - reach), 1)
+                np.add.at(begins, first + at + 1, -1)
             at = in_text(words, width)
             at = at[(np.cumsum(begins)[:-1] > 0)[at]]
             text = text_of(words)[at]
@@ -109,7 +108,7 @@ def _windows(width: int) -> Callable[[pa.RecordBatch], Iterator[Places]]:
 
 
 def repeated_windows(rows: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
-    """((doc, starts array<array<int>>): where windows that occur more than once begin; (doc, body): texts of the candidates).
+    """((doc, starts array<int>): where windows that occur more than once begin; (doc, body): texts of the candidates).
 
     Windows are compared by 96 bits of their hashes. Documents without such a window are left out.
     """
@@ -120,13 +119,13 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> tuple[DataFrame, Da
     return starts, candidates.select("doc", "body")
 
 
-def _kept(texts: pa.Array, starts: list[list[list[int]] | None], width: int) -> Iterator[tuple[int, int, bytes]]:
+def _kept(texts: pa.Array, starts: list[list[int] | None], width: int) -> Iterator[tuple[int, int, bytes]]:
     """For each text: its words, how many are removed, the others joined by one space."""
     words = split_words(texts)
     gone = np.zeros(len(words.hashes) + 1, np.int64)
     for k, own in enumerate(starts):
         if own:
-            at = np.concatenate([np.array(x) for x in own]) + words.first[k]
+            at = np.array(own) + words.first[k]
             np.add.at(gone, at, 1)
             np.add.at(gone, at + width, -1)
     keep = np.cumsum(gone)[:-1] == 0
@@ -196,7 +195,7 @@ def cut_repeated(documents: DataFrame, width: int = WIDTH, id: str = "doc_id", t
     def shorter(bodies: pd.Series, starts: pd.Series) -> pd.Series:
         out, at = [], 0
         batch = pa.RecordBatch.from_arrays([pa.array(bodies, pa.string(), from_pandas=True)], ["text"])
-        lists = [None if x is None else [y.tolist() for y in x] for x in starts]
+        lists = [None if x is None else x.tolist() for x in starts]
         for _, texts in slices(batch):
             out += [kept.decode() for _, _, kept in _kept(texts, lists[at : at + len(texts)], width)]
             at += len(texts)

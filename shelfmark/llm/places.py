@@ -88,12 +88,8 @@ def _repeats(new: np.ndarray) -> np.ndarray:
 
 
 def _by_document(places: Places) -> list[pa.Array]:
-    """doc, at: a list of positions for each document."""
-    _, _, doc, at = places
-    order = np.lexsort((at, doc))
-    doc, at = doc[order], at[order]
-    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
-    return [pa.array(doc[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)).astype(np.int32)), pa.array(at.astype(np.int32)))]
+    """doc, at."""
+    return [pa.array(places[2]), pa.array(places[3])]
 
 
 def _by_hash(places: Places) -> list[pa.Array]:
@@ -162,12 +158,11 @@ def _repeated(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Place
 
 
 def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int, second: bool = False) -> DataFrame:
-    """(doc long, at array<int>): places, as ``places`` finds them in batches of ``rows``, whose hash occurs more than once.
+    """(doc long, at int): places, as ``places`` finds them in batches of ``rows``, whose hash occurs more than once.
 
     ``second`` compares 32 bits of the second hash besides the first one; without it 48 bits of the first are compared.
-    A document comes in several rows.
     """
-    return _repeated(rows, places, ranges, second, _by_document, "doc long, at array<int>")
+    return _repeated(rows, places, ranges, second, _by_document, "doc long, at int")
 
 
 def repeated_keys(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int) -> DataFrame:
