@@ -201,7 +201,7 @@ def grounded_label(found: Column, sources: Column | str, host_part: str, label:
     return F.when(found, F.when(grounded, F.lit(f"{label}-grounded")).otherwise(F.lit(f"{label}-ungrounded")))
 
 
-def merge_links(*arrays: Column | str, keep: int = 10) -> Column:
-    """First ``keep`` distinct http links of several lists, in order (the report shows ten)."""
+def merge_links(*arrays: Column | str) -> Column:
+    """Distinct http links of several lists, in order."""
     every = F.flatten(F.array(*[F.coalesce(col(a), F.array().cast("array<string>")) for a in arrays]))
-    return F.slice(F.array_distinct(F.filter(every, lambda u: u.startswith("http"))), 1, keep)
+    return F.array_distinct(F.filter(every, lambda u: u.startswith("http")))

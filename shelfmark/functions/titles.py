@@ -63,16 +63,27 @@ def _series_info(text: Column) -> Column:
     )
 
 
+# En and em dash, in the order in which they are tried after the colon
+LONG_DASHES = ("\u2013", "\u2014")
+
+
 def main_title(c: Column | str, spaced_dash: bool = False) -> Column:
-    """Title before the subtitle: cut at the first colon, with ``spaced_dash`` also at a spaced dash."""
+    """Title before the subtitle: cut at the first colon, else en dash, else em dash.
+
+    With ``spaced_dash`` the first of a colon and a spaced hyphen comes before the long dashes.
+    """
     text = col(c)
-    cut = "(?s)^(.*?)(?::\\s*.+|\\s-\\s.+)$" if spaced_dash else "(?s)^(.*?):\\s*.+$"
-    return trim_space(F.when(text.rlike(cut), F.regexp_extract(text, cut, 1)).otherwise(text))
+    cuts = ["(?s)^(.*?)(?::\\s*.+|\\s-\\s.+)$" if spaced_dash else "(?s)^(.*?):\\s*.+$", *(f"(?s)^(.*?){dash}\\s*.+$" for dash in LONG_DASHES)]
+    out = F.when(text.rlike(cuts[0]), F.regexp_extract(text, cuts[0], 1))
+    for cut in cuts[1:]:
+        out = out.when(text.rlike(cut), F.regexp_extract(text, cut, 1))
+    return trim_space(out.otherwise(text))
 
 
 def subtitle(c: Column | str) -> Column:
-    """Text after the first colon, NULL without one."""
-    return F.nullif(trim_space(F.regexp_extract(col(c), "(?s)^.*?:\\s*(.+)$", 1)), F.lit(""))
+    """Text after the first colon, else en dash, else em dash; NULL without one."""
+    found = [F.nullif(trim_space(F.regexp_extract(col(c), f"(?s)^.*?{mark}\\s*(.+)$", 1)), F.lit("")) for mark in (":", *LONG_DASHES)]
+    return F.coalesce(*found)
 
 
 def normalize_title(c: Column | str, spaced_dash: bool = False) -> Column:

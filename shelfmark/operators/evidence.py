@@ -37,17 +37,17 @@ def evidence_status(claims: DataFrame, pages: DataFrame, claim_id: str, names: S
     """(claim_id, status, matched, fetched) of claims with links to stored pages.
 
     ``claims``: claim_id, the name columns and one row per link. PASS when a linked page holds one of the
-    names, PARTIAL when pages are stored but none does, FAIL without a stored page.
+    names, PARTIAL when pages are stored but none does, FAIL without a stored page. Every stored version of a page
+    is read; ``matched`` and ``fetched`` count links, not versions.
     """
-    linked = pages.join(claims.select(url).distinct(), url, "left_semi")
-    texts = linked.groupBy(F.col(url).alias("__u")).agg(F.lower(F.max("html")).alias("__html"))
-    joined = claims.join(texts, F.col(url) == F.col("__u"), "left")
+    links = claims.select(claim_id, url, *names).distinct()
+    versions = pages.select(F.col(url).alias("__u"), F.lower(F.coalesce("html", F.lit(""))).alias("__html"))
+    joined = links.join(versions, F.col(url) == F.col("__u"), "left")
     hit = F.lit(False)
     for name in names:
         key = F.lower(F.trim(F.coalesce(F.col(name), F.lit(""))))
         hit = hit | ((key != "") & F.col("__html").contains(key))
-    per = joined.groupBy(claim_id).agg(
-        F.count(F.when(hit, F.lit(1))).alias("matched"), F.count("__u").alias("fetched")
-    )
+    by_link = joined.groupBy(claim_id, url, *names).agg(F.max(F.coalesce(hit, F.lit(False))).alias("__hit"), F.max(F.col("__u").isNotNull()).alias("__stored"))
+    per = by_link.groupBy(claim_id).agg(F.count_if("__hit").alias("matched"), F.count_if("__stored").alias("fetched"))
     status = F.when(F.col("matched") > 0, F.lit("PASS")).when(F.col("fetched") > 0, F.lit("PARTIAL")).otherwise(F.lit("FAIL"))
     return per.withColumn("status", status)

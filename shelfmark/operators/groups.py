@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.nulls import col
+from shelfmark.session import cut_lineage
 
 Keys = Sequence[Column | str]
 
@@ -97,29 +98,26 @@ def group_modes(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
     )
 
 
-def list_parts(df: DataFrame, keys: Sequence[str], value: Column, order: Column, part_size: int = 1000) -> DataFrame:
-    """All values of every group as sorted arrays: (keys, part, parts, values).
+def listed(df: DataFrame, keys: Sequence[str], value: Column, order: Column) -> DataFrame:
+    """All values of every group in long form: (keys, position, value), positions from 1 in the order, then by value.
 
-    A group of up to ``part_size`` rows is one array in the given order. A larger group is spread over
-    ``ceil(rows / part_size)`` parts by hash, each sorted, so that no array grows with the data.
+    The rows are sorted over the whole cluster by key and order, and counted per partition: a row's position is its place
+    in the partition plus what earlier partitions hold of its group. So no group is gathered or sorted by one task. The
+    sorted rows are written to the shared folder (an action).
     """
-    sized = attach_group(df.select(*keys, order.alias("__o"), value.alias("__v")), list(keys), {"__n": F.count(F.lit(1))})
-    parts = F.ceil(F.col("__n") / part_size).cast("int")
-    part = F.when(parts > 1, F.pmod(F.xxhash64("__o", "__v"), parts)).otherwise(0).cast("int")
-    pair = F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"))
-    return (
-        sized.withColumn("part", part)
-        .withColumn("parts", parts)
-        .groupBy(*keys, "part", "parts")
-        .agg(F.array_sort(F.collect_list(pair)).alias("__l"))
-        .select(*keys, "part", "parts", F.transform("__l", lambda x: x["v"]).alias("values"))
-    )
-
-
-def concat_unique(df: DataFrame, keys: Sequence[str], value: str, order: Column, separator: str = " | ", part_size: int = 1000) -> DataFrame:
-    """Distinct non-NULL values per group in order of first appearance, joined; large groups come in parts."""
+    names = list(keys)
+    rows = df.select(*names, order.alias("__o"), value.alias("__v"))
+    spread = rows.repartitionByRange(*names, "__o", "__v").sortWithinPartitions(*names, "__o", "__v")
+    own = cut_lineage(spread.withColumn("__at", F.monotonically_increasing_id())).withColumn("__p", F.shiftright("__at", 33))
+    parts = own.groupBy(*names, "__p").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*names).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select(*[F.col(k).alias(f"__{k}") for k in names], F.col("__p").alias("__pp"), "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in names] + [F.col("__p") == F.col("__pp")]
+    position = F.col("__at") - F.col("__first") + F.col("__before") + 1
+    return own.join(parts, same).select(*names, position.alias("position"), F.col("__v").alias("value"))
+
+
+def concat_unique(df: DataFrame, keys: Sequence[str], value: str, order: Column) -> DataFrame:
+    """Distinct non-NULL values per group in order of first appearance: (keys, position, value)."""
     first = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(order).alias("__first"))
-    order_struct = F.struct(F.col("__first"), F.col(value))
-    return list_parts(first, keys, F.col(value), order_struct, part_size).select(
-        *keys, "part", "parts", F.array_join("values", separator).alias(value)
-    )
+    return listed(first, keys, F.col(value), F.col("__first")).withColumnRenamed("value", value)

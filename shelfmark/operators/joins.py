@@ -28,9 +28,9 @@ def keyed_left_join(left: DataFrame, right: DataFrame, left_keys: Keys, right_ke
     return a.join(one, condition, "left").drop(*names, *right_names)
 
 
-def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: Column, value: str, name: str, default) -> DataFrame:
-    """Left lookup of one value, ``default`` where the key is unknown. The largest value wins for a repeated key."""
-    one = table.groupBy(table_key.alias("__lk")).agg(F.max(value).alias("__lv"))
+def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: Column, value: str, name: str, default, order: Column) -> DataFrame:
+    """Left lookup of one value, ``default`` where the key is unknown. Of a repeated key the first row in the order counts."""
+    one = table.groupBy(table_key.alias("__lk")).agg(F.min_by(value, order).alias("__lv"))
     joined = df.withColumn("__dk", key).join(one, F.col("__dk") == F.col("__lk"), "left")
     return joined.withColumn(name, F.coalesce(F.col("__lv"), F.lit(default))).drop("__dk", "__lk", "__lv")
 
@@ -216,22 +216,18 @@ def commercial_band(ratings: Column | str, length: Column | str, bands: list = m
     return out.otherwise(row(*models.FALLBACK_BAND))
 
 
-def band_table(bands: DataFrame, value: Column, low: str, high: str, order: str, columns: Sequence[str]) -> Column:
-    """STRUCT of the columns of the first band (by ``order``) whose [low, high] range holds the value.
+def band_table(bands: Sequence[dict], value: Column, low: str, high: str, columns: Sequence[str]) -> Column:
+    """STRUCT of the columns of the first band whose [low, high] range holds the value; an open end is None.
 
-    For bands kept as a table. The table is a short configuration list: it is read once on the driver (an
-    action), more than 1000 bands are refused, and it becomes a CASE expression.
+    ``bands`` is a configuration list in the order of precedence, written out as a CASE expression.
     """
-    rows = sorted((r.asDict() for r in bands.select(low, high, order, *columns).limit(1001).collect()), key=lambda r: r[order])
-    if not rows or len(rows) > 1000:
-        raise ValueError("a band table has 1 to 1000 rows")
-    out = None
-    for r in rows:
+    out = F.lit(None)
+    for k, r in enumerate(bands):
         fits = F.lit(True)
         if r[low] is not None:
             fits = fits & (value >= r[low])
         if r[high] is not None:
             fits = fits & (value <= r[high])
         band = F.struct(*[F.lit(r[c]).alias(c) for c in columns])
-        out = F.when(fits, band) if out is None else out.when(fits, band)
+        out = out.when(fits, band) if k else F.when(fits, band)
     return out

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.groups import list_parts
+from shelfmark.operators.groups import listed
 
 BOOK_JSON = "array<struct<name: string, number: string, rating: double, count: long>>"
 
@@ -69,11 +69,11 @@ def wide_ratings(pairs: Sequence[tuple[Column, Column]], digits: int = 3) -> Col
     )
 
 
-def nest_books(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column, part_size: int = 1000) -> DataFrame:
-    """Books of each series as ordered arrays of structs (keys, part, parts, values); large series in parts."""
-    return list_parts(df, keys, F.struct(*[F.col(c) for c in columns]), order, part_size)
+def nest_books(df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column) -> DataFrame:
+    """Books of each series as structs with their position: (keys, position, value)."""
+    return listed(df, keys, F.struct(*[F.col(c) for c in columns]), order)
 
 
-def series_by_author(df: DataFrame, author: str, columns: Sequence[str], order: Column, part_size: int = 1000) -> DataFrame:
-    """All series of each author as ordered arrays of structs; prolific authors in parts."""
-    return nest_books(df.filter(F.trim(author) != ""), [author], columns, order, part_size)
+def series_by_author(df: DataFrame, author: str, columns: Sequence[str], order: Column) -> DataFrame:
+    """All series of each author as structs with their position: (author, position, value)."""
+    return nest_books(df.filter(F.trim(author) != ""), [author], columns, order)

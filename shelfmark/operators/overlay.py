@@ -81,13 +81,14 @@ def apply_by_author(base: DataFrame, results: DataFrame, author: str, columns: S
     return fill_from(joined, columns)
 
 
-def apply_by_row(base: DataFrame, results: DataFrame, row_id: str, policies: dict[str, str]) -> DataFrame:
+def apply_by_row(base: DataFrame, results: DataFrame, row_id: str, policies: dict[str, str], order: Column) -> DataFrame:
     """Results laid over rows by id; per column ``overwrite``, ``fill``, ``fill_zero`` or ``larger``.
 
-    One result row per id; of several the largest value per column counts.
+    Of several results for an id the first one in the order counts, as a whole row.
     """
     types = dict(base.dtypes)
-    values = results.groupBy(F.col(row_id).alias("__id")).agg(*[F.max(c).alias(f"__{c}") for c in policies])
+    row = F.min_by(F.struct(*[F.col(c).alias(f"__{c}") for c in policies]), order)
+    values = results.groupBy(F.col(row_id).alias("__id")).agg(row.alias("__row")).select("__id", "__row.*")
     joined = base.join(values, F.col(row_id) == F.col("__id"), "left").drop("__id")
     changed = {}
     for c, policy in policies.items():
@@ -105,9 +106,13 @@ def apply_by_row(base: DataFrame, results: DataFrame, row_id: str, policies: dic
     return joined.withColumns(changed).drop(*[f"__{c}" for c in policies])
 
 
-def override_table(base: DataFrame, patches: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Patch values win over base values; patch rows with a new key are added. One patch row per key."""
-    right = patches.select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(c).alias(f"__{c}") for c in columns])
+def override_table(base: DataFrame, patches: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Column) -> DataFrame:
+    """Patch values win over base values; patch rows with a new key are added.
+
+    Of several patches for a key each cell takes the first filled value in the order.
+    """
+    cells = [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"__{c}") for c in columns]
+    right = patches.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(*cells)
     joined = base.join(right, [F.col(k) == F.col(f"__{k}") for k in keys], "full_outer")
     out = []
     for c in base.columns:

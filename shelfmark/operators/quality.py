@@ -112,10 +112,24 @@ def duplicate_report(df: DataFrame, keys: Keys, field: str) -> DataFrame:
     )
 
 
-def run_all(df: DataFrame, schema: T.StructType, checks: Sequence[Check], keys: Keys, key_field: str) -> DataFrame:
-    """The whole report: schema, column checks, duplicates."""
-    known = [c for c in checks if c.field in df.columns]
-    return schema_report(df, schema).unionByName(run_checks(df, known)).unionByName(duplicate_report(df, keys, key_field))
+def missing_required(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Report row for each required column that the table lacks."""
+    rows = [("CRITICAL", name, "required column missing", 1, []) for name in fields if name not in df.columns]
+    return df.sparkSession.createDataFrame(rows, REPORT)
+
+
+def run_all(
+    df: DataFrame, schema: T.StructType, checks: Sequence[Check], keys: Keys, key_field: str, required_fields: Sequence[str] = ()
+) -> DataFrame:
+    """The whole report: schema, required columns, column checks, duplicates.
+
+    ``required_fields`` are checked for empty cells where the column is there; a missing one is critical. Other checks of
+    missing columns are left out, the schema rows name the column.
+    """
+    every = [*checks, *(required(name) for name in required_fields)]
+    known = [c for c in every if c.field in df.columns]
+    report = schema_report(df, schema).unionByName(missing_required(df, required_fields))
+    return report.unionByName(run_checks(df, known)).unionByName(duplicate_report(df, keys, key_field))
 
 
 def is_valid(report: DataFrame) -> DataFrame:
@@ -159,8 +173,11 @@ def repair_contradictions(df: DataFrame, series: str, verified_series: str, firs
 
 
 def gap_triggers(df: DataFrame, columns: dict[str, str], triggers: dict = models.GAP_TRIGGERS, convergence: float = models.CONVERGENCE) -> DataFrame:
-    """(phase, field, missing_share, threshold, run, converged): which repair phase the gaps call for."""
-    audit = missing_audit(df, list(columns.values()))
+    """(phase, gap, missing_share, threshold, run, converged): which repair phase the gaps call for.
+
+    ``columns``: column of each gap; several gaps may look at one column.
+    """
+    audit = missing_audit(df, list(dict.fromkeys(columns.values())))
     rules = [(phase, name, columns[name], limit) for phase, fields in triggers.items() for name, limit in fields.items() if name in columns]
     table = df.sparkSession.createDataFrame(rules, "phase string, gap string, field string, threshold double")
     share = F.round(F.col("missing") / F.nullif(F.col("missing") + F.col("present"), F.lit(0)), 6)

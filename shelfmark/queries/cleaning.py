@@ -165,19 +165,20 @@ def twin_values(t: Tables) -> DataFrame:
 
 @query(
     "manual_overrides",
-    """WITH p AS (SELECT o_custkey AS c_custkey, CAST(NULL AS VARCHAR) AS c_name, 'VIP' AS c_mktsegment FROM orders WHERE o_totalprice > 400000 GROUP BY 1
- UNION ALL SELECT s_suppkey + 1000000000, s_name, NULL FROM supplier)
+    """WITH every AS (
+  SELECT o_custkey AS c_custkey, CASE WHEN o_orderstatus = 'F' THEN 'Clerk ' || o_orderkey END AS c_name, o_orderpriority AS c_mktsegment, o_orderkey AS ord FROM orders
+  UNION ALL SELECT s_suppkey + 1000000000, s_name, NULL, s_suppkey FROM supplier
+),
+p AS (SELECT c_custkey, arg_min(c_name, ord) AS c_name, arg_min(c_mktsegment, ord) AS c_mktsegment FROM every GROUP BY 1)
 SELECT coalesce(p.c_custkey, c.c_custkey) AS c_custkey, coalesce(p.c_name, c.c_name) AS c_name, coalesce(p.c_mktsegment, c.c_mktsegment) AS c_mktsegment,
  c.c_acctbal FROM customer c FULL JOIN p ON c.c_custkey = p.c_custkey""",
 )
 def manual_overrides(t: Tables) -> DataFrame:
-    vip = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    vip = vip.select("c_custkey", F.lit(None).cast("string").alias("c_name"), F.lit("VIP").alias("c_mktsegment"))
-    added = t.supplier.select(
-        (F.col("s_suppkey") + 1000000000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit(None).cast("string").alias("c_mktsegment")
-    )
+    name = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Clerk "), F.col("o_orderkey")))
+    patches = t.orders.select(F.col("o_custkey").alias("c_custkey"), name.alias("c_name"), F.col("o_orderpriority").alias("c_mktsegment"), F.col("o_orderkey").alias("ord"))
+    added = t.supplier.select((F.col("s_suppkey") + 1000000000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.lit(None).cast("string").alias("c_mktsegment"), "s_suppkey")
     base = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
-    return overlay.override_table(base, vip.union(added), ["c_custkey"], ["c_name", "c_mktsegment"])
+    return overlay.override_table(base, patches.union(added), ["c_custkey"], ["c_name", "c_mktsegment"], F.col("ord"))
 
 
 @query(

@@ -284,9 +284,14 @@ def eligible_outreach(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", FL.eligible_outreach("status", "mail").alias("eligible"), FL.not_failed("mail").alias("looked_up"))
 
 
-@query("spot_check")
+@query(
+    "spot_check",
+    f"""WITH {BOOKS}, k AS (SELECT *, series_id || '-' || CAST(book_number AS INTEGER) || '-' || book_id AS key FROM books)
+SELECT * EXCLUDE (key) FROM k ORDER BY md5(key || '|7'), key LIMIT 20""",
+)
 def spot_check(t: Tables) -> DataFrame:
-    return FL.spot_check(books(t), F.struct("series_id", "book_number", "book_id"), 20)
+    key = F.concat_ws("-", "series_id", F.col("book_number").cast("int"), "book_id")
+    return FL.spot_check(books(t), key, 20)
 
 
 @query(

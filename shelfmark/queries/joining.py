@@ -31,11 +31,12 @@ def keyed_left_join(t: Tables) -> DataFrame:
 
 @query(
     "lookup_default",
-    "SELECT c_custkey, coalesce(t100, 'Not Listed') AS listed FROM customer LEFT JOIN (SELECT o_custkey, max(o_orderpriority) AS t100 FROM orders WHERE o_totalprice > 300000 GROUP BY 1) ON c_custkey = o_custkey",
+    """WITH first AS (SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) AS t100 FROM orders GROUP BY 1)
+SELECT c_custkey, coalesce(t100, 'Not Listed') AS listed FROM customer LEFT JOIN first ON c_custkey = o_custkey""",
 )
 def lookup_default(t: Tables) -> DataFrame:
-    table = t.orders.filter("o_totalprice > 300000")
-    return J.lookup(t.customer.select("c_custkey"), table, F.col("c_custkey"), F.col("o_custkey"), "o_orderpriority", "listed", "Not Listed")
+    customers = t.customer.select("c_custkey")
+    return J.lookup(customers, t.orders, F.col("c_custkey"), F.col("o_custkey"), "o_orderpriority", "listed", "Not Listed", F.col("o_orderkey"))
 
 
 @query(
@@ -190,10 +191,9 @@ SELECT o_orderkey, (SELECT arg_min(r_name, ord) FROM b WHERE o_totalprice >= low
 )
 def band_table(t: Tables) -> DataFrame:
     key = F.col("r_regionkey")
-    bands = t.region.select(
-        key.alias("ord"), (key * 100000.0).alias("low"), F.when(key < 4, key * 100000 + F.lit(99999.99)).alias("high"), "r_name"
-    )
-    band = J.band_table(bands, F.col("o_totalprice"), "low", "high", "ord", ["r_name"])
+    bands = t.region.select((key * 100000.0).alias("low"), F.when(key < 4, key * 100000 + F.lit(99999.99)).alias("high"), "r_name")
+    # the regions are the configuration here: a fixed list of five
+    band = J.band_table([r.asDict() for r in bands.orderBy("low").collect()], F.col("o_totalprice"), "low", "high", ["r_name"])
     return t.orders.select("o_orderkey", band["r_name"].alias("r_name"))
 
 
@@ -466,17 +466,23 @@ def results_by_author(t: Tables) -> DataFrame:
 
 @query(
     "results_by_row",
-    """WITH r AS (SELECT l_orderkey, max(l_quantity) AS pages, max(l_extendedprice) AS price, min(l_returnflag) AS status, count(*) AS n FROM lineitem GROUP BY 1)
-SELECT o_orderkey, coalesce(r.status, o_orderstatus) AS status, coalesce(CASE WHEN o_orderpriority LIKE '1%' THEN o_orderpriority END, 'found') AS trope, CASE WHEN o_orderstatus = 'F' THEN coalesce(r.pages, 0) ELSE 5 END AS pages, greatest(4, r.n) AS books FROM orders LEFT JOIN r ON o_orderkey = l_orderkey""".replace(
-        "'found') AS trope", "CASE WHEN r.status IS NOT NULL THEN 'found' END) AS trope"
-    ),
+    """WITH r AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem) WHERE rn = 1
+)
+SELECT o_orderkey, coalesce(l_returnflag, o_orderstatus) AS status,
+  coalesce(CASE WHEN o_orderpriority LIKE '1%' THEN o_orderpriority END, CASE WHEN l_orderkey IS NOT NULL THEN 'found' END) AS trope,
+  CASE WHEN o_orderstatus = 'F' THEN coalesce(l_quantity, 0) ELSE 5 END AS pages, greatest(4, l_linenumber) AS books
+FROM orders LEFT JOIN r ON o_orderkey = l_orderkey""",
 )
 def results_by_row(t: Tables) -> DataFrame:
     base = t.orders.select(
         "o_orderkey", F.col("o_orderstatus").alias("status"), F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority")).alias("trope"),
         F.when(F.col("o_orderstatus") == "F", 0.0).otherwise(5.0).alias("pages"), F.lit(4).cast("long").alias("books"),
     )
-    results = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min("l_returnflag").alias("status"), F.lit("found").alias("trope"), F.max("l_quantity").alias("pages"), F.count(F.lit(1)).alias("books")
+    results = t.lineitem.select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("status"), F.lit("found").alias("trope"),
+        F.col("l_quantity").alias("pages"), F.col("l_linenumber").cast("long").alias("books"), "l_extendedprice",
     )
-    return O.apply_by_row(base, results, "o_orderkey", {"status": "overwrite", "trope": "fill", "pages": "fill_zero", "books": "larger"})
+    best_first = F.struct(-F.col("l_extendedprice"), F.col("books"))
+    policies = {"status": "overwrite", "trope": "fill", "pages": "fill_zero", "books": "larger"}
+    return O.apply_by_row(base, results, "o_orderkey", policies, best_first)

@@ -95,20 +95,23 @@ def group_modes(t: Tables) -> DataFrame:
 
 @query(
     "concat_unique",
-    f"""WITH {BOOKS}, f AS (SELECT series_id, publisher, row_number() OVER (PARTITION BY series_id, publisher ORDER BY book_number, book_id) AS rn, book_number, book_id FROM books)
-SELECT series_id, CAST(0 AS INTEGER) AS part, CAST(1 AS INTEGER) AS parts, string_agg(publisher, ' | ' ORDER BY book_number, book_id) AS publisher FROM f WHERE rn = 1 GROUP BY 1""",
+    f"""WITH {BOOKS}, f AS (
+  SELECT publisher, title, row_number() OVER (PARTITION BY publisher, title ORDER BY series_id, book_id) AS rn, series_id, book_id FROM books
+)
+SELECT publisher, row_number() OVER (PARTITION BY publisher ORDER BY series_id, book_id, title) AS position, title FROM f WHERE rn = 1""",
 )
 def concat_unique(t: Tables) -> DataFrame:
-    return groups.concat_unique(books(t), ["series_id"], "publisher", with_position())
+    return groups.concat_unique(books(t), ["publisher"], "title", F.struct("series_id", "book_id"))
 
 
 @query(
     "member_lists",
-    f"""WITH {BOOKS} SELECT series_id, CAST(0 AS INTEGER) AS part, CAST(1 AS INTEGER) AS parts, string_agg(title, ', ' ORDER BY book_number, book_id) AS titles FROM books GROUP BY 1""",
+    f"""WITH {BOOKS} SELECT publisher, row_number() OVER (PARTITION BY publisher ORDER BY series_id, book_number, book_id) AS position, title FROM books""",
 )
 def member_lists(t: Tables) -> DataFrame:
-    parts = groups.list_parts(books(t), ["series_id"], F.col("title"), with_position())
-    return parts.select("series_id", "part", "parts", F.array_join("values", ", ").alias("titles"))
+    """Three groups that hold all rows."""
+    order = F.struct("series_id", "book_number", "book_id")
+    return groups.listed(books(t), ["publisher"], F.col("title"), order).withColumnRenamed("value", "title")
 
 
 _RANKED = """ranked AS (SELECT b.*, s.rank AS sports_rank, h.rank AS hockey_rank FROM books b LEFT JOIN (SELECT list_id, rank FROM rank_list WHERE list_name IN ('PROMO', 'SMALL')) s ON s.list_id = b.book_id // 100000000
@@ -302,12 +305,12 @@ def series_summary(t: Tables) -> DataFrame:
 
 @query(
     "series_by_author",
-    """SELECT o_custkey, CAST(0 AS INTEGER) AS part, CAST(1 AS INTEGER) AS parts, string_agg(o_orderkey || ':' || o_orderpriority, '; ' ORDER BY o_orderkey) AS series FROM orders GROUP BY 1""",
+    """SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS position, o_orderkey || ':' || o_orderpriority AS series FROM orders""",
 )
 def series_by_author(t: Tables) -> DataFrame:
     lists = nested.series_by_author(t.orders, "o_custkey", ["o_orderkey", "o_orderpriority"], F.col("o_orderkey"))
-    text = F.transform("values", lambda s: F.concat(s["o_orderkey"].cast("string"), F.lit(":"), s["o_orderpriority"]))
-    return lists.select("o_custkey", "part", "parts", F.array_join(text, "; ").alias("series"))
+    text = F.concat(F.col("value.o_orderkey").cast("string"), F.lit(":"), F.col("value.o_orderpriority"))
+    return lists.select("o_custkey", "position", text.alias("series"))
 
 
 @query(
@@ -323,8 +326,10 @@ SELECT series_id, CAST(count(*) AS INTEGER) AS books, max(name) FILTER (a = 1) A
 )
 def nested_books(t: Tables) -> DataFrame:
     rows = books(t).withColumnsRenamed({"title": "name", "rating_count": "count"}).withColumn("number", F.col("book_number").cast("string"))
-    arrays = nested.nest_books(rows, ["series_id"], ["name", "number", "rating", "count"], with_position())
-    stored = arrays.select("series_id", F.to_json("values").alias("books_json"))
+    long = nested.nest_books(rows, ["series_id"], ["name", "number", "rating", "count"], with_position())
+    # the stored form is one cell for a series, as long as the series
+    arrays = long.groupBy("series_id").agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("l"))
+    stored = arrays.select("series_id", F.to_json(F.transform("l", lambda x: x["value"])).alias("books_json"))
     summary = nested.nested_summary(nested.parse_books("books_json"))
     out = stored.select("series_id", summary.alias("s")).select("series_id", "s.*")
     return out.withColumn("avg_rating", F.round("avg_rating", 4)).drop("last_rating", "last_count")

@@ -281,7 +281,9 @@ _CHECK_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("event_
 
 @query(
     "validation_report",
-    """SELECT 'WARNING' AS severity, 'url' AS field, 'missing column' AS check, 1::BIGINT AS n, '' AS sample UNION ALL SELECT 'INFO', 'mail', 'unknown column', 1, ''
+    """SELECT 'WARNING' AS severity, 'url' AS field, 'missing column' AS check, 1::BIGINT AS n, '' AS sample
+UNION ALL SELECT 'INFO', 'mail', 'unknown column', 1, ''
+UNION ALL SELECT 'CRITICAL', 'series', 'required column missing', 1, ''
 UNION ALL SELECT 'ERROR', 'event_type', 'required', count(*), '' FROM events WHERE event_type = 'error' UNION ALL SELECT 'ERROR', 'value', 'outside 1 to 30', count(*), min(value) || '|' || max(value) FROM events WHERE value < 1 OR value > 30
 UNION ALL SELECT 'ERROR', 'props', 'not a number', count(*), min(props) || '|' || max(props) FROM events UNION ALL SELECT 'WARNING', 'user_id', 'duplicates', sum(n)::BIGINT, '' FROM (SELECT count(*) AS n FROM events GROUP BY user_id, event_type HAVING count(*) > 1)
 UNION ALL SELECT 'WARNING', 'props', 'unexpected form', count(*), min(props) || '|' || max(props) FROM events WHERE NOT regexp_matches(props, '^\\{"k": [0-9]\\}')""",
@@ -289,17 +291,30 @@ UNION ALL SELECT 'WARNING', 'props', 'unexpected form', count(*), min(props) ||
 def validation_report(t: Tables) -> DataFrame:
     rows = t.events.withColumn("event_type", F.when(F.col("event_type") == "error", F.lit(" ")).otherwise(F.col("event_type"))).withColumn("mail", F.lit("x"))
     checks = [
-        Q.required("event_type"), Q.recommended("props"), Q.numeric("props"), Q.numeric("value"), Q.not_negative("value"), Q.in_range("value", 1, 30),
+        Q.recommended("props"), Q.numeric("props"), Q.numeric("value"), Q.not_negative("value"), Q.in_range("value", 1, 30),
         Q.matches("props", '\\{"k": [0-9]\\}'),
     ]
     keys = ["user_id", F.when(F.trim("event_type") == "", F.lit("error")).otherwise(F.col("event_type"))]
-    report = Q.run_all(rows, _CHECK_SCHEMA, checks, keys, "user_id")
+    report = Q.run_all(rows, _CHECK_SCHEMA, checks, keys, "user_id", ["event_type", "series"])
     return report.withColumn("sample", F.array_join("sample", "|"))
 
 
-@query("report_validity", "SELECT false AS valid")
+@query(
+    "report_validity",
+    """SELECT 'range' AS report, count(*) FILTER (value < 1 OR value > 30 OR trim(event_type) = '') = 0 AS valid FROM events
+UNION ALL SELECT 'sign', count(*) FILTER (value < 0 OR trim(event_type) = '') = 0 FROM events
+UNION ALL SELECT 'columns', count(*) = 2 FROM (DESCRIBE events) WHERE column_name IN ('event_type', 'series')""",
+)
 def report_validity(t: Tables) -> DataFrame:
-    return Q.is_valid(Q.run_checks(t.events, [Q.in_range("value", 1, 30), Q.required("event_type")]))
+    """A value out of range, a clean table, and a clean table that lacks a required column."""
+    keys, schema = ["event_id"], t.events.schema
+    reports = {
+        "range": Q.run_checks(t.events, [Q.in_range("value", 1, 30), Q.required("event_type")]),
+        "sign": Q.run_checks(t.events, [Q.not_negative("value"), Q.required("event_type")]),
+        "columns": Q.run_all(t.events, schema, [Q.not_negative("value")], keys, "event_id", ["event_type", "series"]),
+    }
+    rows = [Q.is_valid(report).select(F.lit(name).alias("report"), "valid") for name, report in reports.items()]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 @query(
@@ -339,10 +354,11 @@ def contradiction_repairs(t: Tables) -> DataFrame:
 @query(
     "gap_triggers",
     f"""WITH {BOOKS}, m AS (SELECT round((count(*) - count(rating)) / count(*)::DOUBLE, 6) AS r, round((count(*) - count(pages)) / count(*)::DOUBLE, 6) AS p FROM books)
-SELECT 'recovery' AS phase, 'store_rating' AS gap, r AS missing_share, 0.10::DOUBLE AS threshold, r > 0.10 AS run, r < 0.02 AS converged FROM m UNION ALL SELECT 'detailed', 'pages', p, 0.10::DOUBLE, p > 0.10, p < 0.02 FROM m UNION ALL SELECT 'detailed', 'publisher', 0.0::DOUBLE, 0.10::DOUBLE, false, true""",
+SELECT 'recovery' AS phase, 'store_rating' AS gap, r AS missing_share, 0.10::DOUBLE AS threshold, r > 0.10 AS run, r < 0.02 AS converged FROM m UNION ALL SELECT 'series_bulk', 'review_rating', r, 0.10::DOUBLE, r > 0.10, r < 0.02 FROM m
+UNION ALL SELECT 'detailed', 'pages', p, 0.10::DOUBLE, p > 0.10, p < 0.02 FROM m UNION ALL SELECT 'detailed', 'publisher', 0.0::DOUBLE, 0.10::DOUBLE, false, true""",
 )
 def gap_triggers(t: Tables) -> DataFrame:
-    return Q.gap_triggers(books(t), {"store_rating": "rating", "pages": "pages", "publisher": "publisher"})
+    return Q.gap_triggers(books(t), {"store_rating": "rating", "review_rating": "rating", "pages": "pages", "publisher": "publisher"})
 
 
 _MASTER = f"""WITH {BOOKS}, {RANK_LIST}, {_ROLLED}, m AS (SELECT s.*, o_custkey, o_orderpriority AS subgenre FROM s JOIN orders ON o_orderkey = series_id),

@@ -44,10 +44,22 @@ def folded_texts(t: Tables) -> DataFrame:
 
 @query(
     "subtitles",
-    f"""WITH {TITLED} SELECT p_partkey, nullif(trim(regexp_extract(title, '^[^:]*:\\s*(.+)$', 1)), '') AS subtitle, trim(regexp_replace(title, ':.*$', '')) AS main_title FROM titled""",
+    f"""WITH {TITLED}, m AS (
+  SELECT p_partkey, CASE WHEN p_size % 3 = 1 THEN replace(title, ':', ' –') WHEN p_size % 3 = 2 THEN replace(title, ':', '—') || CASE WHEN p_size % 2 = 0 THEN ': x' ELSE '' END ELSE title END AS title
+  FROM titled
+),
+c AS (SELECT *, CASE WHEN contains(title, ':') THEN ':' WHEN contains(title, '–') THEN '–' WHEN contains(title, '—') THEN '—' END AS mark FROM m)
+SELECT p_partkey, nullif(trim(substr(title, instr(title, mark) + 1)), '') AS subtitle,
+  trim(CASE WHEN mark IS NULL THEN title ELSE substr(title, 1, instr(title, mark) - 1) END) AS main_title
+FROM c""",
 )
 def subtitles(t: Tables) -> DataFrame:
-    return titled_parts(t).select("p_partkey", TT.subtitle("title").alias("subtitle"), TT.main_title("title").alias("main_title"))
+    """Colons, en dashes, em dashes, and a colon after an em dash."""
+    size = F.col("p_size") % 3
+    more = F.when(F.col("p_size") % 2 == 0, F.lit(": x")).otherwise(F.lit(""))
+    dashed = F.when(size == 1, F.replace("title", F.lit(":"), F.lit(" –"))).when(size == 2, F.concat(F.replace("title", F.lit(":"), F.lit("—")), more)).otherwise(F.col("title"))
+    rows = titled_parts(t).withColumn("title", dashed)
+    return rows.select("p_partkey", TT.subtitle("title").alias("subtitle"), TT.main_title("title").alias("main_title"))
 
 
 @query(
@@ -477,16 +489,24 @@ def slug_matches(t: Tables) -> DataFrame:
 
 @query(
     "evidence_on_pages",
-    """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'charset' WHEN o_orderstatus = 'O' THEN 'No Such Name' ELSE '' END AS series, CASE WHEN o_orderpriority LIKE '1%' THEN 'track(' ELSE 'nobody at all' END AS author, o_orderkey % 400 AS p1, o_custkey % 300 AS p2 FROM orders),
-l AS (SELECT o_orderkey, series, author, p1 AS p FROM c UNION ALL SELECT o_orderkey, series, author, p2 FROM c),
-j AS (SELECT l.*, html IS NOT NULL AS f, coalesce((series <> '' AND contains(lower(html), lower(series))) OR contains(lower(html), lower(author)), false) AS m FROM l LEFT JOIN pages ON page_id = p)
+    """WITH c AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'charset' WHEN o_orderstatus = 'O' THEN 'No Such Name' ELSE '' END AS series, CASE WHEN o_orderpriority LIKE '1%' THEN 'track(' ELSE 'nobody at all' END AS author, o_orderkey % n AS p1, o_custkey % n AS p2
+  FROM orders, (SELECT max(page_id) * 2 AS n FROM pages)),
+l AS (SELECT o_orderkey, series, author, p1 AS p FROM c UNION SELECT o_orderkey, series, author, p2 FROM c),
+v AS (SELECT page_id, html FROM pages UNION ALL SELECT page_id, 'an older version by nobody at all' FROM pages WHERE page_id % 3 = 0),
+j AS (
+  SELECT l.*, max(page_id) IS NOT NULL AS f,
+    coalesce(bool_or((series <> '' AND contains(lower(html), lower(series))) OR contains(lower(html), lower(author))), false) AS m
+  FROM l LEFT JOIN v ON page_id = p GROUP BY ALL
+)
 SELECT o_orderkey, count(*) FILTER (m) AS matched, count(*) FILTER (f) AS fetched, CASE WHEN bool_or(m) THEN 'PASS' WHEN bool_or(f) THEN 'PARTIAL' ELSE 'FAIL' END AS status FROM j GROUP BY 1""",
 )
 def evidence_on_pages(t: Tables) -> DataFrame:
-    stored = t.pages.select(F.concat(F.lit("https://p.example.com/"), F.col("page_id")).alias("url"), "html")
-    links = F.array(
-        F.concat(F.lit("https://p.example.com/"), F.pmod("o_orderkey", F.lit(400))), F.concat(F.lit("https://p.example.com/"), F.pmod("o_custkey", F.lit(300)))
-    )
+    """Links spread over twice the range of the pages; every third page is stored in two versions."""
+    address = F.concat(F.lit("https://p.example.com/"), F.col("page_id")).alias("url")
+    older = t.pages.filter("page_id % 3 = 0").select(address, F.lit("an older version by nobody at all").alias("html"))
+    stored = t.pages.select(address, "html").union(older)
+    n = F.lit(t.pages.agg(F.max("page_id")).first()[0] * 2)
+    links = F.array(*[F.concat(F.lit("https://p.example.com/"), F.pmod(key, n)) for key in ("o_orderkey", "o_custkey")])
     series = F.when(F.col("o_orderstatus") == "F", F.lit("charset")).when(F.col("o_orderstatus") == "O", F.lit("No Such Name")).otherwise(F.lit(""))
     author = F.when(F.col("o_orderpriority").startswith("1"), F.lit("Track(")).otherwise(F.lit("nobody at all"))
     claims = t.orders.select("o_orderkey", series.alias("series"), author.alias("author"), F.explode(links).alias("url"))

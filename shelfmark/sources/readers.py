@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,17 +28,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return reader.csv(path)
 
 
-def read_table(spark: SparkSession, path: str, least_bytes: int = 1 << 20, most_bytes: int = 256 << 20) -> DataFrame:
-    """Parquet table; a small one is dealt out evenly over the cores.
-
-    A file with one row group is read by one task, and all work up to the first shuffle stays in that task. A
-    table of a few megabytes is cheap to move and is therefore repartitioned by round robin; larger tables
-    come in enough splits and are left as they are.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if least_bytes < size < most_bytes else df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table, split as its files and row groups are."""
+    return spark.read.parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -67,9 +60,13 @@ CATEGORY_HEADER = ["Series, Long", "Ratings & Appeal", "Publishers", "Objective
 def read_multiheader_csv(spark: SparkSession, path: str, name_column: str = "Book Series Name") -> DataFrame:
     """CSV whose first row may be a category header above the column names.
 
-    Only the first two rows are looked at on the driver. Rows without any value or without a name are dropped.
+    Only the first two rows are looked at on the driver; the columns are as many as the longer of them has, so a
+    category row may be shorter than the header. Rows without any value or without a name are dropped.
     """
-    raw = spark.read.option("header", False).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+    reader = spark.read.option("header", False).option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+    lines = [r["value"] for r in spark.read.text(path).limit(2).collect()]
+    width = max((len(next(csv.reader([line]))) for line in lines if line), default=1)
+    raw = reader.schema(T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(width)])).csv(path)
     head = [list(r) for r in raw.take(2)]
     text = " ".join(str(v) for v in head[0])
     skip = 2 if any(word in text for word in CATEGORY_HEADER) else 1

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import lower_trim
-from shelfmark.operators import clusters, dedupe, filters, groups, matching, nested, overlay, ranking, rollup, schema, scoring
+from shelfmark.operators import clusters, dedupe, filters, groups, matching, nested, overlay, quality, ranking, rollup, schema, scoring
 from shelfmark.operators.containment import contained_pairs, small_list_pairs
 from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 
@@ -289,13 +289,30 @@ def test_prefix_series_against_pairs(spark):
     assert got == want
 
 
-def test_list_parts_keep_everything(spark):
-    rows = [("big", i) for i in range(950)] + [("small", i) for i in range(5)]
-    parts = groups.list_parts(spark.createDataFrame(rows, "k string, v long"), ["k"], F.col("v"), F.col("v"), part_size=100).collect()
-    big = [p for p in parts if p["k"] == "big"]
-    assert len(big) > 1 and sorted(v for p in big for v in p["values"]) == list(range(950))
-    assert all(p["values"] == sorted(p["values"]) and len(p["values"]) < 250 for p in big)
-    assert [p["values"] for p in parts if p["k"] == "small"] == [[0, 1, 2, 3, 4]]
+def test_lists_have_exact_positions_at_every_size(spark):
+    rows = [("big", i % 2500, f"v{i}") for i in range(5000)] + [("small", i, "x") for i in range(5)] + [(None, 1, "y")]
+    found = groups.listed(spark.createDataFrame(rows, "k string, o long, v string").repartition(7), ["k"], F.col("v"), F.col("o")).collect()
+    for key in ("big", "small", None):
+        want = [v for _, v in sorted((o, v) for k, o, v in rows if k == key)]
+        assert [r["value"] for r in sorted((r for r in found if r["k"] == key), key=lambda r: r["position"])] == want
+        assert sorted(r["position"] for r in found if r["k"] == key) == list(range(1, len(want) + 1))
+
+
+def test_results_come_as_whole_rows_and_patches_cell_by_cell(spark):
+    base = spark.createDataFrame([(1, 1.0, 5), (2, None, 6)], "id long, rating double, votes long")
+    results = spark.createDataFrame([(1, 4.9, 3, 2), (1, 3.1, 900, 1), (2, 2.0, 1, 1)], "id long, rating double, votes long, ord int")
+    laid = overlay.apply_by_row(base, results, "id", {"rating": "overwrite", "votes": "overwrite"}, F.col("ord"))
+    assert sorted(map(tuple, laid.collect())) == [(1, 3.1, 900), (2, 2.0, 1)]
+    patches = spark.createDataFrame([(1, None, 7, 1), (1, 8.0, 9, 2), (3, 1.5, None, 1)], "id long, rating double, votes long, ord int")
+    out = overlay.override_table(base, patches, ["id"], ["rating", "votes"], F.col("ord"))
+    assert sorted(map(tuple, out.collect())) == [(1, 8.0, 7), (2, None, 6), (3, 1.5, None)]
+
+
+def test_a_missing_required_column_is_critical(spark):
+    rows = spark.createDataFrame([(1, "a")], "id long, name string")
+    report = quality.run_all(rows, rows.schema, [], ["id"], "id", ["name", "series"])
+    assert [tuple(r)[:3] for r in report.collect()] == [("CRITICAL", "series", "required column missing")]
+    assert not quality.is_valid(report).first()[0]
 
 
 def test_drop_minority(spark):
