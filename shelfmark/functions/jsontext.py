@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.functions.contacts import checked_evidence
 from shelfmark.functions.nulls import col, let, present, to_number, to_whole, trim_space
 
 
@@ -64,56 +65,88 @@ def answer_sources(c: Column | str) -> Column:
     return F.array_distinct(F.filter(F.transform(chunks, lambda x: x["web"]["uri"]), lambda u: u.isNotNull()))
 
 
-SERIES_ITEM = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "series_name", "goodreads_series_url", "primary_works", "total_books", "threshold_flag",
-            "first_book_title", "first_book_goodreads_rating", "first_book_goodreads_rating_count",
-            "genre_bucket", "lead_pairing", "sub_genre", "primary_trope", "evidence_url", "evidence_note",
-        )
-    ]
-)
-AUTHOR_PAYLOAD = T.StructType(
-    [
-        T.StructField("author_name", T.StringType()),
-        T.StructField("represented", T.BooleanType()),
-        T.StructField("representation_evidence_url", T.StringType()),
-        T.StructField("qualifying_series", T.ArrayType(SERIES_ITEM)),
-    ]
+# Keys of an author payload whose names differ from client to client; a caller maps its own names to these.
+PAYLOAD_KEYS = {
+    "represented": "represented",
+    "author_check_url": "author_check_url",
+    "check_status": "check_status",
+    "check_url": "check_url",
+    "check_note": "check_note",
+}
+_AUTHOR_TEXTS = ("author_name", "representation_evidence_url", "author_check_url")
+_SERIES_TEXTS = (
+    "series_name", "goodreads_series_url", "primary_works", "total_books", "threshold_flag", "first_book_title",
+    "first_book_goodreads_rating", "first_book_goodreads_rating_count", "genre_bucket", "lead_pairing", "sub_genre",
+    "primary_trope", "check_status", "check_url", "check_note", "confidence_notes",
 )
 
 
-def author_payload(c: Column | str, author: Column | str) -> Column:
-    """One author payload from any of three shapes: an object, a list of objects, a list of series."""
-    return let(bare_json(c), lambda text: _author_payload(text, author))
+def author_payload(c: Column | str, author: Column | str, keys: dict[str, str] | None = None) -> Column:
+    """One author payload from any of three shapes: an object, a list of objects, a list of series.
 
+    ``keys`` gives the payload's names for the entries of ``PAYLOAD_KEYS``. The text is parsed once, as a list of objects
+    that may have the fields of an author and of a series; a single object is made a list first.
+    """
+    named = PAYLOAD_KEYS | (keys or {})
+    return let(bare_json(c), lambda text: _author_payload(text, author, named))
+
+
+def _author_payload(text: Column, author: Column | str, named: dict[str, str]) -> Column:
+    def fields(names) -> list[T.StructField]:
+        return [T.StructField(named.get(name, name), T.StringType()) for name in names]
+
+    urls = T.StructField("support_urls", T.ArrayType(T.StringType()))
+    series = T.StructType([*fields(_SERIES_TEXTS), urls])
+    represented = T.StructField(named["represented"], T.BooleanType())
+    own = [*fields(_AUTHOR_TEXTS), represented, T.StructField("qualifying_series", T.ArrayType(series))]
+    both = T.StructType([*own, *(f for f in series.fields if f.name not in {x.name for x in own})])
+    listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+
+    def as_series(x: Column) -> Column:
+        return F.struct(*[x[named.get(name, name)].alias(name) for name in _SERIES_TEXTS], x["support_urls"].alias("support_urls"))
+
+    def payload(items: Column) -> Column:
+        is_series = ~text.startswith("{") & F.exists(items, lambda x: x["series_name"].isNotNull())
+        first = F.try_element_at(items, F.lit(1))
+        return F.when(
+            is_series,
+            F.struct(
+                col(author).alias("author_name"), F.lit("").alias("representation_evidence_url"), F.lit("").alias("author_check_url"),
+                F.lit(True).alias("represented"), F.transform(items, as_series).alias("qualifying_series"),
+            ),
+        ).when(
+            first.isNotNull(),
+            F.struct(
+                *[first[named.get(name, name)].alias(name) for name in _AUTHOR_TEXTS], first[named["represented"]].alias("represented"),
+                F.transform(first["qualifying_series"], as_series).alias("qualifying_series"),
+            ),
+        )
 
-def _author_payload(text: Column, author: Column | str) -> Column:
-    objects = F.from_json(text, T.ArrayType(AUTHOR_PAYLOAD), {"mode": "PERMISSIVE"})
-    series = F.from_json(text, T.ArrayType(SERIES_ITEM), {"mode": "PERMISSIVE"})
-    is_series = F.exists(series, lambda s: s["series_name"].isNotNull())
-    wrapped = F.struct(
-        col(author).alias("author_name"),
-        F.lit(True).alias("represented"),
-        F.lit("").alias("representation_evidence_url"),
-        series.alias("qualifying_series"),
-    )
-    is_list = F.json_array_length(text).isNotNull()
-    return (
-        F.when(is_list & is_series, wrapped)
-        .when(is_list, F.try_element_at(objects, F.lit(1)))
-        .otherwise(F.from_json(text, AUTHOR_PAYLOAD, {"mode": "PERMISSIVE"}))
-    )
+    return let(F.from_json(listed, T.ArrayType(both), {"mode": "PERMISSIVE"}), payload)
+
+
+# Outcomes of the evidence check (M12)
+CHECK_STATES = ["yes_series_level", "yes_author_level", "no"]
 
 
-def qualifying_series(payload: Column, threshold: int = 5) -> Column:
-    """ARRAY of the series of a represented author with at least ``threshold`` main works, typed, defaults set."""
+def qualifying_series(payload: Column, threshold: int = 5, domains: list[str] | None = None) -> Column:
+    """ARRAY of the series of a represented author with at least ``threshold`` main works, typed, defaults set.
+
+    An unknown check state is ``no``; with ``domains`` it is kept only while its evidence lies on one of them.
+    """
+    author_url = present(payload["author_check_url"])
 
     def typed(s: Column) -> Column:
         works = to_whole(s["primary_works"], "commas")
+        state = F.lower(F.trim(F.coalesce(s["check_status"], F.lit(""))))
+        state = F.when(state.isin(CHECK_STATES), state).otherwise(F.lit("no"))
+        checked = F.struct(state.alias("status"), present(s["check_url"]).alias("url"))
+        if domains:
+            checked = checked_evidence(state, present(s["check_url"]), author_url, domains)
+        urls = F.coalesce(s["support_urls"], F.array().cast("array<string>"))
         return F.struct(
             present(s["series_name"]).alias("series_name"),
+            present(s["goodreads_series_url"]).alias("series_url"),
             works.alias("primary_works"),
             to_whole(s["total_books"], "commas").alias("total_books"),
             F.coalesce(
@@ -123,6 +156,17 @@ def qualifying_series(payload: Column, threshold: int = 5) -> Column:
             present(s["first_book_title"]).alias("first_book_title"),
             to_number(s["first_book_goodreads_rating"], "commas").alias("first_book_rating"),
             to_whole(s["first_book_goodreads_rating_count"], "commas").alias("first_book_rating_count"),
+            present(s["genre_bucket"]).alias("genre"),
+            present(s["lead_pairing"]).alias("lead_pairing"),
+            present(s["sub_genre"]).alias("sub_genre"),
+            present(s["primary_trope"]).alias("primary_trope"),
+            checked["status"].alias("check_status"),
+            checked["url"].alias("check_url"),
+            present(s["check_note"]).alias("check_note"),
+            author_url.alias("author_check_url"),
+            present(payload["representation_evidence_url"]).alias("representation_evidence_url"),
+            F.array_join(F.array_distinct(F.filter(F.transform(urls, lambda u: F.trim(u)), lambda u: u != "")), " | ").alias("support_urls"),
+            present(s["confidence_notes"]).alias("confidence_notes"),
         )
 
     kept = F.filter(payload["qualifying_series"], lambda s: to_whole(s["primary_works"], "commas") >= threshold)

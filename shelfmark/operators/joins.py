@@ -28,6 +28,11 @@ def keyed_left_join(left: DataFrame, right: DataFrame, left_keys: Keys, right_ke
     return a.join(one, condition, "left").drop(*names, *right_names)
 
 
+def answers_by_title(asked: DataFrame, answers: DataFrame, title: str, answer_title: str, columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Requested titles with the columns of the first answer (in the order) of the same title, case and outer space aside."""
+    return keyed_left_join(asked, answers, [lower_trim(title)], [lower_trim(answer_title)], columns, order)
+
+
 def lookup(df: DataFrame, table: DataFrame, key: Column, table_key: Column, value: str, name: str, default, order: Column) -> DataFrame:
     """Left lookup of one value, ``default`` where the key is unknown. Of a repeated key the first row in the order counts."""
     one = table.groupBy(table_key.alias("__lk")).agg(F.min_by(value, order).alias("__lv"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from shelfmark.functions import urls as U
 from shelfmark.operators import clusters
 from shelfmark.operators.evidence import author_candidates, evidence_status
 from shelfmark.operators.scoring import verification_state
+from shelfmark.operators import joins as J
 from shelfmark.queries.registry import Tables, query
 from shelfmark.queries.views import TITLED, sql_any, sql_quote, titled_parts
 
@@ -636,28 +637,55 @@ def answer_envelopes(t: Tables) -> DataFrame:
     )
 
 
+_PAYLOAD_KEYS = {"represented": "represented_by_agency", "check_status": "imprint_check", "check_url": "imprint_url", "check_note": "imprint_note", "author_check_url": "author_level_url"}
+
+
 @query(
     "author_payloads",
-    """WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS works, round(3 + 20 * l_discount, 2) AS rating, l_returnflag FROM lineitem WHERE l_quantity >= 5 AND NOT (l_returnflag = 'N' AND l_linestatus = 'O'))
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 'given' ELSE 'Writer ' || l_suppkey END AS author, 'Saga ' || l_partkey AS series_name, works AS primary_works, CASE WHEN works = 5 THEN 'eq5_included' ELSE 'gt5_or_more' END AS threshold_flag, CAST(rating AS DOUBLE) AS rating FROM l""",
+    """WITH l AS (
+  SELECT *, CAST(l_quantity AS BIGINT) AS works FROM lineitem WHERE l_quantity >= 5 AND NOT (l_returnflag = 'N' AND l_linestatus = 'O')
+)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 'given' ELSE 'Writer ' || l_suppkey END AS author,
+  'Saga ' || l_partkey AS series_name, works AS primary_works, CASE WHEN works = 5 THEN 'eq5_included' ELSE 'gt5_or_more' END AS threshold_flag,
+  CAST(round(3 + 20 * l_discount, 2) AS DOUBLE) AS rating, 'sports' AS genre, 'he / she' AS lead_pairing, 'rivals' AS primary_trope,
+  CASE WHEN l_partkey % 3 = 0 THEN 'yes_series_level' WHEN l_partkey % 3 = 1 AND l_returnflag <> 'R' THEN 'yes_author_level' ELSE 'no' END AS check_status,
+  CASE WHEN l_partkey % 3 = 0 THEN 'https://audio.example.com/' || l_partkey WHEN l_partkey % 3 = 1 AND l_returnflag <> 'R' THEN 'https://audio.example.com/a' END AS check_url,
+  'seen ' || l_linenumber AS check_note, CASE WHEN l_returnflag <> 'R' THEN 'https://audio.example.com/a' END AS author_check_url,
+  'http://a | http://b' AS support_urls, 'sure' AS confidence_notes
+FROM l""",
 )
 def author_payloads(t: Tables) -> DataFrame:
+    """Payloads in three shapes, under a client's own key names."""
+
+    def text(name: str, value) -> Column:
+        return F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
+
     works = F.col("l_quantity").cast("long").cast("string")
     rating = F.round(3 + 20 * F.col("l_discount"), 2).cast("string")
-    series = F.concat(F.lit('{"series_name": "Saga '), F.col("l_partkey"), F.lit('", "primary_works": "'), works, F.lit('", "first_book_goodreads_rating": '), rating, F.lit("}"))
+    third = F.col("l_partkey") % 3
+    check = F.when(third == 0, F.lit("Yes_series_level")).when(third == 1, F.lit("yes_series_level")).otherwise(F.lit("perhaps"))
+    host = F.when(third == 0, F.lit("https://audio.example.com/")).otherwise(F.lit("https://elsewhere.example.net/"))
+    fixed = '"genre_bucket": "sports", "lead_pairing": "he / she", "sub_genre": null, "primary_trope": " rivals ", "support_urls": ["http://a", " http://b", "http://a"], "confidence_notes": "sure"'
+    parts = [
+        text("series_name", F.concat(F.lit("Saga "), F.col("l_partkey"))), text("primary_works", works), F.concat(F.lit('"first_book_goodreads_rating": '), rating),
+        text("imprint_check", check), text("imprint_url", F.concat(host, F.col("l_partkey"))), text("imprint_note", F.concat(F.lit("seen "), F.col("l_linenumber"))), F.lit(fixed),
+    ]
+    series = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
     small = F.lit('{"series_name": "Small", "primary_works": 2}')
     represented = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit("false")).otherwise(F.lit("true"))
-    payload = F.concat(
-        F.lit('{"author_name": "Writer '), F.col("l_suppkey"), F.lit('", "represented": '), represented, F.lit(', "qualifying_series": ['), small, F.lit(", "), series, F.lit("]}")
-    )
-    text = (
+    head = F.concat(text("author_name", F.concat(F.lit("Writer "), F.col("l_suppkey"))), F.lit(', "represented_by_agency": '), represented)
+    payload = F.concat(F.lit("{"), head, F.lit(', "author_level_url": "https://audio.example.com/a", "qualifying_series": ['), small, F.lit(", "), series, F.lit("]}"))
+    answer = (
         F.when(F.col("l_returnflag") == "A", F.concat(F.lit("```json\n["), payload, F.lit("]\n```")))
         .when(F.col("l_returnflag") == "R", F.concat(F.lit("["), series, F.lit(", "), small, F.lit("]")))
         .otherwise(payload)
     )
-    parsed = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", K.author_payload(text, F.lit("given")).alias("p"))
-    rows = parsed.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("p.author_name").alias("author"), F.explode(K.qualifying_series(F.col("p"))).alias("s"))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "author", "s.series_name", "s.primary_works", "s.threshold_flag", F.col("s.first_book_rating").alias("rating"))
+    ids = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    parsed = t.lineitem.select(*ids, K.author_payload(answer, F.lit("given"), _PAYLOAD_KEYS).alias("p"))
+    found = F.explode(K.qualifying_series(F.col("p"), domains=["audio.example.com"]))
+    rows = parsed.select(*ids, F.col("p.author_name").alias("author"), found.alias("s"))
+    delivered = ["genre", "lead_pairing", "primary_trope", "check_status", "check_url", "check_note", "author_check_url", "support_urls", "confidence_notes"]
+    return rows.select(*ids, "author", "s.series_name", "s.primary_works", "s.threshold_flag", F.col("s.first_book_rating").alias("rating"), *[f"s.{c}" for c in delivered])
 
 
 @query(
@@ -713,13 +741,14 @@ def tagged_lines(t: Tables) -> DataFrame:
 
 @query(
     "title_results",
-    """WITH r AS (SELECT DISTINCT p_name, p_type FROM part) SELECT p_partkey, r.p_type AS found FROM titled_p JOIN r ON lower(titled_p.p_name) = r.p_name AND titled_p.p_type = r.p_type""".replace("titled_p JOIN", "part AS titled_p JOIN"),
+    """WITH r AS (SELECT lower(trim(p_name)) AS k, arg_min(p_type, p_partkey) AS found FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1)
+SELECT p_partkey, found FROM part LEFT JOIN r ON lower(trim(p_name)) = k""",
 )
 def title_results(t: Tables) -> DataFrame:
-    results = t.part.select(F.struct(F.upper("p_name").alias("title"), F.col("p_type").alias("found")).alias("item")).distinct()
-    asked = t.part.select("p_partkey", F.lower("p_name").alias("k"), "p_type")
-    flat = results.select(F.lower("item.title").alias("k"), F.col("item.found").alias("found"))
-    return asked.join(flat, (asked["k"] == flat["k"]) & (F.col("p_type") == F.col("found"))).select("p_partkey", "found")
+    """Answers in another case, several for a title, and none for some."""
+    answers = t.part.filter("p_partkey % 5 <> 0").select(F.concat(F.lit(" "), F.upper("p_name")).alias("title"), F.col("p_type").alias("found"), F.col("p_partkey").alias("ord"))
+    asked = t.part.select("p_partkey", "p_name")
+    return J.answers_by_title(asked, answers, "p_name", "title", ["found"], [F.col("ord")]).select("p_partkey", "found")
 
 
 @query(

@@ -173,3 +173,33 @@ def test_category_rank(spark):
 def test_list_item_single_line(spark):
     item = one(spark, titles.list_item(F.lit("#3Reminders of Him: A NovelColleen Hoover4.7 out of 5 stars 12")))
     assert (item["rank"], item["title"], item["author"]) == (3, "Reminders of Him: A Novel", "Colleen Hoover")
+
+
+def test_payload_in_the_documented_shape(spark):
+    keys = {"represented": "represented_by_agency", "check_status": "imprint_check", "check_url": "imprint_url", "check_note": "imprint_note", "author_check_url": "author_level_url"}
+    text = """```json
+{"author_name": "Ann Writer", "represented_by_agency": true, "representation_evidence_url": "https://a.example.com",
+ "qualifying_series": [{"series_name": "Iron", "goodreads_series_url": "https://g.example.com/1", "primary_works": 5, "total_books": 7,
+  "threshold_flag": "", "first_book_title": "One", "first_book_goodreads_rating": 4.1, "first_book_goodreads_rating_count": 1200,
+  "genre_bucket": "sports", "lead_pairing": "x", "sub_genre": "y", "primary_trope": "z", "imprint_check": "YES_AUTHOR_LEVEL",
+  "imprint_url": "https://i.example.com", "imprint_note": "n"}, {"series_name": "Short", "primary_works": 4}],
+ "author_level_url": "https://l.example.com"}
+```"""
+    rows = spark.createDataFrame([(text,), (text.replace("true", "false"),), ("nothing",), (None,)], "t string")
+    found = rows.select(jsontext.qualifying_series(jsontext.author_payload("t", F.lit("given"), keys)).alias("s")).collect()
+    assert [len(r.s) if r.s is not None else None for r in found] == [1, None, None, None]
+    one = found[0].s[0]
+    assert (one.series_name, one.primary_works, one.total_books, one.threshold_flag, one.first_book_rating, one.first_book_rating_count) == ("Iron", 5, 7, "eq5_included", 4.1, 1200)
+    assert (one.genre, one.lead_pairing, one.sub_genre, one.primary_trope, one.check_status) == ("sports", "x", "y", "z", "yes_author_level")
+    assert (one.check_url, one.check_note, one.author_check_url, one.series_url) == ("https://i.example.com", "n", "https://l.example.com", "https://g.example.com/1")
+
+
+def test_subtitles_after_dashes(spark):
+    rows = spark.createDataFrame([("The Deal \u2013 A Romance",), ("Deal\u2014Two",), ("A \u2014 B: C",), ("Plain",), (None,)], "t string")
+    found = rows.select(titles.main_title("t").alias("m"), titles.subtitle("t").alias("s")).collect()
+    assert [tuple(r) for r in found] == [("The Deal", "A Romance"), ("Deal", "Two"), ("A \u2014 B", "C"), ("Plain", None), (None, None)]
+
+
+def test_every_imprint_has_an_alias(spark):
+    assert spark.range(1).select(text.imprint_of(F.lit("Editions Theleme"))).first()[0] == "Editions Theleme"
+    assert spark.range(1).select(text.imprint_of(F.lit("RBmedia Verlag GmbH"))).first()[0] == "RBmedia Verlag"
