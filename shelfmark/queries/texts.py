@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.config import vocab
+from shelfmark.config.vocab import TITLE_STOP_WORDS
 from shelfmark.functions import contacts as C
 from shelfmark.functions import html as H
 from shelfmark.functions import jsontext as K
@@ -304,7 +305,38 @@ def prefix_series(t: Tables) -> DataFrame:
     return clusters.common_prefix_series(titled_parts(t), "p_brand", "title", "p_partkey")
 
 
-@query("related_titles")
+_STOP_WORDS = ", ".join(f"'{w}'" for w in TITLE_STOP_WORDS)
+
+
+@query(
+    "related_titles",
+    # seeds: the first title of an author, then always the next one that shares no two words with a seed so far
+    f"""WITH RECURSIVE w AS (
+  SELECT p_partkey AS id, lower(trim(p_brand)) AS a,
+    list_sort(list_distinct(list_filter(regexp_extract_all(lower(p_type) || ' ' || lower(p_name), '\\b[a-z]{{4,}}\\b'), lambda x: x NOT IN ({_STOP_WORDS})))) AS words
+  FROM part
+),
+kept AS (SELECT * FROM w WHERE len(words) >= 2 AND a IN (SELECT a FROM w GROUP BY a HAVING count(*) >= 3)),
+titles AS (SELECT a, words, min(id) AS idx, count(*) AS n FROM kept GROUP BY ALL),
+near AS (
+  SELECT x.a, x.idx, x.words, x.n, list(y.idx) FILTER (y.idx IS NOT NULL) AS earlier
+  FROM titles x LEFT JOIN titles y ON x.a = y.a AND y.idx < x.idx AND len(list_intersect(x.words, y.words)) >= 2 GROUP BY ALL
+),
+seeds AS (
+  SELECT a, min(idx) AS last, [min(idx)] AS so_far FROM near GROUP BY a
+  UNION ALL
+  SELECT seeds.a, min(near.idx), list_append(so_far, min(near.idx))
+  FROM seeds JOIN near ON near.a = seeds.a AND near.idx > last AND NOT coalesce(list_has_any(so_far, earlier), false)
+  GROUP BY seeds.a, last, so_far
+),
+every AS (SELECT a, last AS seed FROM seeds),
+owner AS (
+  SELECT near.a, near.idx, near.words, near.n, min(seed) AS seed
+  FROM near JOIN every ON every.a = near.a AND (seed = idx OR list_contains(earlier, seed)) GROUP BY ALL
+),
+sizes AS (SELECT a, seed, sum(n)::BIGINT AS related FROM owner GROUP BY ALL HAVING sum(n) >= 2)
+SELECT kept.id AS p_partkey, seed AS group_id, related FROM kept JOIN owner USING (a, words) JOIN sizes USING (a, seed)""",
+)
 def related_titles(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", "p_brand", F.concat(F.lower("p_type"), F.lit(" "), "p_name").alias("title"))
     return clusters.related_titles(rows, "p_brand", "title", "p_partkey")
