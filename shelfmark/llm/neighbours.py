@@ -174,7 +174,9 @@ def build_index(embeddings: DataFrame, copies: int, id: str = "vec_id", vector:
         )
 
     columns = "size int, shard long, place long, ids array<long>, v binary, longest double, start long, edges binary"
-    return written(dealt.groupBy("size", "shard").applyInPandas(graph, columns))
+    # a shard is much work for few bytes: as many tasks as shards, not as many as the bytes ask for
+    tasks = max(1, sum(math.ceil(r["n"] / SHARD) for r in sizes.collect()))
+    return written(dealt.repartition(tasks, "size", "shard").groupBy("size", "shard").applyInPandas(graph, columns))
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -223,7 +225,9 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, id: str = "vec_id
         return pd.DataFrame({"query_id": pd.array(out["query_id"], "int64"), "vec_id": pd.array(out["vec_id"], "int64"), "score": pd.array(out["score"], "float64")})
 
     key = ["size", "shard", "block"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
+    tasks = max(1, shards.count() * blocks)
+    sides = [side.repartition(tasks, *key).groupBy(*key) for side in (left, right)]
+    found = sides[0].cogroup(sides[1]).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
