@@ -52,11 +52,10 @@ def only_new(t: Tables) -> DataFrame:
 
 @query(
     "never_ordered",
-    "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 20)",
+    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
 )
 def never_ordered(t: Tables) -> DataFrame:
-    sold = t.lineitem.filter("l_returnflag = 'A' AND l_quantity > 20")
-    return J.not_in_set(t.part.select("p_partkey", "p_name"), sold, ["p_partkey"], ["l_partkey"])
+    return J.not_in_set(t.customer.select("c_custkey", "c_name"), t.orders, ["c_custkey"], ["o_custkey"])
 
 
 @query(
@@ -141,7 +140,8 @@ def best_listing(t: Tables) -> DataFrame:
 
 @query(
     "two_list_featured",
-    f"""WITH {RANK_LIST}, a AS (SELECT regexp_replace(title, '[^a-z]', '', 'g') AS k, min(rank) AS r FROM rank_list WHERE list_name = 'PROMO' GROUP BY 1), b AS (SELECT regexp_replace(title, '[^a-z]', '', 'g') AS k, min(rank) AS r FROM rank_list WHERE list_name IN ('SMALL', 'PROMO') AND rank > 40 GROUP BY 1),
+    f"""WITH {RANK_LIST}, a AS (SELECT regexp_replace(title, '[^a-z]', '', 'g') AS k, min(rank) AS r FROM rank_list WHERE list_name IN ('PROMO', 'LARGE', 'ECONOMY') GROUP BY 1),
+b AS (SELECT regexp_replace(title, '[^a-z]', '', 'g') AS k, min(rank) AS r FROM rank_list WHERE list_name <> 'LARGE' GROUP BY 1),
 x AS (SELECT p_partkey, a.r AS first_rank, b.r AS second_rank FROM part LEFT JOIN a ON a.k = replace(p_name, ' ', '') || lower(p_type) LEFT JOIN b ON b.k = replace(p_name, ' ', '') || lower(p_type))
 SELECT p_partkey, first_rank, second_rank, CASE WHEN first_rank IS NOT NULL AND (second_rank IS NULL OR first_rank <= second_rank) THEN 'Sports ' || CASE WHEN first_rank <= 10 THEN 'Top 10' WHEN first_rank <= 50 THEN 'Top 50' ELSE 'Top 100' END
  WHEN second_rank IS NOT NULL THEN 'Hockey ' || CASE WHEN second_rank <= 10 THEN 'Top 10' WHEN second_rank <= 50 THEN 'Top 50' ELSE 'Top 100' END ELSE 'No List' END AS featured_list FROM x""",
@@ -149,8 +149,8 @@ SELECT p_partkey, first_rank, second_rank, CASE WHEN first_rank IS NOT NULL AND
 def two_list_featured(t: Tables) -> DataFrame:
     listed = rank_list(t).select(F.regexp_replace("title", "[^a-z]", "").alias("title_key"), F.col("rank").alias("list_rank"), "list_name")
     rows = t.part.select("p_partkey", F.concat("p_name", F.lit(" "), "p_type").alias("title"))
-    first = listed.filter("list_name = 'PROMO'")
-    second = listed.filter("list_name IN ('SMALL', 'PROMO') AND list_rank > 40")
+    first = listed.filter("list_name IN ('PROMO', 'LARGE', 'ECONOMY')")
+    second = listed.filter("list_name <> 'LARGE'")
     return J.two_list_featured(rows, first, second, "title", "Sports", "Hockey").drop("title")
 
 
@@ -199,12 +199,13 @@ def band_table(t: Tables) -> DataFrame:
 
 @query(
     "edit_candidates",
-    f"""WITH {TITLED}, n AS (SELECT DISTINCT p_brand, lower(title) AS a FROM titled WHERE p_type IN ('LARGE', 'ECONOMY')), m AS (SELECT DISTINCT p_brand, lower(title) AS b FROM titled WHERE p_type IN ('STANDARD', 'LARGE'))
-SELECT n.p_brand, a AS left_text, b AS right_text FROM n JOIN m ON n.p_brand = m.p_brand WHERE levenshtein(a, b) <= greatest(length(a), length(b)) * 0.3""",
+    f"""WITH {TITLED}, n AS (SELECT DISTINCT p_brand, lower(title) AS a FROM titled)
+SELECT n.p_brand, n.a AS left_text, m.a AS right_text FROM n JOIN n AS m ON n.p_brand = m.p_brand
+WHERE levenshtein(n.a, m.a) <= greatest(length(n.a), length(m.a)) * 0.15""",
 )
 def edit_pairs(t: Tables) -> DataFrame:
-    rows = titled_parts(t).select("p_brand", "p_type", F.lower("title").alias("title"))
-    return edit_candidates(rows.filter("p_type IN ('LARGE', 'ECONOMY')"), "title", rows.filter("p_type IN ('STANDARD', 'LARGE')"), "title", 0.3, ["p_brand"])
+    rows = titled_parts(t).select("p_brand", F.lower("title").alias("title"))
+    return edit_candidates(rows, "title", rows, "title", 0.15, ["p_brand"])
 
 
 @query(
@@ -282,8 +283,8 @@ def merge_counts(t: Tables) -> DataFrame:
 @query(
     "lineage_match",
     """WITH b AS (SELECT o_orderkey, 'C' || o_custkey AS author, o_orderpriority AS series, 'O' || (o_orderkey // 2) AS first_book FROM orders),
-s1 AS (SELECT 'C' || o_custkey AS author, o_orderpriority AS series, 'O' || (o_orderkey // 3) AS first_book, CAST(o_orderkey AS VARCHAR) AS mark FROM orders WHERE o_orderstatus = 'P'),
-s2 AS (SELECT 'C' || o_custkey AS author, o_orderpriority AS series, 'O' || (o_orderkey // 2) AS first_book, 'm' || o_orderkey AS mark FROM orders WHERE o_orderstatus = 'F'),
+s1 AS (SELECT 'C' || o_custkey AS author, o_orderpriority AS series, 'O' || (o_orderkey // 3) AS first_book, CAST(o_orderkey AS VARCHAR) AS mark FROM orders),
+s2 AS (SELECT 'C' || o_custkey AS author, o_orderpriority AS series, 'O' || (o_orderkey // 2) AS first_book, 'm' || o_orderkey AS mark FROM orders),
 u11 AS (SELECT author, series, min(mark) AS mark FROM s1 GROUP BY 1, 2 HAVING count(*) = 1), u12 AS (SELECT author, first_book, min(mark) AS mark FROM s1 GROUP BY 1, 2 HAVING count(*) = 1),
 u21 AS (SELECT author, series, min(mark) AS mark FROM s2 GROUP BY 1, 2 HAVING count(*) = 1), u22 AS (SELECT author, first_book, min(mark) AS mark FROM s2 GROUP BY 1, 2 HAVING count(*) = 1)
 SELECT o_orderkey, coalesce(u11.mark, u12.mark, u21.mark, u22.mark) AS mark, CASE WHEN u11.mark IS NOT NULL OR u12.mark IS NOT NULL THEN 'waiting' WHEN u21.mark IS NOT NULL OR u22.mark IS NOT NULL THEN 'filled' END AS lineage_source,
@@ -301,8 +302,8 @@ def lineage_match(t: Tables) -> DataFrame:
         )
 
     base = rows(t.orders, 2, F.lit(None).cast("string"))
-    first = rows(t.orders.filter("o_orderstatus = 'P'"), 3, F.col("o_orderkey").cast("string"))
-    second = rows(t.orders.filter("o_orderstatus = 'F'"), 2, F.concat(F.lit("m"), F.col("o_orderkey")))
+    first = rows(t.orders, 3, F.col("o_orderkey").cast("string"))
+    second = rows(t.orders, 2, F.concat(F.lit("m"), F.col("o_orderkey")))
     out = M.lineage_match(base, [("waiting", first), ("filled", second)], "author", "series", "first_book", ["mark"])
     return out.select("o_orderkey", "mark", "lineage_source", "lineage_match")
 

@@ -203,3 +203,21 @@ def test_subtitles_after_dashes(spark):
 def test_every_imprint_has_an_alias(spark):
     assert spark.range(1).select(text.imprint_of(F.lit("Editions Theleme"))).first()[0] == "Editions Theleme"
     assert spark.range(1).select(text.imprint_of(F.lit("RBmedia Verlag GmbH"))).first()[0] == "RBmedia Verlag"
+
+
+def test_personal_addresses(spark):
+    rows = spark.createDataFrame([("ann.writer@x.net", "Ann Writer"), ("info@x.net", "Ann Writer"), ("infowriter@x.net", "Ann Writer"), ("zed@x.net", "Ann Writer")], "e string, a string")
+    assert [r[0] for r in rows.select(contacts.is_personal("e", "a")).collect()] == [True, False, True, True]
+
+
+def test_same_author(spark):
+    rows = spark.createDataFrame([("Ann B. Writer", "ann b writer"), ("Ann Writer", "Anne Writer"), ("Ann Writer", "Bob Author"), ("", ""), (None, "Ann")], "a string, b string")
+    assert [bool(r[0]) for r in rows.select(similarity.same_author("a", "b")).collect()] == [True, True, False, False, False]
+
+
+def test_master_sort(spark):
+    from shelfmark.operators.ranking import master_sort
+
+    rows = spark.createDataFrame([("b", 1.0, "x"), (None, 1.0, "a"), ("a", 2.0, "x"), ("a", None, "x"), ("a", 2.0, None), ("a", 1.0, "z")], "s string, n double, t string")
+    want = [("a", 1.0, "z"), ("a", 2.0, "x"), ("a", 2.0, None), ("a", None, "x"), ("b", 1.0, "x"), (None, 1.0, "a")]
+    assert [tuple(r) for r in master_sort(rows, "s", "n", "t").collect()] == want

@@ -28,6 +28,18 @@ def test_query_without_sql_runs(spark, name):
     assert len(QUERIES[name](spark, FOLDER).collect()) > 0
 
 
+@pytest.mark.parametrize(
+    "name,order",
+    [
+        ("priority_sort", "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 99 END, o_totalprice DESC, o_orderkey"),
+        ("view_sort", "substr(o_orderpriority, 1, 1), o_totalprice, o_orderkey"),
+    ],
+)
+def test_sorted_queries_come_in_order(spark, con, name, order):
+    want = [r[0] for r in con.sql(f"SELECT o_orderkey FROM orders ORDER BY {order}").fetchall()]
+    assert [r["o_orderkey"] for r in QUERIES[name](spark, FOLDER).collect()] == want
+
+
 def test_entry_is_the_flagship(spark):
     df = entry.entry(spark)
     assert df.columns[:4] == ["row_id", "subgenre", "score", "rank"] and df.count() > 0
