@@ -27,8 +27,10 @@ from shelfmark.llm.places import Places, ranges_for, repeated_keys
 from shelfmark.llm.tables import free_name, row_keys, slices, written
 from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
-# Groups up to this size are compared in all pairs, larger ones with a pivot, level by level.
+# Groups of index keys up to this size are compared in all pairs, larger ones with a pivot.
 PAIRED = 64
+# Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
+JOINED = 1024
 
 
 @dataclass(frozen=True)
@@ -209,7 +211,7 @@ def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
 
 
 def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bool, np.ndarray, int, int]:
-    """(linked, differing grams, how many of them index the pair class a, class b).
+    """(linked, all differing grams, how many of them index the pair class a, class b).
 
     The differing grams are those that the member has more, then those that it lacks, in the order of their hashes: one
     order for all members of a pivot. If x is not linked to the pivot and y is linked to x, their differences share
@@ -234,31 +236,42 @@ def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bo
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
-    """(pivot, member, linked, a, b): outcome of each comparison and the grams that index the differences."""
+    """(pivot, member, linked, size, differ, a, b): outcome of each comparison, the member's size, the number of differing
+    grams, and those that index them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, a, b = [], [], []
+            linked, sizes, counts, a, b = [], [], [], [], []
             for x, y in zip(batch.column("of_pivot").to_pylist(), batch.column("of_member").to_pylist()):
                 yes, differ, to_a, to_b = compare(np.frombuffer(x, U), np.frombuffer(y, U), kind)
                 linked.append(yes)
+                sizes.append(len(y) // 8)
+                counts.append(len(differ))
                 a.append(differ[: max(0, to_a)].view(np.int64))
                 b.append(differ[: max(0, to_b)].view(np.int64))
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("pivot"), batch.column("member"), pa.array(linked, pa.bool_()), pa.array(a, lists), pa.array(b, lists)],
-                ["pivot", "member", "linked", "a", "b"],
+                [
+                    batch.column("pivot"),
+                    batch.column("member"),
+                    pa.array(linked, pa.bool_()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array(a, lists),
+                    pa.array(b, lists),
+                ],
+                ["pivot", "member", "linked", "size", "differ", "a", "b"],
             )
 
     both = pairs.join(sets.select(F.col("rep").alias("member"), F.col("grams").alias("of_member")), "member")
     both = both.join(sets.select(F.col("rep").alias("pivot"), F.col("grams").alias("of_pivot")), "pivot")
-    return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, a array<long>, b array<long>")
+    return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
 
 
-def _live(groups: DataFrame) -> DataFrame:
-    """Members of the groups that can hold a pair, with the group's size; groups of the same members are taken once."""
+def _live(groups: DataFrame, merge: bool) -> DataFrame:
+    """Members of the groups that can hold a pair, with the group's size; with ``merge`` groups of the same members once."""
     size = groups.groupBy("key").agg(
-        F.first("line").alias("line"),
+        F.first("line").alias("of_line"),
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("member")).alias("mark"),
         F.min("member").alias("low"),
@@ -266,21 +279,40 @@ def _live(groups: DataFrame) -> DataFrame:
         F.max("is_a").alias("has_a"),
         F.max("is_b").alias("has_b"),
     )
-    once = size.filter("n > 1 AND has_a AND has_b").groupBy("line", "n", "mark", "low", "high").agg(F.min("key").alias("key"))
-    return groups.drop("line").join(once.select("key", "line", "n"), "key")
+    size = size.filter("n > 1 AND has_a AND has_b AND low < high")
+    if merge:
+        size = size.groupBy("of_line", "n", "mark", "low", "high").agg(F.min("key").alias("key"))
+    return groups.join(size.select("key", "n"), "key")
 
 
 def _pairs(live: DataFrame) -> DataFrame:
-    """(pivot, member): all pairs of the small groups."""
-    small = live.filter(F.col("n") <= PAIRED).select("key", "member", "is_a", "is_b")
-    other = small.select("key", F.col("member").alias("pivot"), F.col("is_a").alias("pivot_a"), F.col("is_b").alias("pivot_b"))
-    both = small.join(other, "key").filter("pivot < member AND ((is_a AND pivot_b) OR (is_b AND pivot_a))")
-    return both.select("pivot", "member").distinct()
+    """(pivot, member): all pairs of the small groups of index keys."""
+    small = live.filter(F.col("n") <= PAIRED).select("key", "member")
+    other = small.select("key", F.col("member").alias("pivot"))
+    return small.join(other, "key").filter("pivot < member").select("pivot", "member").distinct()
 
 
-def _stars(live: DataFrame) -> DataFrame:
-    """(line, pivot, member): in each large group all members with the one that most such groups hold."""
-    large = live.filter(F.col("n") > PAIRED)
+def _joined(live: DataFrame, kind: Similarity) -> DataFrame:
+    """(pivot, member): pairs that share a differing gram early enough to share as many as a link needs.
+
+    Of two members that are linked, the first gram that their differences share leaves at least as many grams after it, in
+    either of them, as they must share besides it.
+    """
+    columns = ["member", "is_a", "is_b", "size", "differ", "at"]
+    small = live.filter(F.col("n") <= JOINED)
+    x = small.select("key", *[F.col(c).alias(f"x_{c}") for c in columns])
+    y = small.select("key", *[F.col(c).alias(f"y_{c}") for c in columns])
+    most = F.floor((kind.den - kind.num) * (F.col("x_size") + F.col("y_size")) / (kind.den + kind.num))
+    shared = F.ceil((F.col("x_differ") + F.col("y_differ") - most) / 2)
+    early = F.least(F.col("x_differ") - F.col("x_at"), F.col("y_differ") - F.col("y_at")) >= shared
+    sides = (F.col("x_is_a") & F.col("y_is_b")) | (F.col("x_is_b") & F.col("y_is_a"))
+    both = x.join(y, (x["key"] == y["key"]) & (F.col("x_member") < F.col("y_member")) & sides & early & (F.abs(F.col("x_differ") - F.col("y_differ")) <= most))
+    return both.select(F.col("x_member").alias("pivot"), F.col("y_member").alias("member")).distinct()
+
+
+def _stars(live: DataFrame, least: int) -> DataFrame:
+    """(line, pivot, member): in each larger group all members with the one that most such groups hold."""
+    large = live.filter(F.col("n") > least)
     weight = large.groupBy("member").agg(F.sum("n").alias("w"))
     first = large.select("key", "member").join(weight, "member").groupBy("key").agg(F.max(F.struct("w", (-F.col("member")).alias("m"))).alias("top"))
     stars = large.join(first.select("key", (-F.col("top.m")).alias("pivot")), "key").filter("member <> pivot")
@@ -292,13 +324,17 @@ def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
     # lines with one member besides the pivot have no other pair
     lines = stars.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
     further = stars.join(lines, "line").join(done, ["pivot", "member"])
-    sides = [further.select("line", "member", "linked", F.lit(tag).alias("tag"), F.explode(tag).alias("gram")) for tag in ("a", "b")]
+    own = ["line", "member", "linked", "size", "differ"]
+    sides = [further.select(*own, F.lit(tag).alias("tag"), F.posexplode(tag).alias("at", "gram")) for tag in ("a", "b")]
     return sides[0].union(sides[1]).select(
         F.xxhash64("line", "tag", "gram").alias("key"),
         "line",
         "member",
         (F.col("linked") | (F.col("tag") == "b")).alias("is_a"),
         (~F.col("linked")).alias("is_b"),
+        "size",
+        "differ",
+        "at",
     )
 
 
@@ -308,16 +344,17 @@ def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
     members = index.join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
     whole = F.lit(True)
     groups = members.select("key", F.lit(0).cast("long").alias("line"), "member", whole.alias("is_a"), whole.alias("is_b"))
-    sets, found = None, []
-    while groups is not None:
-        live = written(_live(groups))
-        stars = written(_stars(live))
-        pairs = written(_pairs(live).union(stars.select("pivot", "member")).distinct())
-        if sets is None:
-            sets = _grams(rows, live.select("member"), kind)
+    live = written(_live(groups, merge=True))
+    sets = _grams(rows, live.select("member"), kind)
+    stars, near, found = written(_stars(live, PAIRED)), _pairs(live), []
+    while True:
+        pairs = written(near.union(stars.select("pivot", "member")).distinct())
         done = written(_verified(pairs, sets, kind))
         found.append(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
-        groups = None if stars.isEmpty() else written(_next(stars, done))
+        if stars.isEmpty():
+            break
+        live = written(_live(_next(stars, done), merge=False))
+        stars, near = written(_stars(live, JOINED)), _joined(live, kind)
     every = found[0]
     for part in found[1:]:
         every = every.union(part)

@@ -113,9 +113,13 @@ def groups(texts, kind):
     return {k: (len(s), root(k)) for k, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("seed,kind,paired", [(1, Similarity(3, 90, 100), 64), (2, Similarity(), 2), (3, Similarity(3, 90, 100), 1), (4, Similarity(2, 7, 10), 3)])
-def test_groups_equal_brute_force(spark, monkeypatch, seed, kind, paired):
+@pytest.mark.parametrize(
+    "seed,kind,paired,joined",
+    [(1, Similarity(3, 90, 100), 64, 1024), (2, Similarity(), 2, 1024), (3, Similarity(3, 90, 100), 1, 1024), (4, Similarity(2, 7, 10), 1, 1024), (5, Similarity(2, 8, 10), 1, 2)],
+)
+def test_groups_equal_brute_force(spark, monkeypatch, seed, kind, paired, joined):
     monkeypatch.setattr(jaccard, "PAIRED", paired)
+    monkeypatch.setattr(jaccard, "JOINED", joined)
     texts = family(seed)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(rows, kind).collect()} == groups(texts, kind)
