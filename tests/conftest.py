@@ -5,11 +5,12 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from shelfmark.session import local_session  # noqa: E402
+from shelfmark.session import local_session, remove_written  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("8", "shelfmark-tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    return session
+    yield session
+    remove_written(session)
