@@ -28,7 +28,7 @@ from shelfmark.llm.tables import free_name, row_keys, slices, written
 from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
 # Groups of index keys up to this size are compared in all pairs, larger ones with a pivot.
-PAIRED = 64
+PAIRED = 16
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
 JOINED = 1024
 
