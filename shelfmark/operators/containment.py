@@ -86,3 +86,14 @@ def touching_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text
         *group, F.col("text").alias("left_text"), F.col("needle").alias("right_text")
     )
     return forward.union(backward).distinct()
+
+
+def touching_texts(left: DataFrame, left_text: str, right: DataFrame, right_text: str, group: Sequence[str] = (), left_min: int = 1, right_min: int = 1) -> DataFrame:
+    """Distinct (group, left_text) of left texts that contain a right text or lie in one.
+
+    As ``touching_pairs``, but each task drops the partner at once, so no pairs are shuffled.
+    """
+    group = list(group)
+    inside = contained_pairs(left, left_text, right, right_text, group, left_min).select(*group, F.col("needle").alias("left_text"))
+    around = contained_pairs(right, right_text, left, left_text, group, right_min).select(*group, F.col("text").alias("left_text"))
+    return inside.distinct().union(around.distinct()).distinct()

@@ -11,7 +11,7 @@ from shelfmark.config import models
 from shelfmark.functions.keys import lower_trim, punctuation_free_key, rank_list_key, spaced_key
 from shelfmark.functions.ladders import rank_bucket
 from shelfmark.functions.nulls import col
-from shelfmark.operators.containment import small_list_pairs, touching_pairs
+from shelfmark.operators.containment import small_list_pairs, touching_texts
 from shelfmark.operators.groups import Keys, key_columns, top_per_key
 
 
@@ -66,7 +66,7 @@ def missing_members(found: DataFrame, existing: DataFrame, title: str, group: Se
     group = list(group)
     a = found.withColumn("__t", lower_trim(title))
     b = existing.select(*group, lower_trim(title).alias("__e")).filter("__e <> ''")
-    touched = touching_pairs(a, "__t", b, "__e", group).select(*group, F.col("left_text").alias("__t")).distinct()
+    touched = touching_texts(a, "__t", b, "__e", group).withColumnRenamed("left_text", "__t")
     return a.join(touched, [*group, "__t"], "left_anti").select(*found.columns)
 
 
@@ -78,7 +78,7 @@ def new_authors(listed: DataFrame, existing: DataFrame, listed_author: Column, e
     a = listed.withColumn("__a", listed_author)
     b = existing.select(existing_author.alias("__e")).filter("__e <> ''").distinct()
     equal = b.select(F.col("__e").alias("__a"))
-    touching = touching_pairs(a, "__a", b, "__e", (), least, least).select(F.col("left_text").alias("__a"))
+    touching = touching_texts(a, "__a", b, "__e", (), least, least).withColumnRenamed("left_text", "__a")
     known = equal.union(touching).distinct()
     return a.filter("__a <> ''").join(known, "__a", "left_anti").select(*listed.columns)
 

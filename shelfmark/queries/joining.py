@@ -94,12 +94,12 @@ def containment(t: Tables) -> DataFrame:
 
 @query(
     "new_authors",
-    """WITH l AS (SELECT conv_id, turn, lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS a FROM conversations), e AS (SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS e FROM documents WHERE lang = 'en')
+    """WITH l AS (SELECT conv_id, turn, lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS a FROM conversations), e AS (SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS e FROM documents)
 SELECT conv_id, turn FROM l WHERE a <> '' AND NOT EXISTS (SELECT 1 FROM e WHERE e <> '' AND (a = e OR (length(a) > 4 AND contains(e, a)) OR (length(e) > 4 AND contains(a, e))))""",
 )
 def new_authors(t: Tables) -> DataFrame:
     word = F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1))
-    return J.new_authors(t.conversations, t.documents.filter("lang = 'en'"), word, word).select("conv_id", "turn")
+    return J.new_authors(t.conversations, t.documents, word, word).select("conv_id", "turn")
 
 
 _TAG = "'Amazon ' || CASE WHEN rank <= 10 THEN 'Top 10' WHEN rank <= 50 THEN 'Top 50' ELSE 'Top 100' END || ' ' || list_name"
