@@ -268,21 +268,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
     return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
 
 
-def _live(groups: DataFrame, merge: bool) -> DataFrame:
-    """Members of the groups that can hold a pair, with the group's size; with ``merge`` groups of the same members once."""
+def _live(groups: DataFrame) -> DataFrame:
+    """Members of the groups of index keys that hold a pair, with the group's size; groups of the same members once."""
     size = groups.groupBy("key").agg(
-        F.first("line").alias("of_line"),
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("member")).alias("mark"),
-        F.min("member").alias("low"),
-        F.max("member").alias("high"),
-        F.max("is_a").alias("has_a"),
-        F.max("is_b").alias("has_b"),
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("mark"), F.min("member").alias("low"), F.max("member").alias("high")
     )
-    size = size.filter("n > 1 AND has_a AND has_b AND low < high")
-    if merge:
-        size = size.groupBy("of_line", "n", "mark", "low", "high").agg(F.min("key").alias("key"))
-    return groups.join(size.select("key", "n"), "key")
+    once = size.filter("n > 1").groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key"))
+    return groups.join(once.select("key", "n"), "key").withColumn("line", F.lit(0).cast("long"))
 
 
 def _pairs(live: DataFrame) -> DataFrame:
@@ -320,31 +312,39 @@ def _stars(live: DataFrame, least: int) -> DataFrame:
 
 
 def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
-    """Groups of the next level: members of a star that share one of the grams that index their differences."""
-    # lines with one member besides the pivot have no other pair
-    lines = stars.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
-    further = stars.join(lines, "line").join(done, ["pivot", "member"])
-    own = ["line", "member", "linked", "size", "differ"]
-    sides = [further.select(*own, F.lit(tag).alias("tag"), F.posexplode(tag).alias("at", "gram")) for tag in ("a", "b")]
-    return sides[0].union(sides[1]).select(
-        F.xxhash64("line", "tag", "gram").alias("key"),
-        "line",
-        "member",
-        (F.col("linked") | (F.col("tag") == "b")).alias("is_a"),
-        (~F.col("linked")).alias("is_b"),
-        "size",
-        "differ",
-        "at",
-    )
+    """The next level: members of a star that share one of the grams that index their differences, with the group's size.
+
+    Lines whose members are all linked are settled, and without a linked member there is no pair of class a. Only
+    (key, star, position and sides) is shuffled, once; the rest is joined to what meets.
+    """
+    both = stars.join(done, ["pivot", "member"])
+    lines = both.groupBy("line").agg(F.count(F.lit(1)).alias("of_line"), F.max("linked").alias("some"), F.min("linked").alias("all"))
+    kept = both.join(lines.filter("of_line > 1 AND NOT all"), "line")
+    star = F.xxhash64("line", "member").alias("star")
+    info = written(kept.select(star, "line", "member", "linked", "size", "differ", F.when(F.col("some"), F.col("a")).alias("a"), "b"))
+    sides = []
+    for tag in ("a", "b"):
+        is_a = F.col("linked") | F.lit(tag == "b")
+        found = info.select("star", "linked", "line", F.posexplode(tag).alias("at", "gram"))
+        code = F.col("at") * 4 + is_a.cast("int") + 2 * (~F.col("linked")).cast("int")
+        sides.append(found.select(F.xxhash64("line", F.lit(tag), "gram").alias("key"), "star", code.alias("code")))
+    rows = sides[0].union(sides[1]).repartition("key")
+    size = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("code") % 2).alias("has_a"), F.max(F.floor(F.col("code") / 2) % 2).alias("has_b"),
+        F.min("star").alias("low"), F.max("star").alias("high"),
+    )
+    met = rows.join(size.filter("n > 1 AND has_a = 1 AND has_b = 1 AND low < high").select("key", "n"), "key")
+    return met.join(info.select("star", "line", "member", "size", "differ"), "star").select(
+        "key", "n", "line", "member", "size", "differ",
+        (F.col("code") % 2 == 1).alias("is_a"), (F.floor(F.col("code") / 2) % 2 == 1).alias("is_b"), F.floor(F.col("code") / 4).alias("at"),
+    )
 
 
 def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
     index = repeated_keys(rows, _index(kind), ranges_for(rows))
     members = index.join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
-    whole = F.lit(True)
-    groups = members.select("key", F.lit(0).cast("long").alias("line"), "member", whole.alias("is_a"), whole.alias("is_b"))
-    live = written(_live(groups, merge=True))
+    live = written(_live(members))
     sets = _grams(rows, live.select("member"), kind)
     stars, near, found = written(_stars(live, PAIRED)), _pairs(live), []
     while True:
@@ -353,7 +353,7 @@ def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
         found.append(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
         if stars.isEmpty():
             break
-        live = written(_live(_next(stars, done), merge=False))
+        live = written(_next(stars, done))
         stars, near = written(_stars(live, JOINED)), _joined(live, kind)
     every = found[0]
     for part in found[1:]:
