@@ -277,11 +277,13 @@ def _live(groups: DataFrame) -> DataFrame:
     return groups.join(once.select("key", "n"), "key").withColumn("line", F.lit(0).cast("long"))
 
 
-def _pairs(live: DataFrame) -> DataFrame:
-    """(pivot, member): all pairs of the small groups of index keys."""
-    small = live.filter(F.col("n") <= PAIRED).select("key", "member")
-    other = small.select("key", F.col("member").alias("pivot"))
-    return small.join(other, "key").filter("pivot < member").select("pivot", "member").distinct()
+def _pairs(live: DataFrame, kind: Similarity) -> DataFrame:
+    """(pivot, member): all pairs of the small groups of index keys whose sizes allow a link."""
+    small = live.filter(F.col("n") <= PAIRED).select("key", "member", "size")
+    other = small.select("key", F.col("member").alias("pivot"), F.col("size").alias("other"))
+    fits = kind.den * F.least("size", "other") >= kind.num * F.greatest("size", "other")
+    both = small.join(other, (small["key"] == other["key"]) & (F.col("pivot") < F.col("member")) & fits)
+    return both.select("pivot", "member").distinct()
 
 
 def _joined(live: DataFrame, kind: Similarity) -> DataFrame:
@@ -343,10 +345,10 @@ def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
 def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
     index = repeated_keys(rows, _index(kind), ranges_for(rows))
-    members = index.join(classes.select("doc", "rep"), "doc").select("key", F.col("rep").alias("member")).distinct()
+    members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
     live = written(_live(members))
     sets = _grams(rows, live.select("member"), kind)
-    stars, near, found = written(_stars(live, PAIRED)), _pairs(live), []
+    stars, near, found = written(_stars(live, PAIRED)), _pairs(live, kind), []
     while True:
         pairs = written(near.union(stars.select("pivot", "member")).distinct())
         done = written(_verified(pairs, sets, kind))
