@@ -1,11 +1,10 @@
-"""Toxicity by the nearest labelled examples under TF-IDF cosine, found exactly in a block-max inverted index.
-
-Terms are runs of letters. The vocabulary is chosen from labelled text: terms whose presence depends on the label. Weights
-are (1 + log tf) * idf, with document frequencies over all documents, and vectors have length 1. The index keeps the
-examples in blocks; for each term its highest weight in a block bounds what the block can reach for a text, so blocks that
-cannot enter the nearest ones found so far are never scored. Votes of the nearest examples are weighted by cosine, with
-the classes at their rates among all labelled rows, and mapped to a probability by the votes that the examples
-themselves get from the other examples.
+"""Toxicity by the nearest labelled examples under TF-IDF cosine over all terms of the examples, found exactly.
+
+Terms are runs of letters; every term that an example holds is known. Weights are (1 + log tf) * idf * (1 + sqrt(chi2)),
+with document frequencies over all documents and chi2 for how far a term's presence among the examples depends on the label,
+and vectors have length 1. Terms of many examples are rows of a dense matrix, all others have postings; both together give
+the cosine with every example. Votes of the nearest examples are weighted by cosine, with the classes at their rates among
+all labelled rows, and mapped to a probability by the votes that the examples themselves get from the other examples.
 """
 
 from __future__ import annotations
@@ -24,14 +23,14 @@ from shelfmark.llm.letters import terms_of
 from shelfmark.llm.tables import slices, texts_of
 from shelfmark.llm.words import U
 
-# Bounds of the model: examples a class, terms of the vocabulary, and what a term must reach to enter it.
+# Bound of the model: examples a class.
 EXAMPLES = 1500
-MOST_TERMS = 512
-LEAST_ROWS = 5
-LEAST_CHI2 = 24.0
-# Nearest examples that vote, and examples in a block of the index.
+# Nearest examples that vote, and texts whose cosines are held at once.
 NEAREST = 25
 BLOCK = 64
+# Terms that this share of the examples hold stand in the dense matrix; postings that are read at once.
+DENSE = 1 / 16
+POSTINGS = 1 << 20
 
 _RUN = regex.compile(r"\p{L}+")
 
@@ -53,35 +52,68 @@ def examples_of(documents: DataFrame, labels: DataFrame, id: str, text: str, lab
 
 
 def _terms_of_examples(examples: DataFrame) -> DataFrame:
-    """(id, label, term, tf)."""
+    """(id, label, terms, tf): the different terms of each example and how often it holds them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, labels, names, counts = [], [], [], []
-            for doc, label, body in zip(batch.column("id").to_pylist(), batch.column("label").to_pylist(), texts_of(batch.column("text")).to_pylist()):
+            names, counts = [], []
+            for body in texts_of(batch.column("text")).to_pylist():
                 tf: dict[str, int] = {}
                 for m in _RUN.finditer(body):
                     # letter by letter, as the batch form folds them: no letter becomes two
                     term = "".join(c.lower() if len(c.lower()) == 1 else c for c in m[0])
                     tf[term] = tf.get(term, 0) + 1
-                ids += [doc] * len(tf)
-                labels += [label] * len(tf)
-                names += tf
-                counts += tf.values()
+                names.append(list(tf))
+                counts.append(list(tf.values()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.schema.field("id").type), pa.array(labels, pa.int32()), pa.array(names, pa.string()), pa.array(counts, pa.int32())],
-                ["id", "label", "term", "tf"],
+                [batch.column("id"), batch.column("label").cast(pa.int32()), pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
+                ["id", "label", "terms", "tf"],
             )
 
     kind = examples.schema["id"].dataType.simpleString()
-    return examples.mapInArrow(run, f"id {kind}, label int, term string, tf int")
+    return examples.mapInArrow(run, f"id {kind}, label int, terms array<string>, tf array<int>")
 
 
 def _chi2(n11, n10, n01, n00):
-    """Statistic of a two-by-two table: rows of label 1 with and without the term, of label 0 with and without it."""
+    """Statistic of a two-by-two table: rows of label 1 with and without the term, of label 0 with and without it; 0 without two classes."""
     total = n11 + n10 + n01 + n00
     below = (n11 + n10) * (n01 + n00) * (n11 + n01) * (n10 + n00)
-    return total * (n11 * n00 - n10 * n01) ** 2 / below
+    return np.where(below > 0, total * (n11 * n00 - n10 * n01) ** 2 / np.maximum(below, 1), 0.0)
+
+
+@dataclass
+class Rows:
+    """A sparse matrix by rows: where the entries of each row begin (one more), and the term and weight of each entry."""
+
+    first: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def of(n: int, row: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> Rows:
+        """From entries in the order of their rows."""
+        return Rows(np.searchsorted(row, np.arange(n + 1)), terms, weights)
+
+    @staticmethod
+    def of_dense(matrix: np.ndarray) -> Rows:
+        row, terms = np.nonzero(matrix)
+        return Rows.of(len(matrix), row, terms, matrix[row, terms])
+
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
+    def numbers(self) -> np.ndarray:
+        """The row of each entry."""
+        return np.repeat(np.arange(len(self)), np.diff(self.first))
+
+    def part(self, a: int, b: int) -> Rows:
+        own = slice(self.first[a], self.first[b])
+        return Rows(self.first[a : b + 1] - self.first[a], self.terms[own], self.weights[own])
+
+    def dense(self, width: int) -> np.ndarray:
+        out = np.zeros((len(self), width))
+        out[self.numbers(), self.terms] = self.weights
+        return out
 
 
 @dataclass
@@ -90,57 +122,82 @@ class Vocabulary:
 
     names: list[str]
     hashes: np.ndarray
-    idf: np.ndarray
+    weight: np.ndarray
+
+    def rows(self, texts: pa.Array) -> Rows:
+        """A row of length 1 for each text; a text without a known term has no entries."""
+        at, text = _known(self.hashes, *terms_of(texts))
+        width = max(1, len(self.names))
+        pairs, counts = np.unique(text * width + at, return_counts=True)
+        return self.weighted(len(texts), pairs // width, pairs % width, counts)
+
+    def weighted(self, n: int, row: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> Rows:
+        weights = (1 + np.log(counts)) * self.weight[terms]
+        norm = np.sqrt(np.bincount(row, weights**2, minlength=n))
+        return Rows.of(n, row, terms, weights / norm[row])
 
     def vectors(self, texts: pa.Array) -> np.ndarray:
-        """A row of length 1 for each text; a text without a known term has zeros."""
-        out = np.zeros((len(texts), len(self.names)))
-        terms, text = terms_of(texts)
-        if len(terms) and len(self.names):
-            at = np.minimum(np.searchsorted(self.hashes, terms), len(self.hashes) - 1)
-            hit = self.hashes[at] == terms
-            np.add.at(out, (text[hit], at[hit]), 1)
-        return self.weighted(out)
+        """The rows as a dense matrix."""
+        return self.rows(texts).dense(len(self.names))
+
 
-    def weighted(self, counts: np.ndarray) -> np.ndarray:
-        weights = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * self.idf
-        return weights / np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-300)
+def _known(hashes: np.ndarray, terms: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the sorted hashes, text) of the terms that are among them."""
+    if not len(hashes) or not len(terms):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(hashes, terms), len(hashes) - 1)
+    hit = hashes[at] == terms
+    return at[hit], text[hit]
 
 
 def _frequencies(rows: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
     """(number of documents that hold each term, number of documents), over all rows."""
 
+    shared = rows.sparkSession.sparkContext.broadcast(hashes)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = shared.value
         counts, n = np.zeros(len(hashes), np.int64), 0
         for batch in batches:
             n += len(batch)
             for _, texts in slices(batch):
-                terms, text = terms_of(texts)
-                if len(terms):
-                    at = np.minimum(np.searchsorted(hashes, terms), len(hashes) - 1)
-                    hit = hashes[at] == terms
-                    pairs = np.unique(text[hit] * len(hashes) + at[hit])
-                    counts += np.bincount(pairs % len(hashes), minlength=len(hashes))
-        yield pa.RecordBatch.from_arrays([pa.array([*range(len(hashes)), -1], pa.int32()), pa.array([*counts.tolist(), n], pa.int64())], ["term", "n"])
+                at, text = _known(hashes, *terms_of(texts))
+                pairs = np.unique(text * len(hashes) + at)
+                counts += np.bincount(pairs % len(hashes), minlength=len(hashes))
+        held = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1), pa.int32()), pa.array(np.append(counts[held], n), pa.int64())], ["term", "n"])
 
-    found = {r["term"]: r["n"] for r in rows.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return np.array([found.get(k, 0) for k in range(len(hashes))]), found.get(-1, 0)
+    found = rows.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms, sums = found.column("term").to_numpy(), found.column("n").to_numpy()
+    df = np.zeros(len(hashes), np.int64)
+    df[terms[terms >= 0]] = sums[terms >= 0]
+    return df, int(sums[terms < 0].sum())
 
 
 class BlockIndex:
-    """Weights of the examples by block and term, with the highest weight of each term in each block."""
+    """Weights of the examples by term: a dense matrix for terms of many examples, postings for all others."""
 
-    def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, vocabulary: Vocabulary, rate: float):
+    def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows, vocabulary: Vocabulary, rate: float):
         self.vocabulary = vocabulary
-        full = vectors.any(axis=1)
-        # examples with the same strongest term stand together, so that blocks differ in what they hold
+        rows = vectors if isinstance(vectors, Rows) else Rows.of_dense(vectors)
+        full = np.diff(rows.first) > 0
+        # in the order of their ids, so that equal cosines are settled by place
         order = np.flatnonzero(full)
-        order = order[np.lexsort((ids[order], vectors[order].argmax(axis=1)))] if len(order) else order
+        order = order[np.argsort(ids[order], kind="stable")]
         self.ids, self.labels = ids[order], labels[order]
-        self.blocks = [slice(a, min(a + BLOCK, len(order))) for a in range(0, len(order), BLOCK)]
-        self.weights = vectors[order].T.copy()
-        terms = self.weights.shape[0]
-        self.highest = np.stack([self.weights[:, b].max(axis=1) for b in self.blocks], axis=1) if self.blocks else np.zeros((terms, 0))
+        places = np.zeros(len(full), np.int64)
+        places[order] = np.arange(len(order))
+        place, width = places[rows.numbers()], len(vocabulary.names)
+        by_term = np.lexsort((place, rows.terms))
+        place, terms, weights = place[by_term], rows.terms[by_term], rows.weights[by_term]
+        held = np.bincount(terms, minlength=width)
+        dense = held >= max(1, DENSE * len(order))
+        self.number = np.where(dense, np.cumsum(dense) - 1, -1)
+        self.matrix = np.zeros((int(dense.sum()), len(order)))
+        own = dense[terms]
+        self.matrix[self.number[terms[own]], place[own]] = weights[own]
+        self.first = np.concatenate([[0], np.cumsum(np.where(dense, 0, held))])
+        self.place, self.weight = place[~own].astype(np.int32), weights[~own]
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
         self.count = np.array([(1 - rate) / zeros, rate / ones]) * (ones + zeros)
@@ -148,40 +205,64 @@ class BlockIndex:
         # texts without a known term: the rate among such examples
         none = labels[~full]
         share = self.count[1] * none.sum() / max(1e-12, self.count[none].sum()) if len(none) else rate
-        self.blank = float(min(0.49, (share * len(none) + rate) / (len(none) + 1)))
+        self.blank = float((share * len(none) + rate) / (len(none) + 1))
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        self.calibrate()
-
-    def nearest(self, queries: np.ndarray, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        self.calibrate(rows, order)
+
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights as one dense matrix of terms and examples."""
+        out = np.zeros((len(self.number), len(self.ids)))
+        out[self.number >= 0] = self.matrix
+        out[np.repeat(np.arange(len(self.number)), np.diff(self.first)), self.place] = self.weight
+        return out
+
+    def cosines(self, queries: Rows) -> np.ndarray:
+        """The cosine of each row with every example."""
+        n, examples = len(queries), len(self.ids)
+        text, number = queries.numbers(), self.number[queries.terms]
+        common = number >= 0
+        head = np.zeros((n, len(self.matrix)))
+        head[text[common], number[common]] = queries.weights[common]
+        out = head @ self.matrix
+        text, terms, weights = text[~common], queries.terms[~common], queries.weights[~common]
+        size = self.first[terms + 1] - self.first[terms]
+        total = np.cumsum(size)
+        at = 0
+        while at < len(terms):
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + POSTINGS, side="right")))
+            each, low, high = size[at:end], text[at], text[end - 1] + 1
+            entry = np.repeat(np.arange(at, end), each)
+            posting = np.arange(len(entry)) + np.repeat(self.first[terms[at:end]] - (np.cumsum(each) - each), each)
+            cell = (text[entry] - low) * examples + self.place[posting]
+            sums = np.bincount(cell, weights[entry] * self.weight[posting], minlength=(high - low) * examples)
+            out[low:high] += sums.reshape(high - low, examples)
+            at = end
+        return out
+
+    def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(cosines, places) of the k nearest examples of each row, best first, equal ones in the order of their ids.
 
-        A row's blocks come in the order of their bounds; a block whose bound is below the k-th cosine so far cannot
-        change the outcome, nor can the blocks after it. Examples without a common term (cosine 0) are none.
+        Examples without a common term (cosine 0) are none.
         """
-        n = len(queries)
+        queries = queries if isinstance(queries, Rows) else Rows.of_dense(queries)
+        n, examples = len(queries), len(self.ids)
         best, place = np.zeros((n, k)), np.full((n, k), -1)
-        if not self.blocks or not n:
+        if not examples:
             return best, place
-        bound = queries @ self.highest
-        order = np.argsort(-bound, axis=1, kind="stable")
-        for rank in range(len(self.blocks)):
-            block = order[:, rank]
-            limit = bound[np.arange(n), block]
-            rows = np.flatnonzero((limit > 0) & (limit + 1e-9 >= best[:, -1]))
-            if not len(rows):
-                break
-            for b in np.unique(block[rows]):
-                own = rows[block[rows] == b]
-                span = self.blocks[b]
-                scores = np.round(queries[own] @ self.weights[:, span], 12)
-                at = np.broadcast_to(np.arange(span.start, span.stop), scores.shape)
-                if skip is not None:
-                    scores = np.where(at == skip[own][:, None], 0, scores)
-                scores = np.concatenate([best[own], scores], axis=1)
-                at = np.concatenate([place[own], np.where(scores[:, k:] > 0, at, -1)], axis=1)
-                keep = np.lexsort((np.where(at >= 0, self.ids[at], np.iinfo(np.int64).max), -scores), axis=1)[:, :k]
-                best[own] = np.take_along_axis(scores, keep, axis=1)
-                place[own] = np.take_along_axis(at, keep, axis=1)
+        for a in range(0, n, BLOCK):
+            b = min(a + BLOCK, n)
+            scores = np.round(self.cosines(queries.part(a, b)), 12)
+            if skip is not None:
+                scores[np.arange(b - a), skip[a:b]] = 0
+            least = np.partition(scores, examples - k, axis=1)[:, examples - k] if examples > k else np.zeros(b - a)
+            row, at = np.nonzero((scores >= least[:, None]) & (scores > 0))
+            value = scores[row, at]
+            order = np.lexsort((at, -value, row))
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            own = order[rank < k]
+            best[a + row[own], rank[rank < k]] = value[own]
+            place[a + row[own], rank[rank < k]] = at[own]
         return best, place
 
     def votes(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -190,12 +271,14 @@ class BlockIndex:
         weight = np.where(place >= 0, best * self.count[label], 0)
         return ((weight * label).sum(axis=1) + self.rate * 0.5) / (weight.sum(axis=1) + 0.5)
 
-    def calibrate(self) -> None:
+    def calibrate(self, rows: Rows, order: np.ndarray) -> None:
         """Votes of each example among the others, made a rising step function to the rate of label 1 (pool adjacent)."""
         if not len(self.labels):
             return
-        best, place = self.nearest(self.weights.T, NEAREST, skip=np.arange(len(self.labels)))
-        votes = self.votes(best, place)
+        skip = np.full(len(rows), 0)
+        skip[order] = np.arange(len(order))
+        best, place = self.nearest(rows, NEAREST, skip=skip)
+        votes = self.votes(best, place)[order]
         pools: list[list[float]] = []
         for v in np.argsort(votes, kind="stable"):
             weight = self.count[self.labels[v]]
@@ -206,44 +289,40 @@ class BlockIndex:
         x, y = np.array([p[0] / p[1] for p in pools]), np.array([p[2] / p[1] for p in pools])
         self.curve = np.concatenate([[0.0], x, [1.0]]), np.concatenate([[y[0]], y, [y[-1]]])
 
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(probabilities, cosines, places, vectors) of texts."""
-        vectors = self.vocabulary.vectors(texts)
-        best, place = self.nearest(vectors, NEAREST)
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, Rows]:
+        """(probabilities, cosines, places, weighted terms) of texts."""
+        rows = self.vocabulary.rows(texts)
+        best, place = self.nearest(rows, NEAREST)
         probability = np.interp(self.votes(best, place), *self.curve)
-        return np.clip(np.where(place[:, 0] >= 0, probability, self.blank), 0.001, 0.999), best, place, vectors
+        return np.clip(np.where(place[:, 0] >= 0, probability, self.blank), 0.001, 0.999), best, place, rows
 
 
 def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> BlockIndex:
     """The index of a bounded sample of labelled documents; document frequencies are counted over all of ``documents``."""
     examples, rate = examples_of(documents, labels, id, text, label)
-    examples = examples.persist()
-    sizes = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
-    terms = _terms_of_examples(examples)
-    chosen = []
-    if ones and zeros:
-        seen = terms.groupBy("term").agg(F.sum("label").cast("double").alias("n1"), F.sum(1 - F.col("label")).cast("double").alias("n0"))
-        seen = seen.filter((F.col("n1") + F.col("n0") >= LEAST_ROWS) & (F.col("n1") + F.col("n0") < ones + zeros))
-        seen = seen.withColumn("chi2", _chi2(F.col("n1"), ones - F.col("n1"), F.col("n0"), zeros - F.col("n0")))
-        chosen = [r["term"] for r in seen.filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(MOST_TERMS).collect()]
-    hashes = np.array([terms_of(pa.array([x]))[0][0] for x in chosen], U)
-    order = np.argsort(hashes)
-    names, hashes = [chosen[k] for k in order], hashes[order]
-    rows = documents.select(F.col(text).cast("string").alias("text"))
-    df, n = _frequencies(rows, hashes) if names else (np.zeros(0), 0)
-    vocabulary = Vocabulary(names, hashes, np.log((1 + n) / (1 + df)) + 1)
-    number = {x: k for k, x in enumerate(names)}
-    # without a vocabulary the list is empty and no count is read
-    held = terms.filter(F.col("term").isin(names)).select("id", "term", "tf").collect() if names else []
-    ids = [(r["id"], r["label"]) for r in examples.select("id", "label").collect()]
-    examples.unpersist()
-    ids.sort()
-    place = {x: k for k, (x, _) in enumerate(ids)}
-    counts = np.zeros((len(ids), len(names)))
-    for r in held:
-        counts[place[r["id"]], number[r["term"]]] = r["tf"]
-    return BlockIndex(np.array([x for x, _ in ids], np.int64), np.array([y for _, y in ids], np.int64), vocabulary.weighted(counts), vocabulary, rate)
+    found = _terms_of_examples(examples).toArrow().combine_chunks().sort_by("id")
+    ids, marks = found.column("id").to_numpy().astype(np.int64), found.column("label").to_numpy().astype(np.int64)
+    lists = found.column("terms").combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.string()))
+    counts = found.column("tf").combine_chunks().flatten().to_numpy() if found.num_rows else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
+    coded = lists.flatten().dictionary_encode()
+    # a name that the batch form reads as no term cannot meet a text
+    hashes, first = np.zeros(len(coded.dictionary), U), np.zeros(len(coded.dictionary), bool)
+    own, name = terms_of(coded.dictionary)
+    hashes[name[::-1]], first[name] = own[::-1], True
+    order = np.flatnonzero(first)
+    order = order[np.argsort(hashes[order])]
+    number = np.full(len(first), -1)
+    number[order] = np.arange(len(order))
+    terms = number[coded.indices.to_numpy()]
+    row, terms, counts = row[terms >= 0], terms[terms >= 0], counts[terms >= 0]
+    df, n = _frequencies(documents.select(F.col(text).cast("string").alias("text")), hashes[order]) if len(order) else (np.zeros(0), 0)
+    ones, zeros = float(marks.sum()), float((marks == 0).sum())
+    n1 = np.bincount(terms, marks[row], minlength=len(order))
+    n0 = np.bincount(terms, minlength=len(order)) - n1
+    weight = (np.log((1 + n) / (1 + df)) + 1) * (1 + np.sqrt(_chi2(n1, ones - n1, n0, zeros - n0)))
+    vocabulary = Vocabulary(coded.dictionary.take(pa.array(order)).to_pylist(), hashes[order], weight)
+    return BlockIndex(ids, marks, vocabulary.weighted(len(ids), row, terms, counts), vocabulary, rate)
 
 
 def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
@@ -251,9 +330,10 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
 
     ``corpus`` holds the texts of the labelled rows (``documents`` if not given). ``score`` is the calibrated probability of label
     1, ``predicted`` whether it is at least 0.5, ``neighbours`` the voting examples with cosine and label, nearest first, and
-    ``evidence`` the text's known terms by falling weight. Null and empty texts, and texts without a known term, have no
-    neighbours and get the rate of such examples. Without labels of both classes every score is that rate. Repeated rows
-    are scored one by one; an empty table gives no rows. The model has a bounded size and is broadcast; no shuffle of texts.
+    ``evidence`` the text's known terms by falling weight. Null and empty texts, and texts that share no term with an example,
+    have no neighbours and get the rate of such examples. Without labels of both classes every score is the rate. Repeated rows
+    are scored one by one; an empty table gives no rows. The model has a bounded number of examples and is broadcast; no shuffle
+    of texts.
     """
     index = fit(documents if corpus is None else corpus, labels, id, text, label)
     shared = documents.sparkSession.sparkContext.broadcast(index)
@@ -262,23 +342,24 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        names = np.array(index.vocabulary.names, object)
+        names = pa.array(index.vocabulary.names, pa.string())
         example = pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
         for batch in batches:
             for part, texts in slices(batch):
-                scores, best, place, vectors = index.score(texts)
+                scores, best, place, terms = index.score(texts)
                 near = [
                     [{"id": int(index.ids[p]), "cosine": float(c), "label": int(index.labels[p])} for c, p in zip(cs, ps) if p >= 0]
                     for cs, ps in zip(best, place)
                 ]
-                known = [names[np.argsort(-v, kind="stable")[: np.count_nonzero(v)]].tolist() for v in vectors]
+                falling = np.lexsort((terms.terms, -terms.weights, terms.numbers()))
+                known = pa.ListArray.from_arrays(pa.array(terms.first, pa.int32()), names.take(pa.array(terms.terms[falling])))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("id"),
                         pa.array(scores),
                         pa.array((scores >= 0.5).astype(np.int32)),
                         pa.array(near, pa.list_(example)),
-                        pa.array(known, pa.list_(pa.string())),
+                        known,
                     ],
                     ["id", "score", "predicted", "neighbours", "evidence"],
                 )

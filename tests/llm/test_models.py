@@ -131,6 +131,30 @@ def test_toxicity_of_a_table(spark):
     assert score_toxicity(documents, marks.filter("toxic = 0")).filter("predicted = 1").count() == 0
 
 
+def test_rare_wordings_have_neighbours(spark):
+    rng = np.random.default_rng(9)
+    rows, labels = [], []
+    for k in range(200):
+        words = [f"w{'abcdefgh'[x]}{'ijklmnop'[y]}" for x, y in rng.integers(0, 8, (20, 2))]
+        bad = k % 4 == 0
+        rows.append((k, " ".join(words + ["awful", "nasty"] * bad)))
+        labels.append((k, int(bad)))
+    rare = "you brainless crooked vermin crawl back beneath your filthy rotten swamp".split()
+    rows += [(300, " ".join(rare + rows[1][1].split()[:3])), (301, "seldom heard gentle melodies drift over quiet meadows at dusk")]
+    labels += [(300, 1), (301, 0)]
+    rows += [(400, " ".join(rare[:-2] + rows[2][1].split()[:2])), (401, "gentle melodies drift over quiet meadows"), (402, "...")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    by = {r.doc_id: r for r in score_toxicity(documents, marks).collect()}
+    assert by[400].predicted == 1 and by[400].neighbours[0].id == 300 and by[400].neighbours[0].cosine > 0.7
+    assert by[401].predicted == 0 and by[401].neighbours[0].id == 301 and "meadows" in by[401].evidence
+    assert [k for k, r in by.items() if not r.neighbours] == [402]
+    assert not {300, 400} & {r.doc_id for r in reject_toxic(documents, marks).collect()}
+    # the rate of the blank examples is not held below a half
+    blank = BlockIndex(np.arange(4), np.array([1, 1, 1, 0]), np.array([[0.0], [0.0], [0.0], [1.0]]), Vocabulary(["a"], np.zeros(1), np.ones(1)), 0.75)
+    assert blank.blank > 0.5
+
+
 @pytest.mark.skipif(not Path(LARGER).exists(), reason="no shared tables")
 def test_toxicity_of_held_out_documents(spark):
     found = queries.QUERIES["op1_toxicity"](spark, LARGER).join(spark.read.parquet(f"{LARGER}/labels.parquet"), "doc_id").filter("held_out")
