@@ -28,7 +28,11 @@ _ASSIGN = re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 # the same as runs of any length of which those under 24 are dropped: a run is always taken whole
 _HEX = re.compile(rb"[0-9a-f]{24,}")
-_BLOCK = re.compile(rb"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]+)-----END \1-----")
+# the body may hold hyphens (headers of encrypted keys), but no other boundary
+_BLOCK = re.compile(rb"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([^-]+(?:-(?!----)[^-]*)*)-----END \1-----")
+# the headers of an encrypted key, also where line breaks have become spaces
+_LOCKED = re.compile(rb"Proc-Type:\s*4,\s*ENCRYPTED(?!\S)")
+_HEADERS = re.compile(rb"Proc-Type:\s*4,\s*ENCRYPTED(?!\S)|DEK-Info:\s*[A-Za-z0-9-]+(?:,\s*[0-9A-Fa-f]+)?(?!\S)")
 # base64 of an opening brace, then of a quote or white space
 _SIGNED = re.compile(rb"(?<![A-Za-z0-9_-])(e[yw][A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{24,}={0,2}")
@@ -129,8 +133,8 @@ def is_signed_token(header: bytes, body: bytes, signature: bytes) -> bool:
 
 def _block_key(body: bytes, name: bytes) -> bool:
     body = body.replace(b"\\n", b"\n").replace(b"\\r", b"")
-    lines = [x.strip() for x in body.split(b"\n") if x.strip()]
-    locked = any(b"ENCRYPTED" in x for x in lines if b":" in x)
+    locked = _LOCKED.search(body) is not None
+    lines = [x.strip() for x in _HEADERS.sub(b"", body).split(b"\n") if x.strip()]
     data = from_base64(b"".join(b"".join(x for x in lines if b":" not in x).split()))
     if not data:
         return False
