@@ -153,6 +153,44 @@ def test_author_correction(spark):
     assert got == {1: ("Ann Lee", "local-first-book-any-author"), 2: ("Bob Ray", "local-series-any-author"), 3: (None, None)}
 
 
+def test_author_correction_searches_weak_series_completely(spark):
+    def sim(a, b):
+        return 0.0 if not a or not b else 1.0 if a == b else 0.9 if a in b or b in a else SequenceMatcher(None, a, b).ratio()
+
+    rng = random.Random(4)
+    names = ["river songs", "iron saga", "stone road", "low water", "abcd river zongs ef", "night harbor", "zz top"]
+
+    def bent(x):
+        for _ in range(rng.randint(0, 7)):
+            k = rng.randrange(len(x) + 1)
+            x = rng.choice([x[:k] + rng.choice("aeiou rst") + x[k:], x[:k] + x[k + 1 :] or "a"])
+        return " ".join(x.split()) or "a"
+
+    authors = ["bob ray", "ann lee", "zoe wu"]
+    rows = [(0, "Bob Ray", "Abcd River Zongs Ef", "Low Waters")] + [(k, rng.choice(authors), bent(rng.choice(names)), bent(rng.choice(names))) for k in range(1, 160)]
+    books = [("Bob Ray", "River Songs", "Low Water", 0)] + [(rng.choice(authors), bent(rng.choice(names)), bent(rng.choice(names)), k) for k in range(1, 60)]
+    found = matching.author_correction(
+        spark.createDataFrame(rows, "id long, author string, series string, first string"),
+        spark.createDataFrame(books, "author string, series string, title string, book_order long"),
+        "id", "author", "series", "first",
+    )
+    got = {r["id"]: r for r in found.collect()}
+    shelf = {}
+    for author, series, title, k in sorted(books, key=lambda x: x[3]):
+        shelf.setdefault((author.lower(), series.lower()), []).append(title.lower())
+    weak = 0
+    for k, author, series, first in rows:
+        a, s, f = author.lower(), series.lower(), first.lower()
+        if any(f == t.lower() and 4 + 2.5 * sim(x.lower(), s) + sim(w.lower(), a) >= 5 for w, x, t, _ in books):
+            assert got[k]["reason"] == "local-first-book-any-author"
+            continue
+        scores = [(3 * sim(x, s) + max(sim(t, f) for t in ts[:3]) + 0.5 * sim(w, a), sim(x, s)) for (w, x), ts in shelf.items()]
+        best, near = max(scores)
+        assert got[k]["points"] == (pytest.approx(best, abs=1e-6) if best >= 3.4 else None)
+        weak += best >= 3.4 and near < 0.775
+    assert got[0]["proposed_author"].lower() == "bob ray" and weak > 3
+
+
 def test_choose_search_result(spark):
     q = spark.createDataFrame([(1, "Ann Lee", "First Iron", "Iron Saga")], "rid long, author string, title string, series string")
     found = [(1, 1, "Ann Lee", "Other", "Other"), (1, 2, "Ann Lee", "First Iron (Iron Saga #1)", "First Iron"), (1, 3, "Zed", "First Iron", "First Iron")]
