@@ -131,6 +131,18 @@ def test_toxicity_of_a_table(spark):
     assert score_toxicity(documents, marks.filter("toxic = 0")).filter("predicted = 1").count() == 0
 
 
+def test_examples_are_chosen_in_every_task(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "cast(id % 4 = 0 AS int) AS toxic")
+    chosen, rate = toxicity.examples_of(rows, rows, "doc_id", "text", "toxic")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "Window" not in plan and chosen.count() == 400 and rate == 0.25
+    monkeypatch.setattr(toxicity, "EXAMPLES", 30)
+    chosen, _ = toxicity.examples_of(rows, rows, "doc_id", "text", "toxic")
+    hashes = rows.select("toxic", "doc_id", F.xxhash64("text").alias("h")).collect()
+    want = {r.doc_id for k in (0, 1) for r in sorted((x for x in hashes if x.toxic == k), key=lambda x: (x.h, x.doc_id))[:30]}
+    assert {r.id for r in chosen.collect()} == want
+
+
 def test_rare_wordings_have_neighbours(spark):
     rng = np.random.default_rng(9)
     rows, labels = [], []
