@@ -197,3 +197,119 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
     rows = table(spark, folder, "embeddings")
     return nearest_neighbours(rows, rows.filter(F.col("vec_id") % 20 == 0), 20)
+
+
+# words of digits, letters and characters from U+0080 on; a window is 10 of them in a row, or a whole shorter item
+_OP11 = r"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+),
+win AS (
+  SELECT DISTINCT item, size, array_to_string(ws[i : i + size - 1], ' ') AS body
+  FROM (SELECT item, ws, least(len(ws), 10) AS size, unnest(generate_series(1, len(ws) - least(len(ws), 10) + 1)) AS i FROM b WHERE len(ws) > 0)
+),
+runs AS (
+  SELECT doc_id, i, size, array_to_string(ws[i : i + size - 1], ' ') AS body
+  FROM (SELECT doc_id, ws, size, unnest(generate_series(1, len(ws) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM win))
+),
+met AS (SELECT doc_id, i, size, item FROM runs JOIN win USING (size, body)),
+hit AS (SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS w FROM met) GROUP BY doc_id),
+own AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(own.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)"""
+
+
+@query("op11_decontamination", _OP11)
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.decontamination import find_contamination
+
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), width=10)
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+_OP12 = r"""WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 200)::INT AS a,
+    (100 * len(list_distinct(ws)) < 50 * len(ws))::INT AS b,
+    (100 * len(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * len(body))::INT AS c,
+    regexp_matches(body, '[#$%&*|]')::INT AS d,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), false)::INT AS e
+  FROM w LEFT JOIN l USING (doc_id)
+),
+masks AS (SELECT part, [a, b, c, d, e] AS f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM docs GROUP BY ALL),
+letter AS (SELECT unnest([1, 2, 3, 4, 5]) AS x),
+orders AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM letter p, letter q, letter r, letter s, letter t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+),
+steps AS (SELECT o, step, o[step] AS x, o[1 : step - 1] AS before FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+told AS (
+  SELECT part, o, step, x,
+    sum(n) FILTER (len(list_filter(before, lambda y: f[y] = 1)) = 0 AND f[x] = 0) AS kept,
+    sum(n) FILTER (len(list_filter(before, lambda y: f[y] = 1)) = 0 AND f[x] = 1) AS removed,
+    sum(n) FILTER (len(list_filter(before, lambda y: f[y] = 1)) > 0 AND f[x] = 1) AS redundant,
+    sum(n) FILTER (list_sum(f) = 1 AND f[x] = 1) AS unique_fails,
+    sum(good) FILTER (len(list_filter(before, lambda y: f[y] = 1)) = 0 AND f[x] = 1) AS good_lost,
+    sum(toxic) FILTER (len(list_filter(before, lambda y: f[y] = 1)) = 0 AND f[x] = 1) AS toxic_lost
+  FROM masks, steps GROUP BY ALL
+)
+SELECT part, array_to_string([substr('ABCDE', y, 1) FOR y IN o], '') AS filter_order, step,
+  coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, x), 0)::BIGINT AS shapley
+FROM told"""
+
+
+@query("op12_filter_audit", _OP12)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.audit import audit_filters
+
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_OP13 = r"""WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS body, sha256('42:' || doc_id::VARCHAR) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+    CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM w
+),
+cut AS (
+  SELECT *, array_to_string(u[1 : least(c1, c2)], '') AS prefix, array_to_string(u[least(c1, c2) + 1 : greatest(c1, c2)], '') AS middle,
+    array_to_string(u[greatest(c1, c2) + 1 :], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(body) AS restored_sha256
+FROM cut"""
+
+
+@query("op13_fill_in_middle", _OP13)
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    from shelfmark.llm.middles import fill_in_middle, restored
+
+    out = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    digests = {"output_sha256": F.col("text"), "restored_sha256": restored(F.col("text"), F.col("form"))}
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(F.sha2(x.cast("binary"), 256).alias(name) for name, x in digests.items()))
