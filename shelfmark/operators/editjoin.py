@@ -92,41 +92,3 @@ def one_edit_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text
 
     joined = variants(left, left_text, "left_text").join(variants(right, right_text, "right_text"), [*block, "variant"])
     return joined.filter(F.levenshtein("left_text", "right_text") <= 1).select(*block, "left_text", "right_text").distinct()
-
-
-# letters of lower-case keys from rare to common; a character that is missing here counts as rarer still
-_RARITY = "zqxjkvbpygfwmucldrhsnioate "
-
-
-def _character_tokens(text: Column) -> Column:
-    """Every character with its count so far, as (-count, rarity, character), rarest first: a set that stands for the multiset."""
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-
-    def token(c: Column, i: Column) -> Column:
-        before = F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x == c)
-        return F.struct((-F.size(before)).alias("n"), F.call_function("instr", F.lit(_RARITY), c).alias("r"), c.alias("c"))
-
-    return F.array_sort(F.transform(chars, token))
-
-
-def overlap_candidates(left: DataFrame, left_text: str, right: DataFrame, right_text: str, ratio: float) -> DataFrame:
-    """Distinct (left_text, right_text) that can have a matching-blocks ratio of ``ratio``; complete at any ratio over 0.
-
-    Matching blocks form a common subsequence, so at least ratio / 2 of all characters of both texts are common. In one order of
-    all characters the first common one then stands early in both texts, where they meet in an ordinary equi-join; the number of
-    common characters and the edit distance decide. With so few common characters many pairs meet: far costlier than
-    ``edit_candidates`` on similar texts.
-    """
-
-    def keyed(frame: DataFrame, text: str, name: str) -> DataFrame:
-        rows = frame.select(F.col(text).alias(name)).filter(F.length(name) > 0).distinct().withColumn(f"{name}_tokens", _character_tokens(F.col(name)))
-        size = F.size(f"{name}_tokens")
-        # a partner is not shorter than ratio / (2 - ratio) of the text, and so many characters are common at least
-        early = size - F.ceil(size * (ratio / (2.0 - ratio)) - 1e-9).cast("int") + 1
-        return rows.withColumn("token", F.explode(F.slice(f"{name}_tokens", F.lit(1), early)))
-
-    both = F.length("left_text") + F.length("right_text")
-    common = F.size(F.array_intersect("left_text_tokens", "right_text_tokens"))
-    joined = keyed(left, left_text, "left_text").join(keyed(right, right_text, "right_text"), "token")
-    within = (F.levenshtein("left_text", "right_text") <= both * (1.0 - ratio) + 1e-9) & (2 * common >= both * ratio - 1e-9)
-    return joined.filter(within).select("left_text", "right_text").distinct()

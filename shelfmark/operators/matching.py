@@ -16,8 +16,9 @@ from shelfmark.functions.nulls import col, present, to_number
 from shelfmark.functions.similarity import key_similarity, similarity
 from shelfmark.functions.titles import normalize_title
 from shelfmark.operators.containment import touching_pairs
-from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs, overlap_candidates
+from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 from shelfmark.operators.groups import top_per_key
+from shelfmark.operators.nearest import best_by_points
 from shelfmark.session import cut_lineage
 
 STRATEGIES = ("exact", "fuzzy_title", "core_title", "series")
@@ -308,9 +309,8 @@ def author_correction(rows: DataFrame, books: DataFrame, row_id: str, author: st
     """(row_id, proposed_author, reason, points) for rows whose author may be wrong.
 
     A book with the row's first title by any author: 4 title + 2.5 series + 1 author similarity, from 5 on.
-    Else a series: 3 series + best title of its first three books + 0.5 author similarity, from 3.4 on. Series are searched
-    completely: names with a similarity of 0.775 or more, or containing each other, and for rows with a title and an author all
-    names from the least similarity that the points allow.
+    Else a series: 3 series + best title of its first three books + 0.5 author similarity, from 3.4 on, searched completely
+    (``nearest``). Runs jobs.
     """
     r = rows.select(
         F.col(row_id).alias("rid"), series_word_key(author).alias("a"), series_word_key(series).alias("s"), series_word_key(first_book).alias("f")
@@ -319,50 +319,32 @@ def author_correction(rows: DataFrame, books: DataFrame, row_id: str, author: st
         F.col("author").alias("name"), series_word_key("author").alias("ba"), series_word_key("series").alias("bs"),
         series_word_key("title").alias("bt"), "book_order",
     )
+    b = cut_lineage(b)
     # equal titles have similarity 1, so the points start at 4; copies of a book count once
     distinct_books = b.filter("bt <> ''").groupBy("ba", "bs", "bt").agg(F.min(F.struct("book_order", "name")).alias("n"))
-    asked = r.select("a", "s", "f").distinct()
-    by_title = asked.join(distinct_books, F.col("f") == F.col("bt"))
-    title_points = 4.0 + 2.5 * key_similarity(F.col("bs"), F.col("s")) + key_similarity(F.col("ba"), F.col("a"))
-    first = (
-        by_title.withColumn("points", title_points)
-        .filter("points >= 5.0")
-        .groupBy("a", "s", "f")
-        .agg(F.min(F.struct((-F.col("points")).alias("neg"), F.col("n.book_order").alias("o"), F.col("n.name").alias("name"))).alias("b1"))
-    )
+    asked = cut_lineage(r.select("a", "s", "f").distinct())
+
+    def by_title(open_rows: DataFrame, condition: Column, series_part: Column) -> DataFrame:
+        return (
+            open_rows.join(distinct_books, condition)
+            .withColumn("points", 4.0 + series_part + key_similarity(F.col("ba"), F.col("a")))
+            .filter("points >= 5.0")
+            .groupBy("a", "s", "f")
+            .agg(F.min(F.struct((-F.col("points")).alias("neg"), F.col("n.book_order").alias("o"), F.col("n.name").alias("name"))).alias("b1"))
+        )
+
+    # a book of the same series too gives more than any other book from 7.25 on, so a title that many books share is
+    # compared with all of them only where this leaves a row open
+    same = cut_lineage(by_title(asked, (F.col("f") == F.col("bt")) & (F.col("s") == F.col("bs")), F.when(F.col("s") == "", 0.0).otherwise(2.5)).filter("b1.neg < -7.25"))
+    others = asked.join(same, ["a", "s", "f"], "left_anti")
+    first = cut_lineage(same.union(by_title(others, F.col("f") == F.col("bt"), 2.5 * key_similarity(F.col("bs"), F.col("s")))))
     titled = top_per_key(b, ["ba", "bs"], [F.col("book_order")], 3)
     series_rows = titled.groupBy("ba", "bs").agg(
         F.min(F.struct("book_order", "name")).alias("n"), F.array_sort(F.collect_list(F.struct("book_order", "bt"))).alias("ts")
     )
     left_over = asked.join(first, ["a", "s", "f"], "left_anti")
-    names = left_over.select(F.col("s").alias("w")).distinct()
-    offered = b.select(F.col("bs").alias("w2")).distinct()
-    near = edit_candidates(names, "w", offered, "w2", 0.45).union(touching_pairs(names, "w", offered, "w2"))
-    # below 0.775 a title of more than 0.575 and an author are needed; with both equal, a series of 1.9 / 3 is enough
-    titled_names = left_over.filter("f <> '' AND a <> ''").select(F.col("s").alias("w"))
-    titled_series = titled.filter("bt <> '' AND ba <> ''").select(F.col("bs").alias("w2"))
-    near = near.union(overlap_candidates(titled_names, "w", titled_series, "w2", 1.9 / 3)).distinct()
-    candidates = left_over.join(near, F.col("s") == F.col("left_text")).join(series_rows, F.col("right_text") == F.col("bs"))
-
-    def most(x: Column, y: Column) -> Column:
-        """Never below ``key_similarity``: what edits leave of both texts is all that can be common."""
-        bound = 1.0 - F.levenshtein(x, y) / (F.length(x) + F.length(y))
-        return F.when((x == "") | (y == ""), 0.0).when(x.contains(y) | y.contains(x), 1.0).otherwise(bound)
-
-    def title_at(i: int) -> Column:
-        return F.coalesce(F.try_element_at("ts", F.lit(i))["bt"], F.lit(""))
-
-    best_title = F.greatest(*[key_similarity(title_at(i), F.col("f")) for i in (1, 2, 3)])
-    series_points = 3.0 * key_similarity(F.col("bs"), F.col("s")) + best_title + 0.5 * key_similarity(F.col("ba"), F.col("a"))
-    most_title = F.greatest(*[most(title_at(i), F.col("f")) for i in (1, 2, 3)])
-    most_points = 3.0 * most(F.col("bs"), F.col("s")) + most_title + 0.5 * most(F.col("ba"), F.col("a"))
-    second = (
-        candidates.filter(most_points >= 3.4 - 1e-9)
-        .withColumn("points", series_points)
-        .filter("points >= 3.4")
-        .groupBy("a", "s", "f")
-        .agg(F.min(F.struct((-F.col("points")).alias("neg"), F.col("n.book_order").alias("o"), F.col("n.name").alias("name"))).alias("b2"))
-    )
+    offered = series_rows.select("ba", "bs", F.col("ts.bt").alias("ts"), F.col("n.book_order").cast("long").alias("book_order"), F.col("n.name").alias("name"))
+    second = best_by_points(left_over, offered, (3.0, 1.0, 0.5), 3.4).select("a", "s", "f", F.struct((-F.col("points")).alias("neg"), "name").alias("b2"))
     return r.join(first, ["a", "s", "f"], "left").join(second, ["a", "s", "f"], "left").select(
         F.col("rid").alias(row_id),
         F.coalesce("b1.name", "b2.name").alias("proposed_author"),
