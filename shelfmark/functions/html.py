@@ -1,11 +1,11 @@
-"""Fields of stored product and book pages (HTML text columns)."""
+"""Texts and links of stored pages (HTML text columns); the fields of catalogue and shop pages are in ``pages``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.nulls import col, collapse_space, trim_space
+from shelfmark.functions.nulls import col, collapse_space
 
 
 def tag_text(c: Column | str, tag: str) -> Column:
@@ -26,84 +26,3 @@ def plain_text(c: Column | str) -> Column:
 def links(c: Column | str) -> Column:
     """ARRAY of all link targets, in order."""
     return F.regexp_extract_all(col(c), F.lit("(?i)<a\\s[^>]*?href=\"([^\"]*)\""), 1)
-
-
-def element_text(c: Column | str, attribute: str, value: str) -> Column:
-    """Text of the first element that carries attribute="value"."""
-    pattern = f"(?is)<(\\w+)[^>]*\\b{attribute}=\"{value}\"[^>]*>(.*?)</\\1>"
-    return F.nullif(plain_text(F.regexp_extract(col(c), pattern, 2)), F.lit(""))
-
-
-def json_ld(c: Column | str) -> Column:
-    """Text of the first JSON-LD block."""
-    block = F.regexp_extract(col(c), "(?is)<script[^>]*application/ld\\+json[^>]*>(.*?)</script>", 1)
-    return F.nullif(trim_space(block), F.lit(""))
-
-
-def book_fields(c: Column | str) -> Column:
-    """STRUCT(rating, rating_count, pages, published, publisher, series, title) of a stored book page.
-
-    Structured data wins over the visible page elements.
-    """
-    data = json_ld(c)
-
-    def field(path: str) -> Column:
-        return F.get_json_object(data, path)
-
-    digits = lambda text: F.nullif(F.regexp_replace(text, "[^0-9]", ""), F.lit(""))
-    info = element_text(c, "data-testid", "publicationInfo")
-    published = "(?i)published\\s+(.*?)(?:\\s+by\\s+(.*))?$"
-    title = element_text(c, "data-testid", "bookTitle")
-    heading = F.regexp_extract(col(c), "(?is)<h3[^>]*aria-label=\"Book Series\"[^>]*>(.*?)</h3>", 1)
-    in_title = F.regexp_extract(title, "(?i)\\(([^)]*(?:series|#)[^)]*)\\)", 1)
-    return F.struct(
-        F.coalesce(field("$.aggregateRating.ratingValue"), element_text(c, "class", "RatingStatistics__rating"))
-        .try_cast("double")
-        .alias("rating"),
-        F.coalesce(field("$.aggregateRating.ratingCount"), digits(element_text(c, "data-testid", "ratingsCount")))
-        .try_cast("long")
-        .alias("rating_count"),
-        F.coalesce(
-            field("$.numberOfPages"),
-            F.regexp_extract(element_text(c, "data-testid", "pagesFormat"), "(?i)([0-9]+)\\s*pages", 1),
-        )
-        .try_cast("int")
-        .alias("pages"),
-        F.nullif(F.regexp_extract(info, published, 1), F.lit("")).alias("published"),
-        F.nullif(F.regexp_extract(info, published, 2), F.lit("")).alias("publisher"),
-        F.coalesce(F.nullif(plain_text(heading), F.lit("")), F.nullif(trim_space(in_title), F.lit(""))).alias("series"),
-        F.coalesce(title, field("$.name")).alias("title"),
-    )
-
-
-def detail_bullets(c: Column | str) -> Column:
-    """MAP label -> value of the ``Label : value`` bullets of a product page."""
-    items = F.regexp_extract_all(col(c), F.lit("(?is)<li\\b[^>]*>(.*?)</li>"), 1)
-    texts = F.transform(items, plain_text)
-    pairs = F.transform(
-        F.filter(texts, lambda t: t.rlike("^[^:]{1,60}:\\s*\\S")),
-        lambda t: F.struct(
-            F.lower(trim_space(F.regexp_extract(t, "^([^:]+?)[^\\p{L}\\p{N})]*:", 1))).alias("key"),
-            trim_space(F.regexp_extract(t, "^[^:]+:(.*)$", 1)).alias("value"),
-        ),
-    )
-    keys = F.transform(pairs, lambda p: p["key"])
-    return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1))
-
-
-def product_fields(c: Column | str) -> Column:
-    """STRUCT(pages, publisher, published, best_rank) of a stored product page."""
-    bullets = detail_bullets(c)
-    rank = F.regexp_replace(bullets["best sellers rank"], "\\(See Top [0-9]+.*?\\)", "")
-    return F.struct(
-        F.regexp_extract(F.coalesce(bullets["print length"], bullets["pages"]), "([0-9]+)", 1).try_cast("int").alias("pages"),
-        F.nullif(trim_space(F.regexp_replace(bullets["publisher"], "\\s*\\([^)]+\\)\\s*", "")), F.lit("")).alias("publisher"),
-        F.nullif(
-            F.regexp_extract(
-                F.coalesce(bullets["publication date"], bullets["release date"]),
-                "([0-9]{4}-[0-9]{2}-[0-9]{2}|[A-Z][a-z]+ [0-9]+, [0-9]{4})", 1,
-            ),
-            F.lit(""),
-        ).alias("published"),
-        F.nullif(collapse_space(rank), F.lit("")).alias("best_rank"),
-    )

@@ -12,6 +12,7 @@ from shelfmark.functions import contacts as C
 from shelfmark.functions import html as H
 from shelfmark.functions import jsontext as K
 from shelfmark.functions import keys as X
+from shelfmark.functions import pages as P
 from shelfmark.functions import similarity as S
 from shelfmark.functions import text as TX
 from shelfmark.functions import titles as TT
@@ -587,33 +588,78 @@ def page_fields(t: Tables) -> DataFrame:
     )
 
 
+_SYNOPSIS = "Two rivals share one rink, one winter and one secret that neither of them can keep."
+
+
 def _book_page(t: Tables) -> DataFrame:
-    """Book and product pages written around the stored pages."""
+    """Catalogue and product pages written around the stored pages."""
     rating = F.round(3 + F.pmod("page_id", F.lit(20)) / 10, 1).cast("string")
-    count = (F.col("page_id") * 10 + 7).cast("string")
+    number = F.col("page_id").cast("string")
     data = F.concat(
-        F.lit('<script type="application/ld+json">{"name": "Book", "numberOfPages": '), F.pmod("page_id", F.lit(700)), F.lit(', "aggregateRating": {"ratingValue": '), rating,
-        F.lit(', "ratingCount": '), count, F.lit("}}</script>"),
-    )
-    visible = F.concat(
-        F.lit('<h1 data-testid="bookTitle">Iron <b>Book</b> (Forge Series, #2)</h1><span data-testid="ratingsCount">1,234 ratings</span><p data-testid="pagesFormat">312 pages, Kindle</p><p data-testid="publicationInfo">First published May 3, 2021 by Oak &amp; Co</p>')
-    )
-    bullets = F.lit("<ul><li><b>Publisher</b> : Oak Press (May 3, 2021)</li><li>Print length : 287 pages</li><li>Publication date : May 3, 2021</li><li>Best Sellers Rank: #88 in Kindle Store (See Top 100 in Kindle Store)</li></ul>")
-    return t.pages.select("page_id", F.concat(F.when(F.col("url").contains("/en/"), data).otherwise(visible), bullets, "html").alias("html"))
+        F.lit('<script type="application/ld+json">{"name": "Book ('), number, F.lit(')", "author": [{"name": "Ann Lee"}, {"name": "Bo Ray"}], "numberOfPages": '),
+        F.pmod("page_id", F.lit(700)), F.lit(', "aggregateRating": {"ratingValue": '), rating, F.lit(', "ratingCount": '), number, F.lit('7, "reviewCount": 12}}</script>'),
+        F.lit('<h3 aria-label="Book Series"><a href="/series/'), number, F.lit('"><span>Forge</span> #'), number, F.lit("</a></h3>"),
+    )
+    visible = F.lit(
+        '<h1 data-testid="bookTitle">Iron <b>Book</b> (Forge Series, #2)</h1><span class="ContributorLink__name">Ann Lee</span>'
+        '<span data-testid="ratingsCount">1,234 ratings</span><span data-testid="reviewsCount">56 reviews</span><div class="RatingStatistics__rating">4.25</div>'
+        '<p data-testid="pagesFormat">312 pages, Kindle</p><div data-testid="publicationInfo"><div>First</div> published May 3, 2021 by Oak &amp; Co</div>'
+    )
+    both = F.concat(
+        F.lit(
+            '<div class="BookPageMetadataSection__genres"><span class="Button__labelItem">Rom<i>ance</i></span><span class="x Button__labelItem">Sports</span></div>'
+            f'<div data-testid="description"><div><span class="Formatted">{_SYNOPSIS}<br></span></div></div>'
+            '<div class="CollapsableList"><div class="DescListItem"><dt>Original title</dt><dd><div>Iron <div>One</div></div></dd></div>'
+            '<div class="DescListItem"><dt>ASIN</dt><dd>B0'
+        ),
+        number,
+        F.lit(
+            '</dd></div><div class="DescListItem"><dt>Awards</dt><dd>Pen</dd></div><div class="DescListItem"><dt>Literary awards</dt><dd>Ink</dd></div></div>'
+            '<div class="BookPageMetadataSection__buyButtons"><a href="javascript:x">Kindle</a><a href="/buy/'
+        ),
+        number,
+        F.lit('">Kindle <b>$3</b></a></div>'),
+    )
+    shop = F.concat(
+        F.lit('<span id="productTitle"> Iron  Book </span><div class="author"><a class="a-link-normal" href="/a">Ann Lee</a></div><span id="acrCustomerReviewText">'),
+        number,
+        F.lit(
+            ' ratings</span><div id="detailBullets_feature_div"><ul class="detail-bullet-list"><li><span class="a-list-item"><span class="a-text-bold">Publisher :</span>'
+            '<span>Oak Press (May 3, 2021)</span></span><li>Print length : 287 pages<li><span class="a-text-bold">Publication date :</span> May 3, 2021'
+            '<li><span class="a-text-bold">Book 2 of 5:</span> <a class="a-link-normal"><span>Forge</span></a>'
+            '<li><span class="a-text-bold">Best Sellers Rank:</span> #88 in Store (See Top 100 in Store)<ul class="zg_hrsr"><li><span class="a-list-item">#'
+        ),
+        number,
+        F.lit(' in <a>Sports</a></span></li><li><span class="a-list-item">#7 in Hockey &amp; More</span></li></ul></li></ul></div>'),
+    )
+    catalogue = F.concat(F.when(F.col("url").contains("/en/"), data).otherwise(visible), both, "html")
+    return t.pages.select("page_id", F.col("url").contains("/en/").alias("structured"), catalogue.alias("html"), F.concat(shop, "html").alias("shop"))
 
 
 @query(
     "book_pages",
-    """SELECT page_id, contains(url, '/en/') AS structured, CASE WHEN contains(url, '/en/') THEN round(3 + (page_id % 20) / 10.0::DOUBLE, 1) END AS rating, CASE WHEN contains(url, '/en/') THEN page_id * 10 + 7 ELSE 1234 END AS rating_count,
- CASE WHEN contains(url, '/en/') THEN CAST(page_id % 700 AS INTEGER) ELSE 312 END AS pages, CASE WHEN NOT contains(url, '/en/') THEN 'May 3, 2021' END AS published, CASE WHEN NOT contains(url, '/en/') THEN 'Oak & Co' END AS publisher, CASE WHEN NOT contains(url, '/en/') THEN 'Forge Series, #2' END AS series,
- 287 AS shop_pages, 'Oak Press' AS shop_publisher, 'May 3, 2021' AS shop_published, '#88 in Kindle Store' AS best_rank FROM pages""",
+    f"""WITH p AS (SELECT page_id, contains(url, '/en/') AS s FROM pages)
+SELECT page_id, s AS structured, CASE WHEN s THEN 'Book (' || page_id || ')' ELSE 'Iron Book (Forge Series, #2)' END AS title, CASE WHEN s THEN 'Ann Lee, Bo Ray' ELSE 'Ann Lee' END AS author,
+ CASE WHEN s THEN round(3 + (page_id % 20) / 10.0::DOUBLE, 1) ELSE 4.25 END AS rating, CASE WHEN s THEN page_id * 10 + 7 ELSE 1234 END AS rating_count, CASE WHEN s THEN 12 ELSE 56 END::BIGINT AS review_count,
+ CASE WHEN s THEN CASE WHEN page_id % 700 > 0 THEN CAST(page_id % 700 AS INTEGER) END ELSE 312 END AS pages, CASE WHEN NOT s THEN 'May 3, 2021' END AS published, CASE WHEN NOT s THEN 'Oak & Co' END AS publisher,
+ 'B0' || page_id AS asin, 'Pen, Ink' AS awards, 'Iron One' AS original_title, 'Romance|Sports' AS genres, '{_SYNOPSIS}' AS synopsis,
+ CASE WHEN s THEN 'Forge #' || page_id ELSE 'Forge Series, #2' END AS series, CASE WHEN s THEN 'https://site.example.com/series/' || page_id END AS series_url,
+ CASE WHEN s THEN CAST(page_id AS VARCHAR) ELSE '2' END AS number, 'https://site.example.com/buy/' || page_id AS store_url FROM p""",
 )
 def book_pages(t: Tables) -> DataFrame:
-    rows = _book_page(t).join(t.pages.select("page_id", F.col("url").contains("/en/").alias("structured")), "page_id")
-    return rows.select("page_id", "structured", H.book_fields("html").alias("b"), H.product_fields("html").alias("p")).select(
-        "page_id", "structured", "b.rating", "b.rating_count", "b.pages", "b.published", "b.publisher", "b.series",
-        F.col("p.pages").alias("shop_pages"), F.col("p.publisher").alias("shop_publisher"), F.col("p.published").alias("shop_published"), F.col("p.best_rank").alias("best_rank"),
-    )
+    rows = _book_page(t).select("page_id", "structured", P.book_fields("html", "https://site.example.com").alias("b"))
+    names = "title author rating rating_count review_count pages published publisher asin awards original_title synopsis series series_url number store_url".split()
+    return rows.select("page_id", "structured", *[F.col(f"b.{n}").alias(n) for n in names], F.array_join("b.genres", "|").alias("genres"))
+
+
+@query(
+    "shop_pages",
+    """SELECT page_id, 'Iron Book' AS title, 'Ann Lee' AS author, page_id AS rating_count, 'Forge' AS series, '2' AS number, '5' AS total_books, 287 AS pages, 'Oak Press' AS publisher, 'May 3, 2021' AS published,
+ '#' || page_id || ' in Sports | #7 in Hockey & More' AS best_rank FROM pages""",
+)
+def shop_pages(t: Tables) -> DataFrame:
+    rows = _book_page(t).select("page_id", P.product_fields("shop").alias("p"))
+    return rows.select("page_id", *[F.col(f"p.{n}").alias(n) for n in "title author rating_count series number total_books pages publisher published best_rank".split()])
 
 
 @query(

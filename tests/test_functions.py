@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.functions import contacts, html, jsontext, keys, ladders, nulls, similarity, text, titles, urls
+from shelfmark.functions import contacts, jsontext, keys, ladders, nulls, similarity, text, titles, urls
 from shelfmark.operators.joins import commercial_band
 
 
@@ -139,12 +139,6 @@ def test_lenient_json(spark):
         assert [r["a"] for r in one(spark, jsontext.lenient_rows(F.lit(value), row))] == want
 
 
-def test_html_book_page(spark):
-    page = '<script type="application/ld+json">{"numberOfPages": 320, "aggregateRating": {"ratingValue": 4.2, "ratingCount": 77}}</script><h3 aria-label="Book Series"><a href="/series/1">Rays #1</a></h3>'
-    b = one(spark, html.book_fields(F.lit(page)))
-    assert (b["pages"], b["rating"], b["rating_count"], b["series"]) == (320, 4.2, 77, "Rays #1")
-
-
 def test_urls(spark):
     assert one(spark, urls.host(F.lit("https://www.Site.com:80/x"))) == "site.com:80"
     assert one(spark, urls.catalogue_id(F.lit("https://x.com/book/show/123-abc"))) == "123"

@@ -60,5 +60,5 @@ def test_first_row_per_key_is_cut_before_the_shuffle(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = QUERIES["lookup_default"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(o_totalprice,300000.0)" in plan and "o_orderdate" not in plan
+    plan = QUERIES["only_new"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(p_type,PROMO)" in plan and "p_retailprice" not in plan
