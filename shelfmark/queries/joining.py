@@ -69,17 +69,22 @@ def missing_members(t: Tables) -> DataFrame:
     return J.missing_members(found, existing, "title", ["p_brand"]).select("p_partkey", "p_brand")
 
 
+def _words(frame: DataFrame, *keys: str) -> DataFrame:
+    """Different lower-case words (A-Z) of whole texts, with the keys of their rows."""
+    return frame.select(*keys, F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z]+)"), 1)).alias("t")).select(*keys, F.lower("t").alias("t")).distinct()
+
+
+_WORDS = "unnest(list_distinct(list_transform(regexp_extract_all(text, '[A-Za-z]+'), lambda x: lower(x))))"
+
+
 @query(
     "missing_members_overall",
-    """WITH f AS (SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS t FROM documents), e AS (SELECT DISTINCT p_name AS e FROM part UNION SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) FROM conversations)
-SELECT t FROM f WHERE t <> '' AND NOT EXISTS (SELECT 1 FROM e WHERE e.e <> '' AND (contains(f.t, e.e) OR contains(e.e, f.t)))""",
+    f"""WITH f AS (SELECT DISTINCT {_WORDS} AS t FROM documents), e AS (SELECT DISTINCT p_name AS e FROM part UNION SELECT DISTINCT {_WORDS} FROM conversations)
+SELECT t FROM f WHERE NOT EXISTS (SELECT 1 FROM e WHERE contains(f.t, e.e) OR contains(e.e, f.t))""",
 )
 def missing_members_overall(t: Tables) -> DataFrame:
-    def word(frame: DataFrame) -> DataFrame:
-        return frame.select(F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1)).alias("t")).filter("t <> ''")
-
-    existing = t.part.select(F.col("p_name").alias("t")).union(word(t.conversations))
-    return J.missing_members(word(t.documents).distinct(), existing, "t")
+    existing = t.part.select(F.col("p_name").alias("t")).union(_words(t.conversations))
+    return J.missing_members(_words(t.documents), existing, "t")
 
 
 @query(
@@ -94,12 +99,13 @@ def containment(t: Tables) -> DataFrame:
 
 @query(
     "new_authors",
-    """WITH l AS (SELECT conv_id, turn, lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS a FROM conversations), e AS (SELECT DISTINCT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS e FROM documents)
-SELECT conv_id, turn FROM l WHERE a <> '' AND NOT EXISTS (SELECT 1 FROM e WHERE e <> '' AND (a = e OR (length(a) > 4 AND contains(e, a)) OR (length(e) > 4 AND contains(a, e))))""",
+    f"""WITH l AS (SELECT DISTINCT conv_id, turn, {_WORDS} AS a FROM conversations), e AS (SELECT DISTINCT {_WORDS} AS e FROM documents),
+n AS (SELECT a FROM (SELECT DISTINCT a FROM l) WHERE NOT EXISTS (SELECT 1 FROM e WHERE a = e OR (length(a) > 4 AND contains(e, a)) OR (length(e) > 4 AND contains(a, e))))
+SELECT conv_id, turn, a AS author FROM l JOIN n USING (a)""",
 )
 def new_authors(t: Tables) -> DataFrame:
-    word = F.lower(F.regexp_extract("text", "([A-Za-z]+)", 1))
-    return J.new_authors(t.conversations, t.documents, word, word).select("conv_id", "turn")
+    listed = _words(t.conversations, "conv_id", "turn").withColumnRenamed("t", "author")
+    return J.new_authors(listed, _words(t.documents), F.col("author"), F.col("t"))
 
 
 _TAG = "'Amazon ' || CASE WHEN rank <= 10 THEN 'Top 10' WHEN rank <= 50 THEN 'Top 50' ELSE 'Top 100' END || ' ' || list_name"

@@ -2,6 +2,7 @@
 
 import random
 from difflib import SequenceMatcher
+from unittest import mock
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import lower_trim
-from shelfmark.operators import clusters, dedupe, filters, groups, matching, nested, overlay, quality, ranking, rollup, schema, scoring
+from shelfmark.operators import clusters, containment, dedupe, filters, groups, matching, nested, overlay, quality, ranking, rollup, schema, scoring
 from shelfmark.operators.containment import contained_pairs, small_list_pairs
 from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 
@@ -118,8 +119,22 @@ def test_contained_pairs_complete(spark, texts, needles):
     a = spark.createDataFrame([(x,) for x in needles], "n string")
     b = spark.createDataFrame([(x,) for x in texts], "t string")
     assert {tuple(r) for r in contained_pairs(a, "n", b, "t").collect()} == {(n, t) for n in needles for t in texts if n in t}
-    small = small_list_pairs(b, "t", a, "n", [], 1, 3).select("text", "list_text")
-    assert {tuple(r) for r in small.collect()} == {(n, t) for n in needles for t in texts if n in t or (len(t) >= 3 and t in n)}
+    want = sorted((n, t) for n in needles for t in set(texts) if n in t or (len(t) >= 3 and t in n))
+    for limit in (10**6, 1):  # sent to the tasks, and joined
+        with mock.patch.object(containment, "LIST_CHARACTERS", limit), mock.patch.object(containment, "SCANNED", 3):
+            small = small_list_pairs(b, "t", a.withColumn("k", F.length("n")), "n", ["k"], 1, 3)
+            assert small.columns == ["list_text", "text", "k"]
+            assert sorted((r[1], r[0]) for r in small.collect()) == want
+
+
+def test_titles_with_a_common_start_take_linear_time(spark):
+    rows = spark.range(100_000).select(F.concat(F.lit("the chronicles of the north "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"))
+    listed = rows.filter("t LIKE '%77'").select(F.concat(F.lit("a "), F.col("t"), F.lit(" b")).alias("l"))
+    assert small_list_pairs(listed, "l", rows, "t", [], 5, 9).count() == 1000
+    # a needle of six digits meets the few texts that hold its rarest five
+    assert contained_pairs(rows, "t", listed, "l").count() == 1000
+
+
 
 
 def test_similar_texts_bound():
