@@ -33,6 +33,13 @@ def _segment_size(length: Column, segments: Column, i: Column) -> Column:
     return short + F.when(i > segments - F.pmod(length, segments), 1).otherwise(0)
 
 
+def _distinct(rows: DataFrame, block: Sequence[str], text: str, name: str) -> DataFrame:
+    """Different (block, text), dealt out over all shuffle partitions: few bytes here become many rows in the next step."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = rows.select(*block, F.col(text).alias(name)).filter(F.length(name) > 0)
+    return some.repartition(partitions, *block, name).distinct()
+
+
 def edit_candidates(left: DataFrame, left_text: str, right: DataFrame, right_text: str, share: float, block: Sequence[str] = ()) -> DataFrame:
     """Distinct (block, left_text, right_text) within the edit-distance share; equal texts included.
 
@@ -42,8 +49,7 @@ def edit_candidates(left: DataFrame, left_text: str, right: DataFrame, right_tex
     if not 0 < share <= 0.45:
         raise ValueError("share must be in (0, 0.45]")
     block = list(block)
-    a = left.select(*block, F.col(left_text).alias("left_text")).filter(F.length("left_text") > 0).distinct()
-    b = right.select(*block, F.col(right_text).alias("right_text")).filter(F.length("right_text") > 0).distinct()
+    a, b = _distinct(left, block, left_text, "left_text"), _distinct(right, block, right_text, "right_text")
 
     size, count = F.col("size"), F.col("count")
     segments = (
@@ -71,8 +77,11 @@ def edit_candidates(left: DataFrame, left_text: str, right: DataFrame, right_tex
         .select(*block, "left_text", "size", "i", "part")
     )
     longest = F.greatest(F.length("left_text"), F.length("right_text"))
-    within = F.levenshtein("left_text", "right_text") <= longest * share + 1e-9
-    return probes.join(segments, [*block, "size", "i", "part"]).filter(within).select(*block, "left_text", "right_text").distinct()
+    most = F.floor(longest * share + 1e-9).cast("int")
+    # the distance is computed in a band of that width only, -1 beyond it
+    within = F.call_function("levenshtein", F.col("left_text"), F.col("right_text"), most) >= 0
+    # the sizes Spark knows are those before the rows multiplied, so it must not broadcast either side
+    return probes.hint("merge").join(segments, [*block, "size", "i", "part"]).filter(within).select(*block, "left_text", "right_text").distinct()
 
 
 def one_edit_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text: str, block: Sequence[str] = ()) -> DataFrame:
@@ -87,8 +96,8 @@ def one_edit_pairs(left: DataFrame, left_text: str, right: DataFrame, right_text
         value = F.col(name)
         places = F.sequence(F.lit(1), F.length(value))
         shorter = F.transform(places, lambda i: F.concat(F.substr(value, F.lit(1), i - 1), F.substr(value, i + 1)))
-        rows = frame.select(*block, F.col(text).alias(name)).filter(F.length(name) > 0).distinct()
+        rows = _distinct(frame, block, text, name)
         return rows.select(*block, name, F.explode(F.array_distinct(F.concat(F.array(value), shorter))).alias("variant"))
 
-    joined = variants(left, left_text, "left_text").join(variants(right, right_text, "right_text"), [*block, "variant"])
+    joined = variants(left, left_text, "left_text").hint("merge").join(variants(right, right_text, "right_text"), [*block, "variant"])
     return joined.filter(F.levenshtein("left_text", "right_text") <= 1).select(*block, "left_text", "right_text").distinct()

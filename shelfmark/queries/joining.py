@@ -207,11 +207,11 @@ def band_table(t: Tables) -> DataFrame:
     "edit_candidates",
     f"""WITH {TITLED}, n AS (SELECT DISTINCT p_brand, lower(title) AS a FROM titled)
 SELECT n.p_brand, n.a AS left_text, m.a AS right_text FROM n JOIN n AS m ON n.p_brand = m.p_brand
-WHERE levenshtein(n.a, m.a) <= greatest(length(n.a), length(m.a)) * 0.15""",
+WHERE levenshtein(n.a, m.a) <= greatest(length(n.a), length(m.a)) * 0.30""",
 )
 def edit_pairs(t: Tables) -> DataFrame:
     rows = titled_parts(t).select("p_brand", F.lower("title").alias("title"))
-    return edit_candidates(rows, "title", rows, "title", 0.15, ["p_brand"])
+    return edit_candidates(rows, "title", rows, "title", 0.30, ["p_brand"])
 
 
 @query(
