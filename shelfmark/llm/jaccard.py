@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 PAIRED = 16
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
 JOINED = 1024
+# Words of 64 bits that mark the documents whose sets are compared.
+MARK_WORDS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -149,20 +151,63 @@ def _fingerprints(grams: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(grams, seed).sum(dtype=U).view(np.int64)) for seed in (21, 22)) if len(grams) else (0, 0)
 
 
-def set_classes(rows: DataFrame, kind: Similarity) -> DataFrame:
-    """(doc, n, rep): size of the set, and the smallest document with the same set (itself if the set is empty)."""
+def sketch_of(grams: np.ndarray) -> bytes:
+    """Grams counted by their leading bits: a power of two of counts, for 4 to 8 grams each; empty if a count exceeds a byte."""
+    bits = max(4, (len(grams) // 4).bit_length() - 1)
+    counts = np.bincount((grams >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() <= 255 else b""
+
+
+def most_common(left: bytes, right: bytes) -> int | None:
+    """Most grams that two sets can share by their sketches, None if these don't tell."""
+    if not left or not right:
+        return None
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (left, right))
+    while len(a) != len(b):  # the finer counts are added up to the coarser ones
+        if len(a) > len(b):
+            a = a.reshape(-1, 2).sum(axis=1)
+        else:
+            b = b.reshape(-1, 2).sum(axis=1)
+    return int(np.minimum(a, b).sum())
+
+
+def set_classes(rows: DataFrame, kind: Similarity) -> tuple[DataFrame, DataFrame]:
+    """((doc, n, rep): size of the set, and the smallest document with the same set (itself if the set is empty); (doc, n, sketch))."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, kind):
             prints = [_fingerprints(x) for x in sets]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc"), pa.array([len(x) for x in sets], pa.int64()), *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1))],
-                ["doc", "n", "f1", "f2"],
+                [
+                    part.column("doc"),
+                    pa.array([len(x) for x in sets], pa.int64()),
+                    *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)),
+                    pa.array([sketch_of(x) for x in sets], pa.binary()),
+                ],
+                ["doc", "n", "f1", "f2", "sketch"],
             )
 
-    every = written(rows.mapInArrow(run, "doc long, n long, f1 long, f2 long"))
+    every = written(rows.mapInArrow(run, "doc long, n long, f1 long, f2 long, sketch binary"))
     first = every.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"))
-    return written(every.join(first, ["n", "f1", "f2"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
+    classes = written(every.join(first, ["n", "f1", "f2"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
+    return classes, every.select("doc", "n", "sketch")
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
+    """The pairs whose sketches allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "x_n", "y_n"))):
+                both = most_common(x, y)
+                keep.append(both is None or kind.linked(min(both, n, m), n, m))
+            yield batch.select(["pivot", "member"]).filter(pa.array(keep, pa.bool_()))
+
+    def of(column: str, name: str) -> DataFrame:
+        return sketches.select(F.col("doc").alias(column), F.col("sketch").alias(name), F.col("n").alias(f"{name}_n"))
+
+    return pairs.join(of("member", "y"), "member").join(of("pivot", "x"), "pivot").mapInArrow(run, "pivot long, member long")
 
 
 def _index(kind: Similarity) -> Callable[[pa.RecordBatch], Iterator[Places]]:
@@ -186,12 +231,27 @@ def _index(kind: Similarity) -> Callable[[pa.RecordBatch], Iterator[Places]]:
     return of
 
 
+def _marks(wanted: DataFrame) -> np.ndarray:
+    """A bit for the hash of each document; a fixed number of words, so that few texts but the wanted ones are sent on."""
+    mark = F.xxhash64("doc")
+    bit = F.shiftrightunsigned(mark, 58).cast("int")
+    words = wanted.select(F.pmod(mark, F.lit(MARK_WORDS)).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+    out = np.zeros(MARK_WORDS, U)
+    for r in words.groupBy("w").agg(F.bit_or("bits").alias("bits")).collect():
+        out[r["w"]] = r["bits"] % 2**64
+    return out
+
+
 def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
-    """(rep, grams binary): sets of the wanted documents; texts travel compressed."""
+    """(rep, grams binary): sets of the wanted documents (doc); texts that no mark rules out travel compressed."""
+    shared = rows.sparkSession.sparkContext.broadcast(_marks(wanted))
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = zstandard.ZstdCompressor(level=3)
+        tool, marks = zstandard.ZstdCompressor(level=3), shared.value
         for batch in batches:
+            mark = batch.column("mark").to_numpy()
+            keep = (marks[mark % MARK_WORDS] >> (mark.view(U) >> U(58))) & U(1) == 1
+            batch = batch.filter(pa.array(keep))
             bodies = [tool.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(bodies, pa.binary())], ["doc", "body"])
 
@@ -206,8 +266,8 @@ def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
         for part, sets in _sets(opened(), kind):
             yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array([x.tobytes() for x in sets], pa.binary())], ["rep", "grams"])
 
-    packed = rows.mapInArrow(press, "doc long, body binary")
-    return written(packed.join(wanted.select(F.col("member").alias("doc")).distinct(), "doc", "left_semi").mapInArrow(run, "rep long, grams binary"))
+    packed = rows.withColumn("mark", F.xxhash64("doc")).mapInArrow(press, "doc long, body binary")
+    return written(packed.join(wanted, "doc", "left_semi").mapInArrow(run, "rep long, grams binary"))
 
 
 def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bool, np.ndarray, int, int]:
@@ -342,13 +402,15 @@ def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
     )
 
 
-def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
+def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
     index = repeated_keys(rows, _index(kind), ranges_for(rows))
     members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
     live = written(_live(members))
-    sets = _grams(rows, live.select("member"), kind)
-    stars, near, found = written(_stars(live, PAIRED)), _pairs(live, kind), []
+    # pairs in small groups are only asked for links, so most go by their sketches; with a pivot the differences count too
+    stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
+    ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]
+    sets = _grams(rows, reduce(DataFrame.union, ends).distinct(), kind)
     while True:
         pairs = written(near.union(stars.select("pivot", "member")).distinct())
         done = written(_verified(pairs, sets, kind))
@@ -356,7 +418,7 @@ def links(rows: DataFrame, classes: DataFrame, kind: Similarity) -> DataFrame:
         if stars.isEmpty():
             break
         live = written(_next(stars, done))
-        stars, near = written(_stars(live, JOINED)), _joined(live, kind)
+        stars, near = written(_stars(live, JOINED)), _possible(_joined(live, kind), sketches, kind)
     every = found[0]
     for part in found[1:]:
         every = every.union(part)
@@ -373,8 +435,8 @@ def similar_groups(documents: DataFrame, kind: Similarity = Similarity(), id: st
     its copies but carries no links. An empty table gives no rows.
     """
     rows = documents.select(documents[id].cast("long").alias("doc"), documents[text].cast("string").alias("text"))
-    classes = set_classes(rows, kind)
-    parts = connected_components(links(rows, classes, kind)).withColumnRenamed("node", "rep")
+    classes, sketches = set_classes(rows, kind)
+    parts = connected_components(links(rows, classes, sketches, kind)).withColumnRenamed("node", "rep")
     return classes.join(parts, "rep", "left").select(
         F.col("doc").alias(id), F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )
