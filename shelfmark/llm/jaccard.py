@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.components import connected_components
 from shelfmark.llm.places import Places, ranges_for, repeated_keys
-from shelfmark.llm.tables import free_name, row_keys, slices, written
+from shelfmark.llm.tables import free_name, removed, row_keys, slices, written
 from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
 # Groups of index keys up to this size are compared in all pairs, larger ones with a pivot.
@@ -292,7 +292,10 @@ def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bo
     if kind.linked(int(hit.sum()), p, size):
         return True, differ, n - half + 1, 0
     far = max(1, n - kind.widest(size))
-    return False, differ, n - far + 1, n - max(half, far) + 1
+    both, apart = int(hit.sum()), 2 * kind.num - kind.den
+    # distances add up: what is more than twice as far from the pivot as a link allows is linked to nothing that is linked to it
+    lone = kind.den * both < apart * (p + size - both)
+    return False, differ, 0 if lone else n - far + 1, n - max(half, far) + 1
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
@@ -373,8 +376,8 @@ def _stars(live: DataFrame, least: int) -> DataFrame:
     return stars.select(F.xxhash64("line", "pivot").alias("line"), "pivot", "member").distinct()
 
 
-def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
-    """The next level: members of a star that share one of the grams that index their differences, with the group's size.
+def _next(stars: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a written table, the next level that reads it): members of a star that share one of the grams that index their differences, with the group's size.
 
     Lines whose members are all linked are settled, and without a linked member there is no pair of class a. Only
     (key, star, position and sides) is shuffled, once; the rest is joined to what meets.
@@ -396,7 +399,7 @@ def _next(stars: DataFrame, done: DataFrame) -> DataFrame:
         F.min("star").alias("low"), F.max("star").alias("high"),
     )
     met = rows.join(size.filter("n > 1 AND has_a = 1 AND has_b = 1 AND low < high").select("key", "n"), "key")
-    return met.join(info.select("star", "line", "member", "size", "differ"), "star").select(
+    return info, met.join(info.select("star", "line", "member", "size", "differ"), "star").select(
         "key", "n", "line", "member", "size", "differ",
         (F.col("code") % 2 == 1).alias("is_a"), (F.floor(F.col("code") / 2) % 2 == 1).alias("is_b"), F.floor(F.col("code") / 4).alias("at"),
     )
@@ -414,10 +417,14 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
     while True:
         pairs = written(near.union(stars.select("pivot", "member")).distinct())
         done = written(_verified(pairs, sets, kind))
-        found.append(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b")))
+        found.append(written(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))))
         if stars.isEmpty():
             break
-        live = written(_next(stars, done))
+        old, (info, following) = live, _next(stars, done)
+        live = written(following)
+        # what comes next is written, so the tables of this level are needed no more
+        for table in (pairs, done, info, stars, old):
+            removed(table)
         stars, near = written(_stars(live, JOINED)), _possible(_joined(live, kind), sketches, kind)
     every = found[0]
     for part in found[1:]:

@@ -35,6 +35,14 @@ def written(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def removed(rows: DataFrame) -> None:
+    """Deletes a table that ``written`` made and that nothing reads any more."""
+    spark = rows.sparkSession
+    for name in {x.rsplit("/", 1)[0] for x in rows.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def texts_of(column: pa.Array) -> pa.Array:
     """A text column without nulls (null becomes the empty text), as one array of 32-bit offsets."""
     if isinstance(column, pa.ChunkedArray):
