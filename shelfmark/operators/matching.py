@@ -201,31 +201,61 @@ def is_blank(name: str, dtype: str) -> Column:
     return c.isNull()
 
 
-def merge_fill(target: DataFrame, source: DataFrame, matches: DataFrame, row_id: str, columns: Sequence[str], order: str) -> tuple[DataFrame, DataFrame]:
+def merge_fill(
+    target: DataFrame, source: DataFrame, matches: DataFrame, row_id: str, columns: Sequence[str], order: str, same: Sequence[Column] = (), update_existing: bool = True, add_new: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(merged, counts): blank target cells filled from the matching source rows, unmatched rows appended.
 
-    ``matches``: (id, match_id) of the source rows. Several source rows for one target row fill in their
-    order, cell by cell. Unmatched source rows that are copies of each other must be removed beforehand
-    (``dedup_normalised``), as no row is matched against rows added in the same run. Counts: matched,
-    updated (cells), added.
+    ``matches``: (id, match_id) of the source rows. Several source rows for one target row fill in their order, cell by cell.
+    ``same`` are keys of the source rows: unmatched rows that agree in all of them are one book, so the first in the order is
+    appended, and the others match it and fill its blank cells; rows with a NULL or empty key are books of their own. Without
+    ``update_existing`` no cell is filled, without ``add_new`` unmatched rows are skipped. Counts: matched (rows), updated (cells),
+    added, skipped.
     """
     types = dict(target.dtypes)
-    matched = source.join(matches.filter("match_id IS NOT NULL").select(F.col("id").alias(row_id), "match_id"), row_id)
-    filled = matched.groupBy("match_id").agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[F.min_by(c, F.when(~is_blank(c, types[c]), F.col(order))).alias(f"__{c}") for c in columns],
-    )
-    joined = target.join(filled, F.col(row_id) == F.col("match_id"), "left")
-    use = {c: is_blank(c, types[c]) & F.col(f"__{c}").isNotNull() for c in columns}
-    cells = sum((u.cast("int") for u in use.values()), F.lit(0))
-    updated = joined.withColumn("__cells", cells)
-    merged = updated.withColumns({c: F.when(u, F.col(f"__{c}")).otherwise(F.col(c)) for c, u in use.items()}).select(*target.columns)
-    added = source.join(matches.filter("match_id IS NOT NULL").select(F.col("id").alias(row_id)), row_id, "left_anti")
     zero = F.lit(0).cast("long")
-    tally = updated.select(F.coalesce(F.col("__rows"), zero).alias("m"), F.col("__cells").cast("long").alias("u"), zero.alias("a"))
-    tally = tally.union(added.select(zero, zero, F.lit(1).cast("long")))
-    counts = tally.agg(*[F.coalesce(F.sum(c), zero).alias(n) for c, n in (("m", "matched"), ("u", "updated"), ("a", "added"))])
-    return merged.unionByName(added.select(*[c for c in source.columns if c in target.columns]), allowMissingColumns=True), counts
+    hits = matches.filter("match_id IS NOT NULL").select(F.col("id").alias(row_id), "match_id")
+    matched = source.join(hits, row_id)
+    unmatched = source.join(hits.select(row_id), row_id, "left_anti")
+
+    def fill(base: DataFrame, rows: DataFrame) -> DataFrame:
+        """The base rows with ``__rows`` and ``__cells``: matching rows and filled cells."""
+        filled = rows.groupBy("match_id").agg(
+            F.count(F.lit(1)).alias("__rows"), *[F.min_by(c, F.when(~is_blank(c, types[c]), F.col(order))).alias(f"__{c}") for c in columns]
+        )
+        joined = base.join(filled, F.col(row_id) == F.col("match_id"), "left")
+        use = {c: F.lit(update_existing) & is_blank(c, types[c]) & F.col(f"__{c}").isNotNull() for c in columns}
+        cells = sum((u.cast("long") for u in use.values()), zero)
+        out = joined.withColumn("__cells", cells).withColumn("__rows", F.coalesce("__rows", zero))
+        return out.withColumns({c: F.when(u, F.col(f"__{c}")).otherwise(F.col(c)) for c, u in use.items()}).select(*base.columns, "__rows", "__cells")
+
+    merged = fill(target, matched)
+    tally = merged.select(F.col("__rows").alias("m"), F.col("__cells").alias("u"), zero.alias("a"), zero.alias("s"))
+    out = merged.drop("__rows", "__cells")
+    if add_new:
+        added = unmatched.withColumns({"__rows": zero, "__cells": zero})
+        if same:
+            names = [f"__s{k}" for k in range(len(same))]
+            known = F.lit(True)
+            for n in names:
+                known = known & F.col(n).isNotNull() & (F.col(n).cast("string") != "")
+            # a row without a key is told apart by its id
+            alone = F.when(~known, F.col(row_id).cast("string"))
+            keyed = unmatched.withColumns(dict(zip(names, same))).withColumns({"__own": alone, **{n: F.when(known, F.col(n)) for n in names}})
+            heads = keyed.groupBy(*names, "__own").agg(F.min(F.struct(F.col(order).alias("o"), F.col(row_id).alias("i"))).alias("h"))
+            pairs = heads.select(*[F.col(n).alias(f"{n}h") for n in names], F.col("__own").alias("__ownh"), F.col("h.i").alias("match_id"))
+            condition = F.col("__own").eqNullSafe(F.col("__ownh"))
+            for n in names:
+                condition = condition & F.col(n).eqNullSafe(F.col(f"{n}h"))
+            placed = keyed.join(pairs, condition).select(*source.columns, "match_id")
+            first = placed.filter(F.col(row_id) == F.col("match_id")).select(*source.columns)
+            added = fill(first, placed.filter(F.col(row_id) != F.col("match_id")))
+        tally = tally.union(added.select("__rows", "__cells", F.lit(1).cast("long"), zero))
+        out = out.unionByName(added.select(*[c for c in source.columns if c in target.columns]), allowMissingColumns=True)
+    else:
+        tally = tally.union(unmatched.select(zero, zero, zero, F.lit(1).cast("long")))
+    counts = tally.agg(*[F.coalesce(F.sum(c), zero).alias(n) for c, n in (("m", "matched"), ("u", "updated"), ("a", "added"), ("s", "skipped"))])
+    return out, counts
 
 
 def lineage_match(df: DataFrame, supports: Sequence[tuple[str, DataFrame]], author: str, series: str, first_book: str, columns: Sequence[str]) -> DataFrame:

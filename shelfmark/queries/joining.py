@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.config import models
+from shelfmark.functions.titles import normalize_title
 from shelfmark.operators import joins as J
 from shelfmark.operators import matching as M
 from shelfmark.operators import overlay as O
@@ -252,13 +253,14 @@ _MERGE = f"""{TITLED}, k AS (SELECT *, CASE WHEN p_type IN ('PROMO', 'SMALL', 'L
 tg AS (SELECT p_partkey, std, p_brand, CASE WHEN p_size > 10 THEN p_size ELSE 0 END AS pages, CASE WHEN p_size % 2 = 0 THEN p_type END AS trope FROM k WHERE p_type IN ('STANDARD', 'SMALL')),
 sr AS (SELECT p_partkey, std, p_brand, CASE WHEN p_size > 20 THEN p_size ELSE 0 END AS pages, p_type AS trope FROM k WHERE p_type NOT IN ('STANDARD', 'SMALL')),
 m AS (SELECT std, p_brand, min(p_partkey) AS match_id FROM tg GROUP BY 1, 2), j AS (SELECT sr.*, match_id FROM sr LEFT JOIN m USING (std, p_brand)),
-f AS (SELECT match_id, arg_min(pages, p_partkey) FILTER (pages <> 0) AS pages, arg_min(trope, p_partkey) AS trope FROM j WHERE match_id IS NOT NULL GROUP BY 1)"""
+f AS (SELECT match_id, arg_min(pages, p_partkey) FILTER (pages <> 0) AS pages, arg_min(trope, p_partkey) AS trope FROM j WHERE match_id IS NOT NULL GROUP BY 1),
+u AS (SELECT std, p_brand, min(p_partkey) AS p_partkey, arg_min(pages, p_partkey) AS own, coalesce(arg_min(pages, p_partkey) FILTER (pages <> 0), 0) AS pages, arg_min(trope, p_partkey) AS trope, count(*) AS n FROM j WHERE match_id IS NULL GROUP BY 1, 2)"""
 
 
 @query(
     "merge_fill",
     f"""WITH {_MERGE} SELECT p_partkey, p_brand, CASE WHEN tg.pages = 0 AND f.pages IS NOT NULL THEN f.pages ELSE tg.pages END AS pages, coalesce(tg.trope, f.trope) AS trope FROM tg LEFT JOIN f ON match_id = p_partkey
-UNION ALL SELECT p_partkey, p_brand, pages, trope FROM j WHERE match_id IS NULL""",
+UNION ALL SELECT p_partkey, p_brand, pages, trope FROM u""",
 )
 def merge_fill(t: Tables) -> DataFrame:
     return _merged(t)[0].select("p_partkey", "p_brand", "pages", "trope")
@@ -274,13 +276,13 @@ def _merged(t: Tables) -> tuple[DataFrame, DataFrame]:
     )
     source = found.select("p_partkey", "title", "p_brand", F.when(size > 20, size).otherwise(0).alias("pages"), F.col("p_type").alias("trope"))
     matches = M.cascade_match(*[M.match_keys(f, "p_partkey", "title", "p_brand") for f in (source, target)], strategies=["exact"])
-    return M.merge_fill(target, source, matches, "p_partkey", ["pages", "trope"], "p_partkey")
+    return M.merge_fill(target, source, matches, "p_partkey", ["pages", "trope"], "p_partkey", [normalize_title("title")["standard"], F.col("p_brand")])
 
 
 @query(
     "merge_counts",
-    f"""WITH {_MERGE} SELECT (SELECT count(*) FROM j WHERE match_id IS NOT NULL) AS matched, (SELECT count(*) FROM j WHERE match_id IS NULL) AS added,
- (SELECT CAST(coalesce(sum((tg.pages = 0 AND f.pages IS NOT NULL)::INT + (tg.trope IS NULL AND f.trope IS NOT NULL)::INT), 0) AS BIGINT) FROM tg JOIN f ON match_id = p_partkey) AS updated""",
+    f"""WITH {_MERGE} SELECT (SELECT count(*) FROM j WHERE match_id IS NOT NULL) + (SELECT coalesce(sum(n - 1), 0)::BIGINT FROM u) AS matched, (SELECT count(*) FROM u) AS added, 0::BIGINT AS skipped,
+ (SELECT CAST(coalesce(sum((tg.pages = 0 AND f.pages IS NOT NULL)::INT + (tg.trope IS NULL AND f.trope IS NOT NULL)::INT), 0) AS BIGINT) FROM tg JOIN f ON match_id = p_partkey) + (SELECT count(*) FROM u WHERE own = 0 AND pages <> 0) AS updated""",
 )
 def merge_counts(t: Tables) -> DataFrame:
     return _merged(t)[1]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import slug
@@ -34,11 +34,43 @@ def write_sheets(frames: dict[str, DataFrame], path: str, mode: str = "errorifex
         write_csv(frame, f"{path}/{name}", mode)
 
 
+def _file(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's storage."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def write_pointer(spark: SparkSession, path: str, version: str) -> None:
+    """Names a version as saved: an empty file, which is there or not there, on object stores too."""
+    system, where = _file(spark, f"{path}/_saved/{version}")
+    system.create(where, False).close()
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Directory of the saved version that is last in the order of names, None before the first one."""
+    system, folder = _file(spark, f"{path}/_saved")
+    names = [x.getPath().getName() for x in system.listStatus(folder)] if system.exists(folder) else []
+    return f"{path}/v={max(names)}" if names else None
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The version that was saved last."""
+    found = current_version(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no saved version below {path}")
+    return spark.read.parquet(found)
+
+
 def save_version(df: DataFrame, path: str, stamp: str | None = None) -> str:
-    """Parquet in a new ``v=<time>`` directory below the path; older versions stay as backups."""
+    """Parquet in a new ``v=<time>`` directory below the path; older versions stay as backups.
+
+    The pointer that readers resolve (``read_version``) is written last: a save that ends before leaves the old version in
+    force, and its directory is never read. Stamps of one's own must sort in the order of the saves.
+    """
     stamp = stamp or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     target = f"{path}/v={stamp}"
     df.write.mode("errorifexists").parquet(target)
+    write_pointer(df.sparkSession, path, stamp)
     return target
 
 

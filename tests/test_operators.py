@@ -219,7 +219,7 @@ def test_merge_fill_fills_blanks_only(spark):
     m = spark.createDataFrame([(10, 1), (11, 1), (12, None)], "id long, match_id long")
     merged, counts = matching.merge_fill(t, s, m, "id", ["pages", "trope"], "id")
     assert {(r["id"], r["pages"], r["trope"]) for r in merged.collect()} == {(1, 7, "x"), (2, 5, None), (12, 9, "w")}
-    assert tuple(counts.first()) == (2, 1, 1)
+    assert counts.first().asDict() == {"matched": 2, "updated": 1, "added": 1, "skipped": 0}
 
 
 @pytest.mark.parametrize(
@@ -406,3 +406,36 @@ def test_series_key_of_standalone(spark):
     got = [r["k"] for r in df.select(rollup.series_key("s", "a", "t", "standalone").alias("k")).collect()]
     assert got == ["t1|||a|||standalone", "t2|||a|||standalone", "s|||a"]
     assert df.select(lower_trim("s").alias("x")).first()["x"] == ""
+
+
+@pytest.mark.parametrize("update,add", [(True, True), (False, True), (True, False), (False, False)])
+def test_merge_equals_the_sequence(spark, update, add):
+    rng = random.Random(6)
+    blank = lambda v: v is None or v == "" or v == 0
+    row = lambda k: {"id": k, "key": rng.choice(["a", "b", "c", "d", "e", "", None]), "pages": rng.choice([None, 0, 5, 7]), "trope": rng.choice([None, "", "x", "y"])}
+    target, source = [row(k) for k in range(6)], [row(k) for k in range(100, 140)]
+    schema_text = "id long, key string, pages int, trope string"
+    frames = [spark.createDataFrame([tuple(r.values()) for r in rows], schema_text) for rows in (target, source)]
+    first = {}
+    for r in target:
+        if r["key"]:
+            first.setdefault(r["key"], r["id"])
+    matches = spark.createDataFrame([(r["id"], first.get(r["key"])) for r in source], "id long, match_id long")
+    merged, counts = matching.merge_fill(*frames, matches, "id", ["pages", "trope"], "id", [F.col("key")], update, add)
+
+    result, tally = [dict(r) for r in target], {"matched": 0, "updated": 0, "added": 0, "skipped": 0}
+    for r in source:
+        found = next((x for x in result if r["key"] and x["key"] == r["key"]), None)
+        if found:
+            tally["matched"] += 1
+            for c in ("pages", "trope") if update else ():
+                if not blank(r[c]) and blank(found[c]):
+                    found[c] = r[c]
+                    tally["updated"] += 1
+        elif add:
+            result.append(dict(r))
+            tally["added"] += 1
+        else:
+            tally["skipped"] += 1
+    assert counts.first().asDict() == tally
+    assert sorted(map(str, (tuple(r) for r in merged.collect()))) == sorted(str(tuple(r.values())) for r in result)

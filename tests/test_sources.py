@@ -1,5 +1,6 @@
 """Readers, writers and the incremental resume."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,6 +92,25 @@ def test_versions_and_sheets(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "s" / "b")).count() == 1
 
 
+def test_a_save_that_stops_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert writers.current_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        writers.read_version(spark, path)
+    writers.save_version(spark.range(3), path, "1")
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(writers, "write_pointer", stop)  # the table is written, its name is not
+        with pytest.raises(KeyboardInterrupt):
+            writers.save_version(spark.range(9), path, "2")
+    assert (tmp_path / "t" / "v=2").exists() and writers.read_version(spark, path).count() == 3
+    assert writers.save_version(spark.range(4), path, "3") == writers.current_version(spark, path)
+    assert writers.read_version(spark, path).count() == 4
+
+
 def test_append_missing_resumes(spark, tmp_path):
     path = str(tmp_path / "o")
     writers.append_missing(spark.range(5), path, ["id"])
