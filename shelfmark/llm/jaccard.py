@@ -242,8 +242,8 @@ def _marks(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
-    """(rep, grams binary): sets of the wanted documents (doc); texts that no mark rules out travel compressed."""
+def _bodies(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, body): compressed texts of the wanted documents (doc), a third of their sets; only texts that a mark lets through travel."""
     shared = rows.sparkSession.sparkContext.broadcast(_marks(wanted))
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,19 +255,16 @@ def _grams(rows: DataFrame, wanted: DataFrame, kind: Similarity) -> DataFrame:
             bodies = [tool.compress((x or "").encode()) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(bodies, pa.binary())], ["doc", "body"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = zstandard.ZstdDecompressor()
-
-        def opened():
-            for batch in batches:
-                texts = pa.array([tool.decompress(x) for x in batch.column("body").to_pylist()], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), texts], ["rep", "text"])
+    packed = rows.withColumn("mark", F.xxhash64("doc")).mapInArrow(press, "doc long, body binary")
+    return written(packed.join(wanted, "doc", "left_semi").select(F.col("doc").alias("rep"), "body"))
 
-        for part, sets in _sets(opened(), kind):
-            yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array([x.tobytes() for x in sets], pa.binary())], ["rep", "grams"])
 
-    packed = rows.withColumn("mark", F.xxhash64("doc")).mapInArrow(press, "doc long, body binary")
-    return written(packed.join(wanted, "doc", "left_semi").mapInArrow(run, "rep long, grams binary"))
+def _opened(bodies: Iterable[bytes], kind: Similarity) -> dict[bytes, np.ndarray]:
+    """The sets of different compressed texts."""
+    tool, different = zstandard.ZstdDecompressor(), list(dict.fromkeys(bodies))
+    texts = pa.array([tool.decompress(x) for x in different], pa.binary()).cast(pa.string())
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    return dict(zip(different, (x for _, sets in _sets([batch], kind) for x in sets)))
 
 
 def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bool, np.ndarray, int, int]:
@@ -298,17 +295,19 @@ def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bo
     return False, differ, 0 if lone else n - far + 1, n - max(half, far) + 1
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
+def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFrame:
     """(pivot, member, linked, size, differ, a, b): outcome of each comparison, the member's size, the number of differing
     grams, and those that index them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, sizes, counts, a, b = [], [], [], [], []
-            for x, y in zip(batch.column("of_pivot").to_pylist(), batch.column("of_member").to_pylist()):
-                yes, differ, to_a, to_b = compare(np.frombuffer(x, U), np.frombuffer(y, U), kind)
+            pivots, members = batch.column("of_pivot").to_pylist(), batch.column("of_member").to_pylist()
+            sets = _opened([*pivots, *members], kind)
+            for x, y in zip(pivots, members):
+                yes, differ, to_a, to_b = compare(sets[x], sets[y], kind)
                 linked.append(yes)
-                sizes.append(len(y) // 8)
+                sizes.append(len(sets[y]))
                 counts.append(len(differ))
                 a.append(differ[: max(0, to_a)].view(np.int64))
                 b.append(differ[: max(0, to_b)].view(np.int64))
@@ -326,8 +325,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, kind: Similarity) -> DataFrame:
                 ["pivot", "member", "linked", "size", "differ", "a", "b"],
             )
 
-    both = pairs.join(sets.select(F.col("rep").alias("member"), F.col("grams").alias("of_member")), "member")
-    both = both.join(sets.select(F.col("rep").alias("pivot"), F.col("grams").alias("of_pivot")), "pivot")
+    both = pairs.join(bodies.select(F.col("rep").alias("member"), F.col("body").alias("of_member")), "member")
+    both = both.join(bodies.select(F.col("rep").alias("pivot"), F.col("body").alias("of_pivot")), "pivot")
     return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
 
 
@@ -385,13 +384,13 @@ def _next(stars: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = stars.join(done, ["pivot", "member"])
     lines = both.groupBy("line").agg(F.count(F.lit(1)).alias("of_line"), F.max("linked").alias("some"), F.min("linked").alias("all"))
     kept = both.join(lines.filter("of_line > 1 AND NOT all"), "line")
-    star = F.xxhash64("line", "member").alias("star")
-    info = written(kept.select(star, "line", "member", "linked", "size", "differ", F.when(F.col("some"), F.col("a")).alias("a"), "b"))
+    # a small number for each row instead of a hash: it is written once, so that every later scan finds the same
+    info = written(kept.select(F.monotonically_increasing_id().alias("star"), "line", "member", "linked", "size", "differ", F.when(F.col("some"), F.col("a")).alias("a"), "b"))
     sides = []
     for tag in ("a", "b"):
         is_a = F.col("linked") | F.lit(tag == "b")
         found = info.select("star", "linked", "line", F.posexplode(tag).alias("at", "gram"))
-        code = F.col("at") * 4 + is_a.cast("int") + 2 * (~F.col("linked")).cast("int")
+        code = (F.col("at") * 4 + is_a.cast("int") + 2 * (~F.col("linked")).cast("int")).cast("int")
         sides.append(found.select(F.xxhash64("line", F.lit(tag), "gram").alias("key"), "star", code.alias("code")))
     rows = sides[0].union(sides[1]).repartition("key")
     size = rows.groupBy("key").agg(
@@ -413,10 +412,10 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
     # pairs in small groups are only asked for links, so most go by their sketches; with a pivot the differences count too
     stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
     ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]
-    sets = _grams(rows, reduce(DataFrame.union, ends).distinct(), kind)
+    bodies = _bodies(rows, reduce(DataFrame.union, ends).distinct())
     while True:
         pairs = written(near.union(stars.select("pivot", "member")).distinct())
-        done = written(_verified(pairs, sets, kind))
+        done = written(_verified(pairs, bodies, kind))
         found.append(written(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))))
         if stars.isEmpty():
             break

@@ -2,8 +2,9 @@
 
 Terms are runs of letters; every term that an example holds is known. Weights are (1 + log tf) * idf * (1 + sqrt(chi2)),
 with document frequencies over all documents and chi2 for how far a term's presence among the examples depends on the label,
-and vectors have length 1. Terms of many examples are rows of a dense matrix, all others have postings; both together give
-the cosine with every example. Votes of the nearest examples are weighted by cosine, with the classes at their rates among
+and vectors have length 1. The examples stand in blocks of similar ones. Of each term the index holds postings, block by block,
+and the largest weight in each block, so the maxima of a text's terms bound its cosines in a block. Blocks are read in falling
+order of their bounds, until no bound reaches the worst of the nearest found. Votes of the nearest examples are weighted by cosine, with the classes at their rates among
 all labelled rows, and mapped to a probability by the votes that the examples themselves get from the other examples.
 """
 
@@ -21,22 +22,23 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.letters import terms_of
 from shelfmark.llm.tables import slices, texts_of
-from shelfmark.llm.words import U
+from shelfmark.llm.words import U, mix
 
 # Bound of the model: examples a class.
 EXAMPLES = 1500
-# Nearest examples that vote, and texts whose cosines are held at once.
+# Nearest examples that vote, examples of a block, texts that are handled at once.
 NEAREST = 25
-BLOCK = 64
-# Terms that this share of the examples hold stand in the dense matrix; postings that are read at once.
-DENSE = 1 / 16
-POSTINGS = 1 << 20
+BLOCK = 32
+TEXTS = 128
+# Dimensions in which examples are compared to form blocks, and rounds of forming them.
+FOLDED = 256
+ROUNDS = 5
 
 _RUN = regex.compile(r"\p{L}+")
 
 
 def examples_of(documents: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> tuple[DataFrame, float]:
-    """((id, label, text) of a bounded sample of different labelled texts, rate of label 1 among all labelled texts).
+    """((id, label, text, h: hash of the text) of a bounded sample of different labelled texts, rate of label 1 among all labelled texts).
 
     Copies count once, with the label that most of them have. Within a class, texts are taken in the order of their hashes.
     """
@@ -49,11 +51,12 @@ def examples_of(documents: DataFrame, labels: DataFrame, id: str, text: str, lab
     # a limit after an order keeps the first rows in every task; a window of more than 1,000 rows would sort the whole class in one
     zeros, ones = (marks.filter(F.col("label") == k).orderBy("h", "id").limit(EXAMPLES) for k in (0, 1))
     chosen = zeros.union(ones).select("id", "label")
-    return texts.join(chosen, "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text")), rate or 0.0
+    hashed = texts.join(chosen, "id").select("id", "label", F.coalesce("text", F.lit("")).alias("text"))
+    return hashed.withColumn("h", F.sha2(F.col("text").cast("binary"), 256)), rate or 0.0
 
 
 def _terms_of_examples(examples: DataFrame) -> DataFrame:
-    """(id, label, terms, tf): the different terms of each example and how often it holds them."""
+    """(id, label, h, terms, tf): the different terms of each example and how often it holds them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,12 +70,12 @@ def _terms_of_examples(examples: DataFrame) -> DataFrame:
                 names.append(list(tf))
                 counts.append(list(tf.values()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label").cast(pa.int32()), pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
-                ["id", "label", "terms", "tf"],
+                [batch.column("id"), batch.column("label").cast(pa.int32()), batch.column("h"), pa.array(names, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
+                ["id", "label", "h", "terms", "tf"],
             )
 
     kind = examples.schema["id"].dataType.simpleString()
-    return examples.mapInArrow(run, f"id {kind}, label int, terms array<string>, tf array<int>")
+    return examples.mapInArrow(run, f"id {kind}, label int, h string, terms array<string>, tf array<int>")
 
 
 def _chi2(n11, n10, n01, n00):
@@ -175,30 +178,56 @@ def _frequencies(rows: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
     return df, int(sums[terms < 0].sum())
 
 
+def _clusters(rows: Rows, size: int) -> np.ndarray:
+    """A cluster for each row, for about ``size`` rows each: rows with similar weights, folded into few dimensions."""
+    n = len(rows)
+    clusters = max(1, n // size)
+    term = mix(rows.terms.astype(U), 31)
+    sign = 1.0 - 2.0 * (term >> U(63)).astype(float)
+    cell = rows.numbers() * FOLDED + (term % U(FOLDED)).astype(np.int64)
+    points = np.bincount(cell, rows.weights * sign, minlength=n * FOLDED).reshape(n, FOLDED)
+    centres = points[np.linspace(0, n - 1, clusters).astype(np.int64)] if n else points
+    nearest = np.zeros(n, np.int64)
+    for _ in range(ROUNDS if n else 0):
+        nearest = (points @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, points)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.maximum(length, 1e-12), centres)
+    return nearest
+
+
 class BlockIndex:
-    """Weights of the examples by term: a dense matrix for terms of many examples, postings for all others."""
+    """A block-max inverted index of the examples: postings by term and block, and the largest weight of a term in a block.
+
+    Examples are numbered in their given order, which settles equal cosines. ``read`` and ``blocks`` count the blocks that
+    queries read and those that they could have read.
+    """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows, vocabulary: Vocabulary, rate: float):
         self.vocabulary = vocabulary
         rows = vectors if isinstance(vectors, Rows) else Rows.of_dense(vectors)
         full = np.diff(rows.first) > 0
-        # in the order of their ids, so that equal cosines are settled by place
         order = np.flatnonzero(full)
-        order = order[np.argsort(ids[order], kind="stable")]
         self.ids, self.labels = ids[order], labels[order]
         places = np.zeros(len(full), np.int64)
         places[order] = np.arange(len(order))
         place, width = places[rows.numbers()], len(vocabulary.names)
-        by_term = np.lexsort((place, rows.terms))
-        place, terms, weights = place[by_term], rows.terms[by_term], rows.weights[by_term]
-        held = np.bincount(terms, minlength=width)
-        dense = held >= max(1, DENSE * len(order))
-        self.number = np.where(dense, np.cumsum(dense) - 1, -1)
-        self.matrix = np.zeros((int(dense.sum()), len(order)))
-        own = dense[terms]
-        self.matrix[self.number[terms[own]], place[own]] = weights[own]
-        self.first = np.concatenate([[0], np.cumsum(np.where(dense, 0, held))])
-        self.place, self.weight = place[~own].astype(np.int32), weights[~own]
+        # the examples block by block: where each stands, and which one stands at a position
+        whole = Rows.of(len(order), place, rows.terms, rows.weights)
+        self.standing = np.lexsort((np.arange(len(order)), _clusters(whole, BLOCK)))
+        position = np.empty(len(order), np.int64)
+        position[self.standing] = np.arange(len(order))
+        self.many = max(1, -(-len(order) // BLOCK))
+        at = position[place]
+        by_term = np.lexsort((at, rows.terms))
+        self.at, self.weight = at[by_term], rows.weights[by_term]
+        key = rows.terms[by_term] * self.many + self.at // BLOCK
+        self.keys, begin = np.unique(key, return_index=True)
+        self.begin = np.append(begin, len(key))
+        self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.zeros(0)
+        self.first = np.searchsorted(self.keys, np.arange(width + 1) * self.many)
+        self.read = self.blocks = 0
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
         self.count = np.array([(1 - rate) / zeros, rate / ones]) * (ones + zeros)
@@ -213,36 +242,37 @@ class BlockIndex:
     @property
     def weights(self) -> np.ndarray:
         """All weights as one dense matrix of terms and examples."""
-        out = np.zeros((len(self.number), len(self.ids)))
-        out[self.number >= 0] = self.matrix
-        out[np.repeat(np.arange(len(self.number)), np.diff(self.first)), self.place] = self.weight
+        out = np.zeros((len(self.first) - 1, len(self.ids)))
+        group = np.repeat(np.arange(len(self.keys)), np.diff(self.begin))
+        out[self.keys[group] // self.many, self.standing[self.at]] = self.weight
         return out
 
-    def cosines(self, queries: Rows) -> np.ndarray:
-        """The cosine of each row with every example."""
-        n, examples = len(queries), len(self.ids)
-        text, number = queries.numbers(), self.number[queries.terms]
-        common = number >= 0
-        head = np.zeros((n, len(self.matrix)))
-        head[text[common], number[common]] = queries.weights[common]
-        out = head @ self.matrix
-        text, terms, weights = text[~common], queries.terms[~common], queries.weights[~common]
-        size = self.first[terms + 1] - self.first[terms]
-        total = np.cumsum(size)
-        at = 0
-        while at < len(terms):
-            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + POSTINGS, side="right")))
-            each, low, high = size[at:end], text[at], text[end - 1] + 1
-            entry = np.repeat(np.arange(at, end), each)
-            posting = np.arange(len(entry)) + np.repeat(self.first[terms[at:end]] - (np.cumsum(each) - each), each)
-            cell = (text[entry] - low) * examples + self.place[posting]
-            sums = np.bincount(cell, weights[entry] * self.weight[posting], minlength=(high - low) * examples)
-            out[low:high] += sums.reshape(high - low, examples)
-            at = end
-        return out
+    def bounds(self, queries: Rows) -> np.ndarray:
+        """(rows, blocks): at least the cosine of each row with every example of the block."""
+        low, size = self.first[queries.terms], self.first[queries.terms + 1] - self.first[queries.terms]
+        entry = np.repeat(np.arange(len(size)), size)
+        group = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size) + low[entry]
+        cell = queries.numbers()[entry] * self.many + self.keys[group] % self.many
+        return np.bincount(cell, queries.weights[entry] * self.most[group], minlength=len(queries) * self.many).reshape(len(queries), self.many)
+
+    def in_block(self, queries: Rows, row: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """(pairs, BLOCK): cosines of each given row with the examples of its block."""
+        size = queries.first[row + 1] - queries.first[row]
+        pair = np.repeat(np.arange(len(row)), size)
+        entry = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + queries.first[row][pair]
+        key = queries.terms[entry] * self.many + block[pair]
+        group = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        met = self.keys[group] == key
+        pair, entry, group = pair[met], entry[met], group[met]
+        length = self.begin[group + 1] - self.begin[group]
+        which = np.repeat(np.arange(len(group)), length)
+        posting = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length) + self.begin[group][which]
+        cell = pair[which] * BLOCK + self.at[posting] % BLOCK
+        sums = np.bincount(cell, queries.weights[entry[which]] * self.weight[posting], minlength=len(row) * BLOCK)
+        return sums.reshape(len(row), BLOCK)
 
     def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(cosines, places) of the k nearest examples of each row, best first, equal ones in the order of their ids.
+        """(cosines, places) of the k nearest examples of each row, best first, equal ones in the order of the examples.
 
         Examples without a common term (cosine 0) are none.
         """
@@ -251,19 +281,34 @@ class BlockIndex:
         best, place = np.zeros((n, k)), np.full((n, k), -1)
         if not examples:
             return best, place
-        for a in range(0, n, BLOCK):
-            b = min(a + BLOCK, n)
-            scores = np.round(self.cosines(queries.part(a, b)), 12)
-            if skip is not None:
-                scores[np.arange(b - a), skip[a:b]] = 0
-            least = np.partition(scores, examples - k, axis=1)[:, examples - k] if examples > k else np.zeros(b - a)
-            row, at = np.nonzero((scores >= least[:, None]) & (scores > 0))
-            value = scores[row, at]
-            order = np.lexsort((at, -value, row))
-            rank = np.arange(len(row)) - np.searchsorted(row, row)
-            own = order[rank < k]
-            best[a + row[own], rank[rank < k]] = value[own]
-            place[a + row[own], rank[rank < k]] = at[own]
+        standing = np.append(self.standing, np.full(self.many * BLOCK - examples, examples)).reshape(self.many, BLOCK)
+        for a in range(0, n, TEXTS):
+            b = min(a + TEXTS, n)
+            own = queries.part(a, b)
+            bounds = self.bounds(own)
+            falling = np.argsort(-bounds, axis=1, kind="stable")
+            scores, places = best[a:b], place[a:b]
+            self.blocks += (b - a) * self.many
+            row = np.arange(b - a)
+            for turn in range(self.many):
+                block = falling[row, turn]
+                reach = bounds[row, block]
+                # an equal cosine may still win by its place; sums differ in their last digits
+                go = (reach > 0) & (reach >= scores[row, -1] - 1e-9)
+                row, block = row[go], block[go]
+                if not len(row):
+                    break
+                self.read += len(row)
+                found = np.round(self.in_block(own, row, block), 12)
+                at = standing[block]
+                if skip is not None:
+                    found[at == skip[a:b][row][:, None]] = 0
+                values, names = np.concatenate([scores[row], found], axis=1), np.concatenate([places[row], at], axis=1)
+                names = np.where(values > 0, names, examples)
+                order = np.lexsort((names, -values), axis=1)[:, :k]
+                scores[row] = np.take_along_axis(values, order, axis=1)
+                names = np.take_along_axis(names, order, axis=1)
+                places[row] = np.where(names < examples, names, -1)
         return best, place
 
     def votes(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -301,7 +346,7 @@ class BlockIndex:
 def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> BlockIndex:
     """The index of a bounded sample of labelled documents; document frequencies are counted over all of ``documents``."""
     examples, rate = examples_of(documents, labels, id, text, label)
-    found = _terms_of_examples(examples).toArrow().combine_chunks().sort_by("id")
+    found = _terms_of_examples(examples).toArrow().combine_chunks().sort_by([("h", "ascending"), ("id", "ascending")])
     ids, marks = found.column("id").to_numpy().astype(np.int64), found.column("label").to_numpy().astype(np.int64)
     lists = found.column("terms").combine_chunks() if found.num_rows else pa.array([], pa.list_(pa.string()))
     counts = found.column("tf").combine_chunks().flatten().to_numpy() if found.num_rows else np.zeros(0, np.int64)
@@ -330,7 +375,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
     """(id, score, predicted, neighbours, evidence) for every document; the model is learned from ``labels``.
 
     ``corpus`` holds the texts of the labelled rows (``documents`` if not given). ``score`` is the calibrated probability of label
-    1, ``predicted`` whether it is at least 0.5, ``neighbours`` the voting examples with cosine and label, nearest first, and
+    1, ``predicted`` whether it is at least 0.5, ``neighbours`` the voting examples with cosine and label, nearest first (equal
+    cosines in the order of the hashes of the examples' texts), and
     ``evidence`` the text's known terms by falling weight. Null and empty texts, and texts that share no term with an example,
     have no neighbours and get the rate of such examples. Without labels of both classes every score is the rate. Repeated rows
     are scored one by one; an empty table gives no rows. The model has a bounded number of examples and is broadcast; no shuffle
