@@ -28,7 +28,7 @@ from shelfmark.llm.words import U, mix
 EXAMPLES = 1500
 # Nearest examples that vote, examples of a block, texts that are handled at once.
 NEAREST = 25
-BLOCK = 32
+BLOCK = 10
 TEXTS = 128
 # Dimensions in which examples are compared to form blocks, and rounds of forming them.
 FOLDED = 256
@@ -227,6 +227,7 @@ class BlockIndex:
         self.begin = np.append(begin, len(key))
         self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.zeros(0)
         self.first = np.searchsorted(self.keys, np.arange(width + 1) * self.many)
+        self._groups: np.ndarray | None = None
         self.read = self.blocks = 0
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
@@ -239,6 +240,16 @@ class BlockIndex:
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
         self.calibrate(rows, order)
 
+    def groups(self) -> np.ndarray:
+        """The group of postings of each (term, block), -1 without one; made where it is used, not sent."""
+        if self._groups is None:
+            self._groups = np.full((len(self.first) - 1) * self.many, -1, np.int32)
+            self._groups[self.keys] = np.arange(len(self.keys))
+        return self._groups
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_groups": None}
+
     @property
     def weights(self) -> np.ndarray:
         """All weights as one dense matrix of terms and examples."""
@@ -260,9 +271,8 @@ class BlockIndex:
         size = queries.first[row + 1] - queries.first[row]
         pair = np.repeat(np.arange(len(row)), size)
         entry = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + queries.first[row][pair]
-        key = queries.terms[entry] * self.many + block[pair]
-        group = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
-        met = self.keys[group] == key
+        group = self.groups()[queries.terms[entry] * self.many + block[pair]]
+        met = group >= 0
         pair, entry, group = pair[met], entry[met], group[met]
         length = self.begin[group + 1] - self.begin[group]
         which = np.repeat(np.arange(len(group)), length)

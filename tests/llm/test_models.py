@@ -181,3 +181,64 @@ def test_samples_are_bounded(spark, monkeypatch):
     rows = spark.createDataFrame([(k, f"text number {'abcdefghij'[k % 10]} and more of it", "en") for k in range(30)], "doc_id long, text string, lang string")
     samples = language.sample_languages(rows, "doc_id", "text", "lang")
     assert list(samples) == ["en"] and 0 < len(samples["en"]) <= 80
+
+
+@needs_tables
+def test_the_nearest_equal_plain_vectors_and_blocks_are_skipped(spark):
+    """Term counts, document frequencies, weights and cosines are computed anew here from the texts."""
+    import collections
+    import hashlib
+    import math
+
+    import regex
+
+    documents = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet").filter("doc_id % 5 <> 0")
+    index = toxicity.fit(documents, labels)
+    own = {r.doc_id: r.text or "" for r in documents.collect()}
+    fold = lambda x: "".join(c.lower() if len(c.lower()) == 1 else c for c in x)
+    counted = {k: collections.Counter(fold(m) for m in regex.findall(r"\p{L}+", t)) for k, t in own.items()}
+    frequency = collections.Counter(t for c in counted.values() for t in c)
+    examples = [int(x) for x in index.ids]
+    with_term = {y: collections.Counter(t for k, label in zip(examples, index.labels) if label == y for t in counted[k]) for y in (0, 1)}
+    size = {y: int((index.labels == y).sum()) for y in (0, 1)}
+
+    def weight(t):
+        a, c = with_term[1][t], with_term[0][t]
+        b, d = size[1] - a, size[0] - c
+        below = (a + b) * (c + d) * (a + c) * (b + d)
+        chi2 = (a + b + c + d) * (a * d - b * c) ** 2 / below if below else 0.0
+        return (math.log((1 + len(own)) / (1 + frequency[t])) + 1) * (1 + math.sqrt(chi2))
+
+    known = set().union(*(counted[k] for k in examples))
+
+    def vector(k):
+        x = {t: (1 + math.log(n)) * weight(t) for t, n in counted[k].items() if t in known}
+        length = math.sqrt(sum(v * v for v in x.values())) or 1.0
+        return {t: v / length for t, v in x.items()}
+
+    vectors = [vector(k) for k in examples]
+    assert [hashlib.sha256(own[k].encode()).hexdigest() for k in examples] == sorted(hashlib.sha256(own[k].encode()).hexdigest() for k in examples)
+    asked = sorted(own)[::400]
+    index.read = index.blocks = 0
+    _, best, place, _ = index.score(pa.array([own[k] for k in asked]))
+    for k, scores, places in zip(asked, best, place):
+        mine = vector(k)
+        every = np.array([sum(v * x.get(t, 0.0) for t, v in mine.items()) for x in vectors])
+        n = min(len(scores), int((every > 1e-12).sum()))
+        assert scores[:n] == pytest.approx(np.sort(every)[::-1][:n], abs=1e-9)
+        assert every[places[:n]] == pytest.approx(scores[:n], abs=1e-9)
+    assert index.read < 0.5 * index.blocks
+
+
+def test_ids_have_no_say_in_ties(spark):
+    texts = [f"word{k % 7} shared term number{k}" for k in range(60)]
+    labels = [k % 2 for k in range(60)]
+
+    def scores(ids):
+        documents = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+        known = spark.createDataFrame(list(zip(ids, labels)), "doc_id long, toxic int")
+        asked = spark.createDataFrame([(1, "shared term"), (2, "word3 term")], "doc_id long, text string")
+        return {r.doc_id: r.score for r in score_toxicity(asked, known, documents).collect()}
+
+    assert scores(range(60)) == scores(range(60, 0, -1))
