@@ -28,7 +28,7 @@ from shelfmark.llm.words import U, mix
 EXAMPLES = 1500
 # Nearest examples that vote, examples of a block, texts that are handled at once.
 NEAREST = 25
-BLOCK = 10
+BLOCK = 64
 TEXTS = 128
 # Dimensions in which examples are compared to form blocks, and rounds of forming them.
 FOLDED = 256
@@ -227,7 +227,7 @@ class BlockIndex:
         self.begin = np.append(begin, len(key))
         self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.zeros(0)
         self.first = np.searchsorted(self.keys, np.arange(width + 1) * self.many)
-        self._groups: np.ndarray | None = None
+        self._groups: tuple | None = None
         self.read = self.blocks = 0
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
@@ -240,12 +240,27 @@ class BlockIndex:
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
         self.calibrate(rows, order)
 
-    def groups(self) -> np.ndarray:
-        """The group of postings of each (term, block), -1 without one; made where it is used, not sent."""
+    def groups(self, terms: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The group of postings of each (term, block), -1 without one.
+
+        Most terms stand in one block; a table of all blocks, made where it is used, holds the others alone.
+        """
         if self._groups is None:
-            self._groups = np.full((len(self.first) - 1) * self.many, -1, np.int32)
-            self._groups[self.keys] = np.arange(len(self.keys))
-        return self._groups
+            held = np.diff(self.first)
+            row = np.where(held > 1, np.cumsum(held > 1), 0).astype(np.int32)
+            table = np.full((int(row.max(initial=0)) + 1) * self.many, -1, np.int32)
+            term, number = self.keys // self.many, np.arange(len(self.keys))
+            wide = row[term] > 0
+            table[row[term[wide]] * self.many + self.keys[wide] % self.many] = number[wide]
+            only = np.full(len(held), -1, np.int32)
+            only[term[~wide]] = number[~wide]
+            self._groups = row, table, only, (self.keys % self.many).astype(np.int32)
+        row, table, only, of = self._groups
+        out, own = table[row[terms] * self.many + block], only[terms]
+        single = np.flatnonzero(own >= 0)
+        single = single[of[own[single]] == block[single]]
+        out[single] = own[single]
+        return out
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_groups": None}
@@ -271,7 +286,7 @@ class BlockIndex:
         size = queries.first[row + 1] - queries.first[row]
         pair = np.repeat(np.arange(len(row)), size)
         entry = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + queries.first[row][pair]
-        group = self.groups()[queries.terms[entry] * self.many + block[pair]]
+        group = self.groups(queries.terms[entry], block[pair])
         met = group >= 0
         pair, entry, group = pair[met], entry[met], group[met]
         length = self.begin[group + 1] - self.begin[group]
