@@ -30,6 +30,9 @@ EXAMPLES = 1500
 NEAREST = 25
 BLOCK = 64
 TEXTS = 128
+# Terms that more than this part of the examples hold are read from a dense table, block by block; at most so many terms.
+COMMON = 1 / 24
+MOST_COMMON = 2048
 # Dimensions in which examples are compared to form blocks, and rounds of forming them.
 FOLDED = 256
 ROUNDS = 5
@@ -227,7 +230,14 @@ class BlockIndex:
         self.begin = np.append(begin, len(key))
         self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.zeros(0)
         self.first = np.searchsorted(self.keys, np.arange(width + 1) * self.many)
+        # common terms: numbered, all others -1
+        held = np.bincount(rows.terms, minlength=width)
+        most = np.argsort(-held, kind="stable")[:MOST_COMMON]
+        most = most[held[most] > len(order) * COMMON]
+        self.common = np.full(width, -1)
+        self.common[most] = np.arange(len(most))
         self._groups: tuple | None = None
+        self._table: np.ndarray | None = None
         self.read = self.blocks = 0
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
@@ -263,7 +273,17 @@ class BlockIndex:
         return out
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_groups": None}
+        return self.__dict__ | {"_groups": None, "_table": None}
+
+    def table(self) -> np.ndarray:
+        """(blocks, common terms, BLOCK): the weights of common terms, made where it is used."""
+        if self._table is None:
+            out = np.zeros((self.many, int(self.common.max(initial=-1)) + 1, BLOCK))
+            own = self.common[np.repeat(self.keys // self.many, np.diff(self.begin))]
+            of = own >= 0
+            out[self.at[of] // BLOCK, own[of], self.at[of] % BLOCK] = self.weight[of]
+            self._table = out
+        return self._table
 
     @property
     def weights(self) -> np.ndarray:
@@ -281,20 +301,35 @@ class BlockIndex:
         cell = queries.numbers()[entry] * self.many + self.keys[group] % self.many
         return np.bincount(cell, queries.weights[entry] * self.most[group], minlength=len(queries) * self.many).reshape(len(queries), self.many)
 
-    def in_block(self, queries: Rows, row: np.ndarray, block: np.ndarray) -> np.ndarray:
-        """(pairs, BLOCK): cosines of each given row with the examples of its block."""
+    def parted(self, queries: Rows) -> tuple[Rows, np.ndarray]:
+        """The rare terms of the rows, and their common ones as a dense matrix."""
+        row, number = queries.numbers(), self.common[queries.terms]
+        of = number >= 0
+        dense = np.zeros((len(queries), int(self.common.max(initial=-1)) + 1))
+        dense[row[of], number[of]] = queries.weights[of]
+        return Rows.of(len(queries), row[~of], queries.terms[~of], queries.weights[~of]), dense
+
+    def in_block(self, queries: Rows, common: np.ndarray, row: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """(pairs, BLOCK): cosines of each given row with the examples of its block.
+
+        ``queries`` holds the rare terms of the rows, ``common`` a dense matrix of their common ones.
+        """
         size = queries.first[row + 1] - queries.first[row]
         pair = np.repeat(np.arange(len(row)), size)
-        entry = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + queries.first[row][pair]
+        entry = np.arange(len(pair)) + np.repeat(queries.first[row] - np.cumsum(size) + size, size)
         group = self.groups(queries.terms[entry], block[pair])
-        met = group >= 0
+        met = np.flatnonzero(group >= 0)
         pair, entry, group = pair[met], entry[met], group[met]
         length = self.begin[group + 1] - self.begin[group]
-        which = np.repeat(np.arange(len(group)), length)
-        posting = np.arange(len(which)) - np.repeat(np.cumsum(length) - length, length) + self.begin[group][which]
-        cell = pair[which] * BLOCK + self.at[posting] % BLOCK
-        sums = np.bincount(cell, queries.weights[entry[which]] * self.weight[posting], minlength=len(row) * BLOCK)
-        return sums.reshape(len(row), BLOCK)
+        posting = np.arange(int(length.sum())) + np.repeat(self.begin[group] - np.cumsum(length) + length, length)
+        cell = np.repeat(pair * BLOCK, length) + self.at[posting] % BLOCK
+        sums = np.bincount(cell, np.repeat(queries.weights[entry], length) * self.weight[posting], minlength=len(row) * BLOCK)
+        sums = sums.reshape(len(row), BLOCK)
+        order = np.argsort(block, kind="stable")
+        some, first = np.unique(block[order], return_index=True)
+        for number, own in zip(some, np.split(order, first[1:])):
+            sums[own] += common[row[own]] @ self.table()[number]
+        return sums
 
     def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(cosines, places) of the k nearest examples of each row, best first, equal ones in the order of the examples.
@@ -311,6 +346,7 @@ class BlockIndex:
             b = min(a + TEXTS, n)
             own = queries.part(a, b)
             bounds = self.bounds(own)
+            rare, common = self.parted(own)
             falling = np.argsort(-bounds, axis=1, kind="stable")
             scores, places = best[a:b], place[a:b]
             self.blocks += (b - a) * self.many
@@ -324,7 +360,7 @@ class BlockIndex:
                 if not len(row):
                     break
                 self.read += len(row)
-                found = np.round(self.in_block(own, row, block), 12)
+                found = np.round(self.in_block(rare, common, row, block), 12)
                 at = standing[block]
                 if skip is not None:
                     found[at == skip[a:b][row][:, None]] = 0
