@@ -324,7 +324,7 @@ class BlockIndex:
         posting = np.arange(int(length.sum())) + np.repeat(self.begin[group] - np.cumsum(length) + length, length)
         cell = np.repeat(pair * BLOCK, length) + self.at[posting] % BLOCK
         sums = np.bincount(cell, np.repeat(queries.weights[entry], length) * self.weight[posting], minlength=len(row) * BLOCK)
-        sums = sums.reshape(len(row), BLOCK)
+        sums = sums.astype(float).reshape(len(row), BLOCK)
         order = np.argsort(block, kind="stable")
         some, first = np.unique(block[order], return_index=True)
         for number, own in zip(some, np.split(order, first[1:])):
