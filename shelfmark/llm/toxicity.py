@@ -1,11 +1,13 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine over all terms of the examples, found exactly.
 
-Terms are runs of letters; every term that an example holds is known. Weights are (1 + log tf) * idf * (1 + sqrt(chi2)),
-with document frequencies over all documents and chi2 for how far a term's presence among the examples depends on the label,
-and vectors have length 1. The examples stand in blocks of similar ones. Of each term the index holds postings, block by block,
-and the largest weight in each block, so the maxima of a text's terms bound its cosines in a block. Blocks are read in falling
-order of their bounds, until no bound reaches the worst of the nearest found. Votes of the nearest examples are weighted by cosine, with the classes at their rates among
-all labelled rows, and mapped to a probability by the votes that the examples themselves get from the other examples.
+Terms are runs of letters; every term that an example holds is known. Weights are (1 + log tf) * idf with document frequencies
+over all documents, and vectors have length 1. The examples stand in blocks of similar ones. The index holds the
+postings of each term and, for terms that many examples hold, the weights block by block with the largest one of each block. A text's
+few postings of rare terms are added up first; with the maxima of its common terms they bound its cosines in a block. Blocks are read
+in falling order of their bounds, until no bound reaches the worst of the nearest found. A neighbour's vote falls with its distance
+in the terms that tell the classes apart: it counts the square of the cosine in which terms weigh more by chi-square, for how far
+their presence among the examples depends on the label. Classes count at their rates among all labelled rows, and votes are mapped
+to a probability by those that the examples themselves get from the other examples.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from shelfmark.llm.words import U, mix
 # Bound of the model: examples a class.
 EXAMPLES = 1500
 # Nearest examples that vote, examples of a block, texts that are handled at once.
-NEAREST = 25
+NEAREST = 50
 BLOCK = 64
 TEXTS = 128
 # Terms that more than this part of the examples hold are read from a dense table, block by block; at most so many terms.
@@ -130,6 +132,8 @@ class Vocabulary:
     names: list[str]
     hashes: np.ndarray
     weight: np.ndarray
+    # how much more a term weighs in votes than in the cosine
+    factor: np.ndarray
 
     def rows(self, texts: pa.Array) -> Rows:
         """A row of length 1 for each text; a text without a known term has no entries."""
@@ -201,7 +205,7 @@ def _clusters(rows: Rows, size: int) -> np.ndarray:
 
 
 class BlockIndex:
-    """A block-max inverted index of the examples: postings by term and block, and the largest weight of a term in a block.
+    """A block-max inverted index of the examples: postings by term, and of common terms also by block, with the largest weight there.
 
     Examples are numbered in their given order, which settles equal cosines. ``read`` and ``blocks`` count the blocks that
     queries read and those that they could have read.
@@ -225,19 +229,16 @@ class BlockIndex:
         at = position[place]
         by_term = np.lexsort((at, rows.terms))
         self.at, self.weight = at[by_term], rows.weights[by_term]
-        key = rows.terms[by_term] * self.many + self.at // BLOCK
-        self.keys, begin = np.unique(key, return_index=True)
-        self.begin = np.append(begin, len(key))
-        self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.zeros(0)
-        self.first = np.searchsorted(self.keys, np.arange(width + 1) * self.many)
+        self.first = np.searchsorted(rows.terms[by_term], np.arange(width + 1))
         # common terms: numbered, all others -1
         held = np.bincount(rows.terms, minlength=width)
         most = np.argsort(-held, kind="stable")[:MOST_COMMON]
         most = most[held[most] > len(order) * COMMON]
         self.common = np.full(width, -1)
         self.common[most] = np.arange(len(most))
-        self._groups: tuple | None = None
-        self._table: np.ndarray | None = None
+        # terms and weights of each example as they count in votes
+        self.telling = self.retold(whole)
+        self._table: tuple | None = None
         self.read = self.blocks = 0
         # what an example counts: its class as often as among all labelled rows
         ones, zeros = max(1, int(labels.sum())), max(1, int((labels == 0).sum()))
@@ -250,85 +251,46 @@ class BlockIndex:
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
         self.calibrate(rows, order)
 
-    def groups(self, terms: np.ndarray, block: np.ndarray) -> np.ndarray:
-        """The group of postings of each (term, block), -1 without one.
-
-        Most terms stand in one block; a table of all blocks, made where it is used, holds the others alone.
-        """
-        if self._groups is None:
-            held = np.diff(self.first)
-            row = np.where(held > 1, np.cumsum(held > 1), 0).astype(np.int32)
-            table = np.full((int(row.max(initial=0)) + 1) * self.many, -1, np.int32)
-            term, number = self.keys // self.many, np.arange(len(self.keys))
-            wide = row[term] > 0
-            table[row[term[wide]] * self.many + self.keys[wide] % self.many] = number[wide]
-            only = np.full(len(held), -1, np.int32)
-            only[term[~wide]] = number[~wide]
-            self._groups = row, table, only, (self.keys % self.many).astype(np.int32)
-        row, table, only, of = self._groups
-        out, own = table[row[terms] * self.many + block], only[terms]
-        single = np.flatnonzero(own >= 0)
-        single = single[of[own[single]] == block[single]]
-        out[single] = own[single]
-        return out
-
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_groups": None, "_table": None}
+        return self.__dict__ | {"_table": None}
 
-    def table(self) -> np.ndarray:
-        """(blocks, common terms, BLOCK): the weights of common terms, made where it is used."""
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """((blocks, common terms, BLOCK): the weights of common terms; (common terms, blocks): their maxima), made where they are used."""
         if self._table is None:
             out = np.zeros((self.many, int(self.common.max(initial=-1)) + 1, BLOCK))
-            own = self.common[np.repeat(self.keys // self.many, np.diff(self.begin))]
+            own = np.repeat(self.common, np.diff(self.first))
             of = own >= 0
             out[self.at[of] // BLOCK, own[of], self.at[of] % BLOCK] = self.weight[of]
-            self._table = out
+            self._table = out, out.max(axis=2).T.copy()
         return self._table
 
     @property
     def weights(self) -> np.ndarray:
         """All weights as one dense matrix of terms and examples."""
         out = np.zeros((len(self.first) - 1, len(self.ids)))
-        group = np.repeat(np.arange(len(self.keys)), np.diff(self.begin))
-        out[self.keys[group] // self.many, self.standing[self.at]] = self.weight
+        out[np.repeat(np.arange(len(out)), np.diff(self.first)), self.standing[self.at]] = self.weight
         return out
 
-    def bounds(self, queries: Rows) -> np.ndarray:
-        """(rows, blocks): at least the cosine of each row with every example of the block."""
-        low, size = self.first[queries.terms], self.first[queries.terms + 1] - self.first[queries.terms]
-        entry = np.repeat(np.arange(len(size)), size)
-        group = np.arange(len(entry)) - np.repeat(np.cumsum(size) - size, size) + low[entry]
-        cell = queries.numbers()[entry] * self.many + self.keys[group] % self.many
-        return np.bincount(cell, queries.weights[entry] * self.most[group], minlength=len(queries) * self.many).reshape(len(queries), self.many)
-
-    def parted(self, queries: Rows) -> tuple[Rows, np.ndarray]:
-        """The rare terms of the rows, and their common ones as a dense matrix."""
+    def parted(self, queries: Rows) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, blocks, BLOCK): what rare terms add to the cosines; (rows, common terms): the weights of common ones."""
         row, number = queries.numbers(), self.common[queries.terms]
         of = number >= 0
         dense = np.zeros((len(queries), int(self.common.max(initial=-1)) + 1))
         dense[row[of], number[of]] = queries.weights[of]
-        return Rows.of(len(queries), row[~of], queries.terms[~of], queries.weights[~of]), dense
-
-    def in_block(self, queries: Rows, common: np.ndarray, row: np.ndarray, block: np.ndarray) -> np.ndarray:
-        """(pairs, BLOCK): cosines of each given row with the examples of its block.
-
-        ``queries`` holds the rare terms of the rows, ``common`` a dense matrix of their common ones.
-        """
-        size = queries.first[row + 1] - queries.first[row]
-        pair = np.repeat(np.arange(len(row)), size)
-        entry = np.arange(len(pair)) + np.repeat(queries.first[row] - np.cumsum(size) + size, size)
-        group = self.groups(queries.terms[entry], block[pair])
-        met = np.flatnonzero(group >= 0)
-        pair, entry, group = pair[met], entry[met], group[met]
-        length = self.begin[group + 1] - self.begin[group]
-        posting = np.arange(int(length.sum())) + np.repeat(self.begin[group] - np.cumsum(length) + length, length)
-        cell = np.repeat(pair * BLOCK, length) + self.at[posting] % BLOCK
-        sums = np.bincount(cell, np.repeat(queries.weights[entry], length) * self.weight[posting], minlength=len(row) * BLOCK)
-        sums = sums.astype(float).reshape(len(row), BLOCK)
+        row, terms, weights = row[~of], queries.terms[~of], queries.weights[~of]
+        length = self.first[terms + 1] - self.first[terms]
+        posting = np.arange(int(length.sum())) + np.repeat(self.first[terms] - np.cumsum(length) + length, length)
+        cell = np.repeat(row * self.many * BLOCK, length) + self.at[posting]
+        sums = np.bincount(cell, np.repeat(weights, length) * self.weight[posting], minlength=len(queries) * self.many * BLOCK)
+        return sums.astype(float, copy=False).reshape(len(queries), self.many, BLOCK), dense
+
+    def in_block(self, rare: np.ndarray, common: np.ndarray, row: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """(pairs, BLOCK): cosines of each given row with the examples of its block, from both parts of the rows."""
+        sums = rare[row, block]
         order = np.argsort(block, kind="stable")
         some, first = np.unique(block[order], return_index=True)
         for number, own in zip(some, np.split(order, first[1:])):
-            sums[own] += common[row[own]] @ self.table()[number]
+            sums[own] += common[row[own]] @ self.table()[0][number]
         return sums
 
     def nearest(self, queries: np.ndarray | Rows, k: int, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -345,8 +307,8 @@ class BlockIndex:
         for a in range(0, n, TEXTS):
             b = min(a + TEXTS, n)
             own = queries.part(a, b)
-            bounds = self.bounds(own)
             rare, common = self.parted(own)
+            bounds = rare.max(axis=2) + common @ self.table()[1]
             falling = np.argsort(-bounds, axis=1, kind="stable")
             scores, places = best[a:b], place[a:b]
             self.blocks += (b - a) * self.many
@@ -372,10 +334,28 @@ class BlockIndex:
                 places[row] = np.where(names < examples, names, -1)
         return best, place
 
-    def votes(self, best: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Share of label 1 among the nearest, each at its cosine times its class's count, with one vote at the rate."""
+    def retold(self, rows: Rows) -> Rows:
+        """The rows with each term's factor, at length 1 again."""
+        weights = rows.weights * self.vocabulary.factor[rows.terms]
+        norm = np.sqrt(np.bincount(rows.numbers(), weights**2, minlength=len(rows)))
+        return Rows(rows.first, rows.terms, weights / norm[rows.numbers()])
+
+    def votes(self, queries: Rows, place: np.ndarray) -> np.ndarray:
+        """Share of label 1 among the nearest, each at its closeness times its class's count, with one vote at the rate."""
+        asked, those = self.retold(queries), self.telling
+        close = np.zeros(place.shape)
+        row = np.zeros(len(self.vocabulary.names))
+        for k, own in enumerate(place):
+            mine = slice(asked.first[k], asked.first[k + 1])
+            row[asked.terms[mine]] = asked.weights[mine]
+            near = own[own >= 0]
+            size = those.first[near + 1] - those.first[near]
+            entry = np.arange(int(size.sum())) + np.repeat(those.first[near] - np.cumsum(size) + size, size)
+            if len(entry):
+                close[k, own >= 0] = np.add.reduceat(row[those.terms[entry]] * those.weights[entry], np.cumsum(size) - size)
+            row[asked.terms[mine]] = 0
         label = np.where(place >= 0, self.labels[place], 0) if len(self.labels) else np.zeros_like(place)
-        weight = np.where(place >= 0, best * self.count[label], 0)
+        weight = np.where(place >= 0, close**2 * self.count[label], 0)
         return ((weight * label).sum(axis=1) + self.rate * 0.5) / (weight.sum(axis=1) + 0.5)
 
     def calibrate(self, rows: Rows, order: np.ndarray) -> None:
@@ -385,7 +365,7 @@ class BlockIndex:
         skip = np.full(len(rows), 0)
         skip[order] = np.arange(len(order))
         best, place = self.nearest(rows, NEAREST, skip=skip)
-        votes = self.votes(best, place)[order]
+        votes = self.votes(rows, place)[order]
         pools: list[list[float]] = []
         for v in np.argsort(votes, kind="stable"):
             weight = self.count[self.labels[v]]
@@ -400,7 +380,7 @@ class BlockIndex:
         """(probabilities, cosines, places, weighted terms) of texts."""
         rows = self.vocabulary.rows(texts)
         best, place = self.nearest(rows, NEAREST)
-        probability = np.interp(self.votes(best, place), *self.curve)
+        probability = np.interp(self.votes(rows, place), *self.curve)
         return np.clip(np.where(place[:, 0] >= 0, probability, self.blank), 0.001, 0.999), best, place, rows
 
 
@@ -427,8 +407,8 @@ def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     ones, zeros = float(marks.sum()), float((marks == 0).sum())
     n1 = np.bincount(terms, marks[row], minlength=len(order))
     n0 = np.bincount(terms, minlength=len(order)) - n1
-    weight = (np.log((1 + n) / (1 + df)) + 1) * (1 + np.sqrt(_chi2(n1, ones - n1, n0, zeros - n0)))
-    vocabulary = Vocabulary(coded.dictionary.take(pa.array(order)).to_pylist(), hashes[order], weight)
+    factor = 1 + np.sqrt(_chi2(n1, ones - n1, n0, zeros - n0))
+    vocabulary = Vocabulary(coded.dictionary.take(pa.array(order)).to_pylist(), hashes[order], np.log((1 + n) / (1 + df)) + 1, factor)
     return BlockIndex(ids, marks, vocabulary.weighted(len(ids), row, terms, counts), vocabulary, rate)
 
 
@@ -438,7 +418,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
     ``corpus`` holds the texts of the labelled rows (``documents`` if not given). ``score`` is the calibrated probability of label
     1, ``predicted`` whether it is at least 0.5, ``neighbours`` the voting examples with cosine and label, nearest first (equal
     cosines in the order of the hashes of the examples' texts), and
-    ``evidence`` the text's known terms by falling weight. Null and empty texts, and texts that share no term with an example,
+    ``evidence`` the text's known terms by falling weight in votes. Null and empty texts, and texts that share no term with an example,
     have no neighbours and get the rate of such examples. Without labels of both classes every score is the rate. Repeated rows
     are scored one by one; an empty table gives no rows. The model has a bounded number of examples and is broadcast; no shuffle
     of texts.
@@ -459,7 +439,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
                     [{"id": int(index.ids[p]), "cosine": float(c), "label": int(index.labels[p])} for c, p in zip(cs, ps) if p >= 0]
                     for cs, ps in zip(best, place)
                 ]
-                falling = np.lexsort((terms.terms, -terms.weights, terms.numbers()))
+                falling = np.lexsort((terms.terms, -terms.weights * index.vocabulary.factor[terms.terms], terms.numbers()))
                 known = pa.ListArray.from_arrays(pa.array(terms.first, pa.int32()), names.take(pa.array(terms.terms[falling])))
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -89,7 +89,7 @@ def test_languages_of_held_out_documents(spark):
 def index_of(vectors, labels, rate=0.3):
     names = [f"t{k}" for k in range(vectors.shape[1])]
     hashes = np.array([terms_of(pa.array([x]))[0][0] if terms_of(pa.array([x]))[0].size else 0 for x in names])
-    return BlockIndex(np.arange(len(labels)) * 3 + 1, labels, vectors, Vocabulary(names, hashes, np.ones(len(names))), rate)
+    return BlockIndex(np.arange(len(labels)) * 3 + 1, labels, vectors, Vocabulary(names, hashes, np.ones(len(names)), np.ones(len(names))), rate)
 
 
 @pytest.mark.parametrize("seed,block", [(1, 64), (2, 4), (3, 1)])
@@ -163,7 +163,7 @@ def test_rare_wordings_have_neighbours(spark):
     assert [k for k, r in by.items() if not r.neighbours] == [402]
     assert not {300, 400} & {r.doc_id for r in reject_toxic(documents, marks).collect()}
     # the rate of the blank examples is not held below a half
-    blank = BlockIndex(np.arange(4), np.array([1, 1, 1, 0]), np.array([[0.0], [0.0], [0.0], [1.0]]), Vocabulary(["a"], np.zeros(1), np.ones(1)), 0.75)
+    blank = BlockIndex(np.arange(4), np.array([1, 1, 1, 0]), np.array([[0.0], [0.0], [0.0], [1.0]]), Vocabulary(["a"], np.zeros(1), np.ones(1), np.ones(1)), 0.75)
     assert blank.blank > 0.5
 
 
@@ -200,15 +200,9 @@ def test_the_nearest_equal_plain_vectors_and_blocks_are_skipped(spark):
     counted = {k: collections.Counter(fold(m) for m in regex.findall(r"\p{L}+", t)) for k, t in own.items()}
     frequency = collections.Counter(t for c in counted.values() for t in c)
     examples = [int(x) for x in index.ids]
-    with_term = {y: collections.Counter(t for k, label in zip(examples, index.labels) if label == y for t in counted[k]) for y in (0, 1)}
-    size = {y: int((index.labels == y).sum()) for y in (0, 1)}
 
     def weight(t):
-        a, c = with_term[1][t], with_term[0][t]
-        b, d = size[1] - a, size[0] - c
-        below = (a + b) * (c + d) * (a + c) * (b + d)
-        chi2 = (a + b + c + d) * (a * d - b * c) ** 2 / below if below else 0.0
-        return (math.log((1 + len(own)) / (1 + frequency[t])) + 1) * (1 + math.sqrt(chi2))
+        return math.log((1 + len(own)) / (1 + frequency[t])) + 1
 
     known = set().union(*(counted[k] for k in examples))
 
