@@ -7,21 +7,25 @@ length each, over the number of characters: the cross-parsing entropy.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.letters import letters_of
-from shelfmark.llm.tables import slices
+from shelfmark.llm.tables import row_keys, slices
 
-# Bounds of what is learned from: texts and characters a language, and how much of the characters one text may give.
-SAMPLE_TEXTS = 64
-SAMPLE_CHARACTERS = 30_000
+# Bounds of what is learned from: stretches a language, characters of a stretch, and stretches that one text may give. Texts are
+# cut into stretches from beginning to end, and hashes choose among all of them.
+STRETCHES = 64
+STRETCH = 500
 SHARE = 8
-MOST_LANGUAGES = 64
+# Languages whose automata are broadcast together; more languages are parsed in more passes over the texts.
+TOGETHER = 16
 # Long texts are parsed in blocks of this many characters side by side; a phrase ends at the end of a block in every language.
 BLOCK = 512
 UNKNOWN = "und"
@@ -142,28 +146,42 @@ class Parser:
         return names, scores, bits
 
 
-def sample_languages(labelled: DataFrame, id: str, text: str, lang: str) -> dict[str, np.ndarray]:
-    """Symbols of a bounded sample of labelled text for each language.
+def sample_languages(labelled: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, parts: stretches of labelled text): a bounded sample of whole texts for each language.
 
-    Different texts are taken in the order of their hashes, so copies count once; of each text at most a share of the sample's
-    characters is read. At most ``SAMPLE_TEXTS`` * languages stretches reach the driver.
+    Of each text the stretches with the smallest hashes are offered, wherever they stand in it, and of all offered ones those with
+    the smallest hashes are taken; equal stretches count once. Every task keeps a bounded number for each language.
     """
-    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    rows = rows.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(text).alias("h"), F.substring(text, 1, 2 * SAMPLE_CHARACTERS // SHARE).alias("text"))
-    once = rows.groupBy("lang", "h").agg(F.min("id").alias("id"))
-    first = once.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).filter(F.col("k") <= SAMPLE_TEXTS)
-    found: dict[str, list[tuple[int, str]]] = {}
-    for row in rows.join(first.select("id", "lang", "k"), ["id", "lang"]).select("lang", "k", "text").toLocalIterator():
-        found.setdefault(row["lang"], []).append((row["k"], row["text"]))
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"{len(found)} languages are too many for broadcast automata")
-    samples = {}
-    for name, texts in found.items():
-        symbols, first_of = spelled(pa.array([text for _, text in sorted(texts)], pa.string()))
-        parts = [symbols[a : min(b, a + SAMPLE_CHARACTERS // SHARE)] for a, b in zip(first_of[:-1], first_of[1:])]
-        joined = np.concatenate([np.append(x, 0) for x in parts])[:SAMPLE_CHARACTERS]
-        samples[name] = joined.astype(np.uint32)
-    return samples
+    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, dict[int, str]] = {}
+        for batch in batches:
+            for name, body in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                parts = (body[at : at + STRETCH] for at in range(0, len(body), STRETCH))
+                marked = ((int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little", signed=True), x) for x in parts if any(map(str.isalpha, x)))
+                kept = found.setdefault(name, {})
+                kept.update(heapq.nsmallest(SHARE, set(marked)))
+                if len(kept) > 4 * STRETCHES:
+                    found[name] = dict(sorted(kept.items())[:STRETCHES])
+        names, hashes, parts = [], [], []
+        for name, kept in found.items():
+            for h, part in sorted(kept.items())[:STRETCHES]:
+                names.append(name)
+                hashes.append(h)
+                parts.append(part)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(hashes, pa.int64()), pa.array(parts, pa.string())], ["lang", "h", "part"])
+
+    every = rows.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(cut, "lang string, h long, part string")
+    # at most STRETCHES rows a language and task; the window's group limit cuts them again before the shuffle
+    kept = every.dropDuplicates(["lang", "h"]).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= STRETCHES)
+    return kept.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("h", "part"))), lambda x: x["part"]).alias("parts"))
+
+
+def symbols_of(parts: list[str]) -> np.ndarray:
+    """The symbols of a language's stretches, with a 0 after each."""
+    symbols, first = spelled(pa.array(parts, pa.string()))
+    return np.concatenate([np.append(symbols[a:b], 0) for a, b in zip(first[:-1], first[1:])]).astype(np.uint32)
 
 
 def identify_languages(documents: DataFrame, labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -171,12 +189,38 @@ def identify_languages(documents: DataFrame, labelled: DataFrame, id: str = "doc
 
     ``lang_pred`` is a language of ``labelled``, or ``und`` (score 0) if the text is null or has no letter, or if nothing was
     learned. Languages that need equally many bits: the first in order of their names. ``entropies`` maps each language to
-    its bits a character. Repeated rows are read one by one; an empty table gives no rows. No shuffle of texts.
+    its bits a character. Repeated rows are read one by one; an empty table gives no rows. No shuffle of texts; more than
+    ``TOGETHER`` languages take several passes, and their entropies meet by row.
     """
-    samples = sample_languages(labelled, id, text, lang)
-    shared = documents.sparkSession.sparkContext.broadcast(Parser(samples))
+    spark = documents.sparkSession
+    samples = {r["lang"]: symbols_of(r["parts"]) for r in sample_languages(labelled, text, lang).toLocalIterator()}
+    names = sorted(samples)
+    groups = [names[k : k + TOGETHER] for k in range(0, len(names), TOGETHER)] or [[]]
+    # any number of languages: a row's entropies of several passes are put together by a key that is its own
     rows = documents.select(documents[id].alias("id"), documents[text].cast("string").alias("text"))
+    rows = row_keys(rows, "id", "key") if len(groups) > 1 else rows.withColumn("key", F.lit(0).cast("long"))
     kind = rows.schema["id"].dataType.simpleString()
+    passes = [_parsed(spark, rows, kind, {x: samples[x] for x in group}) for group in groups]
+    if len(passes) == 1:
+        return passes[0].drop("key").withColumnRenamed("id", id)
+    every = passes[0]
+    for part in passes[1:]:
+        every = every.union(part)
+    order = F.transform(F.flatten(F.collect_list(F.map_entries("entropies"))), lambda x: F.struct(x["value"].alias("bits"), x["key"].alias("name")))
+    # the key is null for no row; its id may be
+    one = every.groupBy("key").agg(F.min("id").alias("id"), F.array_sort(order).alias("best"))
+    best, second = F.get("best", F.lit(0)), F.get("best", F.lit(1))
+    return one.select(
+        F.col("id").alias(id),
+        F.coalesce(best["name"], F.lit(UNKNOWN)).alias("lang_pred"),
+        F.coalesce(second["bits"] / (best["bits"] + second["bits"]), F.lit(0.0)).alias("score"),
+        F.map_from_entries(F.transform("best", lambda x: F.struct(x["name"], x["bits"]))).alias("entropies"),
+    )
+
+
+def _parsed(spark: SparkSession, rows: DataFrame, kind: str, samples: dict[str, np.ndarray]) -> DataFrame:
+    """(key, id, lang_pred, score, entropies) of all rows by the automata of these languages."""
+    shared = spark.sparkContext.broadcast(Parser(samples))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = shared.value
@@ -186,8 +230,8 @@ def identify_languages(documents: DataFrame, labelled: DataFrame, id: str = "doc
                 names, scores, bits = parser.predict(texts)
                 maps = [list(zip(parser.languages, row.tolist())) if name != UNKNOWN else [] for name, row in zip(names, bits)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(maps, map_type)],
-                    ["id", "lang_pred", "score", "entropies"],
+                    [part.column("key"), part.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(maps, map_type)],
+                    ["key", "id", "lang_pred", "score", "entropies"],
                 )
 
-    return rows.mapInArrow(run, f"id {kind}, lang_pred string, score double, entropies map<string,double>").withColumnRenamed("id", id)
+    return rows.mapInArrow(run, f"key long, id {kind}, lang_pred string, score double, entropies map<string,double>")

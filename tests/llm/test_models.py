@@ -175,12 +175,33 @@ def test_toxicity_of_held_out_documents(spark):
     assert good >= 0.85 * (good + counts.get((1, 0), 0)) and counts.get((0, 1), 0) <= 0.02 * counts[0, 0]
 
 
-def test_samples_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(language, "SAMPLE_TEXTS", 3)
-    monkeypatch.setattr(language, "SAMPLE_CHARACTERS", 80)
-    rows = spark.createDataFrame([(k, f"text number {'abcdefghij'[k % 10]} and more of it", "en") for k in range(30)], "doc_id long, text string, lang string")
-    samples = language.sample_languages(rows, "doc_id", "text", "lang")
-    assert list(samples) == ["en"] and 0 < len(samples["en"]) <= 80
+def test_samples_are_bounded_and_come_from_whole_texts(spark, monkeypatch):
+    monkeypatch.setattr(language, "STRETCHES", 5)
+    monkeypatch.setattr(language, "STRETCH", 20)
+    # every text begins with the same foreign header; what tells the language stands far behind it
+    head = "lorem ipsum dolor sit amet consectetur " * 60
+    rows = spark.createDataFrame([(f"{head} nummer {'abcdefghij'[k % 10]} {'und noch mehr davon ' * 40}", "de") for k in range(30)] + [(None, "de"), ("x y", None), ("...", "fr")], "text string, lang string")
+    samples = {r["lang"]: r["parts"] for r in language.sample_languages(rows, "text", "lang").collect()}
+    assert list(samples) == ["de"] and len(samples["de"]) == len(set(samples["de"])) == 5 and all(len(x) <= 20 for x in samples["de"])
+    monkeypatch.setattr(language, "STRETCHES", 64)
+    parts = language.sample_languages(rows, "text", "lang").first()["parts"]
+    assert any("mehr" in x or "davon" in x for x in parts) and any("dolor" in x or "amet" in x for x in parts)
+
+
+def test_any_number_of_languages_in_groups(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    learned = [(k, " ".join(letters[(k * j + j) % 26] + letters[(k + 3 * j) % 26] + letters[(7 * k + j) % 26] for j in range(40)), f"l{k:02}") for k in range(70)]
+    texts = [(k, text[30:90]) for k, text, _ in learned] + [(3, "abc"), (None, "abc def"), (200, None), (201, "..."), (None, None)]
+    labelled = spark.createDataFrame(learned, "doc_id long, text string, lang string")
+    rows = spark.createDataFrame(texts, "doc_id long, text string").withColumn("key", F.lit("x")).withColumn("best", F.lit(1))
+
+    def found():
+        return sorted(((r.doc_id, r.lang_pred, round(r.score, 12), sorted(r.entropies.items())) for r in identify_languages(rows, labelled).collect()), key=str)
+
+    grouped = found()
+    monkeypatch.setattr(language, "TOGETHER", 100)
+    assert grouped == found() and len(grouped) == len(texts) and {x[1] for x in grouped if x[0] in (200, 201)} == {"und"}
+    assert sum(x[1] == f"l{x[0]:02}" for x in grouped if x[0] is not None and x[0] < 70) >= 65
 
 
 @needs_tables
