@@ -190,7 +190,8 @@ def test_samples_are_bounded_and_come_from_whole_texts(spark, monkeypatch):
 
 def test_any_number_of_languages_in_groups(spark, monkeypatch):
     letters = "abcdefghijklmnopqrstuvwxyz"
-    learned = [(k, " ".join(letters[(k * j + j) % 26] + letters[(k + 3 * j) % 26] + letters[(7 * k + j) % 26] for j in range(40)), f"l{k:02}") for k in range(70)]
+    rng = np.random.default_rng(4)
+    learned = [(k, " ".join("".join(letters[x] for x in word) for word in rng.integers(0, 26, (40, 4))), f"l{k:02}") for k in range(70)]
     texts = [(k, text[30:90]) for k, text, _ in learned] + [(3, "abc"), (None, "abc def"), (200, None), (201, "..."), (None, None)]
     labelled = spark.createDataFrame(learned, "doc_id long, text string, lang string")
     rows = spark.createDataFrame(texts, "doc_id long, text string").withColumn("key", F.lit("x")).withColumn("best", F.lit(1))
