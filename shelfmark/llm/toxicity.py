@@ -431,14 +431,15 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         names = pa.array(index.vocabulary.names, pa.string())
-        example = pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
         for batch in batches:
             for part, texts in slices(batch):
                 scores, best, place, terms = index.score(texts)
-                near = [
-                    [{"id": int(index.ids[p]), "cosine": float(c), "label": int(index.labels[p])} for c, p in zip(cs, ps) if p >= 0]
-                    for cs, ps in zip(best, place)
-                ]
+                there = place >= 0
+                own = place[there]
+                votes = pa.StructArray.from_arrays(
+                    [pa.array(index.ids[own], pa.int64()), pa.array(best[there], pa.float64()), pa.array(index.labels[own], pa.int32())], ["id", "cosine", "label"]
+                )
+                near = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(there.sum(axis=1))), pa.int32()), votes)
                 falling = np.lexsort((terms.terms, -terms.weights * index.vocabulary.factor[terms.terms], terms.numbers()))
                 known = pa.ListArray.from_arrays(pa.array(terms.first, pa.int32()), names.take(pa.array(terms.terms[falling])))
                 yield pa.RecordBatch.from_arrays(
@@ -446,7 +447,7 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, corpus: DataFrame |
                         part.column("id"),
                         pa.array(scores),
                         pa.array((scores >= 0.5).astype(np.int32)),
-                        pa.array(near, pa.list_(example)),
+                        near,
                         known,
                     ],
                     ["id", "score", "predicted", "neighbours", "evidence"],

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.tables import free_name
+
 MOST_RULES = 1_000_000
 
 # (verdict, host, path)
@@ -91,5 +93,6 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", defaul
         for hosts, paths in parts:
             yield pd.DataFrame([longest(h, p) or (default, None) for h, p in zip(hosts, paths)], columns=["verdict", "rule"], dtype=object)
 
-    rows = pages.withColumns({"host": host_of(url), "path": path_of(url)}).withColumn("_found", found("host", "path"))
-    return rows.withColumns({"rule": F.col("_found.rule"), "verdict": F.col("_found.verdict")}).drop("_found")
+    name = free_name(pages, "_found")
+    rows = pages.withColumns({"host": host_of(url), "path": path_of(url)}).withColumn(name, found("host", "path"))
+    return rows.withColumns({"rule": F.col(f"{name}.rule"), "verdict": F.col(f"{name}.verdict")}).drop(name)

@@ -2,6 +2,8 @@
 
 import itertools
 
+from pyspark.sql import functions as F
+
 from shelfmark.llm.urls import Trie, judge_urls
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"), ("block", "a.org", "/fr/x"), ("block", "", "/bad/")]
@@ -29,4 +31,6 @@ def test_addresses_of_a_table(spark):
     assert found[1] == found[2] == found[3] == ("", "", None, "allow")
     assert found[4] == ("x.net", "", None, "allow") and found[5] == ("x.net", "", None, "allow")
     assert found[6][1] == "/de/\nx" and found[6][3] == "block" and found[7][0] == "b:" and found[8] == ("x.net", "/", "net/", "block")
+    kept = judge_urls(rows.withColumn("_found", F.lit(7)), RULES[:4])
+    assert {r["_found"] for r in kept.collect()} == {7} and {r.page_id: r.verdict for r in kept.collect()} == {k: x[3] for k, x in found.items()}
     assert judge_urls(rows.limit(0), RULES).count() == 0 and judge_urls(rows, []).filter("verdict = 'allow'").count() == 10
