@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from shelfmark.llm.jaccard import Similarity
 from shelfmark.llm.secrets import redacted, secret_spans
-from shelfmark.llm.toxicity import fit
+from shelfmark.llm.toxicity import NEAREST, Rows, fit
 from tests.llm.test_packing import PATH, check
 from tests.llm.test_passages import cut, groups
 
@@ -67,8 +67,8 @@ def test_every_stage_equals_brute_force(spark, folder):
     for row in docs.collect():
         query = index.vocabulary.vectors(pa.array([row.text or ""]))[0]
         cosines = np.round(index.weights.T @ query, 12)
-        order = [k for k in np.lexsort((index.ids, -cosines)) if cosines[k] > 0][:25]
-        vote = index.votes(np.array([cosines[order]]), np.array([order], int)) if order else None
+        order = [k for k in np.lexsort((np.arange(len(cosines)), -cosines)) if cosines[k] > 0][:NEAREST]
+        vote = index.votes(Rows.of_dense(query[None, :]), np.array([order], int)) if order else None
         if (np.interp(vote, *index.curve)[0] if order else index.blank) < 0.5:
             want.append(tuple(row))
     assert kept.columns == columns and rows_of(kept) == sorted(want, key=repr)
