@@ -597,7 +597,7 @@ def _book_page(t: Tables) -> DataFrame:
     number = F.col("page_id").cast("string")
     data = F.concat(
         F.lit('<script type="application/ld+json">{"name": "Book ('), number, F.lit(')", "author": [{"name": "Ann Lee"}, {"name": "Bo Ray"}], "numberOfPages": '),
-        F.pmod("page_id", F.lit(700)), F.lit(', "aggregateRating": {"ratingValue": '), rating, F.lit(', "ratingCount": '), number, F.lit('7, "reviewCount": 12}}</script>'),
+        F.pmod("page_id", F.lit(700)), F.lit(', "aggregateRating": {"ratingValue": '), rating, F.lit(', "ratingCount": '), F.col("page_id") * 10 + 7, F.lit(', "reviewCount": 12}}</script>'),
         F.lit('<h3 aria-label="Book Series"><a href="/series/'), number, F.lit('"><span>Forge</span> #'), number, F.lit("</a></h3>"),
     )
     visible = F.lit(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import pages
 from shelfmark.functions.outline import Outline
 from shelfmark.functions.pages import read_book_page, read_shop_page
+from shelfmark.queries.catalogue import QUERIES
 
 
 def texts(html, selector):
@@ -130,3 +131,10 @@ def test_columns_of_fields(spark):
     assert {k for x in (got[2], got[3]) for k, v in x.asDict().items() if v} == set()
     shop = frame.select(pages.product_fields(F.col("html")).alias("p")).filter("p.publisher IS NOT NULL").count()
     assert shop == 0
+
+
+def test_structured_page_of_id_zero_has_valid_json(spark, tmp_path):
+    pages = spark.createDataFrame([(0, "http://a.example.net/en/1", "<p>x</p>"), (3, "http://a.example.net/en/2", "<p>x</p>")], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    rows = QUERIES["book_pages"](spark, str(tmp_path)).orderBy("page_id").collect()
+    assert [(r["title"], r["author"], r["rating"], r["rating_count"]) for r in rows] == [("Book (0)", "Ann Lee, Bo Ray", 3.0, 7), ("Book (3)", "Ann Lee, Bo Ray", 3.3, 37)]
