@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmark.functions.keys import lower_trim
-from shelfmark.operators import clusters, containment, dedupe, filters, groups, matching, nested, overlay, quality, ranking, rollup, schema, scoring
+from shelfmark.operators import clusters, containment, dedupe, editjoin, filters, groups, matching, nested, overlay, quality, ranking, rollup, schema, scoring
 from shelfmark.operators.containment import contained_pairs, small_list_pairs
 from shelfmark.operators.editjoin import edit_candidates, one_edit_pairs
 
@@ -103,6 +103,25 @@ def test_edit_candidates_complete(spark, left, right, share):
     assert near == {(x, y) for x in left for y in right if levenshtein(x, y) <= 1}
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abcé中", min_size=1, max_size=64), min_size=1, max_size=6), st.lists(st.text("abcé中", min_size=1, max_size=64), min_size=1, max_size=6), st.sampled_from([0.15, 0.3, 0.45]))
+def test_near_in_tile(left, right, share):
+    got = set(zip(*(x.tolist() for x in editjoin.near_in_tile(left, right, share))))
+    assert got == {(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if levenshtein(x, y) <= max(len(x), len(y)) * share + 1e-9}
+
+
+@pytest.mark.parametrize("block", [[], ["k"]])
+def test_like_titles_of_a_block_meet_once_in_tiles(spark, block):
+    texts = [f"iron saga {k} of the north" for k in range(60)] + ["copper", "coppers", "x" * 63, "x" * 64, "x" * 70, "y" * 80]
+    rows = spark.createDataFrame([(k, t) for k in ("a", "b", None) for t in texts], "k string, t string")
+    want = {(k, x, y) for k in (["a", "b"] if block else [None]) for x in texts for y in texts if levenshtein(x, y) <= max(len(x), len(y)) * 0.3 + 1e-9}
+    # tiles of several sizes; too many right texts for a tile; too few pairs
+    for name, value in (("LEFT_TILE", 7), ("LEFT_TILE", 512), ("RIGHT_TILE", 10), ("LEAST_PAIRS", 10**6)):
+        with mock.patch.object(editjoin, "LEAST_PAIRS", 1), mock.patch.object(editjoin, name, value):
+            got = [(r["k"] if block else None, r["left_text"], r["right_text"]) for r in edit_candidates(rows, "t", rows, "t", 0.3, block).collect()]
+            assert len(got) == len(want) and set(got) == want
+
+
 def test_hot_author_with_numbered_titles(spark):
     base = spark.range(6000).select(
         "id", F.concat(F.lit("Iron Saga Volume "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("title"), F.lit("Hot Author").alias("author")
