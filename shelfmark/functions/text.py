@@ -182,10 +182,11 @@ def distinct_titles(titles: Column | str) -> Column:
         F.transform(col(titles), lambda t: F.struct(product_title_key(t).alias("k"), trim_space(t).alias("t"))),
         lambda s: F.length(s["k"]) > 0,
     )
-    keys = F.transform(keyed, lambda s: s["k"])
-    return F.transform(
-        F.filter(keyed, lambda s, i: F.array_position(keys, s["k"]) == i + 1), lambda s: s["t"]
-    )
+
+    def first_of_each(pairs: Column) -> Column:
+        return F.transform(F.filter(pairs, lambda s, i: F.array_position(pairs["k"], s["k"]) == i + 1), lambda s: s["t"])
+
+    return let(keyed, first_of_each)
 
 
 def clean_agent_name(c: Column | str) -> Column:

@@ -62,3 +62,9 @@ def test_first_row_per_key_is_cut_before_the_shuffle(spark):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = QUERIES["only_new"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(p_type,PROMO)" in plan and "p_retailprice" not in plan
+
+
+@pytest.mark.parametrize("name,part", [("distinct_titles", "\\bbook"), ("nested_books", "from_json")])
+def test_costly_steps_of_an_array_stand_once(spark, name, part):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(part) == 1
