@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.nulls import let
 from shelfmark.operators.groups import listed
 
 BOOK_JSON = "array<struct<name: string, number: string, rating: double, count: long>>"
@@ -30,8 +31,11 @@ def nested_summary(books: Column) -> Column:
             F.coalesce(b["rating"], F.lit(0.0)).alias("rating"), F.coalesce(b["count"], F.lit(0)).alias("count"),
         ),
     )
-    ordered = F.array_sort(keyed)
-    rated = F.filter(ordered, lambda b: b["rating"] > 0)
+    # the books are parsed and sorted once, however many fields name them
+    return let(F.array_sort(keyed), lambda ordered: let(F.filter(ordered, lambda b: b["rating"] > 0), lambda rated: _summary(ordered, rated)))
+
+
+def _summary(ordered: Column, rated: Column) -> Column:
     highest = F.array_min(
         F.transform(rated, lambda b: F.struct((-b["rating"]).alias("r"), (-b["count"]).alias("c"), b["n"], b["i"], b["name"].alias("name")))
     )
