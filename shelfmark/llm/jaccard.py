@@ -392,7 +392,8 @@ def _next(stars: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = info.select("star", "linked", "line", F.posexplode(tag).alias("at", "gram"))
         code = (F.col("at") * 4 + is_a.cast("int") + 2 * (~F.col("linked")).cast("int")).cast("int")
         sides.append(found.select(F.xxhash64("line", F.lit(tag), "gram").alias("key"), "star", code.alias("code")))
-    rows = sides[0].union(sides[1]).repartition("key")
+    # the later join by star asks for this filter; stated here, it holds for both readers of the shuffle, which is then reused
+    rows = sides[0].union(sides[1]).filter("star IS NOT NULL").repartition("key")
     size = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("code") % 2).alias("has_a"), F.max(F.floor(F.col("code") / 2) % 2).alias("has_b"),
         F.min("star").alias("low"), F.max("star").alias("high"),
@@ -409,22 +410,28 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
     index = repeated_keys(rows, _index(kind), ranges_for(rows))
     members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
     live = written(_live(members))
+    removed(index)
     # pairs in small groups are only asked for links, so most go by their sketches; with a pivot the differences count too
     stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
     ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]
     bodies = _bodies(rows, reduce(DataFrame.union, ends).distinct())
     while True:
         pairs = written(near.union(stars.select("pivot", "member")).distinct())
+        # what the next table is made of is written, so earlier ones go before it is
+        removed(live)
         done = written(_verified(pairs, bodies, kind))
+        removed(pairs)
         found.append(written(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))))
         if stars.isEmpty():
+            removed(done)
             break
-        old, (info, following) = live, _next(stars, done)
+        info, following = _next(stars, done)
+        removed(done)
+        removed(stars)
         live = written(following)
-        # what comes next is written, so the tables of this level are needed no more
-        for table in (pairs, done, info, stars, old):
-            removed(table)
+        removed(info)
         stars, near = written(_stars(live, JOINED)), _possible(_joined(live, kind), sketches, kind)
+    removed(bodies)
     every = found[0]
     for part in found[1:]:
         every = every.union(part)

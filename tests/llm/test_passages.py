@@ -164,3 +164,23 @@ def test_components(spark):
 def test_the_anchor_needs_a_window_longer_than_the_period():
     with pytest.raises(ValueError):
         passages.anchor_width(20)
+
+
+def test_differences_of_a_level_are_shuffled_once(spark):
+    stars = spark.createDataFrame([(1, 5, k) for k in range(6, 30)], "line long, pivot long, member long")
+    done = spark.createDataFrame(
+        [(5, k, k % 2 == 0, 50, 3, [k, 77], [77]) for k in range(6, 30)],
+        "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>",
+    )
+    info, following = jaccard._next(stars, done)
+    assert info.count() == 24 and {r["member"] for r in following.collect()} == set(range(6, 30))
+    plan = following._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan, plan
+
+
+def test_tables_of_finished_steps_are_deleted(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"a b c d e f g h x{k}") for k in range(3)], "doc_id long, text string")
+    gone, removed = [], jaccard.removed
+    monkeypatch.setattr(jaccard, "removed", lambda table: (gone.append(table.columns), removed(table)))
+    assert {r["component_id"] for r in similar_groups(docs, Similarity(words=1, num=6, den=10)).collect()} == {0}
+    assert ["key", "doc"] in gone and ["pivot", "member"] in gone and ["rep", "body"] in gone
