@@ -26,17 +26,14 @@ def key_columns(df: DataFrame, keys: Keys) -> tuple[DataFrame, list[str]]:
 
 
 def top_per_key(df: DataFrame, keys: Keys, order: Sequence[Column], limit: int = 1) -> DataFrame:
-    """The first ``limit`` rows of every key in the given order."""
-    keyed, names = key_columns(df, keys)
-    window = Window.partitionBy(*names).orderBy(*order)
-    return keyed.withColumn("__rn", F.row_number().over(window)).filter(F.col("__rn") <= limit).drop("__rn", *names)
+    """The first ``limit`` rows of every key in the given order; they stay dealt by the keys."""
+    return ranked_per_key(df, keys, order, limit, "__rn").drop("__rn")
 
 
 def ranked_per_key(df: DataFrame, keys: Keys, order: Sequence[Column], limit: int, name: str = "rank") -> DataFrame:
     """As ``top_per_key`` with the position in a column."""
-    keyed, names = key_columns(df, keys)
-    window = Window.partitionBy(*names).orderBy(*order)
-    return keyed.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= limit).drop(*names)
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= limit)
 
 
 def attach_group(df: DataFrame, keys: Keys, values: dict[str, Column]) -> DataFrame:

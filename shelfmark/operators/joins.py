@@ -129,18 +129,23 @@ def rank_list_tags(series: DataFrame, listed: DataFrame, series_id: str, titles:
     )
 
 
-def list_flags(books: DataFrame, listed: DataFrame, book_id: str, title: str) -> DataFrame:
-    """(book_id, flags): sorted ``# Top N list`` flags of the lists whose titles contain the book title."""
-    a = books.select(F.col(book_id), lower_trim(title).alias("key")).filter("key <> ''")
+def title_flags(books: DataFrame, listed: DataFrame, title: str) -> DataFrame:
+    """(key, flags): sorted ``# Top N list`` flags of the lists whose titles contain a book title (lower case, trimmed)."""
+    keys = books.select(lower_trim(title).alias("key")).filter("key <> ''").distinct()
     b = listed.withColumn("list_key", F.lower("title"))
-    pairs = small_list_pairs(b, "list_key", a.select("key").distinct(), "key", [], 1, None).withColumnsRenamed({"text": "key", "list_text": "list_key"})
+    pairs = small_list_pairs(b, "list_key", keys, "key", [], 1, None).withColumnsRenamed({"text": "key", "list_text": "list_key"})
     flag = F.concat(rank_bucket("rank", "# ", "# Top 100"), F.lit(" "), F.col("list_name"))
-    flags = (
+    return (
         pairs.join(b, "list_key")
         .groupBy("key")
         .agg(F.array_join(F.array_sort(F.collect_set(flag)), " | ").alias("flags"))
     )
-    return a.join(flags, "key").select(book_id, "flags")
+
+
+def list_flags(books: DataFrame, listed: DataFrame, book_id: str, title: str) -> DataFrame:
+    """(book_id, flags): the ``title_flags`` of every book that has some."""
+    keyed = books.select(F.col(book_id), lower_trim(title).alias("key"))
+    return keyed.join(title_flags(books, listed, title), "key").select(book_id, "flags")
 
 
 def best_listing(books: DataFrame, listed: DataFrame, title: str, author: str, name: str = "featured") -> DataFrame:

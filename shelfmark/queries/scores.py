@@ -425,19 +425,20 @@ SELECT x.subgenre, x.series_key, books, CASE WHEN x.series_key LIKE '%|||standal
  CASE publisher WHEN 'Independently Published' THEN 'Self-Pub' WHEN 'Penguin Random House' THEN 'Big Pub' ELSE 'Indie' END AS publisher_kind, list_flags, {_upper('h', *models.UPPER_FLAGS['hours'])} AS length_flag FROM x LEFT JOIN e ON x.subgenre = e.subgenre AND x.series_key = e.series_key""",
 )
 def genre_series(t: Tables) -> DataFrame:
-    b = books(t).withColumns(
+    # joined as plain order lines, which are narrower than the books made of them
+    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
+    b = books(t, lines, F.col("o_orderpriority").alias("subgenre")).withColumns(
         {
             "author": F.concat(F.lit("Writer "), F.col("author_id")),
             "book_id": F.struct("series_id", "book_number", "book_id"),
             "series_name": F.when(F.col("pages").isNotNull(), F.col("series_name")),
         }
     )
-    subgenres = t.orders.select(F.col("o_orderkey").alias("series_id"), F.col("o_orderpriority").alias("subgenre"))
-    b = b.join(subgenres, "series_id")
+    b = b.drop("series_id", "author_id")
     sources = [b.filter(F.col("publisher") == "Penguin Random House"), b.filter(F.col("publisher") != "Penguin Random House")]
     verdicts = b.filter("rating_count > 24000").select("title", "author").distinct().withColumn("ok", F.lit(False))
     listed = rank_list(t).withColumn("title", F.concat(F.lit("Book "), F.col("list_id"), F.lit(" special")))
-    out = genre_lists.genre_series(sources, verdicts, F.col("ok"), None, listed)
+    out = genre_lists.genre_series(sources, verdicts, F.col("ok"), None, listed, fields=("rating", "count"))
     return out.select("subgenre", "series_key", "books", "type", "rank", "publisher_kind", "list_flags", "length_flag")
 
 

@@ -53,9 +53,9 @@ def sql_ladder(x: str, steps: list, default) -> str:
     return "CASE " + " ".join(f"WHEN {x} >= {b} THEN {lit(v)}" for b, v in steps) + f" ELSE {lit(default)} END"
 
 
-def books(t: Tables) -> DataFrame:
-    """Book rows: one per order line."""
-    return t.lineitem.select(
+def books(t: Tables, lines: DataFrame | None = None, *more: Column | str) -> DataFrame:
+    """Book rows: one per order line (of ``lines``, if given), with further columns of it."""
+    return (t.lineitem if lines is None else lines).select(
         F.col("l_orderkey").alias("series_id"),
         F.concat(F.lit("Series "), F.col("l_orderkey")).alias("series_name"),
         F.col("l_suppkey").alias("author_id"),
@@ -70,6 +70,7 @@ def books(t: Tables) -> DataFrame:
         .otherwise(F.lit("Oak Press"))
         .alias("publisher"),
         F.add_months("l_shipdate", 240).alias("pub_date"),
+        *more,
     )
 
 

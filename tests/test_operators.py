@@ -458,3 +458,32 @@ def test_merge_equals_the_sequence(spark, update, add):
             tally["skipped"] += 1
     assert counts.first().asDict() == tally
     assert sorted(map(str, (tuple(r) for r in merged.collect()))) == sorted(str(tuple(r.values())) for r in result)
+
+
+def test_rows_picked_by_key_are_joined_by_it_without_a_further_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("t", "a", 2), ("t", "a", 1), ("u", "a", 3)], "title string, author string, n int")
+        verdicts = spark.createDataFrame([("u", "a", False)], "title string, author string, ok boolean")
+        kept = filters.verdict_filter(groups.top_per_key(rows, ["title", "author"], [F.col("n")]), verdicts, ["title", "author"], F.col("ok"))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in kept.collect()] == [("t", "a", 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one for the rows, one for the verdicts
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_genre_series_with_few_fields_and_flags_by_title(spark):
+    from shelfmark.plans.genre_lists import genre_series
+
+    columns = "subgenre string, title string, author string, series_name string, book_number double, pub_date date, rating double, rating_count long, pages int, publisher string, book_id long"
+    books = spark.createDataFrame(
+        [("x", "Iron", "A", "Saga", 1.0, None, 4.0, 10, 5, "Oak", 1), ("x", "Tin", "A", "Saga", 2.0, None, 3.0, 20, 5, "Oak", 2), ("x", "Other", "B", "Lone", 1.0, None, 3.0, 5, 5, "Oak", 3)],
+        columns,
+    )
+    listed = spark.createDataFrame([(1, "L", 3, "the iron one"), (2, "M", 40, "tin soldier")], "list_id long, list_name string, rank int, title string")
+    out = genre_series([books], None, None, None, listed, fields=("rating", "count"))
+    found = {r["series_key"]: (r["books"], r["first_rating"], r["last_count"], r["list_flags"]) for r in out.collect()}
+    assert found == {"saga|||a": (2, 4.0, 20, "# Top 10 L | # Top 50 M"), "lone|||b": (1, 3.0, 5, None)}
+    assert "first_title" not in out.columns
