@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.config import vocab
 from shelfmark.functions.keys import series_word_key
-from shelfmark.functions.nulls import col, is_missing, present
+from shelfmark.functions.nulls import col, is_missing, let, present, present_once
 from shelfmark.functions.text import any_pattern, any_term
 from shelfmark.functions.urls import host
 
@@ -225,13 +225,18 @@ def checked_evidence(status, series_url, author_url, domains: list[str]) -> Colu
         name = F.lower(F.regexp_extract(col(url), "^https?://([^/?#]*)", 1))
         return F.coalesce(reduce(lambda a, b: a | b, [name.endswith(d) for d in domains]), F.lit(False))
 
-    claim = F.lower(F.coalesce(present(status), F.lit("no")))
-    by_series, by_author = on_domain(series_url), on_domain(author_url)
-    level = (
-        F.when((claim == "yes_series_level") & by_series, F.lit("yes_series_level"))
-        .when((claim == "yes_series_level") & by_author, F.lit("yes_author_level"))
-        .when((claim == "yes_author_level") & (by_author | by_series), F.lit("yes_author_level"))
-        .otherwise(F.lit("no"))
-    )
-    url = F.when(by_series, col(series_url)).when((level != "no") & by_author, col(author_url))
-    return F.struct(level.alias("status"), F.when((level != "no") | (claim == "no"), url).alias("url"))
+    claim = F.lower(F.coalesce(present_once(status), F.lit("no")))
+    facts = F.struct(claim.alias("claim"), on_domain(series_url).alias("series"), on_domain(author_url).alias("author"))
+
+    def outcome(e: Column) -> Column:
+        claim, by_series, by_author = e["claim"], e["series"], e["author"]
+        level = (
+            F.when((claim == "yes_series_level") & by_series, F.lit("yes_series_level"))
+            .when((claim == "yes_series_level") & by_author, F.lit("yes_author_level"))
+            .when((claim == "yes_author_level") & (by_author | by_series), F.lit("yes_author_level"))
+            .otherwise(F.lit("no"))
+        )
+        url = F.when(by_series, col(series_url)).when((level != "no") & by_author, col(author_url))
+        return F.struct(level.alias("status"), F.when((level != "no") | (claim == "no"), url).alias("url"))
+
+    return let(facts, outcome)

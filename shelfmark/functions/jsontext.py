@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.contacts import checked_evidence
-from shelfmark.functions.nulls import col, let, present, to_number, to_whole, trim_space
+from shelfmark.functions.nulls import NUMBER, col, let, present, present_once, trim_space, trimmed
 
 
 def bare_json(c: Column | str) -> Column:
     """JSON text without code fences and trailing commas."""
-    text = trim_space(F.regexp_replace(trim_space(c), "^```(?:json)?|```$", ""))
+    def unfenced(text: Column) -> Column:
+        return F.when(text.contains("```"), trim_space(F.regexp_replace(text, "^```(?:json)?|```$", ""))).otherwise(text)
+
+    text = let(let(col(c), trimmed), unfenced)
     return F.regexp_replace(text, ",\\s*([}\\]])", "$1")
 
 
@@ -134,44 +137,49 @@ def qualifying_series(payload: Column, threshold: int = 5, domains: list[str] |
 
     An unknown check state is ``no``; with ``domains`` it is kept only while its evidence lies on one of them.
     """
-    author_url = present(payload["author_check_url"])
+    def number(c: Column) -> Column:
+        return let(F.replace(c, F.lit(","), F.lit("")), lambda t: F.when(t.rlike(NUMBER), trimmed(t).try_cast("double")))
 
-    def typed(s: Column) -> Column:
-        works = to_whole(s["primary_works"], "commas")
+    def typed(s: Column, works: Column, author_url: Column, evidence_url: Column) -> Column:
         state = F.lower(F.trim(F.coalesce(s["check_status"], F.lit(""))))
-        state = F.when(state.isin(CHECK_STATES), state).otherwise(F.lit("no"))
-        checked = F.struct(state.alias("status"), present(s["check_url"]).alias("url"))
+        state = let(state, lambda x: F.when(x.isin(CHECK_STATES), x).otherwise(F.lit("no")))
+        checked = F.struct(state.alias("status"), present_once(s["check_url"]).alias("url"))
         if domains:
-            checked = checked_evidence(state, present(s["check_url"]), author_url, domains)
+            checked = let(checked, lambda c: checked_evidence(c["status"], c["url"], author_url, domains))
         urls = F.coalesce(s["support_urls"], F.array().cast("array<string>"))
-        return F.struct(
-            present(s["series_name"]).alias("series_name"),
-            present(s["goodreads_series_url"]).alias("series_url"),
+        return let(checked, lambda checked: F.struct(
+            present_once(s["series_name"]).alias("series_name"),
+            present_once(s["goodreads_series_url"]).alias("series_url"),
             works.alias("primary_works"),
-            to_whole(s["total_books"], "commas").alias("total_books"),
+            number(s["total_books"]).try_cast("long").alias("total_books"),
             F.coalesce(
-                present(s["threshold_flag"]),
+                present_once(s["threshold_flag"]),
                 F.when(works == threshold, F.lit("eq5_included")).otherwise(F.lit("gt5_or_more")),
             ).alias("threshold_flag"),
-            present(s["first_book_title"]).alias("first_book_title"),
-            to_number(s["first_book_goodreads_rating"], "commas").alias("first_book_rating"),
-            to_whole(s["first_book_goodreads_rating_count"], "commas").alias("first_book_rating_count"),
-            present(s["genre_bucket"]).alias("genre"),
-            present(s["lead_pairing"]).alias("lead_pairing"),
-            present(s["sub_genre"]).alias("sub_genre"),
-            present(s["primary_trope"]).alias("primary_trope"),
+            present_once(s["first_book_title"]).alias("first_book_title"),
+            number(s["first_book_goodreads_rating"]).alias("first_book_rating"),
+            number(s["first_book_goodreads_rating_count"]).try_cast("long").alias("first_book_rating_count"),
+            present_once(s["genre_bucket"]).alias("genre"),
+            present_once(s["lead_pairing"]).alias("lead_pairing"),
+            present_once(s["sub_genre"]).alias("sub_genre"),
+            present_once(s["primary_trope"]).alias("primary_trope"),
             checked["status"].alias("check_status"),
             checked["url"].alias("check_url"),
-            present(s["check_note"]).alias("check_note"),
+            present_once(s["check_note"]).alias("check_note"),
             author_url.alias("author_check_url"),
-            present(payload["representation_evidence_url"]).alias("representation_evidence_url"),
+            evidence_url.alias("representation_evidence_url"),
             F.array_join(F.array_distinct(F.filter(F.transform(urls, lambda u: F.trim(u)), lambda u: u != "")), " | ").alias("support_urls"),
-            present(s["confidence_notes"]).alias("confidence_notes"),
-        )
+            present_once(s["confidence_notes"]).alias("confidence_notes"),
+        ))
+
+    def of_author(own: Column) -> Column:
+        counted = F.transform(payload["qualifying_series"], lambda s: F.struct(s.alias("s"), number(s["primary_works"]).try_cast("long").alias("works")))
+        kept = F.filter(counted, lambda x: x["works"] >= threshold)
+        return F.transform(kept, lambda x: typed(x["s"], x["works"], own["url"], own["evidence"]))
 
-    kept = F.filter(payload["qualifying_series"], lambda s: to_whole(s["primary_works"], "commas") >= threshold)
     named = present(payload["author_name"]).isNotNull() & payload["represented"]
-    return F.when(named, F.transform(kept, typed))
+    own = F.struct(present_once(payload["author_check_url"]).alias("url"), present_once(payload["representation_evidence_url"]).alias("evidence"))
+    return F.when(named, let(own, of_author))
 
 
 VOLUME = (

@@ -29,6 +29,18 @@ def trim_space(c: Column | str) -> Column:
     return F.btrim(col(c), F.lit(WHITE_SPACE))
 
 
+def trimmed(value: Column) -> Column:
+    """``trim_space`` of a plain column or lambda variable; a text with printable ASCII at both ends is not searched."""
+    clean = F.ascii(value).between(33, 126) & F.ascii(F.right(value, F.lit(1))).between(33, 126)
+    return F.when(clean, value).otherwise(trim_space(value))
+
+
+def present_once(c: Column | str) -> Column:
+    """``present`` for use inside lambdas, where Spark shares no subexpressions: the value is trimmed once."""
+    longest = max(len(x) for x in MISSING_SPELLINGS)
+    return let(let(col(c), trimmed), lambda t: F.when((F.length(t) > longest) | ~F.lower(t).isin(*MISSING_SPELLINGS), t))
+
+
 def collapse_space(c: Column | str) -> Column:
     """Strip and turn inner runs of white space into one space."""
     return F.regexp_replace(trim_space(c), "[\\s\\p{Z}]+", " ")

@@ -215,3 +215,12 @@ def test_master_sort(spark):
     rows = spark.createDataFrame([("b", 1.0, "x"), (None, 1.0, "a"), ("a", 2.0, "x"), ("a", None, "x"), ("a", 2.0, None), ("a", 1.0, "z")], "s string, n double, t string")
     want = [("a", 1.0, "z"), ("a", 2.0, "x"), ("a", 2.0, None), ("a", None, "x"), ("b", 1.0, "x"), (None, 1.0, "a")]
     assert [tuple(r) for r in master_sort(rows, "s", "n", "t").collect()] == want
+
+
+def test_values_trimmed_once_equal_present(spark):
+    texts = ["", " ", "x", " x", "x ", "　", "nan", " NULL ", "None.", "none", "nat\t", "é", "a b", "nulls", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", nulls.present("t").alias("a"), nulls.present_once("t").alias("b"), nulls.trim_space("t").alias("c"), nulls.trimmed(F.col("t")).alias("d")).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert (r["a"], r["c"]) == (r["b"], r["d"]), r
