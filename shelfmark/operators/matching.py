@@ -297,17 +297,19 @@ def local_series_match(rows: DataFrame, books: DataFrame, row_id: str, author: s
 
     ``books``: author, series, title, book_order. Steps: the first book is a book of the author; the author
     has that series; the series name is a book of the author; the most similar series of the author, from a
-    similarity of 0.78 on.
+    similarity of 0.78 on. Runs jobs.
     """
-    r = rows.select(
+    # the keys are read by every step, so they are computed once and written
+    keyed = rows.select(
         F.col(row_id).alias("rid"),
         series_word_key(author).alias("a"),
         series_word_key(series).alias("s"),
         series_word_key(first_book).alias("f"),
     )
-    b = books.select(
+    offers = books.select(
         series_word_key("author").alias("ba"), series_word_key("series").alias("bs"), series_word_key("title").alias("bt"), "book_order"
     )
+    r, b = cut_lineage(keyed), cut_lineage(offers)
     by_book = b.groupBy("ba", "bt").agg(F.max_by("bs", "book_order").alias("bs"))
     known = b.groupBy("ba", "bs").agg(F.min("book_order").alias("o"))
 
@@ -324,11 +326,13 @@ def local_series_match(rows: DataFrame, books: DataFrame, row_id: str, author: s
     offered = known.select(F.col("ba").alias("a"), F.col("bs").alias("w2")).filter("w2 <> ''")
     near = edit_candidates(spelled, "w", offered, "w2", 0.44, ["a"]).union(touching_pairs(spelled, "w", offered, "w2", ["a"])).distinct()
     scored = near.withColumn("sim", key_similarity(F.col("left_text"), F.col("right_text"))).filter("sim >= 0.78")
-    close = (
-        spelled.join(scored.withColumnRenamed("left_text", "w"), ["a", "w"])
-        .join(known, (F.col("a") == F.col("ba")) & (F.col("right_text") == F.col("bs")))
-        .select("rid", F.lit(4).alias("step"), (-F.col("sim")).alias("neg"), F.col("o").cast("long").alias("o"), F.col("bs").alias("match"), F.lit("local-fuzzy").alias("reason"))
+    # the best series of a text is the same for every row that holds it, so it is chosen before rows are joined
+    chosen = (
+        scored.join(known, (F.col("a") == F.col("ba")) & (F.col("right_text") == F.col("bs")))
+        .groupBy("a", F.col("left_text").alias("w"))
+        .agg(F.min(F.struct((-F.col("sim")).alias("neg"), F.col("o").cast("long").alias("o"), F.col("bs").alias("match"))).alias("c"))
     )
+    close = spelled.join(chosen, ["a", "w"]).select("rid", F.lit(4).alias("step"), "c.neg", "c.o", "c.match", F.lit("local-fuzzy").alias("reason"))
     best = settled.union(close).groupBy("rid").agg(F.min(F.struct("step", "neg", "o", "match", "reason")).alias("b"))
     return r.select("rid").join(best, "rid", "left").select(
         F.col("rid").alias(row_id), F.col("b.match").alias("match_series"), F.col("b.reason").alias("reason")

@@ -487,3 +487,14 @@ def test_genre_series_with_few_fields_and_flags_by_title(spark):
     found = {r["series_key"]: (r["books"], r["first_rating"], r["last_count"], r["list_flags"]) for r in out.collect()}
     assert found == {"saga|||a": (2, 4.0, 20, "# Top 10 L | # Top 50 M"), "lone|||b": (1, 3.0, 5, None)}
     assert "first_title" not in out.columns
+
+
+def test_local_series_match_computes_keys_once(spark):
+    rows = spark.createDataFrame([(1, "Ann", "Iron Sagas", ""), (2, "Ann", "Iron Sagas", "Iron Sagaz"), (3, "Ann", "none", "Tin")], "rid long, author string, series string, first_book string")
+    books = spark.createDataFrame([("Ann", "Iron Saga", "One", 2), ("Ann", "Iron Sagax", "Two", 1), ("Ann", "Tin Row", "Tin", 3)], "author string, series string, title string, book_order long")
+    out = matching.local_series_match(rows, books, "rid", "author", "series", "first_book")
+    assert {r["rid"]: (r["match_series"], r["reason"]) for r in out.collect()} == {
+        1: ("iron sagax", "local-fuzzy"), 2: ("iron sagax", "local-fuzzy"), 3: ("tin row", "local-first-book")
+    }
+    # the plan reads written keys and normalises none
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
