@@ -19,7 +19,7 @@ from functools import cache, reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import connected_components
@@ -31,6 +31,8 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 PAIRED = 16
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
 JOINED = 1024
+# Differing grams, and bytes of compressed texts, that are shuffled at once, for each range of hashes (of 4 MB of text).
+PART_KEYS, PART_BYTES = 1 << 17, 1 << 20
 # Words of 64 bits that mark the documents whose sets are compared.
 MARK_WORDS = 1 << 18
 
@@ -297,20 +299,20 @@ def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bo
 
 def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFrame:
     """(pivot, member, linked, size, differ, a, b): outcome of each comparison, the member's size, the number of differing
-    grams, and those that index them."""
+    grams, and of the pairs of a star (``star``) those that index them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked, sizes, counts, a, b = [], [], [], [], []
             pivots, members = batch.column("of_pivot").to_pylist(), batch.column("of_member").to_pylist()
             sets = _opened([*pivots, *members], kind)
-            for x, y in zip(pivots, members):
+            for x, y, star in zip(pivots, members, batch.column("star").to_pylist()):
                 yes, differ, to_a, to_b = compare(sets[x], sets[y], kind)
                 linked.append(yes)
                 sizes.append(len(sets[y]))
                 counts.append(len(differ))
-                a.append(differ[: max(0, to_a)].view(np.int64))
-                b.append(differ[: max(0, to_b)].view(np.int64))
+                a.append(differ[: max(0, to_a) if star else 0].view(np.int64))
+                b.append(differ[: max(0, to_b) if star else 0].view(np.int64))
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -327,7 +329,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFram
 
     both = pairs.join(bodies.select(F.col("rep").alias("member"), F.col("body").alias("of_member")), "member")
     both = both.join(bodies.select(F.col("rep").alias("pivot"), F.col("body").alias("of_pivot")), "pivot")
-    return both.select("pivot", "member", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
+    return both.select("pivot", "member", "star", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
 
 
 def _live(groups: DataFrame) -> DataFrame:
@@ -376,38 +378,55 @@ def _stars(live: DataFrame, least: int) -> DataFrame:
 
 
 def _next(stars: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a written table, the next level that reads it): members of a star that share one of the grams that index their differences, with the group's size.
+    """(a written table, the next level that reads it and ``done``): members of a star that share one of the grams that index
+    their differences, with the group's size.
 
     Lines whose members are all linked are settled, and without a linked member there is no pair of class a. Only
-    (key, star, position and sides) is shuffled, once; the rest is joined to what meets.
+    (key, star, position and sides) is shuffled, once; the rest is joined to what meets. Grams meet by pivot, whatever the
+    line, so that the differences themselves are neither shuffled nor written again; ``gram`` is the key of that
+    meeting, and a filter on it holds for all that is shuffled before.
     """
-    both = stars.join(done, ["pivot", "member"])
-    lines = both.groupBy("line").agg(F.count(F.lit(1)).alias("of_line"), F.max("linked").alias("some"), F.min("linked").alias("all"))
+    star = F.xxhash64("pivot", "member").alias("star")
+    both = stars.join(done.drop("a", "b"), ["pivot", "member"])
+    lines = both.groupBy("line").agg(F.count(F.lit(1)).alias("of_line"), F.min("linked").alias("all"))
     kept = both.join(lines.filter("of_line > 1 AND NOT all"), "line")
-    # a small number for each row instead of a hash: it is written once, so that every later scan finds the same
-    info = written(kept.select(F.monotonically_increasing_id().alias("star"), "line", "member", "linked", "size", "differ", F.when(F.col("some"), F.col("a")).alias("a"), "b"))
+    info = written(kept.select(star, "line", "member", "size", "differ"))
     sides = []
     for tag in ("a", "b"):
         is_a = F.col("linked") | F.lit(tag == "b")
-        found = info.select("star", "linked", "line", F.posexplode(tag).alias("at", "gram"))
+        found = done.select(star, "linked", "pivot", F.posexplode(tag).alias("at", "gram"))
         code = (F.col("at") * 4 + is_a.cast("int") + 2 * (~F.col("linked")).cast("int")).cast("int")
-        sides.append(found.select(F.xxhash64("line", F.lit(tag), "gram").alias("key"), "star", code.alias("code")))
+        sides.append(found.select(F.xxhash64("pivot", F.lit(tag), "gram").alias("gram"), "star", code.alias("code")))
     # the later join by star asks for this filter; stated here, it holds for both readers of the shuffle, which is then reused
-    rows = sides[0].union(sides[1]).filter("star IS NOT NULL").repartition("key")
-    size = rows.groupBy("key").agg(
+    rows = sides[0].union(sides[1]).filter("star IS NOT NULL").repartition("gram")
+    size = rows.groupBy("gram").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("code") % 2).alias("has_a"), F.max(F.floor(F.col("code") / 2) % 2).alias("has_b"),
         F.min("star").alias("low"), F.max("star").alias("high"),
     )
-    met = rows.join(size.filter("n > 1 AND has_a = 1 AND has_b = 1 AND low < high").select("key", "n"), "key")
-    return info, met.join(info.select("star", "line", "member", "size", "differ"), "star").select(
-        "key", "n", "line", "member", "size", "differ",
+    met = rows.join(size.filter("n > 1 AND has_a = 1 AND has_b = 1 AND low < high").select("gram", "n"), "gram")
+    return info, met.join(info, "star").select(
+        F.xxhash64("line", "gram").alias("key"), "gram", "n", "line", "member", "size", "differ",
         (F.col("code") % 2 == 1).alias("is_a"), (F.floor(F.col("code") / 2) % 2 == 1).alias("is_b"), F.floor(F.col("code") / 4).alias("at"),
     )
 
 
+def _parts(size: float, most: int) -> int:
+    """How many parts of at most that size."""
+    return max(1, math.ceil(size / most))
+
+
+def _in_parts(rows: DataFrame, by: Column, parts: int, made: Callable[[DataFrame], DataFrame] = lambda part: part) -> DataFrame:
+    """What is made of the rows, written part by part: the shuffle files of a part go before the next one is made."""
+    return reduce(DataFrame.union, [written(made(rows.filter(F.pmod(by, F.lit(parts)) == k))) for k in range(parts)])
+
+
 def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
-    index = repeated_keys(rows, _index(kind), ranges_for(rows))
+    ranges = ranges_for(rows)
+    packed = repeated_keys(rows, _index(kind), ranges)
+    # a quarter of the blocks it is read from, which go before it is shuffled further
+    index = written(packed)
+    removed(packed)
     members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
     live = written(_live(members))
     removed(index)
@@ -415,22 +434,28 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
     stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
     ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]
     bodies = _bodies(rows, reduce(DataFrame.union, ends).distinct())
+    length = bodies.agg(F.avg(F.octet_length("body"))).first()[0] or 0
     while True:
-        pairs = written(near.union(stars.select("pivot", "member")).distinct())
+        every = near.withColumn("star", F.lit(False)).union(stars.select("pivot", "member", F.lit(True)))
+        pairs = written(every.groupBy("pivot", "member").agg(F.max("star").alias("star")))
         # what the next table is made of is written, so earlier ones go before it is
+        removed(near)
         removed(live)
-        done = written(_verified(pairs, bodies, kind))
+        # pairs are compared, and their grams shuffled, one part after the other, so that only a part is on disk at a time
+        parts = _parts(pairs.count() * length, ranges * PART_BYTES)
+        done = _in_parts(pairs, F.xxhash64("pivot", "member"), parts, lambda part: _verified(part, bodies, kind))
         removed(pairs)
         found.append(written(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))))
         if stars.isEmpty():
             removed(done)
             break
         info, following = _next(stars, done)
-        removed(done)
         removed(stars)
-        live = written(following)
+        grams = done.agg(F.sum(F.size("a") + F.size("b"))).first()[0] or 0
+        live = _in_parts(following, F.col("gram"), _parts(grams, ranges * PART_KEYS))
+        removed(done)
         removed(info)
-        stars, near = written(_stars(live, JOINED)), _possible(_joined(live, kind), sketches, kind)
+        stars, near = written(_stars(live, JOINED)), written(_possible(_joined(live, kind), sketches, kind))
     removed(bodies)
     every = found[0]
     for part in found[1:]:

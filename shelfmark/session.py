@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# Deletes the shuffle files of an action when it ends (Spark 4.1; other versions ignore it).
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -55,11 +57,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written to a table in the shared folder and read back (an action).
 
     Later reads survive lost executors without recomputing, fetch only the columns they need, and give the
-    optimizer real sizes.
+    optimizer real sizes. The shuffle files that made the table go at once, not when the driver collects its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

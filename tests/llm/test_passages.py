@@ -4,9 +4,12 @@ import collections
 import itertools
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfmark import session
 from shelfmark.llm import jaccard, passages, places
 from shelfmark.llm.components import connected_components
 from shelfmark.llm.jaccard import Similarity, one_of_each_group, similar_groups
@@ -184,3 +187,34 @@ def test_tables_of_finished_steps_are_deleted(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "removed", lambda table: (gone.append(table.columns), removed(table)))
     assert {r["component_id"] for r in similar_groups(docs, Similarity(words=1, num=6, den=10)).collect()} == {0}
     assert ["key", "doc"] in gone and ["pivot", "member"] in gone and ["rep", "body"] in gone
+
+
+@pytest.mark.parametrize("kind,joined", [(Similarity(2, 7, 10), 1024), (Similarity(2, 8, 10), 2)])
+def test_differences_in_several_parts_give_the_same_groups(spark, monkeypatch, kind, joined):
+    monkeypatch.setattr(jaccard, "PAIRED", 1)
+    monkeypatch.setattr(jaccard, "JOINED", joined)
+    monkeypatch.setattr(jaccard, "PART_KEYS", 20)
+    monkeypatch.setattr(jaccard, "PART_BYTES", 2000)
+    tables, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda table: (tables.append(table.columns), written(table))[1])
+    texts = family(7)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(rows, kind).collect()} == groups(texts, kind)
+    assert sum("is_a" in columns for columns in tables) > 1
+    # the differences are written where they are found, not a second time
+    assert not any("line" in columns and "a" in columns for columns in tables)
+
+
+def test_shuffle_files_of_a_written_table_are_deleted(spark):
+    def stored():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {str(f) for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in str(f)}
+
+    before = stored()
+    places.written(spark.range(5000).groupBy((F.col("id") % 2500).alias("k")).count())
+    for _ in range(50):
+        if stored() <= before:
+            break
+        time.sleep(0.1)
+    assert stored() <= before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, "false") == "false"
