@@ -6,7 +6,8 @@ indexed with its one-deletion neighbourhood. Sets that share a key are then comp
 each group all sets are compared with one pivot. Two of them that are not both linked to it can only be linked if their
 differences from the pivot share grams, so the rarely shared part of the differences are the keys of the next level,
 whose groups no longer hold the pivot. No link between different sets is lost, and a group of n costs n comparisons at a
-level.
+level. Before that a group of bounded size is separated into sets that short counts of their grams connect, so that sets
+that only hold one common passage need no pivot.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
 # Groups of index keys up to this size are compared in all pairs, larger ones with a pivot.
 PAIRED = 16
+# Larger groups up to this size, and to this sum of grams, are separated by the sketches first.
+SEPARATED, SEPARATED_GRAMS = 1024, 1 << 25
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
 JOINED = 1024
 # Differing grams, and bytes of compressed texts, that are shuffled at once, for each range of hashes (of 4 MB of text).
@@ -173,6 +176,45 @@ def most_common(left: bytes, right: bytes) -> int | None:
     return int(np.minimum(a, b).sum())
 
 
+def _folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Counts of each row added up to ``width`` coarser ones."""
+    return counts if counts.shape[-1] == width else counts.reshape(*counts.shape[:-1], width, -1).sum(axis=-1, dtype=np.uint16)
+
+
+def separated(sizes: np.ndarray, sketches: list[bytes], kind: Similarity) -> np.ndarray:
+    """For each set the number of its part: sets whose sizes and sketches allow a link are in the same one, directly or by others.
+
+    Each set is compared only with those that no part has yet, so sets that are alike cost one comparison each.
+    """
+    by_width = {w: np.flatnonzero([len(x) == w for x in sketches]) for w in {len(x) for x in sketches}}
+    counts = {w: np.frombuffer(b"".join(sketches[i] for i in at), np.uint8).reshape(len(at), w) for w, at in by_width.items() if w}
+    coarser: dict[tuple[int, int], np.ndarray] = {}
+    out, number = np.full(len(sizes), -1), 0
+    for first in range(len(sizes)):
+        if out[first] >= 0:
+            continue
+        out[first], todo = number, [first]
+        while todo:
+            x = todo.pop()
+            own, n = np.frombuffer(sketches[x], np.uint8), sizes[x]
+            for w, at in by_width.items():
+                m = sizes[at]
+                fits = (out[at] < 0) & (kind.den * np.minimum(n, m) >= kind.num * np.maximum(n, m))
+                if w and len(own) and fits.any():
+                    width = min(w, len(own))
+                    if (w, width) not in coarser:
+                        coarser[w, width] = _folded(counts[w], width)
+                    rows = np.flatnonzero(fits)
+                    both = np.minimum(coarser[w, width][rows], _folded(own, width)).sum(axis=1, dtype=np.int64)
+                    both = np.minimum(both, np.minimum(n, m[rows]))
+                    fits[rows] = kind.den * both >= kind.num * (n + m[rows] - both)
+                found = at[fits]
+                out[found] = number
+                todo += found.tolist()
+        number += 1
+    return out
+
+
 def set_classes(rows: DataFrame, kind: Similarity) -> tuple[DataFrame, DataFrame]:
     """((doc, n, rep): size of the set, and the smallest document with the same set (itself if the set is empty); (doc, n, sketch))."""
 
@@ -335,10 +377,28 @@ def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFram
 def _live(groups: DataFrame) -> DataFrame:
     """Members of the groups of index keys that hold a pair, with the group's size; groups of the same members once."""
     size = groups.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("mark"), F.min("member").alias("low"), F.max("member").alias("high")
-    )
-    once = size.filter("n > 1").groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key"))
-    return groups.join(once.select("key", "n"), "key").withColumn("line", F.lit(0).cast("long"))
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("mark"), F.min("member").alias("low"), F.max("member").alias("high"),
+        F.sum("size").alias("grams"),
+    )
+    once = size.filter("n > 1").groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key"), F.max("grams").alias("grams"))
+    return groups.join(once.select("key", "n", "grams"), "key").withColumn("line", F.lit(0).cast("long"))
+
+
+def _parted(live: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
+    """The groups, those of middle size separated into the parts that sketches connect; a set that is a part alone has no link there."""
+
+    def run(group: pa.Table) -> pa.Table:
+        part = separated(group.column("size").to_numpy(), group.column("sketch").to_pylist(), kind)
+        kept = group.select(["key", "member", "size"]).append_column("part", pa.array(part, pa.int64()))
+        return kept.filter(pa.array(np.bincount(part)[part] > 1))
+
+    middle = (F.col("n") > PAIRED) & (F.col("n") <= SEPARATED) & (F.col("grams") <= SEPARATED_GRAMS)
+    of = sketches.select(F.col("doc").alias("member"), "sketch")
+    parts = live.filter(middle).select("key", "member", "size").join(of, "member").groupBy("key").applyInArrow(run, "key long, member long, size long, part long")
+    found = written(parts.select(F.xxhash64("key", "part").alias("key"), "member", "size"))
+    parted = written(_live(found))
+    removed(found)
+    return live.filter(~middle).unionByName(parted)
 
 
 def _pairs(live: DataFrame, kind: Similarity) -> DataFrame:
@@ -430,6 +490,7 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
     members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
     live = written(_live(members))
     removed(index)
+    live = _parted(live, sketches, kind)
     # pairs in small groups are only asked for links, so most go by their sketches; with a pivot the differences count too
     stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
     ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]

@@ -128,6 +128,48 @@ def test_groups_equal_brute_force(spark, monkeypatch, seed, kind, paired, joined
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(rows, kind).collect()} == groups(texts, kind)
 
 
+@pytest.mark.parametrize("seed,kind,joined", [(2, Similarity(), 1024), (4, Similarity(2, 7, 10), 1024), (5, Similarity(2, 8, 10), 2)])
+def test_groups_with_a_pivot_equal_brute_force(spark, monkeypatch, seed, kind, joined):
+    monkeypatch.setattr(jaccard, "PAIRED", 1)
+    monkeypatch.setattr(jaccard, "SEPARATED", 0)
+    monkeypatch.setattr(jaccard, "JOINED", joined)
+    texts = family(seed)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(rows, kind).collect()} == groups(texts, kind)
+
+
+def test_texts_that_share_one_passage_get_no_pivot(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRED", 2)
+    passage = " ".join(f"p{k}" for k in range(160))
+    texts = [f"{passage} " + " ".join(f"d{n}w{k}" for k in range(120)) for n in range(60)]
+    texts.append(texts[7] + " more")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tables, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda table: tables.append((table.columns, made := written(table), made.count())) or made)
+    assert {r.doc_id: r.component_id for r in similar_groups(rows).collect()} == {**{n: n for n in range(60)}, 60: 7}
+    stars = [n for columns, _, n in tables if columns == ["line", "pivot", "member"]]
+    assert stars and sum(stars) == 0
+
+
+def test_separated_sets_are_not_linked():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for kind in (Similarity(3, 90, 100), Similarity(), Similarity(2, 3, 10)):
+        sets = []
+        for size in (1, 3, 20, 70, 130, 260, 600):
+            base = rng.integers(0, 2**64, size, dtype=np.uint64)
+            for lost in (0, 0, 1, size // 12, size // 5, size // 2, size):
+                sets.append(np.unique(np.concatenate([rng.permutation(base)[lost:], rng.integers(0, 2**64, rng.integers(0, lost + 1), dtype=np.uint64)])))
+        sets = [x for x in sets if len(x)]
+        sketches = [b"" if k % 13 == 5 else jaccard.sketch_of(x) for k, x in enumerate(sets)]
+        part = jaccard.separated(np.array([len(x) for x in sets]), sketches, kind)
+        assert part.min() == 0 and (part.max() > 1 or kind.num < 5)
+        for a, b in itertools.combinations(range(len(sets)), 2):
+            if kind.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b])):
+                assert part[a] == part[b]
+
+
 def test_one_row_of_each_group_stays(spark):
     text = " ".join(f"w{k}" for k in range(60))
     near = text + " more"
