@@ -30,10 +30,10 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 
 # Groups of index keys up to this size are compared in all pairs, larger ones with a pivot.
 PAIRED = 16
-# Larger groups up to this size, and to this sum of grams, are separated by the sketches first.
-SEPARATED, SEPARATED_GRAMS = 1024, 1 << 25
+# Larger groups are separated by the sketches first, up to this product of members and their grams, and this sum of grams.
+SEPARATED, SEPARATED_GRAMS = 1 << 33, 1 << 25
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
-JOINED = 1024
+JOINED = 64
 # Differing grams, and bytes of compressed texts, that are shuffled at once, for each range of hashes (of 4 MB of text).
 PART_KEYS, PART_BYTES = 1 << 17, 1 << 20
 # Words of 64 bits that mark the documents whose sets are compared.
@@ -392,7 +392,7 @@ def _parted(live: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame
         kept = group.select(["key", "member", "size"]).append_column("part", pa.array(part, pa.int64()))
         return kept.filter(pa.array(np.bincount(part)[part] > 1))
 
-    middle = (F.col("n") > PAIRED) & (F.col("n") <= SEPARATED) & (F.col("grams") <= SEPARATED_GRAMS)
+    middle = (F.col("n") > PAIRED) & (F.col("n") * F.col("grams") <= SEPARATED) & (F.col("grams") <= SEPARATED_GRAMS)
     of = sketches.select(F.col("doc").alias("member"), "sketch")
     parts = live.filter(middle).select("key", "member", "size").join(of, "member").groupBy("key").applyInArrow(run, "key long, member long, size long, part long")
     found = written(parts.select(F.xxhash64("key", "part").alias("key"), "member", "size"))
