@@ -33,7 +33,7 @@ PAIRED = 16
 # Larger groups are separated by the sketches first, up to this product of members and their grams, and this sum of grams.
 SEPARATED, SEPARATED_GRAMS = 1 << 33, 1 << 25
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
-JOINED = 64
+JOINED = 1024
 # Differing grams, and bytes of compressed texts, that are shuffled at once, for each range of hashes (of 4 MB of text).
 PART_KEYS, PART_BYTES = 1 << 17, 1 << 20
 # Words of 64 bits that mark the documents whose sets are compared.
