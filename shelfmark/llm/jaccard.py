@@ -1,8 +1,9 @@
 """Join of documents whose sets of word n-grams have a Jaccard similarity at or above a threshold.
 
-Candidates come from a partition of the universe. Two sets of similar size differ in at most H grams; grams are hashed
-into segments, by size band, so many that some segment is equal in both, or differs by one gram where it is
-indexed with its one-deletion neighbourhood. Sets that share a key are then compared exactly, but not in all pairs: in
+Candidates come from one order of all grams, the rarely counted first. Two linked sets share so many grams that the first
+one they share stands early in both, so a set is indexed by its first grams only: grams that hardly any other set holds
+before those of common passages. The place of a gram also bounds the sizes of the sets that can be linked by it. Sets
+that share a key are then compared exactly, but not in all pairs: in
 each group all sets are compared with one pivot. Two of them that are not both linked to it can only be linked if their
 differences from the pivot share grams, so the rarely shared part of the differences are the keys of the next level,
 whose groups no longer hold the pivot. No link between different sets is lost, and a group of n costs n comparisons at a
@@ -15,11 +16,12 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +34,16 @@ from shelfmark.llm.words import U, Words, mix, split_words, window_hashes
 PAIRED = 16
 # Larger groups are separated by the sketches first, up to this product of members and their grams, and this sum of grams.
 SEPARATED, SEPARATED_GRAMS = 1 << 33, 1 << 25
+# Lines (the sets of one pivot) of more members are settled whole, up to this sum of the grams of members and pivot.
+LONG, LONG_GRAMS = 16, 3 << 23
 # Groups that share a differing gram up to this size are joined in pairs that positions allow, larger ones have a new pivot.
 JOINED = 1024
 # Differing grams, and bytes of compressed texts, that are shuffled at once, for each range of hashes (of 4 MB of text).
 PART_KEYS, PART_BYTES = 1 << 17, 1 << 20
 # Words of 64 bits that mark the documents whose sets are compared.
 MARK_WORDS = 1 << 18
+# Counters of grams (a power of two), whatever the input, and how many of them make a row.
+COUNTERS, COUNTERS_ROW = 1 << 18, 1 << 12
 
 
 @dataclass(frozen=True)
@@ -56,83 +62,28 @@ class Similarity:
     def linked(self, both: int, left: int, right: int) -> bool:
         return self.den * both >= self.num * (left + right - both)
 
+    def partner(self, size: Column, at: Column) -> Column:
+        """Size of the largest set that can be linked to one of ``size`` grams if the first gram they share is its gram ``at``."""
+        return (F.floor((size - at) * (self.den + self.num) / self.num) - size).cast("long")
+
     def widest(self, size: int) -> int:
         """Most grams in which a set of that size differs from any linked one."""
         return self.difference(size + size * self.den // self.num)
 
 
-@dataclass(frozen=True)
-class Band:
-    """Sizes of the larger set of a pair, and how they are indexed: segments, how many of them by deletions, how many
-    empty ones may be left out."""
-
-    low: int
-    high: int
-    segments: int
-    deleted: int
-    spare: int
-
-
-# Price of a segment of fewer than three grams, in keys: unrelated sets that hold one common passage share it.
-PRICE = 2
-# Sizes up to which every allocation is tried; larger sets take whole segments.
-TRIED = 64
-
-
-def _spare(low: int, segments: int) -> int:
-    """Empty segments that hardly any set of that size exceeds, counted over the segments that this adds."""
-    spare = 0
-    for _ in range(4):
-        mean = (segments + spare) * math.exp(-low / (segments + spare))
-        spare = math.ceil(mean + 3 * math.sqrt(mean)) if mean > 0.01 else 0
-    return spare
-
-
-@cache
-def _band(low: int, high: int, differ: int) -> Band:
-    """The cheapest allocation: segments compared whole count once towards ``differ`` + 1, those by deletions twice."""
-    best = None
-    for segments in range((differ + 2) // 2 if high <= TRIED else differ + 1, differ + 2):
-        deleted, spare = differ + 1 - segments, _spare(low, segments)
-        share = low / (segments + spare)
-        few = math.exp(-share) * (1 + share + share * share / 2)
-        cost = (segments + spare) * (1 + PRICE * few) + deleted * share
-        if best is None or cost < best[0]:
-            best = cost, Band(low, high, segments + spare, deleted, spare)
-    return best[1]
-
-
-def bands_of(size: int, kind: Similarity) -> Iterator[Band]:
-    """Bands in which a set is indexed: its own, and those of larger sets that it can be linked to."""
-    low = 1
-    while low * kind.num <= size * kind.den:
-        high = max(low, low * 3 // 2 - 1)
-        if size <= high and kind.difference(2 * high):
-            yield _band(low, high, kind.difference(2 * high))
-        low = high + 1
-
-
-def keys_of(grams: np.ndarray, kind: Similarity) -> Iterator[np.ndarray]:
-    """Index keys of a set of grams (sorted hashes)."""
-    total = np.zeros(len(grams) + 1, U)
-    mixed = mix(grams, 9)
-    np.cumsum(mixed, out=total[1:])
-    for band in bands_of(len(grams), kind):
-        m = band.segments
-        segment = ((grams >> U(32)) * U(m)) >> U(32)
-        bounds = np.searchsorted(segment, np.arange(m + 1, dtype=U))
-        sums, counts = total[bounds[1:]] - total[bounds[:-1]], np.diff(bounds)
-        label = np.arange(m).astype(U) + U((band.low << 24) & (2**64 - 1))
-        exact = np.arange(m) >= band.deleted
-        if np.count_nonzero(exact & (counts == 0)) <= band.spare:
-            exact &= counts > 0
-        yield mix(sums + mix(label, 11) + counts.astype(U) * U(0x9E3779B97F4A7C15))[exact]
-        if band.deleted:
-            d = band.deleted
-            near = mix(label[:d], 12)
-            yield mix(sums[:d] + near + counts[:d].astype(U) * U(0x9E3779B97F4A7C15))
-            at = segment[: bounds[d]].astype(np.int64)
-            yield mix(sums[at] - mixed[: bounds[d]] + near[at] + (counts[at] - 1).astype(U) * U(0x9E3779B97F4A7C15))
+def counter_of(grams: np.ndarray) -> np.ndarray:
+    """The counter of each gram."""
+    return (grams >> U(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def keys_of(grams: np.ndarray, kind: Similarity, counts: np.ndarray | None = None) -> Iterator[np.ndarray]:
+    """Index keys of a set of grams (sorted hashes), in the order of their counts, equal ones by hash.
+
+    The first gram that two linked sets share is preceded in either of them by grams that the other lacks, of which there are
+    at most the (1 - num / den)-th part. Any order that is the same for all sets will do; only how many sets meet depends on it.
+    """
+    ordered = grams if counts is None else grams[np.argsort(counts[counter_of(grams)], kind="stable")]
+    yield ordered[: len(grams) * (kind.den - kind.num) // kind.den + 1]
 
 
 def grams_of(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -215,26 +166,53 @@ def separated(sizes: np.ndarray, sketches: list[bytes], kind: Similarity) -> np.
     return out
 
 
-def set_classes(rows: DataFrame, kind: Similarity) -> tuple[DataFrame, DataFrame]:
-    """((doc, n, rep): size of the set, and the smallest document with the same set (itself if the set is empty); (doc, n, sketch))."""
+def set_classes(rows: DataFrame, kind: Similarity) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """((doc, n, rep): size of the set, and the smallest document with the same set (itself if the set is empty); (doc, n, sketch);
+    how often grams of each counter occur in the documents)."""
+    names = ["doc", "n", "f1", "f2", "sketch", "part", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(COUNTERS, np.int64)
         for part, sets in _sets(batches, kind):
             prints = [_fingerprints(x) for x in sets]
+            counts += np.bincount(counter_of(np.concatenate([*sets, np.zeros(0, U)])), minlength=COUNTERS)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc"),
                     pa.array([len(x) for x in sets], pa.int64()),
                     *(pa.array([p[k] for p in prints], pa.int64()) for k in (0, 1)),
                     pa.array([sketch_of(x) for x in sets], pa.binary()),
+                    pa.nulls(len(sets), pa.int64()),
+                    pa.nulls(len(sets), pa.binary()),
                 ],
-                ["doc", "n", "f1", "f2", "sketch"],
+                names,
             )
+        # one row more for each stretch of counters
+        tool, stretches = zstandard.ZstdCompressor(level=1), counts.reshape(-1, COUNTERS_ROW)
+        none = [pa.nulls(len(stretches), kind) for kind in (*[pa.int64()] * 4, pa.binary())]
+        packed = [tool.compress(x.tobytes()) for x in stretches]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(stretches)), pa.int64()), pa.array(packed, pa.binary())], names)
 
-    every = written(rows.mapInArrow(run, "doc long, n long, f1 long, f2 long, sketch binary"))
+    every = written(rows.mapInArrow(run, "doc long, n long, f1 long, f2 long, sketch binary, part long, counts binary"))
     first = every.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc").alias("rep"))
-    classes = written(every.join(first, ["n", "f1", "f2"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
-    return classes, every.select("doc", "n", "sketch")
+    texts = every.filter("part IS NULL")
+    classes = written(texts.join(first, ["n", "f1", "f2"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")))
+    return classes, texts.select("doc", "n", "sketch"), _summed(every.filter("part IS NOT NULL").select("part", "counts"))
+
+
+def _summed(stretches: DataFrame) -> np.ndarray:
+    """The counters of all tasks added up."""
+
+    def run(group: pa.Table) -> pa.Table:
+        tool, total = zstandard.ZstdDecompressor(), np.zeros(COUNTERS_ROW, np.int64)
+        for packed in group.column("counts").to_pylist():
+            total += np.frombuffer(tool.decompress(packed), np.int64)
+        return pa.table({"part": group.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((COUNTERS // COUNTERS_ROW, COUNTERS_ROW), np.int64)
+    for r in stretches.groupBy("part").applyInArrow(run, "part long, counts binary").collect():
+        out[r["part"]] = np.frombuffer(r["counts"], np.int64)
+    return out.ravel()
 
 
 def _possible(pairs: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
@@ -254,8 +232,8 @@ def _possible(pairs: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFr
     return pairs.join(of("member", "y"), "member").join(of("pivot", "x"), "pivot").mapInArrow(run, "pivot long, member long")
 
 
-def _index(kind: Similarity) -> Callable[[pa.RecordBatch], Iterator[Places]]:
-    """Index keys of a batch of texts; copies within the batch are indexed once."""
+def _index(kind: Similarity, counts: Broadcast) -> Callable[[pa.RecordBatch], Iterator[Places]]:
+    """Index keys of a batch of texts with their places in the order; copies within the batch are indexed once."""
 
     def of(batch: pa.RecordBatch) -> Iterator[Places]:
         seen = set()
@@ -265,12 +243,11 @@ def _index(kind: Similarity) -> Callable[[pa.RecordBatch], Iterator[Places]]:
                 mark = _fingerprints(grams)
                 if mark not in seen and len(grams) and doc is not None:
                     seen.add(mark)
-                    own = list(keys_of(grams, kind))
-                    keys += own
-                    docs.append(np.full(sum(map(len, own)), doc, np.int64))
+                    keys += keys_of(grams, kind, counts.value)
+                    docs.append(np.full(len(keys[-1]), doc, np.int64))
             if keys:
-                keys = np.concatenate(keys)
-                yield keys, np.zeros(len(keys), U), np.concatenate(docs), np.zeros(len(keys), np.int32)
+                at = np.concatenate([np.arange(len(x), dtype=np.int32) for x in keys])
+                yield np.concatenate(keys), np.zeros(len(at), U), np.concatenate(docs), at
 
     return of
 
@@ -340,21 +317,22 @@ def compare(pivot: np.ndarray, member: np.ndarray, kind: Similarity) -> tuple[bo
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFrame:
-    """(pivot, member, linked, size, differ, a, b): outcome of each comparison, the member's size, the number of differing
-    grams, and of the pairs of a star (``star``) those that index them."""
+    """(pivot, member, linked, size, differ, a, b, every): outcome of each comparison, the member's size, the number of differing
+    grams, of the pairs of a star (``star``) those that index them, and of those of a long line (``whole``) all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, sizes, counts, a, b = [], [], [], [], []
+            linked, sizes, counts, a, b, every = [], [], [], [], [], []
             pivots, members = batch.column("of_pivot").to_pylist(), batch.column("of_member").to_pylist()
             sets = _opened([*pivots, *members], kind)
-            for x, y, star in zip(pivots, members, batch.column("star").to_pylist()):
+            for x, y, star, whole in zip(pivots, members, batch.column("star").to_pylist(), batch.column("whole").to_pylist()):
                 yes, differ, to_a, to_b = compare(sets[x], sets[y], kind)
                 linked.append(yes)
                 sizes.append(len(sets[y]))
                 counts.append(len(differ))
                 a.append(differ[: max(0, to_a) if star else 0].view(np.int64))
                 b.append(differ[: max(0, to_b) if star else 0].view(np.int64))
+                every.append(differ[: len(differ) if whole else 0].view(np.int64))
             lists = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -365,23 +343,84 @@ def _verified(pairs: DataFrame, bodies: DataFrame, kind: Similarity) -> DataFram
                     pa.array(counts, pa.int64()),
                     pa.array(a, lists),
                     pa.array(b, lists),
+                    pa.array(every, lists),
                 ],
-                ["pivot", "member", "linked", "size", "differ", "a", "b"],
+                ["pivot", "member", "linked", "size", "differ", "a", "b", "every"],
             )
 
     both = pairs.join(bodies.select(F.col("rep").alias("member"), F.col("body").alias("of_member")), "member")
     both = both.join(bodies.select(F.col("rep").alias("pivot"), F.col("body").alias("of_pivot")), "pivot")
-    return both.select("pivot", "member", "star", "of_pivot", "of_member").mapInArrow(run, "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>")
+    columns = "pivot long, member long, linked boolean, size long, differ long, a array<long>, b array<long>, every array<long>"
+    return both.select("pivot", "member", "star", "whole", "of_pivot", "of_member").mapInArrow(run, columns)
+
+
+def tied(linked: np.ndarray, sizes: np.ndarray, differ: list[np.ndarray], kind: Similarity) -> list[tuple[int, int]]:
+    """Links between the members of a pivot that, with the links to the pivot (``linked``), connect all that are linked.
+
+    ``differ`` are the grams in which a member differs from the pivot. Two members differ in the grams that only one of
+    these holds, so all that must be counted are the members that hold the same differing gram. Members linked to the pivot
+    need no link among themselves: only the others are compared, with all.
+    """
+    counts = np.array([len(x) for x in differ], np.int64)
+    owner = np.repeat(np.arange(len(differ)), counts)
+    _, gram = np.unique(np.concatenate([*differ, np.zeros(0, np.int64)]), return_inverse=True)
+    order = np.argsort(gram, kind="stable")
+    holders, bounds = owner[order], np.concatenate([[0], np.cumsum(np.bincount(gram))])
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    part = np.where(linked, -1, np.arange(len(differ)))
+    out = []
+    for x in np.flatnonzero(~linked).tolist():
+        own = gram[starts[x] : starts[x + 1]]
+        meet = [holders[a:b] for a, b in zip(bounds[own].tolist(), bounds[own + 1].tolist()) if b - a > 1]
+        shared = np.bincount(np.concatenate([*meet, np.zeros(0, np.int64)]), minlength=len(differ))
+        size = sizes + sizes[x]
+        both = size - counts - counts[x] + 2 * shared  # twice the grams that both hold
+        hits = np.flatnonzero(((kind.den + kind.num) * both >= 2 * kind.num * size) & (part != part[x]))
+        for number, first in zip(*np.unique(part[hits], return_index=True)):
+            out.append((x, int(hits[first])))
+            part[part == number] = part[x]
+    return out
+
+
+def _settled(stars: DataFrame, done: DataFrame, kind: Similarity) -> DataFrame:
+    """(a, b): links that connect the members of each line, besides those to its pivot."""
+
+    def run(line: pa.Table) -> pa.Table:
+        members, lists = line.column("member").to_numpy(), line.column("every").combine_chunks()
+        differ = np.split(lists.values.to_numpy(), lists.offsets.to_numpy()[1:-1])
+        found = tied(line.column("linked").to_numpy(), line.column("size").to_numpy(), differ, kind)
+        return pa.table({name: pa.array([members[x[k]] for x in found], pa.int64()) for k, name in enumerate(("a", "b"))})
+
+    every = stars.join(done.select("pivot", "member", "linked", "size", "every"), ["pivot", "member"])
+    return every.select("line", "member", "linked", "size", "every").groupBy("line").applyInArrow(run, "a long, b long")
+
+
+def _long(stars: DataFrame, classes: DataFrame) -> DataFrame:
+    """(line, pivot, member, whole): whether the line has more than ``LONG`` members, and not more grams than a task takes."""
+    of = [classes.select(F.col("doc").alias(c), F.col("n").alias(f"{c}_n")) for c in ("member", "pivot")]
+    lines = stars.join(of[0], "member").join(of[1], "pivot").groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("member_n") + F.col("pivot_n")).alias("grams"))
+    return stars.join(lines.select("line", ((F.col("n") > LONG) & (F.col("grams") <= LONG_GRAMS)).alias("whole")), "line").select("line", "pivot", "member", "whole")
+
+
+def _early(members: DataFrame) -> DataFrame:
+    """The members of groups of index keys whose key stands early enough for a link with any other size in the group."""
+    bounds = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("wide").alias("high"))
+    kept = members.join(bounds.filter("n > 1"), "key").filter("wide >= low AND size <= high")
+    return kept.select("key", "member", "size", "wide")
 
 
 def _live(groups: DataFrame) -> DataFrame:
-    """Members of the groups of index keys that hold a pair, with the group's size; groups of the same members once."""
+    """Members of the groups of index keys that hold a pair, with the group's size; groups of the same members once.
+
+    Of such groups a member has the largest ``wide``: a pair may be early enough in one of them only.
+    """
     size = groups.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("member")).alias("mark"), F.min("member").alias("low"), F.max("member").alias("high"),
         F.sum("size").alias("grams"),
     )
-    once = size.filter("n > 1").groupBy("n", "mark", "low", "high").agg(F.min("key").alias("key"), F.max("grams").alias("grams"))
-    return groups.join(once.select("key", "n", "grams"), "key").withColumn("line", F.lit(0).cast("long"))
+    same = size.filter("n > 1").select("key", F.xxhash64("n", "mark", "low", "high").alias("same"), "n", "grams")
+    once = groups.join(same, "key").groupBy(F.col("same").alias("key"), "member").agg(*[F.max(c).alias(c) for c in ("size", "wide", "n", "grams")])
+    return once.withColumn("line", F.lit(0).cast("long"))
 
 
 def _parted(live: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
@@ -389,23 +428,23 @@ def _parted(live: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame
 
     def run(group: pa.Table) -> pa.Table:
         part = separated(group.column("size").to_numpy(), group.column("sketch").to_pylist(), kind)
-        kept = group.select(["key", "member", "size"]).append_column("part", pa.array(part, pa.int64()))
+        kept = group.select(["key", "member", "size", "wide"]).append_column("part", pa.array(part, pa.int64()))
         return kept.filter(pa.array(np.bincount(part)[part] > 1))
 
     middle = (F.col("n") > PAIRED) & (F.col("n") * F.col("grams") <= SEPARATED) & (F.col("grams") <= SEPARATED_GRAMS)
     of = sketches.select(F.col("doc").alias("member"), "sketch")
-    parts = live.filter(middle).select("key", "member", "size").join(of, "member").groupBy("key").applyInArrow(run, "key long, member long, size long, part long")
-    found = written(parts.select(F.xxhash64("key", "part").alias("key"), "member", "size"))
+    parts = live.filter(middle).select("key", "member", "size", "wide").join(of, "member").groupBy("key").applyInArrow(run, "key long, member long, size long, wide long, part long")
+    found = written(parts.select(F.xxhash64("key", "part").alias("key"), "member", "size", "wide"))
     parted = written(_live(found))
     removed(found)
     return live.filter(~middle).unionByName(parted)
 
 
-def _pairs(live: DataFrame, kind: Similarity) -> DataFrame:
-    """(pivot, member): all pairs of the small groups of index keys whose sizes allow a link."""
-    small = live.filter(F.col("n") <= PAIRED).select("key", "member", "size")
-    other = small.select("key", F.col("member").alias("pivot"), F.col("size").alias("other"))
-    fits = kind.den * F.least("size", "other") >= kind.num * F.greatest("size", "other")
+def _pairs(live: DataFrame) -> DataFrame:
+    """(pivot, member): all pairs of the small groups of index keys whose sizes, and places of the key, allow a link."""
+    small = live.filter(F.col("n") <= PAIRED).select("key", "member", "size", "wide")
+    other = small.select("key", F.col("member").alias("pivot"), F.col("size").alias("other"), F.col("wide").alias("other_wide"))
+    fits = (F.col("size") <= F.col("other_wide")) & (F.col("other") <= F.col("wide"))
     both = small.join(other, (small["key"] == other["key"]) & (F.col("pivot") < F.col("member")) & fits)
     return both.select("pivot", "member").distinct()
 
@@ -447,7 +486,7 @@ def _next(stars: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
     meeting, and a filter on it holds for all that is shuffled before.
     """
     star = F.xxhash64("pivot", "member").alias("star")
-    both = stars.join(done.drop("a", "b"), ["pivot", "member"])
+    both = stars.join(done.drop("a", "b", "every"), ["pivot", "member"])
     lines = both.groupBy("line").agg(F.count(F.lit(1)).alias("of_line"), F.min("linked").alias("all"))
     kept = both.join(lines.filter("of_line > 1 AND NOT all"), "line")
     info = written(kept.select(star, "line", "member", "size", "differ"))
@@ -480,25 +519,29 @@ def _in_parts(rows: DataFrame, by: Column, parts: int, made: Callable[[DataFrame
     return reduce(DataFrame.union, [written(made(rows.filter(F.pmod(by, F.lit(parts)) == k))) for k in range(parts)])
 
 
-def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Similarity) -> DataFrame:
+def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, counts: np.ndarray, kind: Similarity) -> DataFrame:
     """(a, b): linked pairs of class representatives that connect all linked classes (not every linked pair)."""
     ranges = ranges_for(rows)
-    packed = repeated_keys(rows, _index(kind), ranges)
+    packed = repeated_keys(rows, _index(kind, rows.sparkSession.sparkContext.broadcast(counts)), ranges)
     # a quarter of the blocks it is read from, which go before it is shuffled further
     index = written(packed)
     removed(packed)
-    members = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").select("key", F.col("rep").alias("member"), "size").distinct()
-    live = written(_live(members))
-    removed(index)
+    sets = index.join(classes.select("doc", "rep", F.col("n").alias("size")), "doc").withColumn("wide", kind.partner(F.col("size"), F.col("at")))
+    members = written(sets.groupBy("key", F.col("rep").alias("member"), "size").agg(F.max("wide").alias("wide")))
+    removed(index.select("key", "doc"))
+    live = written(_live(_early(members)))
+    removed(members)
     live = _parted(live, sketches, kind)
     # pairs in small groups are only asked for links, so most go by their sketches; with a pivot the differences count too
-    stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live, kind), sketches, kind)), []
+    stars, near, found = written(_stars(live, PAIRED)), written(_possible(_pairs(live), sketches, kind)), []
     ends = [x.select(F.col(c).alias("doc")) for x in (stars, near) for c in ("pivot", "member")]
     bodies = _bodies(rows, reduce(DataFrame.union, ends).distinct())
     length = bodies.agg(F.avg(F.octet_length("body"))).first()[0] or 0
     while True:
-        every = near.withColumn("star", F.lit(False)).union(stars.select("pivot", "member", F.lit(True)))
-        pairs = written(every.groupBy("pivot", "member").agg(F.max("star").alias("star")))
+        lines = written(_long(stars, classes))
+        removed(stars)
+        both = near.select("pivot", "member", F.lit(False).alias("star"), F.lit(False).alias("whole")).union(lines.select("pivot", "member", ~F.col("whole"), "whole"))
+        pairs = written(both.groupBy("pivot", "member").agg(F.max("star").alias("star"), F.max("whole").alias("whole")))
         # what the next table is made of is written, so earlier ones go before it is
         removed(near)
         removed(live)
@@ -507,11 +550,14 @@ def links(rows: DataFrame, classes: DataFrame, sketches: DataFrame, kind: Simila
         done = _in_parts(pairs, F.xxhash64("pivot", "member"), parts, lambda part: _verified(part, bodies, kind))
         removed(pairs)
         found.append(written(done.filter("linked").select(F.col("pivot").alias("a"), F.col("member").alias("b"))))
+        found.append(written(_settled(lines.filter("whole"), done, kind)))
+        stars = lines.filter("NOT whole").select("line", "pivot", "member")
         if stars.isEmpty():
             removed(done)
+            removed(lines)
             break
         info, following = _next(stars, done)
-        removed(stars)
+        removed(lines)
         grams = done.agg(F.sum(F.size("a") + F.size("b"))).first()[0] or 0
         live = _in_parts(following, F.col("gram"), _parts(grams, ranges * PART_KEYS))
         removed(done)
@@ -534,8 +580,8 @@ def similar_groups(documents: DataFrame, kind: Similarity = Similarity(), id: st
     its copies but carries no links. An empty table gives no rows.
     """
     rows = documents.select(documents[id].cast("long").alias("doc"), documents[text].cast("string").alias("text"))
-    classes, sketches = set_classes(rows, kind)
-    parts = connected_components(links(rows, classes, sketches, kind)).withColumnRenamed("node", "rep")
+    classes, sketches, counts = set_classes(rows, kind)
+    parts = connected_components(links(rows, classes, sketches, counts, kind)).withColumnRenamed("node", "rep")
     return classes.join(parts, "rep", "left").select(
         F.col("doc").alias(id), F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id")
     )

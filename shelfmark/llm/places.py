@@ -93,8 +93,8 @@ def _by_document(places: Places) -> list[pa.Array]:
 
 
 def _by_hash(places: Places) -> list[pa.Array]:
-    """key, doc."""
-    return [pa.array(places[0].view(np.int64)), pa.array(places[2])]
+    """key, doc, at."""
+    return [pa.array(places[0].view(np.int64)), *_by_document(places)]
 
 
 def _chosen(places: Places, which: np.ndarray) -> Places:
@@ -166,5 +166,5 @@ def repeated_places(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator
 
 
 def repeated_keys(rows: DataFrame, places: Callable[[pa.RecordBatch], Iterator[Places]], ranges: int) -> DataFrame:
-    """(key long, doc long): keys (48 bits of them) that occur more than once, with the documents that hold them."""
-    return _repeated(rows, places, ranges, False, _by_hash, "key long, doc long")
+    """(key long, doc long, at int): keys (48 bits of them) that occur more than once, with the documents that hold them."""
+    return _repeated(rows, places, ranges, False, _by_hash, "key long, doc long, at int")

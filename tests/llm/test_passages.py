@@ -199,6 +199,64 @@ def test_index_keys_of_linked_sets_meet():
                 assert keys[0] & keys[1]
 
 
+def test_texts_with_many_grams_of_their_own_are_not_compared(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(300)]
+    texts = [" ".join(base), " ".join([*base, "more"])]
+    for n in range(80):
+        words = list(base)
+        for k in rng.sample(range(300), 30):
+            words[k] = f"n{n}k{k}"
+        texts.append(" ".join(words))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    tables, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda table: tables.append((table.columns, made := written(table), made.count())) or made)
+    assert {r.doc_id: r.component_id for r in similar_groups(rows).collect()} == {**{n: n for n in range(82)}, 1: 0}
+    assert sum(n for columns, _, n in tables if "linked" in columns) == 1
+
+
+@pytest.mark.parametrize("seed,kind,long", [(2, Similarity(), 1), (4, Similarity(2, 7, 10), 0), (6, Similarity(2, 6, 10), 0)])
+def test_long_lines_are_settled_at_once(spark, monkeypatch, seed, kind, long):
+    for name, value in {"PAIRED": 1, "SEPARATED": 0, "LONG": long}.items():
+        monkeypatch.setattr(jaccard, name, value)
+    tables, written = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda table: (tables.append(table.columns), written(table))[1])
+    texts = family(seed)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(rows, kind).collect()} == groups(texts, kind)
+    # no line is left for another level
+    assert long or not any("is_a" in columns for columns in tables)
+
+
+def test_members_of_a_pivot_are_tied():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for kind in (Similarity(3, 90, 100), Similarity(), Similarity(2, 6, 10)):
+        for _ in range(20):
+            pivot = rng.integers(0, 2**63, 60)
+            edits = [rng.integers(0, 2**63, 9) for _ in range(4)]
+            sets = [np.unique(np.concatenate([rng.permutation(pivot)[rng.integers(0, 20) :], edits[rng.integers(4)][: rng.integers(0, 10)]])) for _ in range(25)]
+            linked = np.array([kind.linked(len(np.intersect1d(x, pivot)), len(x), 60) for x in sets])
+            near = jaccard.tied(linked, np.array([len(x) for x in sets]), [np.setxor1d(x, pivot) for x in sets], kind)
+
+            def parts(edges, linked=linked):
+                part = np.where(linked, -1, np.arange(25))
+                for a, b in edges:
+                    part[part == part[b]] = part[a]
+                return {tuple(np.flatnonzero(part == k).tolist()) for k in part.tolist()}
+
+            every = [(a, b) for a, b in itertools.combinations(range(25), 2) if kind.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))]
+            assert set(near) <= {*every, *[(b, a) for a, b in every]} and parts(near) == parts(every)
+
+
+def test_groups_of_the_same_members_keep_the_earliest_place(spark):
+    rows = [(1, 10, 100, 80), (1, 11, 100, 125), (2, 10, 100, 125), (2, 11, 100, 80), (3, 12, 90, 90)]
+    live = jaccard._live(spark.createDataFrame(rows, "key long, member long, size long, wide long"))
+    assert sorted((r.member, r.size, r.wide, r.n, r.grams) for r in live.collect()) == [(10, 100, 125, 2, 200), (11, 100, 125, 2, 200)]
+    assert [tuple(r) for r in jaccard._pairs(live).collect()] == [(10, 11)]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (5, 4), (4, 4), (3, 1), (20, 21)] + [(100, k) for k in range(101, 130)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
